@@ -46,13 +46,14 @@ def decode(
     schema: StructType,
     value_col: str = "value",
     fields: Sequence[str] | None = None,
+    options: dict[str, str] | None = None,
 ) -> DataFrame:
     """PRJ1-3: text -> struct -> flat columns (all fields or the named ones).
 
     Reference parity: malformed rows become all-null rows. Use
     :func:`split_decoded` to keep them apart instead.
     """
-    parsed = df.select(parse_json(F.col(value_col).cast("string"), schema).alias("t"))
+    parsed = df.select(parse_json(F.col(value_col).cast("string"), schema, options).alias("t"))
     names = list(fields) if fields else [f.name for f in schema.fields]
     return parsed.select(*[F.col(f"t.{n}").alias(n) for n in names])
 
@@ -64,19 +65,28 @@ def split_decoded(
     key: Sequence[str] = ("id",),
     time_col: str | None = "timestamp",
     keep: Sequence[str] = (),
+    options: dict[str, str] | None = None,
 ) -> DataFrame:
     """Decode and tag each row with ``status`` ('ok' or one of REJECT_STATUSES).
 
     Output: the schema's fields, ``status``, ``raw`` (the message text) and
     any ``keep`` columns of the input (e.g. Kafka offsets). Filter with
-    :func:`valid` / :func:`rejected`; both read the same single projection.
+    :func:`valid` / :func:`rejected`.
+
+    The message is parsed exactly once. Without care the optimizer would push
+    a later ``status`` filter below the parse and evaluate ``from_json`` once
+    per field reference in the filter and again in the projection; the
+    ``inline`` generator between parse and status is a barrier to that.
+    ``options`` may pin ``timestampFormat`` when the producer's format is
+    known, which skips the fallback parser.
     """
     with_corrupt = StructType(schema.fields + [StructField(CORRUPT, StringType(), True)])
     text = F.col(value_col).cast("string")
+    opts = {"columnNameOfCorruptRecord": CORRUPT, **(options or {})}
     parsed = df.select(
         *[F.col(k) for k in keep],
         text.alias("raw"),
-        parse_json(text, with_corrupt, {"columnNameOfCorruptRecord": CORRUPT}).alias("t"),
+        parse_json(text, with_corrupt, opts).alias("t"),
     )
     key_null = F.lit(False)
     for k in key:
@@ -89,12 +99,13 @@ def split_decoded(
     if time_col:
         status = status.when(F.col(f"t.{time_col}").isNull(), "missing_time")
     status = status.otherwise(OK)
-    return parsed.select(
+    row = F.struct(
         *[F.col(f"t.{f.name}").alias(f.name) for f in schema.fields],
         status.alias("status"),
         F.col("raw"),
         *[F.col(k) for k in keep],
     )
+    return parsed.select(F.inline(F.array(row)))
 
 
 def valid(decoded: DataFrame) -> DataFrame:

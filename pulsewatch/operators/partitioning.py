@@ -1,0 +1,22 @@
+"""Parallelism guards for CPU-heavy per-row work (parsing, encoding).
+
+A scan yields one partition per file split; a small or unsplittable input
+(one Parquet row group, one text file) would run a whole decode in one task.
+:func:`spread` round-robins such an input over the cluster's cores first. On
+large inputs, which already have many more splits than cores, it does
+nothing and adds no shuffle.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Repartition a batch input that has fewer partitions than cores."""
+    if df.isStreaming:
+        return df
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)

@@ -19,11 +19,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.decode import encode_json, split_decoded, valid
+from ..functions.decode import LOSSLESS_JSON, encode_json, split_decoded, valid
 from ..functions.timefn import WIRE_TIMESTAMP_FORMAT, epoch_seconds_to_timestamp
 from ..operators import aggregates as agg
 from ..operators.ordering import newest_first, union_all
 from ..operators.pairing import positional_pair
+from ..operators.partitioning import spread
 from ..operators.rolling import attackers, rolling_count
 from ..operators.evaluation import classification_report
 from ..schemas import EVENTS, EVENTS_WIRE, METRICS, TABLES, TableSpec, action_id, events_as_metrics
@@ -137,12 +138,13 @@ def paired_events(spark, sf_dir):
 # --- decode / encode ------------------------------------------------------------
 
 def json_roundtrip(spark, sf_dir):
-    messages = encode_json(read_events(spark, sf_dir))
-    return valid(split_decoded(messages, EVENTS, key=("event_id",), time_col="ts"))
+    messages = encode_json(spread(read_events(spark, sf_dir)))
+    return valid(split_decoded(messages, EVENTS, key=("event_id",), time_col="ts",
+                               options=LOSSLESS_JSON))
 
 
 def rejected_rows(spark, sf_dir):
-    ev = read_events(spark, sf_dir)
+    ev = spread(read_events(spark, sf_dir))
     full = F.to_json(F.struct(*[F.col(c) for c in EVENT_COLS]))
     no_key = F.to_json(F.struct(*[F.col(c) for c in EVENT_COLS if c != "event_id"]))
     no_time = F.to_json(F.struct(*[F.col(c) for c in EVENT_COLS if c != "ts"]))
@@ -152,12 +154,13 @@ def rejected_rows(spark, sf_dir):
         .when(F.col("event_type") == "purchase", no_time)
         .otherwise(full)
     )
-    decoded = split_decoded(ev.select(text.alias("value")), EVENTS, key=("event_id",), time_col="ts")
+    decoded = split_decoded(ev.select(text.alias("value")), EVENTS, key=("event_id",), time_col="ts",
+                            options=LOSSLESS_JSON)
     return decoded.groupBy("status").agg(F.count(F.lit(1)).alias("n"))
 
 
 def decode_metrics(spark, sf_dir):
-    ev = read_events(spark, sf_dir)
+    ev = spread(read_events(spark, sf_dir))
     wire = ev.select(
         F.col("event_id").cast("string").alias("id"),
         F.col("ts").alias("timestamp"),
@@ -167,7 +170,7 @@ def decode_metrics(spark, sf_dir):
         F.floor("value").cast("int").alias("value"),
     )
     messages = encode_json(wire, timestamp_format=WIRE_TIMESTAMP_FORMAT)
-    rows = valid(split_decoded(messages, METRICS))
+    rows = valid(split_decoded(messages, METRICS, options={"timestampFormat": WIRE_TIMESTAMP_FORMAT}))
     return rows.select("id", _ntz("timestamp"), "operation_type", "action_id", "user_id", "value")
 
 
@@ -270,9 +273,9 @@ def stream_minutes(spark, sf_dir):
     """SNK5 -> SRC1 (file forms) -> decode -> 1 min watermark -> AGG1 + AGG2
     -> keyed tables, as two queries over one typed stream, run to completion."""
     base = scratch_path(spark, "stream_minutes")
-    publish_text(read_events(spark, sf_dir), f"{base}/topic")
+    publish_text(spread(read_events(spark, sf_dir)), f"{base}/topic")
     decoded = split_decoded(text_stream(spark, f"{base}/topic"), EVENTS_WIRE,
-                            key=("event_id",), time_col="ts")
+                            key=("event_id",), time_col="ts", options=LOSSLESS_JSON)
     typed = events_as_metrics(valid(decoded)).withWatermark("timestamp", "1 minute")
     plans = views_and_transactions(typed, "1 minute", TRANSACTION_TYPES, view_kind=VIEW)
     specs, tables = [], {}
@@ -402,15 +405,18 @@ SELECT v.user_id, v.rn, v.event_id AS view_event_id, v.ts AS view_ts,
 FROM v JOIN c ON v.user_id = c.user_id AND v.rn = c.rn
 """
 
+# A filter that does not touch event time is pushed below the watermark, so
+# each query's watermark follows the max event time of its own rows.
 _STREAM_SQL = f"""
-WITH rows AS (
-  SELECT 'views' AS metric, date_trunc('minute', ts) AS "timestamp", count(*) AS n
-  FROM events WHERE event_type = 'view' GROUP BY ALL
-  UNION ALL
-  SELECT 'transactions', date_trunc('minute', ts), count(*)
-  FROM events WHERE event_type IN {_TX} GROUP BY ALL)
-SELECT * FROM rows
-WHERE "timestamp" + INTERVAL 1 MINUTE <= (SELECT max(ts) FROM events) - INTERVAL 1 MINUTE
+WITH v AS (SELECT date_trunc('minute', ts) AS m, count(*) AS n FROM events
+           WHERE event_type = 'view' GROUP BY 1),
+t AS (SELECT date_trunc('minute', ts) AS m, count(*) AS n FROM events
+      WHERE event_type IN {_TX} GROUP BY 1)
+SELECT 'views' AS metric, m AS "timestamp", n FROM v
+WHERE m + INTERVAL 1 MINUTE <= (SELECT max(ts) FROM events WHERE event_type = 'view') - INTERVAL 1 MINUTE
+UNION ALL
+SELECT 'transactions', m, n FROM t
+WHERE m + INTERVAL 1 MINUTE <= (SELECT max(ts) FROM events WHERE event_type IN {_TX}) - INTERVAL 1 MINUTE
 """
 
 SQL: dict[str, str] = {

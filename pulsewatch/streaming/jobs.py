@@ -6,6 +6,11 @@ from it, and the keyed sink makes a replayed batch idempotent. Aggregates
 run in append mode: a window is written once, after the watermark passes its
 end. Several queries over one typed stream are started together and awaited
 with ``awaitAnyTermination``, so a failure of any query is seen at once.
+
+Watermark note: Catalyst pushes a filter that does not reference event time
+below the watermark, so each query's watermark follows the max event time of
+the rows that pass its own filter, not of the whole stream (true of the
+reference's jobs as well).
 """
 
 from __future__ import annotations
