@@ -13,10 +13,9 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import window_start
 from ..schemas import TRANSACTION_KINDS
 from .filters import of_kind, of_kinds
-from .windows import tumbling
+from .windows import window_key, window_start_of
 
 
 def distinct_count(column: str, mode: str = "approx", rsd: float | None = None) -> Column:
@@ -45,13 +44,9 @@ def windowed_counts(
     aggs = [F.count(F.lit(1)).alias(count_name)]
     if distinct:
         aggs.append(distinct_count(user_col, distinct).alias("distinct_users"))
-    out = (
-        df.select(time_col, user_col)
-        .groupBy(tumbling(width, time_col).alias("window"))
-        .agg(*aggs)
-        .select(window_start("window", "timestamp"), count_name,
-                *(["distinct_users"] if distinct else []))
-    )
+    grouped = df.select(time_col, user_col).groupBy(window_key(df, width, time_col)).agg(*aggs)
+    out = grouped.select(window_start_of(grouped), count_name,
+                         *(["distinct_users"] if distinct else []))
     if series_id is not None:
         out = out.withColumn("dummy_id", F.lit(series_id))
     return out
@@ -95,13 +90,13 @@ def burst_counts(
 
     Output: ``timestamp``, ``action_id``, ``user_id``, ``count``, ``dummy_id``.
     """
-    out = (
+    grouped = (
         df.select(time_col, action_col, user_col)
-        .groupBy(F.col(user_col), F.col(action_col), tumbling(width, time_col).alias("window"))
+        .groupBy(F.col(user_col), F.col(action_col), window_key(df, width, time_col))
         .count()
-        .select(window_start("window", "timestamp"), F.col(action_col).alias("action_id"),
-                F.col(user_col).alias("user_id"), "count")
     )
+    out = grouped.select(window_start_of(grouped), F.col(action_col).alias("action_id"),
+                         F.col(user_col).alias("user_id"), "count")
     if series_id is not None:
         out = out.withColumn("dummy_id", F.lit(series_id))
     return out

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from ..functions.timefn import event_date
 from ..operators.ordering import clustered
 from ..schemas import TableSpec
+from ..sources.tables import read_table
 
 BOOKKEEPING = ("write_time", "query_id", "batch_id")
 
@@ -115,7 +116,7 @@ class KeyedTable:
     # -- reads --------------------------------------------------------------
     def log(self) -> DataFrame:
         """Every written row, with bookkeeping columns."""
-        return self.spark.read.option("basePath", self.path).parquet(self.path)
+        return read_table(self.spark, self.path, "parquet", {"basePath": self.path})
 
     def view(self, as_of: dt.datetime | None = None, ttl: bool = True) -> DataFrame:
         """Latest live row per key, in the spec's column order."""
