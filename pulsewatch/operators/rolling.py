@@ -103,10 +103,13 @@ def attackers(
     time_col: str = "timestamp",
     value_col: str = "value",
     bucket: str | None = None,
+    sort: bool = True,
 ) -> DataFrame:
     """WIN2 (+ FLT4, AGG5): users whose rolling count ever exceeds ``threshold``.
 
-    Output: ``<partition_col>``, ``peak_count``, sorted by the key.
+    Output: ``<partition_col>``, ``peak_count``, sorted by the key unless
+    ``sort`` is False (a consumer that joins or aggregates skips the sort).
     """
     peaks = peak_rolling_count(df, frame, partition_col, time_col, value_col, bucket)
-    return peaks.filter(F.col("peak_count") > F.lit(threshold)).orderBy(partition_col)
+    flagged = peaks.filter(F.col("peak_count") > F.lit(threshold))
+    return flagged.orderBy(partition_col) if sort else flagged

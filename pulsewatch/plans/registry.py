@@ -38,7 +38,7 @@ from ..sources.tables import read_events
 from ..streaming.jobs import StreamSpec, run_available
 from ..sinks.archive import write_extract
 from . import panels
-from .telemetry import views_and_transactions
+from .telemetry import burst_plan, views_and_transactions
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -122,7 +122,7 @@ def detector_report(spark, sf_dir):
     truth = (ev.filter(F.col("event_type") == "error").groupBy("user_id").count()
              .filter(F.col("count") >= ERROR_TRUTH_MIN).select("user_id"))
     flagged = attackers(ev.select("user_id", "ts", "value"), DAY_FRAME, DAY_THRESHOLD,
-                        "user_id", "ts", "value")
+                        "user_id", "ts", "value", sort=False)
     return classification_report(truth, flagged.select("user_id"), ev.select("user_id"), "user_id")
 
 
@@ -293,6 +293,31 @@ def stream_minutes(spark, sf_dir):
     )
 
 
+def stream_bursts(spark, sf_dir):
+    """The reference's burst job end to end: events published as metrics
+    messages in the wire format (whole seconds), read as a stream, narrow
+    decode, 5 s watermark, 5 s windows per (user, action), written to the
+    burst table under the reference's key (user_id, timestamp, count)."""
+    base = scratch_path(spark, "stream_bursts")
+    ev = spread(read_events(spark, sf_dir))
+    wire = ev.select(
+        F.col("event_id").cast("string").alias("id"),
+        F.col("ts").alias("timestamp"),
+        F.upper("event_type").alias("operation_type"),
+        action_id("props").alias("action_id"),
+        F.col("user_id").cast("string").alias("user_id"),
+        F.floor("value").cast("int").alias("value"),
+    )
+    publish_text(wire, f"{base}/topic", timestamp_format=WIRE_TIMESTAMP_FORMAT)
+    plan = burst_plan(text_stream(spark, f"{base}/topic"), "5 seconds", "5 seconds",
+                      options={"timestampFormat": WIRE_TIMESTAMP_FORMAT})
+    table = KeyedTable(spark, TABLES["metrics_ddos"], f"{base}/metrics_ddos")
+    ckpt = f"{base}/checkpoint"
+    name = f"bursts_{base.rsplit('-', 1)[-1]}"
+    run_available([StreamSpec(name, plan, ckpt, table.foreach_batch(ckpt))])
+    return table.view().select(_ntz("timestamp"), "action_id", "user_id", "count", "dummy_id")
+
+
 QUERIES: dict[str, Query] = {
     "views_per_minute": views_per_minute,
     "transactions_per_minute": transactions_per_minute,
@@ -323,6 +348,7 @@ QUERIES: dict[str, Query] = {
     "panel_series": panel_series,
     "panel_sql": panel_sql,
     "stream_minutes": stream_minutes,
+    "stream_bursts": stream_bursts,
 }
 
 
@@ -419,6 +445,16 @@ SELECT 'transactions', m, n FROM t
 WHERE m + INTERVAL 1 MINUTE <= (SELECT max(ts) FROM events WHERE event_type IN {_TX}) - INTERVAL 1 MINUTE
 """
 
+_STREAM_BURSTS_SQL = """
+WITH e AS (SELECT date_trunc('second', ts) AS t, json_extract_string(props, '$.k') AS action_id,
+                  CAST(user_id AS VARCHAR) AS user_id FROM events),
+b AS (SELECT time_bucket(INTERVAL '5 seconds', t) AS "timestamp", action_id, user_id,
+             count(*) AS count, '1' AS dummy_id FROM e GROUP BY 1, 2, 3)
+SELECT * FROM b
+WHERE "timestamp" + INTERVAL 5 SECOND <= (SELECT max(t) FROM e) - INTERVAL 5 SECOND
+QUALIFY row_number() OVER (PARTITION BY user_id, "timestamp", count ORDER BY action_id DESC) = 1
+"""
+
 SQL: dict[str, str] = {
     "views_per_minute": (
         "SELECT date_trunc('minute', ts) AS \"timestamp\", count(*) AS views, "
@@ -498,4 +534,5 @@ SQL: dict[str, str] = {
         "GROUP BY user_id"
     ),
     "stream_minutes": _STREAM_SQL,
+    "stream_bursts": _STREAM_BURSTS_SQL,
 }

@@ -42,9 +42,10 @@ def views_and_transactions(typed: DataFrame, width: str = "1 minute",
     }
 
 
-def burst_plan(messages: DataFrame, width: str = "5 seconds", delay: str = "5 seconds") -> DataFrame:
+def burst_plan(messages: DataFrame, width: str = "5 seconds", delay: str = "5 seconds",
+               options: dict[str, str] | None = None) -> DataFrame:
     """AGG4 as the reference's burst job: narrow schema, 5 s watermark and window."""
-    rows = valid(split_decoded(messages, METRICS_NARROW))
+    rows = valid(split_decoded(messages, METRICS_NARROW, options=options))
     return burst_counts(with_watermark(rows.select("timestamp", "action_id", "user_id"), delay), width)
 
 
@@ -57,7 +58,7 @@ def ingest(messages: DataFrame, schema, key=("id",)) -> tuple[DataFrame, DataFra
 def detector(metrics: DataFrame, truth: DataFrame, frame: str = "5 seconds",
              threshold: int = 50, key: str = "user_id", bucket: str | None = None) -> dict[str, DataFrame]:
     """WIN2 then AGG6: flagged users and the report against ``truth`` users."""
-    flagged = attackers(metrics, frame, threshold, key, bucket=bucket)
+    flagged = attackers(metrics, frame, threshold, key, bucket=bucket, sort=False)
     universe = metrics.select(key)
     return {
         "attackers": flagged,

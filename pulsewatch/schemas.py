@@ -87,7 +87,10 @@ class TableSpec:
 
     ``key`` columns identify a row: a later write with the same key replaces
     the earlier one. ``order`` is the clustering order inside one key prefix
-    (first key column), as (column, descending) pairs.
+    (first key column), as (column, descending) pairs. ``time_bounded`` marks
+    tables whose rows per write are bounded by elapsed time, not by data
+    volume (one row per window of a pre-aggregate); such writes go through
+    one task, giving one file per day.
     """
 
     name: str
@@ -97,6 +100,7 @@ class TableSpec:
     partition_by: tuple[str, ...] = ("event_date",)
     ttl_seconds: int | None = TTL_SECONDS
     time_column: str = "timestamp"
+    time_bounded: bool = False
 
     def ddl_columns(self) -> str:
         cols = [f"`{f.name}` {f.dataType.simpleString()}" for f in self.schema.fields]
@@ -134,8 +138,9 @@ TABLES: dict[str, TableSpec] = {
         "metrics_ddos", BURSTS, ("user_id", "timestamp", "count"),
         order=(("timestamp", True), ("count", True)),
     ),
-    "views": TableSpec("views", _counts("views"), ("timestamp",)),
-    "transactions": TableSpec("transactions", _counts("transactions"), ("timestamp",)),
+    "views": TableSpec("views", _counts("views"), ("timestamp",), time_bounded=True),
+    "transactions": TableSpec("transactions", _counts("transactions"), ("timestamp",),
+                              time_bounded=True),
 }
 
 

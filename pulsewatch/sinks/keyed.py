@@ -92,7 +92,17 @@ class KeyedTable:
         Rows with a null key column are not written (reject them upstream).
         """
         target = f"{self.path}/query_id={query_id}/batch_id={int(batch_id)}"
-        (self._prepared(df, write_time)
+        rows = self._prepared(df, write_time)
+        if self.spec.time_bounded:
+            # At most one row per window: one task, one file per day.
+            rows = rows.repartition(1)
+        else:
+            # REBALANCE: AQE sizes files per day (small days coalesced, large
+            # ones split) instead of one file per task and day. A streaming
+            # micro-batch runs without AQE, which drops the hint; there the
+            # files follow the state partitions and `compact` merges them.
+            rows = rows.hint("rebalance", "event_date")
+        (rows
          .write.mode("overwrite")
          .partitionBy("event_date")
          .parquet(target))
