@@ -282,8 +282,9 @@ def stream_minutes(spark, sf_dir):
     for name, df in plans.items():
         table = KeyedTable(spark, TABLES[name], f"{base}/{name}")
         ckpt = f"{base}/checkpoints/{name}"
-        specs.append(StreamSpec(name=f"{name}_{base.rsplit('-', 1)[-1]}", df=df, checkpoint=ckpt,
-                                sink=table.foreach_batch(ckpt)))
+        qname = f"{name}_{base.rsplit('-', 1)[-1]}"
+        specs.append(StreamSpec(name=qname, df=df, checkpoint=ckpt,
+                                sink=table.foreach_batch(ckpt, query_name=qname)))
         tables[name] = table
     run_available(specs)
     return union_all(
@@ -314,7 +315,7 @@ def stream_bursts(spark, sf_dir):
     table = KeyedTable(spark, TABLES["metrics_ddos"], f"{base}/metrics_ddos")
     ckpt = f"{base}/checkpoint"
     name = f"bursts_{base.rsplit('-', 1)[-1]}"
-    run_available([StreamSpec(name, plan, ckpt, table.foreach_batch(ckpt))])
+    run_available([StreamSpec(name, plan, ckpt, table.foreach_batch(ckpt, query_name=name))])
     return table.view().select(_ntz("timestamp"), "action_id", "user_id", "count", "dummy_id")
 
 

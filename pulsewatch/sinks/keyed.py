@@ -107,18 +107,28 @@ class KeyedTable:
          .partitionBy("event_date")
          .parquet(target))
 
-    def foreach_batch(self, checkpoint: str, write_time: dt.datetime | None = None):
+    def foreach_batch(self, checkpoint: str, write_time: dt.datetime | None = None,
+                      query_name: str | None = None):
         """A ``foreachBatch`` function writing each micro-batch into this table.
 
-        The query id is read once from the checkpoint's metadata, so it is
-        stable across restarts on that checkpoint and new for a fresh one.
+        The query id is the one kept in the checkpoint: stable across restarts
+        on that checkpoint and new for a fresh one. It is taken from the
+        running query named ``query_name`` when given, else read once from
+        the checkpoint's metadata file.
         """
         state: dict[str, str] = {}
 
+        def query_id(spark: SparkSession) -> str:
+            if query_name:
+                for q in spark.streams.active:
+                    if q.name == query_name:
+                        return q.id
+            meta = spark.read.text(f"{checkpoint.rstrip('/')}/metadata")
+            return meta.select(F.get_json_object("value", "$.id")).first()[0]
+
         def sink(batch: DataFrame, batch_id: int) -> None:
             if "query_id" not in state:
-                meta = batch.sparkSession.read.json(f"{checkpoint.rstrip('/')}/metadata")
-                state["query_id"] = meta.select("id").first()["id"]
+                state["query_id"] = query_id(batch.sparkSession)
             self.write_batch(batch, batch_id, state["query_id"], write_time)
 
         return sink

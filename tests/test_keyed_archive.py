@@ -136,3 +136,19 @@ def test_text_round_trip_is_lossless(spark, scratch):
     path = write_extract(df, scratch + "/x")
     back = read_csv_extract(spark, path, df.schema, multiline=True)
     assert sorted(tuple(r) for r in back.collect()) == rows
+
+
+def test_query_id_from_checkpoint_metadata(spark, scratch):
+    """Without a query name the sink reads the id kept in the checkpoint."""
+    from pulsewatch.sources.streams import text_stream
+    from pulsewatch.streaming.jobs import StreamSpec, run_available
+
+    spark.createDataFrame([('{"k":"a","timestamp":"2024-01-01 00:00:00","v":1}',)], "value string") \
+        .write.text(scratch + "/src")
+    from pulsewatch.functions.decode import split_decoded, valid
+    rows = valid(split_decoded(text_stream(spark, scratch + "/src"), SPEC.schema, key=("k",)))
+    t = KeyedTable(spark, SPEC, scratch + "/t")
+    ckpt = scratch + "/ck"
+    q = run_available([StreamSpec("qid_test", rows, ckpt, t.foreach_batch(ckpt))])[0]
+    ids = {r["query_id"] for r in t.log().select("query_id").collect()}
+    assert ids == {q.id}

@@ -71,3 +71,9 @@ def test_hot_user_is_split_across_tasks(spark):
     out = rolling_count(df, "1 hour")
     assert out.count() == 48
     assert {r["rolling_count"] for r in out.collect()} == {1}
+
+
+def test_window_is_partitioned_by_user_and_bucket(spark):
+    df = _frame(spark, [("u", 0, 0)])
+    plan = rolling_count(df, "5 seconds")._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(user_id" in plan and "_bucket" in plan.split("hashpartitioning(")[1].split(")")[0]
