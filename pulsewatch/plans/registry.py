@@ -59,6 +59,7 @@ PANEL_SQL = (
     "SELECT user_id, count(*) AS n, max(value) AS peak FROM events "
     "WHERE ts > $__timeFrom AND ts < $__timeTo GROUP BY user_id"
 )
+BATCH_CUTOFF = dt.datetime(2024, 1, 15)
 UPSERT_FIRST = dt.datetime(2024, 2, 1)
 UPSERT_SECOND = dt.datetime(2024, 2, 2)
 
@@ -232,21 +233,22 @@ def user_history(spark, sf_dir):
     return newest_first(ev, 10, "ts", "event_id")
 
 
-def _odd_day() -> F.Column:
-    return (F.dayofyear("ts") % 2) == 1
+def _early() -> F.Column:
+    """Batch boundary: rows before the cutoff form the first micro-batch."""
+    return F.coalesce(F.col("ts") < F.lit(BATCH_CUTOFF), F.lit(False))
 
 
 def union_batches(spark, sf_dir):
     ev = read_events(spark, sf_dir)
-    return union_all([ev.filter(_odd_day()), ev.filter(~_odd_day())])
+    return union_all([ev.filter(_early()), ev.filter(~_early())])
 
 
 def saved_batches(spark, sf_dir):
     ev = read_events(spark, sf_dir)
     base = scratch_path(spark, "batches")
     paths = [f"{base}/batch=0", f"{base}/batch=1"]
-    ev.filter(_odd_day()).write.parquet(paths[0])
-    ev.filter(~_odd_day()).write.parquet(paths[1])
+    ev.filter(_early()).write.parquet(paths[0])
+    ev.filter(~_early()).write.parquet(paths[1])
     return read_batches(spark, paths, schema=EVENTS)
 
 

@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -31,8 +30,3 @@ def scratch(spark):
     from pulsewatch.session import scratch_path
 
     return scratch_path(spark, "test")
-
-
-@pytest.fixture()
-def local_dir():
-    return tempfile.mkdtemp(prefix="pulsewatch-test-")

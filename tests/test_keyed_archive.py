@@ -56,7 +56,7 @@ def test_fresh_checkpoint_does_not_overwrite(spark, scratch):
     assert _view(t) == {"a": 1, "b": 1}
 
 
-def test_burst_key_collapses_equal_counts(spark, scratch, local_dir):
+def test_burst_key_collapses_equal_counts(spark, scratch):
     rows = [(T0, "x", "u1", 3, "1"), (T0, "y", "u1", 3, "1")]
     df = spark.createDataFrame(rows, BURSTS)
     ref = KeyedTable(spark, TABLES["metrics_ddos"], scratch + "/ref")
