@@ -8,12 +8,11 @@ field comes back nullable, so non-null keys are validated explicitly
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
-    DateType,
     DoubleType,
     IntegerType,
     LongType,
@@ -184,5 +183,3 @@ EVENTS = StructType([
 EVENTS_WIRE = StructType([
     f if f.name != "ts" else StructField("ts", TimestampType()) for f in EVENTS.fields
 ])
-
-DATE = DateType()
