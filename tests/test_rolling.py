@@ -51,10 +51,33 @@ def _pandas_rolling(pdf: pd.DataFrame, frame: str) -> dict:
 def test_rolling_matches_brute_force_for_any_bucket(spark):
     ev = spark.read.parquet(f"{SF_SMALL}/events.parquet").select("event_id", "user_id", "ts", "value")
     truth = _pandas_rolling(ev.toPandas(), "1 hour")
-    for bucket in [None, "2 hours", "1 day"]:
+    cases = [("halo", None), ("halo", "2 hours"), ("halo", "1 day"),
+             ("prefix", None), ("prefix", "1 second"), ("prefix", "7 hours")]
+    for method, bucket in cases:
         got = {r["event_id"]: r["rolling_count"]
-               for r in rolling_count(ev, "1 hour", "user_id", "ts", bucket=bucket).collect()}
-        assert got == truth, bucket
+               for r in rolling_count(ev, "1 hour", "user_id", "ts", bucket=bucket,
+                                      method=method).collect()}
+        assert got == truth, (method, bucket)
+
+
+def test_prefix_equals_halo_on_fixture_and_detector(spark):
+    df = _frame(spark, [("u", s, 0) for s in [0, 0, 1, 4, 5, 9]])
+    for method in ["halo", "prefix"]:
+        out = sorted((r["timestamp"], r["rolling_count"])
+                     for r in rolling_count(df, "5 seconds", method=method).collect())
+        assert [c for _, c in out] == [2, 2, 3, 4, 3, 2], method
+    det = _frame(spark, _detector_rows())
+    for method in ["halo", "prefix"]:
+        peaks = {r["user_id"]: r["peak_count"]
+                 for r in peak_rolling_count(det, "5 seconds", method=method).collect()}
+        assert peaks == {"A": 51, "B": 50, "C": 50, "D": 50}, method
+
+
+def test_prefix_tasks_hold_one_bucket(spark):
+    """The prefix method partitions rows and probes by (user, small bucket)."""
+    df = _frame(spark, [("u", 0, 0)])
+    plan = rolling_count(df, "1 day", method="prefix")._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(user_id#" in plan and ", _b#" in plan
 
 
 def test_widening_the_frame_never_lowers_a_count(spark):
