@@ -3,6 +3,12 @@
 Every job pins the session time zone to UTC: the wire format carries event
 time as zone-less text, and the stored tables compare it with UTC bounds.
 
+Broadcasts: the static planner would broadcast a join side whose *estimated*
+size is small; estimates are not a bound (a generator or a skewed key can
+grow a side past them). So static broadcasting is off, and AQE broadcasts a
+side only after its shuffle stage has run and its measured size is under the
+threshold.
+
 Scratch output (archives written and read back, keyed tables of a test run,
 stream checkpoints) lives under the shared folder the cluster names in
 ``spark.checkpoint.dir``; a default is set only when the session has none,
@@ -18,6 +24,12 @@ from pyspark.sql import SparkSession
 
 DEFAULT_LOCAL_CHECKPOINT_DIR = "/tmp/pulsewatch-checkpoints"
 
+# Broadcast only sides measured at runtime (AQE), never on estimates.
+BROADCAST_POLICY = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",
+}
+
 
 def build_session(
     master: str | None = None,
@@ -34,6 +46,7 @@ def build_session(
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        **BROADCAST_POLICY,
         "spark.ui.enabled": "false",
     }
     if shuffle_partitions is not None:
@@ -43,11 +56,18 @@ def build_session(
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     # getOrCreate may hand back a running session; runtime confs still apply.
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    apply_runtime_policy(spark)
     ensure_checkpoint_dir(spark)
     return spark
 
 
+def apply_runtime_policy(spark: SparkSession) -> None:
+    """Runtime SQL settings every plan here relies on (safe on any session)."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    for key, value in BROADCAST_POLICY.items():
+        spark.conf.set(key, value)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a local one only if unset."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
