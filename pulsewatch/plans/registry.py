@@ -29,7 +29,7 @@ from ..operators.rolling import attackers, rolling_count
 from ..operators.evaluation import classification_report
 from ..schemas import EVENTS, EVENTS_WIRE, METRICS, TABLES, TableSpec, action_id, events_as_metrics
 from ..session import scratch_path
-from ..sinks.archive import archive_day, archive_range
+from ..sinks.archive import archive_day, archive_range, month_ago_date
 from ..sinks.keyed import KeyedTable, latest_per_key, retained
 from ..sinks.publish import publish_text
 from ..sources.files import read_batches, read_csv_extract
@@ -219,6 +219,20 @@ def archive_day_q(spark, sf_dir):
     return read_csv_extract(spark, path, EVENTS, header=False)
 
 
+def archive_table_day(spark, sf_dir):
+    """SNK1 -> SNK4: events stored in a keyed table, then the day one month
+    before ``as_of`` archived from the table's view. The view prunes the log
+    to that day's ``event_date`` folders before de-duplicating."""
+    spec = TableSpec("events_by_id", EVENTS, ("event_id",), time_column="ts", key_fixes_time=True)
+    base = scratch_path(spark, "archive_table")
+    table = KeyedTable(spark, spec, f"{base}/table")
+    table.write_batch(read_events(spark, sf_dir), 0, "q", UPSERT_FIRST)
+    day = month_ago_date(ARCHIVE_AS_OF)
+    path = archive_day(table.view(days=(day, day)), "events", ARCHIVE_AS_OF, f"{base}/archive",
+                       "csv", time_col="ts")
+    return read_csv_extract(spark, path, EVENTS, header=False)
+
+
 def archive_range_q(spark, sf_dir):
     base = scratch_path(spark, "archive_range")
     path = archive_range(read_events(spark, sf_dir), "events", ARCHIVE_FIRST, ARCHIVE_LAST,
@@ -344,6 +358,7 @@ QUERIES: dict[str, Query] = {
     "retention": retention,
     "archive_day": archive_day_q,
     "archive_range": archive_range_q,
+    "archive_table_day": archive_table_day,
     "user_history": user_history,
     "union_batches": union_batches,
     "saved_batches": saved_batches,
@@ -515,6 +530,7 @@ SQL: dict[str, str] = {
         "SELECT * FROM events WHERE ts > TIMESTAMP '2024-02-10 00:00:00' - INTERVAL 2640000 SECOND"
     ),
     "archive_day": "SELECT * FROM events WHERE CAST(ts AS DATE) = DATE '2024-01-15'",
+    "archive_table_day": "SELECT * FROM events WHERE CAST(ts AS DATE) = DATE '2024-01-15'",
     "archive_range": (
         "SELECT *, CAST(ts AS DATE) AS event_date FROM events "
         "WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-10' AND DATE '2024-01-12'"

@@ -89,7 +89,10 @@ class TableSpec:
     (first key column), as (column, descending) pairs. ``time_bounded`` marks
     tables whose rows per write are bounded by elapsed time, not by data
     volume (one row per window of a pre-aggregate); such writes go through
-    one task, giving one file per day.
+    one task, giving one file per day. ``key_fixes_time`` says a key's event
+    time never changes between writes (the key holds a unique event id or the
+    time itself), so a view of some days may prune the log by ``event_date``
+    before picking the latest row per key.
     """
 
     name: str
@@ -100,6 +103,7 @@ class TableSpec:
     ttl_seconds: int | None = TTL_SECONDS
     time_column: str = "timestamp"
     time_bounded: bool = False
+    key_fixes_time: bool = False
 
     def ddl_columns(self) -> str:
         cols = [f"`{f.name}` {f.dataType.simpleString()}" for f in self.schema.fields]
@@ -130,16 +134,19 @@ BURSTS = StructType([
 
 # The reference's tables and keys.
 TABLES: dict[str, TableSpec] = {
-    "metrics": TableSpec("metrics", METRICS, ("microservice_id", "operation_type", "id")),
-    "logs": TableSpec("logs", LOGS_WITH_MESSAGE, ("action_id", "id")),
-    "resources": TableSpec("resources", RESOURCES, ("microservice_id", "id")),
+    # Every key holds a unique event id or the event time itself.
+    "metrics": TableSpec("metrics", METRICS, ("microservice_id", "operation_type", "id"),
+                         key_fixes_time=True),
+    "logs": TableSpec("logs", LOGS_WITH_MESSAGE, ("action_id", "id"), key_fixes_time=True),
+    "resources": TableSpec("resources", RESOURCES, ("microservice_id", "id"), key_fixes_time=True),
     "metrics_ddos": TableSpec(
         "metrics_ddos", BURSTS, ("user_id", "timestamp", "count"),
-        order=(("timestamp", True), ("count", True)),
+        order=(("timestamp", True), ("count", True)), key_fixes_time=True,
     ),
-    "views": TableSpec("views", _counts("views"), ("timestamp",), time_bounded=True),
+    "views": TableSpec("views", _counts("views"), ("timestamp",), time_bounded=True,
+                       key_fixes_time=True),
     "transactions": TableSpec("transactions", _counts("transactions"), ("timestamp",),
-                              time_bounded=True),
+                              time_bounded=True, key_fixes_time=True),
 }
 
 

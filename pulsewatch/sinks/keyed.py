@@ -138,16 +138,31 @@ class KeyedTable:
         """Every written row, with bookkeeping columns."""
         return read_table(self.spark, self.path, "parquet", {"basePath": self.path})
 
-    def view(self, as_of: dt.datetime | None = None, ttl: bool = True) -> DataFrame:
-        """Latest live row per key, in the spec's column order."""
+    def view(self, as_of: dt.datetime | None = None, ttl: bool = True,
+             days: tuple[dt.date, dt.date] | None = None) -> DataFrame:
+        """Latest live row per key, in the spec's column order.
+
+        ``days`` (first, last) limits the view to rows whose event date is in
+        that range. When the spec's key fixes the event time, the range prunes
+        the log's ``event_date`` folders before the aggregation (a daily
+        archive reads one day, not the table); otherwise the range is applied
+        after it.
+        """
         rows = self.log()
         if ttl and as_of is not None and self.spec.ttl_seconds:
             rows = retained(rows, as_of, self.spec.ttl_seconds)
+        in_days = None
+        if days is not None:
+            first, last = (F.lit(d).cast("date") for d in days)
+            if self.spec.key_fixes_time:
+                rows = rows.filter(F.col("event_date").between(first, last))
+            else:
+                in_days = event_date(self.spec.time_column).between(first, last)
         cols = [f.name for f in self.spec.schema.fields]
         latest = latest_per_key(
             rows.select(*cols, *BOOKKEEPING), list(self.spec.key), list(BOOKKEEPING)
-        )
-        return latest.select(*cols)
+        ).select(*cols)
+        return latest.filter(in_days) if in_days is not None else latest
 
     # -- SRT3 + SNK2: compaction --------------------------------------------
     def compact(self, out_path: str, as_of: dt.datetime | None = None) -> str:

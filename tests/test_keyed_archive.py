@@ -14,6 +14,7 @@ SPEC = TableSpec(
     StructType([StructField("k", StringType()), StructField("timestamp", TimestampType()),
                 StructField("v", LongType())]),
     ("k",),
+    key_fixes_time=True,
 )
 T0 = dt.datetime(2024, 1, 1)
 W1, W2 = dt.datetime(2024, 1, 2), dt.datetime(2024, 1, 3)
@@ -152,3 +153,26 @@ def test_query_id_from_checkpoint_metadata(spark, scratch):
     q = run_available([StreamSpec("qid_test", rows, ckpt, t.foreach_batch(ckpt))])[0]
     ids = {r["query_id"] for r in t.log().select("query_id").collect()}
     assert ids == {q.id}
+
+
+def test_view_of_days_prunes_partitions(spark, scratch):
+    t = KeyedTable(spark, SPEC, scratch + "/t")
+    rows = [(f"k{d}", dt.datetime(2024, 1, d, 12), d) for d in (1, 2, 3)]
+    t.write_batch(spark.createDataFrame(rows, "k string, timestamp timestamp, v long"), 0, "q", W1)
+    v = t.view(days=(dt.date(2024, 1, 2), dt.date(2024, 1, 2)))
+    assert {r["k"] for r in v.collect()} == {"k2"}
+    plan = v._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_date" in plan, plan
+
+
+def test_view_of_days_without_fixed_time_filters_after_latest(spark, scratch):
+    from dataclasses import replace
+
+    spec = replace(SPEC, key_fixes_time=False)
+    t = KeyedTable(spark, spec, scratch + "/t")
+    first = spark.createDataFrame([("a", dt.datetime(2024, 1, 2), 1)], "k string, timestamp timestamp, v long")
+    moved = spark.createDataFrame([("a", dt.datetime(2024, 1, 3), 2)], "k string, timestamp timestamp, v long")
+    t.write_batch(first, 0, "q", W1)
+    t.write_batch(moved, 1, "q", W2)
+    # The latest row of "a" is on Jan 3, so a view of Jan 2 is empty.
+    assert t.view(days=(dt.date(2024, 1, 2), dt.date(2024, 1, 2))).count() == 0
