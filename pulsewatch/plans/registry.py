@@ -150,7 +150,7 @@ def rejected_rows(spark, sf_dir):
     no_key = F.to_json(F.struct(*[F.col(c) for c in EVENT_COLS if c != "event_id"]))
     no_time = F.to_json(F.struct(*[F.col(c) for c in EVENT_COLS if c != "ts"]))
     text = (
-        F.when(F.col("event_type") == "error", F.substring(full, 1, 20))
+        F.when(F.col("event_type") == "error", F.concat(F.lit("#"), full))
         .when(F.col("event_type") == "signup", no_key)
         .when(F.col("event_type") == "purchase", no_time)
         .otherwise(full)
