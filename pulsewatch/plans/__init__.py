@@ -1,5 +1,5 @@
 """Composite plans: the reference's jobs and dashboard panel queries."""
 
-from . import panels, telemetry
+from . import applications, panels, telemetry
 
-__all__ = ["panels", "telemetry"]
+__all__ = ["applications", "panels", "telemetry"]

@@ -108,13 +108,18 @@ class KeyedTable:
          .parquet(target))
 
     def foreach_batch(self, checkpoint: str, write_time: dt.datetime | None = None,
-                      query_name: str | None = None):
+                      query_name: str | None = None, rejects_path: str | None = None):
         """A ``foreachBatch`` function writing each micro-batch into this table.
 
         The query id is the one kept in the checkpoint: stable across restarts
         on that checkpoint and new for a fresh one. It is taken from the
         running query named ``query_name`` when given, else read once from
         the checkpoint's metadata file.
+
+        With ``rejects_path`` the batch is the output of
+        ``functions.decode.split_decoded``: it is persisted once, rows with
+        status 'ok' go to the table and the others (with status and raw text)
+        to ``rejects_path/query_id=Q/batch_id=N``, replay-safe like the table.
         """
         state: dict[str, str] = {}
 
@@ -129,7 +134,18 @@ class KeyedTable:
         def sink(batch: DataFrame, batch_id: int) -> None:
             if "query_id" not in state:
                 state["query_id"] = query_id(batch.sparkSession)
-            self.write_batch(batch, batch_id, state["query_id"], write_time)
+            qid = state["query_id"]
+            if rejects_path is None:
+                self.write_batch(batch, batch_id, qid, write_time)
+                return
+            batch.persist()
+            try:
+                self.write_batch(batch.filter(F.col("status") == "ok"), batch_id, qid, write_time)
+                (batch.filter(F.col("status") != "ok")
+                 .write.mode("overwrite")
+                 .parquet(f"{rejects_path.rstrip('/')}/query_id={qid}/batch_id={int(batch_id)}"))
+            finally:
+                batch.unpersist()
 
         return sink
 
