@@ -45,3 +45,18 @@ def test_listeners_and_archiver_end_to_end(spark, scratch):
     logs = read_csv_extract(spark, out["logs"], LOGS, header=False)
     want = wire.filter(F.to_date("timestamp") == F.lit("2024-01-15").cast("date"))
     assert logs.count() == want.count() > 0
+
+
+def test_command_line_backfill_and_archive(spark, scratch):
+    from pulsewatch.__main__ import main
+
+    wire = _wire(spark)
+    publish_text(wire, f"{scratch}/topic", timestamp_format="yyyy-MM-dd HH:mm:ss")
+    common = ["--files", f"{scratch}/topic", "--tables", f"{scratch}/tables",
+              "--checkpoints", f"{scratch}/ckpt", "--available-now"]
+    main(["listen", "logs", *common])
+    main(["listen", "metrics", *common])
+    main(["listen", "views", *common])
+    assert spark.read.parquet(f"{scratch}/tables/logs").count() == wire.count()
+    main(["archive", "--as-of", "2024-02-15", "--tables", f"{scratch}/tables", "--out",
+          f"{scratch}/archive"])
