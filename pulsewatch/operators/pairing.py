@@ -27,10 +27,14 @@ def rank_within(
     key: str,
     time_col: str,
     tie_cols: Sequence[str] = (),
-    bucket: str = "1 hour",
+    bucket: str = "1 minute",
     out_col: str = "rn",
 ) -> DataFrame:
-    """Dense 1-based row number per ``key`` ordered by (time, *ties)."""
+    """1-based row number per ``key`` ordered by (time, *ties).
+
+    Give ties that make the order total (e.g. a unique id) for a result that
+    is the same on every run and retry.
+    """
     b_us = duration_micros(bucket)
     d = df.withColumn("_t", to_micros(time_col)).withColumn(
         "_b", F.expr(f"(_t - pmod(_t, {b_us})) div {b_us}")
@@ -68,7 +72,7 @@ def positional_pair(
     tie_cols: Sequence[str] = (),
     left_prefix: str = "left_",
     right_prefix: str = "right_",
-    bucket: str = "1 hour",
+    bucket: str = "1 minute",
 ) -> DataFrame:
     """JOI1: inner join of the k-th left row with the k-th right row per key.
 
