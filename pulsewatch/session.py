@@ -31,13 +31,39 @@ BROADCAST_POLICY = {
 }
 
 
+def cluster_settings(input_bytes: int, total_cores: int,
+                     partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+    """Sizes for a job reading ``input_bytes`` on ``total_cores`` cores.
+
+    Input splits and shuffle partitions aim at ``partition_bytes`` each, so a
+    task's data fits executor memory and spills rarely. The shuffle starts
+    with at least one partition per target size of input (the largest
+    shuffle here is at most about twice the input: rows plus probes or halo
+    copies) and at least three waves of tasks; AQE then coalesces small
+    partitions to the advisory size and splits skewed ones. Example: 100 TB
+    on 1000 executors x 8 cores gives about 800,000 shuffle partitions
+    before coalescing, each about 256 MB.
+    """
+    waves = 3 * total_cores
+    by_size = -(-2 * input_bytes // partition_bytes)
+    return {
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.shuffle.partitions": str(max(waves, by_size)),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * partition_bytes),
+    }
+
+
 def build_session(
     master: str | None = None,
     app_name: str = "pulsewatch",
     shuffle_partitions: int | None = None,
     extra: dict[str, str] | None = None,
 ) -> SparkSession:
-    """Create (or fetch) a session with the settings every job relies on."""
+    """Create (or fetch) a session with the settings every job relies on.
+
+    For a cluster run pass ``extra=cluster_settings(input_bytes, cores)``.
+    """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)

@@ -68,3 +68,13 @@ def test_oracle_dir_exists():
     import os
 
     assert os.path.exists(f"{SF_ORACLE}/events.parquet")
+
+
+def test_cluster_settings_scale_with_input():
+    from pulsewatch.session import cluster_settings
+
+    small = cluster_settings(10 * 1024**3, 64)
+    big = cluster_settings(100 * 1024**4, 8000)
+    assert int(small["spark.sql.shuffle.partitions"]) == 192          # waves of tasks win
+    assert int(big["spark.sql.shuffle.partitions"]) == 800 * 1024     # size wins: 2 x 100 TB / 256 MB
+    assert big["spark.sql.files.maxPartitionBytes"] == str(256 * 1024 * 1024)
