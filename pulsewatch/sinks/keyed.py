@@ -56,11 +56,13 @@ def latest_per_key(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> D
 class KeyedTable:
     """A stored table of :class:`schemas.TableSpec` at ``path`` (a shared folder)."""
 
-    def __init__(self, spark: SparkSession, spec: TableSpec, path: str, namespace: str = "pulsewatch"):
+    def __init__(self, spark: SparkSession, spec: TableSpec, path: str, namespace: str = "pulsewatch",
+                 rows_per_file: int = 1_000_000):
         self.spark = spark
         self.spec = spec
         self.path = path.rstrip("/")
         self.namespace = namespace
+        self.rows_per_file = rows_per_file
 
     # -- SNK3 -------------------------------------------------------------
     def ensure(self) -> str:
@@ -86,21 +88,27 @@ class KeyedTable:
         )
 
     def write_batch(self, df: DataFrame, batch_id: int, query_id: str = "batch",
-                    write_time: dt.datetime | None = None) -> None:
+                    write_time: dt.datetime | None = None,
+                    partitions: int | None = None) -> None:
         """Write one batch; re-writing the same (query_id, batch_id) replaces it.
 
         Rows with a null key column are not written (reject them upstream).
+        ``partitions`` (from a row count) range-partitions the rows on
+        (event_date, key) into that many tasks, about one file per task and
+        day; a streaming micro-batch uses it since AQE does not run there.
         """
         target = f"{self.path}/query_id={query_id}/batch_id={int(batch_id)}"
         rows = self._prepared(df, write_time)
-        if self.spec.time_bounded:
+        if partitions is not None and not self.spec.time_bounded:
+            rows = rows.repartitionByRange(partitions, "event_date", *self.spec.key)
+        elif self.spec.time_bounded:
             # At most one row per window: one task, one file per day.
             rows = rows.repartition(1)
         else:
             # REBALANCE: AQE sizes files per day (small days coalesced, large
             # ones split) instead of one file per task and day. A streaming
-            # micro-batch runs without AQE, which drops the hint; there the
-            # files follow the state partitions and `compact` merges them.
+            # micro-batch runs without AQE, which drops the hint; the
+            # foreachBatch sink passes ``partitions`` instead.
             rows = rows.hint("rebalance", "event_date")
         (rows
          .write.mode("overwrite")
@@ -135,12 +143,17 @@ class KeyedTable:
             if "query_id" not in state:
                 state["query_id"] = query_id(batch.sparkSession)
             qid = state["query_id"]
-            if rejects_path is None:
-                self.write_batch(batch, batch_id, qid, write_time)
-                return
+            # Persist once: the row count (which sizes the write), the table
+            # write and the rejects all read the same computed batch.
             batch.persist()
             try:
-                self.write_batch(batch.filter(F.col("status") == "ok"), batch_id, qid, write_time)
+                n = batch.count()
+                parts = max(1, -(-n // self.rows_per_file))
+                if rejects_path is None:
+                    self.write_batch(batch, batch_id, qid, write_time, parts)
+                    return
+                self.write_batch(batch.filter(F.col("status") == "ok"), batch_id, qid,
+                                 write_time, parts)
                 (batch.filter(F.col("status") != "ok")
                  .write.mode("overwrite")
                  .parquet(f"{rejects_path.rstrip('/')}/query_id={qid}/batch_id={int(batch_id)}"))
