@@ -300,7 +300,8 @@ def stream_minutes(spark, sf_dir):
         ckpt = f"{base}/checkpoints/{name}"
         qname = f"{name}_{base.rsplit('-', 1)[-1]}"
         specs.append(StreamSpec(name=qname, df=df, checkpoint=ckpt,
-                                sink=table.foreach_batch(ckpt, query_name=qname)))
+                                sink=table.foreach_batch(ckpt, query_name=qname),
+                                state_partitions=spark.sparkContext.defaultParallelism))
         tables[name] = table
     run_available(specs)
     return union_all(
@@ -331,7 +332,8 @@ def stream_bursts(spark, sf_dir):
     table = KeyedTable(spark, TABLES["metrics_ddos"], f"{base}/metrics_ddos")
     ckpt = f"{base}/checkpoint"
     name = f"bursts_{base.rsplit('-', 1)[-1]}"
-    run_available([StreamSpec(name, plan, ckpt, table.foreach_batch(ckpt, query_name=name))])
+    run_available([StreamSpec(name, plan, ckpt, table.foreach_batch(ckpt, query_name=name),
+                              state_partitions=spark.sparkContext.defaultParallelism)])
     return table.view().select(_ntz("timestamp"), "action_id", "user_id", "count", "dummy_id")
 
 

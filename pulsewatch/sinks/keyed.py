@@ -143,11 +143,18 @@ class KeyedTable:
             if "query_id" not in state:
                 state["query_id"] = query_id(batch.sparkSession)
             qid = state["query_id"]
+            if rejects_path is None and self.spec.time_bounded:
+                # One task, one file per day: no sizing needed.
+                self.write_batch(batch, batch_id, qid, write_time)
+                return
             # Persist once: the row count (which sizes the write), the table
-            # write and the rejects all read the same computed batch.
+            # write and the rejects all read the same computed batch. An empty
+            # batch writes nothing; its replay is empty as well.
             batch.persist()
             try:
                 n = batch.count()
+                if n == 0:
+                    return
                 parts = max(1, -(-n // self.rows_per_file))
                 if rejects_path is None:
                     self.write_batch(batch, batch_id, qid, write_time, parts)

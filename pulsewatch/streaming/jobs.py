@@ -39,6 +39,9 @@ class StreamSpec:
 
     ``sink`` is a ``foreachBatch`` function (df, batch_id) or a format name.
     ``trigger`` is a processing-time interval, ``"availableNow"`` or None.
+    ``state_partitions`` sets the number of state-store partitions of a new
+    query (kept in its checkpoint from then on); None keeps the session's
+    ``spark.sql.shuffle.partitions``.
     """
 
     name: str
@@ -48,9 +51,25 @@ class StreamSpec:
     trigger: str | None = None
     output_mode: str = "append"
     options: dict[str, str] = field(default_factory=dict)
+    state_partitions: int | None = None
 
 
 def start(spec: StreamSpec) -> StreamingQuery:
+    """Start one query. The query copies the session's settings when it
+    starts, so ``state_partitions`` is set only around ``start()``."""
+    if spec.state_partitions is None:
+        return _start(spec)
+    conf = spec.df.sparkSession.conf
+    key = "spark.sql.shuffle.partitions"
+    before = conf.get(key)
+    conf.set(key, str(spec.state_partitions))
+    try:
+        return _start(spec)
+    finally:
+        conf.set(key, before)
+
+
+def _start(spec: StreamSpec) -> StreamingQuery:
     w = (spec.df.writeStream.queryName(spec.name)
          .outputMode(spec.output_mode)
          .option("checkpointLocation", spec.checkpoint)
