@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from ..functions.timefn import TEXT_TIMESTAMP_FORMAT
 from ..sinks.text import csv_options
 
 
@@ -17,14 +18,23 @@ def read_csv_extract(
     drop: Sequence[str] = ("Unnamed: 0",),
     header: bool = True,
     multiline: bool = False,
+    timestamp_format: str | None = TEXT_TIMESTAMP_FORMAT,
 ) -> DataFrame:
     """SRC3: read a CSV extract with a declared schema, drop its index column.
 
     Time columns are parsed by the schema (no inference pass over the data).
+    ``timestamp_format`` defaults to the format this package writes; pass
+    None for extracts written elsewhere (e.g. ``yyyy-MM-dd HH:mm:ss`` from
+    pandas), which selects Spark's lenient parser (microseconds kept).
     ``multiline`` is needed only when text fields may hold line breaks; it
     reads each file in one task, so leave it off for large single files.
     """
     opts = csv_options(header=header)
+    if timestamp_format is None:
+        opts.pop("timestampFormat")
+        opts.pop("timestampNTZFormat")
+    else:
+        opts["timestampFormat"] = opts["timestampNTZFormat"] = timestamp_format
     if multiline:
         opts["multiLine"] = "true"
     present = [c for c in drop if c in schema.fieldNames()]

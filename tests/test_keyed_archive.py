@@ -176,3 +176,28 @@ def test_view_of_days_without_fixed_time_filters_after_latest(spark, scratch):
     t.write_batch(moved, 1, "q", W2)
     # The latest row of "a" is on Jan 3, so a view of Jan 2 is empty.
     assert t.view(days=(dt.date(2024, 1, 2), dt.date(2024, 1, 2))).count() == 0
+
+
+def test_reads_a_pandas_extract_and_drops_its_index(spark, scratch):
+    """SRC3: a CSV written with an index column (empty header) and text times."""
+    import os
+
+    import pandas as pd
+
+    os.makedirs(scratch, exist_ok=True)
+    path = f"{scratch}/metrics.csv"
+    pd.DataFrame({
+        "timestamp": ["2024-01-01 00:00:01", "2024-01-01 00:00:02"],
+        "user_id": ["u1", "u2"],
+        "value": [0, 1],
+    }).to_csv(path)
+    schema = StructType([
+        StructField("Unnamed: 0", LongType()),
+        StructField("timestamp", TimestampType()),
+        StructField("user_id", StringType()),
+        StructField("value", LongType()),
+    ])
+    df = read_csv_extract(spark, path, schema, timestamp_format=None)
+    assert df.columns == ["timestamp", "user_id", "value"]
+    assert [tuple(r) for r in df.orderBy("timestamp").collect()] == [
+        (dt.datetime(2024, 1, 1, 0, 0, 1), "u1", 0), (dt.datetime(2024, 1, 1, 0, 0, 2), "u2", 1)]
