@@ -82,3 +82,22 @@ def test_kafka_options_use_reference_defaults():
     opts = kafka_options("broker:9092", "metrics")
     assert opts == {"kafka.bootstrap.servers": "broker:9092", "subscribe": "metrics",
                     "startingOffsets": "latest", "failOnDataLoss": "false"}
+
+
+def test_rocksdb_state_store_runs_the_burst_job(spark, scratch):
+    from pulsewatch.streaming.jobs import ROCKSDB, use_rocksdb
+
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key)
+    use_rocksdb(spark)
+    try:
+        src, ckpt = f"{scratch}/src", f"{scratch}/ckpt"
+        _write_file(spark, src, [1, 2, 3, 30])
+        table = KeyedTable(spark, TABLES["metrics_ddos"], f"{scratch}/ddos")
+        q = run_available([StreamSpec("ddos_rocks", burst_plan(text_stream(spark, src)), ckpt,
+                                      table.foreach_batch(ckpt))])[0]
+        assert spark.conf.get(key) == ROCKSDB
+        assert {r["count"] for r in table.view().collect()} == {3}
+        assert q.lastProgress is not None
+    finally:
+        spark.conf.set(key, before)
