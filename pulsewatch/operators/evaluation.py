@@ -35,6 +35,17 @@ def labels_per_key(truth: DataFrame, predicted: DataFrame, universe: DataFrame,
     return tagged.groupBy(key).agg(F.max("t").alias("y_true"), F.max("p").alias("y_pred"))
 
 
+def labels_from_flags(flags: DataFrame, predicted: DataFrame, key: str = "user_id",
+                      truth_col: str = "y_true") -> DataFrame:
+    """Like :func:`labels_per_key` when the universe already carries the truth
+    flag (one row per key with a 0/1 ``truth_col``): one input instead of two."""
+    tagged = (
+        flags.select(key, F.col(truth_col).cast("int").alias("t"), F.lit(0).alias("p"))
+        .unionByName(predicted.select(key, F.lit(0).alias("t"), F.lit(1).alias("p")))
+    )
+    return tagged.groupBy(key).agg(F.max("t").alias("y_true"), F.max("p").alias("y_pred"))
+
+
 def confusion(labels: DataFrame) -> DataFrame:
     """tp, fp, fn, tn of the positive class, as one row."""
     yt, yp = F.col("y_true") == 1, F.col("y_pred") == 1

@@ -26,7 +26,7 @@ from ..operators.ordering import newest_first, union_all
 from ..operators.pairing import positional_pair
 from ..operators.partitioning import spread
 from ..operators.rolling import attackers, rolling_count
-from ..operators.evaluation import classification_report
+from ..operators.evaluation import confusion, labels_from_flags, report_from_confusion
 from ..schemas import EVENTS, EVENTS_WIRE, METRICS, TABLES, TableSpec, action_id, events_as_metrics
 from ..session import scratch_path
 from ..sinks.archive import archive_day, archive_range, month_ago_date
@@ -120,11 +120,13 @@ def _attackers(frame: str, threshold: int) -> Query:
 
 def detector_report(spark, sf_dir):
     ev = read_events(spark, sf_dir)
-    truth = (ev.filter(F.col("event_type") == "error").groupBy("user_id").count()
-             .filter(F.col("count") >= ERROR_TRUTH_MIN).select("user_id"))
+    # One per-user aggregate gives both the universe and the labelled truth
+    # (users with at least ERROR_TRUTH_MIN error events).
+    flags = ev.groupBy("user_id").agg(
+        (F.count(F.when(F.col("event_type") == "error", 1)) >= ERROR_TRUTH_MIN).alias("y_true"))
     flagged = attackers(ev.select("user_id", "ts", "value"), DAY_FRAME, DAY_THRESHOLD,
                         "user_id", "ts", "value", sort=False)
-    return classification_report(truth, flagged.select("user_id"), ev.select("user_id"), "user_id")
+    return report_from_confusion(confusion(labels_from_flags(flags, flagged, "user_id")))
 
 
 # --- pairing ------------------------------------------------------------------

@@ -70,3 +70,16 @@ def test_report_matches_sklearn_formulas(spark):
     assert rep["0"]["f1_score"] == round(f0, 6) and rep["1"]["f1_score"] == round(f1, 6)
     assert rep["weighted avg"]["f1_score"] == round((f0 * 5 + f1 * 5) / 10, 6)
     assert rep["accuracy"]["f1_score"] == 0.7
+
+
+def test_labels_from_flags_equals_three_input_form(spark):
+    from pulsewatch.operators.evaluation import (confusion, labels_from_flags,
+                                                 labels_per_key)
+
+    flags = spark.createDataFrame([("a", True), ("b", False), ("c", True), ("d", False)],
+                                  "user_id string, y_true boolean")
+    pred = spark.createDataFrame([("a",), ("b",)], "user_id string")
+    one = confusion(labels_from_flags(flags, pred)).first().asDict()
+    truth = flags.filter("y_true").select("user_id")
+    three = confusion(labels_per_key(truth, pred, flags.select("user_id"))).first().asDict()
+    assert one == three == {"tp": 1, "fp": 1, "fn": 1, "tn": 1}
