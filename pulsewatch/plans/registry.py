@@ -204,6 +204,19 @@ def keyed_upsert(spark, sf_dir):
     return table.view()
 
 
+def catalog_table(spark, sf_dir):
+    """SNK3 + SRC2: create the namespace and a keyed table over a fresh
+    location if absent, write the events as one batch, read them back
+    through the catalog."""
+    base = scratch_path(spark, "catalog")
+    spec = TableSpec(f"events_{base.rsplit('-', 1)[-1]}", EVENTS, ("event_id",), time_column="ts",
+                     key_fixes_time=True)
+    table = KeyedTable(spark, spec, f"{base}/table")
+    table.ensure()
+    table.write_batch(read_events(spark, sf_dir), 0, "q", UPSERT_FIRST)
+    return spark.table(table.refresh()).select(*EVENT_COLS)
+
+
 def ddos_table(spark, sf_dir):
     bursts = agg.burst_counts(_metrics(spark, sf_dir), "1 hour")
     table = KeyedTable(spark, TABLES["metrics_ddos"], scratch_path(spark, "metrics_ddos"))
@@ -359,6 +372,7 @@ QUERIES: dict[str, Query] = {
     "latest_per_key": latest_per_key_q,
     "keyed_upsert": keyed_upsert,
     "ddos_table": ddos_table,
+    "catalog_table": catalog_table,
     "retention": retention,
     "archive_day": archive_day_q,
     "archive_range": archive_range_q,
@@ -544,6 +558,7 @@ SQL: dict[str, str] = {
         "ORDER BY ts DESC, event_id DESC LIMIT 10"
     ),
     "union_batches": "SELECT * FROM events",
+    "catalog_table": "SELECT * FROM events",
     "saved_batches": "SELECT * FROM events",
     "csv_extract": "SELECT * FROM events",
     "panel_series": (

@@ -76,6 +76,14 @@ class KeyedTable:
         )
         return name
 
+    def refresh(self) -> str:
+        """Register batch folders written since :meth:`ensure` with the catalog
+        (``RECOVER PARTITIONS`` lists the folders as a distributed job)."""
+        name = f"{self.namespace}.{self.spec.name}"
+        self.spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+        self.spark.catalog.refreshTable(name)
+        return name
+
     # -- SNK1: log --------------------------------------------------------
     def _prepared(self, df: DataFrame, write_time: dt.datetime | None) -> DataFrame:
         wt = F.lit(write_time).cast("timestamp") if write_time else F.current_timestamp()
