@@ -44,6 +44,12 @@ def _method(method: str, frame_us: int) -> str:
     return method
 
 
+def _usable(df: DataFrame, partition_col: str, time_col: str) -> DataFrame:
+    """Rows with a key and an event time; others belong to no user's frame
+    (``functions.decode.split_decoded`` rejects them upstream)."""
+    return df.filter(F.col(partition_col).isNotNull() & F.col(time_col).isNotNull())
+
+
 def _bucket_of(col: str, bucket_us: int) -> F.Column:
     return F.expr(f"({col} - pmod({col}, {bucket_us})) div {bucket_us}")
 
@@ -136,9 +142,9 @@ def rolling_count(
 ) -> DataFrame:
     """WIN1: per row, count of ``value_col`` over (t - frame, t] per partition.
 
-    Rows with a null event time reach no bucket; reject them upstream
-    (``functions.decode.split_decoded``).
+    Rows with a null key or event time are left out (both methods alike).
     """
+    df = _usable(df, partition_col, time_col)
     w_us = duration_micros(frame)
     if _method(method, w_us) == "prefix":
         # Rows carry their columns on the event side; one scan, one path. The
@@ -185,7 +191,9 @@ def peak_rolling_count(
     Rows are first pre-aggregated to one row per (key, event time) with
     map-side partial aggregation; the rolling sum then runs over those
     counts, which gives the same per-time value (RANGE frames see all peers).
+    Rows with a null key or event time are left out.
     """
+    df = _usable(df, partition_col, time_col)
     w_us = duration_micros(frame)
     if _method(method, w_us) == "prefix":
         b_us = duration_micros(bucket or PREFIX_BUCKET)

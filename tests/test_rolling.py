@@ -100,3 +100,14 @@ def test_window_is_partitioned_by_user_and_bucket(spark):
     df = _frame(spark, [("u", 0, 0)])
     plan = rolling_count(df, "5 seconds")._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(user_id" in plan and "_bucket" in plan.split("hashpartitioning(")[1].split(")")[0]
+
+
+def test_null_key_or_time_is_left_out_by_both_methods(spark):
+    rows = [("u", T0, 0), ("u", T0 + dt.timedelta(seconds=1), 0), (None, T0, 0), ("u", None, 0)]
+    df = spark.createDataFrame(rows, "user_id string, timestamp timestamp, value int")
+    for method in ["halo", "prefix"]:
+        out = sorted(r["rolling_count"] for r in rolling_count(df, "5 seconds", method=method).collect())
+        assert out == [1, 2], method
+        peaks = {r["user_id"]: r["peak_count"]
+                 for r in peak_rolling_count(df, "5 seconds", method=method).collect()}
+        assert peaks == {"u": 2}, method
