@@ -22,21 +22,20 @@ from pyspark.sql import functions as F
 from ..functions.decode import LOSSLESS_JSON, encode_json, split_decoded, valid
 from ..functions.timefn import WIRE_TIMESTAMP_FORMAT, epoch_seconds_to_timestamp
 from ..operators import aggregates as agg
+from ..operators.evaluation import confusion, labels_from_flags, report_from_confusion
 from ..operators.ordering import newest_first, union_all
 from ..operators.pairing import positional_pair
 from ..operators.partitioning import spread
 from ..operators.rolling import attackers, rolling_count
-from ..operators.evaluation import confusion, labels_from_flags, report_from_confusion
 from ..schemas import EVENTS, EVENTS_WIRE, METRICS, TABLES, TableSpec, action_id, events_as_metrics
 from ..session import scratch_path
-from ..sinks.archive import archive_day, archive_range, month_ago_date
+from ..sinks.archive import archive_day, archive_range, month_ago_date, write_extract
 from ..sinks.keyed import KeyedTable, latest_per_key, retained
 from ..sinks.publish import publish_text
 from ..sources.files import read_batches, read_csv_extract
 from ..sources.streams import text_stream
 from ..sources.tables import read_events
 from ..streaming.jobs import StreamSpec, run_available
-from ..sinks.archive import write_extract
 from . import panels
 from .telemetry import burst_plan, views_and_transactions
 
