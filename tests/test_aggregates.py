@@ -62,3 +62,20 @@ def test_spread_only_when_too_few_partitions(spark):
     assert spread(one, 4).rdd.getNumPartitions() == 4
     many = spark.range(100).repartition(6)
     assert spread(many, 4) is many
+
+
+def test_filters(spark):
+    from pulsewatch.operators import filters as flt
+
+    df = spark.createDataFrame(
+        [(T0, "VIEW", 0, 1), (T0 + dt.timedelta(days=1), "BUY", 1, 60), (T0 + dt.timedelta(days=2), None, 1, 51)],
+        "timestamp timestamp, operation_type string, attack int, n long")
+    assert flt.of_kind(df, "VIEW").count() == 1
+    assert flt.of_kinds(df, ["VIEW", "BUY"]).count() == 2
+    assert flt.on_day(df, dt.date(2024, 1, 2)).first()["operation_type"] == "BUY"
+    assert flt.in_days(df, dt.date(2024, 1, 2), dt.date(2024, 1, 3)).count() == 2
+    assert flt.above(df, "n", 50).count() == 2 and flt.above(df, "n", 51).count() == 1
+    assert flt.labelled(df, "attack", 1).count() == 2
+    lo, hi = T0, T0 + dt.timedelta(days=2)
+    assert flt.panel_range(df, "n", None, "timestamp", lo, hi).count() == 1
+    assert flt.panel_range(df, "n", [1, 51], "timestamp", lo, hi).count() == 0
