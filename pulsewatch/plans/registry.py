@@ -351,6 +351,31 @@ def stream_bursts(spark, sf_dir):
     return table.view().select(_ntz("timestamp"), "action_id", "user_id", "count", "dummy_id")
 
 
+def stream_logs(spark, sf_dir):
+    """The reference's log listener end to end: events published as log
+    messages (wire format, whole seconds), the error events' messages made
+    unparsable, the listener stream decodes each message once, upserts valid
+    rows into the logs table (key action_id, id) and sets rejects aside."""
+    from .applications import listener
+
+    base = scratch_path(spark, "stream_logs")
+    ev = spread(read_events(spark, sf_dir))
+    wire = F.to_json(F.struct(
+        F.col("event_id").cast("string").alias("id"),
+        F.col("ts").alias("timestamp"),
+        F.upper("event_type").alias("operation_type"),
+        action_id("props").alias("action_id"),
+        F.col("user_id").cast("string").alias("user_id"),
+    ), {"timestampFormat": WIRE_TIMESTAMP_FORMAT, "timestampNTZFormat": WIRE_TIMESTAMP_FORMAT})
+    text = F.when(F.col("event_type") == "error", F.concat(F.lit("#"), wire)).otherwise(wire)
+    ev.select(text.alias("value")).write.text(f"{base}/topic")
+    specs = listener(spark, "logs", text_stream(spark, f"{base}/topic"), f"{base}/tables",
+                     f"{base}/checkpoints", trigger=None)
+    run_available(specs)
+    view = KeyedTable(spark, TABLES["logs"], f"{base}/tables/logs").view()
+    return view.select(*[_ntz(c) if c == "timestamp" else F.col(c) for c in view.columns])
+
+
 QUERIES: dict[str, Query] = {
     "views_per_minute": views_per_minute,
     "transactions_per_minute": transactions_per_minute,
@@ -384,6 +409,7 @@ QUERIES: dict[str, Query] = {
     "panel_sql": panel_sql,
     "stream_minutes": stream_minutes,
     "stream_bursts": stream_bursts,
+    "stream_logs": stream_logs,
 }
 
 
@@ -572,4 +598,11 @@ SQL: dict[str, str] = {
     ),
     "stream_minutes": _STREAM_SQL,
     "stream_bursts": _STREAM_BURSTS_SQL,
+    "stream_logs": (
+        "SELECT CAST(event_id AS VARCHAR) AS id, date_trunc('second', ts) AS \"timestamp\", "
+        "CAST(NULL AS VARCHAR) AS level, CAST(NULL AS VARCHAR) AS microservice_id, "
+        "upper(event_type) AS operation_type, json_extract_string(props, '$.k') AS action_id, "
+        "CAST(user_id AS VARCHAR) AS user_id, CAST(NULL AS VARCHAR) AS message "
+        "FROM events WHERE event_type <> 'error'"
+    ),
 }
