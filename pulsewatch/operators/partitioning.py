@@ -11,12 +11,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from ..session import default_parallelism
+
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Repartition a batch input that has fewer partitions than cores."""
     if df.isStreaming:
         return df
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    target = min_partitions or default_parallelism(df.sparkSession)
+    try:
+        current = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (remote session): leave as is
+        return df
+    if current >= target:
         return df
     return df.repartition(target)

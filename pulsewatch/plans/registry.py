@@ -28,7 +28,7 @@ from ..operators.pairing import positional_pair
 from ..operators.partitioning import spread
 from ..operators.rolling import attackers, rolling_count
 from ..schemas import EVENTS, EVENTS_WIRE, METRICS, TABLES, TableSpec, action_id, events_as_metrics
-from ..session import scratch_path
+from ..session import default_parallelism, scratch_path
 from ..sinks.archive import archive_day, archive_range, month_ago_date, write_extract
 from ..sinks.keyed import KeyedTable, latest_per_key, retained
 from ..sinks.publish import publish_text
@@ -315,7 +315,7 @@ def stream_minutes(spark, sf_dir):
         qname = f"{name}_{base.rsplit('-', 1)[-1]}"
         specs.append(StreamSpec(name=qname, df=df, checkpoint=ckpt,
                                 sink=table.foreach_batch(ckpt, query_name=qname),
-                                state_partitions=spark.sparkContext.defaultParallelism))
+                                state_partitions=default_parallelism(spark)))
         tables[name] = table
     run_available(specs)
     return union_all(
@@ -347,7 +347,7 @@ def stream_bursts(spark, sf_dir):
     ckpt = f"{base}/checkpoint"
     name = f"bursts_{base.rsplit('-', 1)[-1]}"
     run_available([StreamSpec(name, plan, ckpt, table.foreach_batch(ckpt, query_name=name),
-                              state_partitions=spark.sparkContext.defaultParallelism)])
+                              state_partitions=default_parallelism(spark))])
     return table.view().select(_ntz("timestamp"), "action_id", "user_id", "count", "dummy_id")
 
 

@@ -94,10 +94,22 @@ def apply_runtime_policy(spark: SparkSession) -> None:
         spark.conf.set(key, value)
 
 
+def default_parallelism(spark: SparkSession) -> int:
+    """Cores available to a job (falls back to the shuffle partition count
+    where no SparkContext is reachable, e.g. a remote session)."""
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001 - remote sessions have no SparkContext
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a local one only if unset."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    current = spark.sparkContext.getCheckpointDir()
+    try:
+        current = spark.sparkContext.getCheckpointDir()
+    except Exception:  # noqa: BLE001 - remote session: the server owns the setting
+        return configured or DEFAULT_LOCAL_CHECKPOINT_DIR
     if current:
         # getCheckpointDir adds a per-application child folder.
         return configured or os.path.dirname(current.rstrip("/"))
