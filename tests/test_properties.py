@@ -66,3 +66,32 @@ def test_rank_within_equals_sorted_position(spark, rows, bucket):
         for rn, (_, i) in enumerate(order, start=1):
             want[i] = rn
     assert got == want
+
+
+@SETTINGS
+@given(batches=st.lists(
+    st.lists(st.tuples(st.sampled_from(["k1", "k2", "k3"]), st.integers(0, 9)), min_size=1, max_size=6),
+    min_size=1, max_size=4),
+    replay=st.booleans())
+def test_keyed_view_equals_last_write_per_key(spark, batches, replay):
+    """Latest write wins per key; within one batch the largest value wins
+    (the deterministic tie order); a replayed batch changes nothing."""
+    from pulsewatch.schemas import TableSpec
+    from pulsewatch.session import scratch_path
+    from pulsewatch.sinks.keyed import KeyedTable
+
+    spec = TableSpec("kv", spark.createDataFrame([], "k string, timestamp timestamp, v long").schema,
+                     ("k",), key_fixes_time=True)
+    table = KeyedTable(spark, spec, scratch_path(spark, "prop-keyed"))
+    want = {}
+    for b, rows in enumerate(batches):
+        df = spark.createDataFrame([(k, T0, v) for k, v in rows], "k string, timestamp timestamp, v long")
+        table.write_batch(df, b, "q", T0 + dt.timedelta(minutes=b))
+        for k in {k for k, _ in rows}:
+            want[k] = max(v for k2, v in rows if k2 == k)
+    if replay:
+        rows = batches[0]
+        df = spark.createDataFrame([(k, T0, v) for k, v in rows], "k string, timestamp timestamp, v long")
+        table.write_batch(df, 0, "q", T0)
+    got = {r["k"]: r["v"] for r in table.view().collect()}
+    assert got == want
