@@ -60,3 +60,25 @@ def test_command_line_backfill_and_archive(spark, scratch):
     assert spark.read.parquet(f"{scratch}/tables/logs").count() == wire.count()
     main(["archive", "--as-of", "2024-02-15", "--tables", f"{scratch}/tables", "--out",
           f"{scratch}/archive"])
+
+
+def test_resources_listener_with_rejects(spark, scratch):
+    msgs = [
+        '{"id":"r1","timestamp":"2024-01-01 00:00:01","microservice_id":"s1","cpu":50,"ram":500}',
+        '{"id":"r2","timestamp":"2024-01-01 00:00:02","microservice_id":"s2","cpu":99,"ram":7999}',
+        '{"id":"r1","timestamp":"2024-01-01 00:00:01","microservice_id":"s1","cpu":51,"ram":501}',
+        '{"id":"r3","timestamp":"2024-01-01 00:00:03","cpu":70,"ram":900}',
+        "{broken",
+    ]
+    spark.createDataFrame([(m,) for m in msgs], "value string").coalesce(1).write.text(f"{scratch}/topic")
+    specs = listener(spark, "resources", text_stream(spark, f"{scratch}/topic"),
+                     f"{scratch}/tables", f"{scratch}/ckpt", trigger=None)
+    run_available(specs)
+    from pulsewatch.schemas import TABLES
+    from pulsewatch.sinks.keyed import KeyedTable
+
+    view = {r["id"]: (r["cpu"], r["ram"]) for r in
+            KeyedTable(spark, TABLES["resources"], f"{scratch}/tables/resources").view().collect()}
+    assert view == {"r1": (51, 501), "r2": (99, 7999)}   # same key twice: one row, larger tie wins
+    rejects = sorted(r["status"] for r in spark.read.parquet(f"{scratch}/tables/_rejected/resources").collect())
+    assert rejects == ["malformed", "missing_key"]
