@@ -11,7 +11,9 @@ semantics sit on append-only Parquet:
   not overwrite earlier output.
 * **View.** The latest row per key: one ``max_by`` aggregation whose ordering
   struct is (write_time, query_id, batch_id, then every other column), so the
-  result is deterministic. It is a declarative aggregate, so a hot key is
+  result is deterministic. As in the store, conflicts resolve by write time
+  (the driver's clock at the write); Spark replays only the last uncommitted
+  micro-batch, so a replay never lands after a later batch. It is a declarative aggregate, so a hot key is
   combined map-side before the shuffle.
 * **Retention.** Rows whose ``write_time`` is older than the TTL are filtered
   out of the view; :meth:`KeyedTable.compact` drops them physically by
