@@ -34,10 +34,13 @@ def clustered(df: DataFrame, partition_col: str, order: Sequence[tuple[str, bool
               partitions: int | None = None) -> DataFrame:
     """SRT3 on write: rows of one partition key together, in clustering order.
 
-    A hash repartition on the key plus a sort inside each task; no global sort.
+    Range partitioning on (key, clustering columns) plus a sort inside each
+    task: each output file holds one contiguous run of keys in clustering
+    order, and a hot key spans several tasks instead of one (a hash
+    partition on the key alone would give it a single task).
     """
-    parts = df.repartition(partitions, partition_col) if partitions else df.repartition(partition_col)
     cols = [F.col(partition_col)] + [F.col(c).desc() if d else F.col(c).asc() for c, d in order]
+    parts = df.repartitionByRange(partitions, *cols) if partitions else df.repartitionByRange(*cols)
     return parts.sortWithinPartitions(*cols)
 
 

@@ -201,3 +201,19 @@ def test_reads_a_pandas_extract_and_drops_its_index(spark, scratch):
     assert df.columns == ["timestamp", "user_id", "value"]
     assert [tuple(r) for r in df.orderBy("timestamp").collect()] == [
         (dt.datetime(2024, 1, 1, 0, 0, 1), "u1", 0), (dt.datetime(2024, 1, 1, 0, 0, 2), "u2", 1)]
+
+
+def test_clustered_layout_splits_a_hot_key(spark):
+    from pulsewatch.operators.ordering import clustered
+
+    rows = [("hot", T0 + dt.timedelta(seconds=i), i % 7) for i in range(400)]
+    rows += [(f"u{i}", T0, 1) for i in range(20)]
+    df = spark.createDataFrame(rows, "user_id string, timestamp timestamp, count long")
+    out = clustered(df, "user_id", [("timestamp", True), ("count", True)], partitions=4)
+    parts = out.withColumn("p", F.spark_partition_id()).collect()
+    assert len({r["p"] for r in parts if r["user_id"] == "hot"}) > 1
+    # inside each task: key ascending, then newest first
+    by_part = {}
+    for r in parts:
+        by_part.setdefault(r["p"], []).append((r["user_id"], -r["timestamp"].timestamp(), -r["count"]))
+    assert all(v == sorted(v) for v in by_part.values())
