@@ -83,6 +83,7 @@ def build_session(
     spark = builder.getOrCreate()
     # getOrCreate may hand back a running session; runtime confs still apply.
     apply_runtime_policy(spark)
+    expose_package(spark)
     ensure_checkpoint_dir(spark)
     return spark
 
@@ -94,6 +95,23 @@ def apply_runtime_policy(spark: SparkSession) -> None:
         spark.conf.set(key, value)
 
 
+def expose_package(spark: SparkSession) -> None:
+    """Let Python workers on this machine import this package.
+
+    Only for a local master, where workers see the driver's files; on a
+    cluster ship the package with ``--py-files`` or install it.
+    """
+    try:
+        context = spark.sparkContext
+        local = context.master.startswith("local")
+    except Exception:  # noqa: BLE001 - remote session: the server owns its workers
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    paths = [p for p in context.environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if local and root not in paths:
+        context.environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
 def default_parallelism(spark: SparkSession) -> int:
     """Cores available to a job (falls back to the shuffle partition count
     where no SparkContext is reachable, e.g. a remote session)."""
