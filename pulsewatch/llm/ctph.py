@@ -147,9 +147,9 @@ def likeness(a: str, b: str) -> float:
 
 def fingerprints(df: DataFrame, text: str = "text", out: str = "fingerprint") -> DataFrame:
     """``df`` with the fingerprint of each whole text; no shuffle."""
-    @F.pandas_udf("string")
-    def of(texts):  # noqa: ANN001, ANN202 - a pandas series of texts
-        return texts.map(lambda t: fingerprint(t.encode("utf-8", "surrogatepass")))
+    @F.arrow_udf("string")
+    def of(texts: pa.Array) -> pa.Array:
+        return pa.array([fingerprint(t.encode("utf-8", "surrogatepass")) for t in texts.to_pylist()], pa.string())
 
     return df.withColumn(out, of(text_or_empty(text)))
 

@@ -5,16 +5,36 @@ Each query applies its operator, with production parameters, to its whole table.
 
 from __future__ import annotations
 
+from . import packing, toxicity
 from .common import table
 from .ctph import compare_with_next
 
 
+def tokenizer_path() -> str:
+    """The vocabulary file of the packing queries (a parameter of the operator)."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def op2_ctph(spark, sf_dir):
     return compare_with_next(table(spark, sf_dir, "documents"))
 
 
+def op4_toxicity(spark, sf_dir):
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    scored = toxicity.toxicity(docs.select("doc_id", "text"), docs, labels)
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
+def op6_packing(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"), packing.Settings(tokenizer_path()))
+
+
 QUERIES = {
     "op2_ctph": op2_ctph,
+    "op4_toxicity": op4_toxicity,
+    "op6_packing": op6_packing,
 }
 
 SQL: dict[str, str] = {}
