@@ -5,7 +5,7 @@ Each query applies its operator, with production parameters, to its whole table.
 
 from __future__ import annotations
 
-from . import packing, toxicity
+from . import decontam, packing, toxicity
 from .common import table
 from .ctph import compare_with_next
 
@@ -31,10 +31,15 @@ def op6_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), packing.Settings(tokenizer_path()))
 
 
+def op8_decontaminate(spark, sf_dir):
+    return decontam.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op2_ctph": op2_ctph,
     "op4_toxicity": op4_toxicity,
     "op6_packing": op6_packing,
+    "op8_decontaminate": op8_decontaminate,
 }
 
 SQL: dict[str, str] = {}
