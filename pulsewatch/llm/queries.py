@@ -5,7 +5,7 @@ Each query applies its operator, with production parameters, to its whole table.
 
 from __future__ import annotations
 
-from . import decontam, packing, toxicity
+from . import decontam, packing, setsketch, toxicity
 from .common import table
 from .ctph import compare_with_next
 
@@ -27,6 +27,10 @@ def op4_toxicity(spark, sf_dir):
     return scored.select("doc_id", "held_out", "score", "predicted")
 
 
+def op5_setsketch(spark, sf_dir):
+    return setsketch.near_duplicates(table(spark, sf_dir, "documents"), setsketch.Settings(shingle=4))
+
+
 def op6_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), packing.Settings(tokenizer_path()))
 
@@ -38,6 +42,7 @@ def op8_decontaminate(spark, sf_dir):
 QUERIES = {
     "op2_ctph": op2_ctph,
     "op4_toxicity": op4_toxicity,
+    "op5_setsketch": op5_setsketch,
     "op6_packing": op6_packing,
     "op8_decontaminate": op8_decontaminate,
 }
