@@ -5,7 +5,7 @@ Each query applies its operator, with production parameters, to its whole table.
 
 from __future__ import annotations
 
-from . import decontam, packing, setsketch, toxicity
+from . import decontam, packing, setsketch, suffix, toxicity
 from .common import table
 from .ctph import compare_with_next
 
@@ -35,6 +35,10 @@ def op6_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), packing.Settings(tokenizer_path()))
 
 
+def op7_suffix_dedup(spark, sf_dir):
+    return suffix.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op8_decontaminate(spark, sf_dir):
     return decontam.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -44,6 +48,7 @@ QUERIES = {
     "op4_toxicity": op4_toxicity,
     "op5_setsketch": op5_setsketch,
     "op6_packing": op6_packing,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op8_decontaminate": op8_decontaminate,
 }
 
