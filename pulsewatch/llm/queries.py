@@ -5,7 +5,10 @@ Each query applies its operator, with production parameters, to its whole table.
 
 from __future__ import annotations
 
-from . import decontam, packing, setsketch, suffix, toxicity
+from pyspark.sql import functions as F
+
+from ..session import scratch_path
+from . import decontam, packing, secrets, setsketch, sql, suffix, toxicity
 from .common import table
 from .ctph import compare_with_next
 
@@ -43,6 +46,16 @@ def op8_decontaminate(spark, sf_dir):
     return decontam.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op10_secret_ledger(spark, sf_dir):
+    ledger = secrets.Ledger(spark, scratch_path(spark, "secret-ledger"))
+    found = secrets.scan(table(spark, sf_dir, "documents"), ledger, path="doc_id")
+    base = F.filter("spans", lambda s: s["rank"] <= len(secrets.BASE_RULES))
+    counts = [F.size(F.filter("spans", lambda s, k=r.kind: s["kind"] == k)).cast("long").alias(f"n_{r.kind}")
+              for r in secrets.BASE_RULES]
+    return found.select("doc_id", *counts, F.sha2(secrets.listed(base), 256).alias("base_sha256"),
+                        secrets.listed(F.col("spans")).alias("spans"))
+
+
 QUERIES = {
     "op2_ctph": op2_ctph,
     "op4_toxicity": op4_toxicity,
@@ -50,6 +63,9 @@ QUERIES = {
     "op6_packing": op6_packing,
     "op7_suffix_dedup": op7_suffix_dedup,
     "op8_decontaminate": op8_decontaminate,
+    "op10_secret_ledger": op10_secret_ledger,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op10_secret_ledger": sql.SECRETS,
+}

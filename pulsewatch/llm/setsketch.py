@@ -297,3 +297,13 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return rows.select("doc_id", "n_shingles", component.alias("component_id"),
                        component.eqNullSafe(F.col("doc_id")).alias("kept"))
+
+
+def representatives(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """``docs`` without the documents that :func:`near_duplicates` does not keep.
+
+    The dropped ids are a narrow table that is hashed; the texts stream past
+    it. Rows that repeat an id stay or go together; null ids stay.
+    """
+    dropped = near_duplicates(docs, settings).filter("NOT kept").select(F.col("doc_id").alias("_dropped")).distinct()
+    return docs.join(dropped.hint("shuffle_hash"), F.col("doc_id") == F.col("_dropped"), "left_anti")

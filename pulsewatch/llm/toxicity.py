@@ -207,3 +207,9 @@ def toxicity(docs: DataFrame, labelled: DataFrame, labels: DataFrame,
     model = fit(labelled, labels, settings)
     return (score(docs.withColumn("held_out", held_out()), model)
             .withColumn("predicted", (F.col("score") >= settings.threshold).cast("int")))
+
+
+def accepted(docs: DataFrame, model: Model, settings: Settings = Settings()) -> DataFrame:
+    """The documents whose score stays under the threshold, columns unchanged."""
+    columns = docs.columns
+    return score(docs, model, out="_toxicity").filter(F.col("_toxicity") < settings.threshold).select(*columns)
