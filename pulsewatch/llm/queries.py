@@ -50,7 +50,7 @@ def op10_secret_ledger(spark, sf_dir):
     ledger = secrets.Ledger(spark, scratch_path(spark, "secret-ledger"))
     found = secrets.scan(table(spark, sf_dir, "documents"), ledger, path="doc_id")
     base = F.filter("spans", lambda s: s["rank"] <= len(secrets.BASE_RULES))
-    counts = [F.size(F.filter("spans", lambda s, k=r.kind: s["kind"] == k)).cast("long").alias(f"n_{r.kind}")
+    counts = [F.size(F.filter(F.col("spans.kind"), secrets.equals(r.kind))).cast("long").alias(f"n_{r.kind}")
               for r in secrets.BASE_RULES]
     return found.select("doc_id", *counts, F.sha2(secrets.listed(base), 256).alias("base_sha256"),
                         secrets.listed(F.col("spans")).alias("spans"))

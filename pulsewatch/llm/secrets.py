@@ -144,6 +144,10 @@ def scan(versions: DataFrame, ledger: Ledger, rules: tuple[Rule, ...] = RULES, p
     return rows.join(ledger.findings(rules), "blob", "left").withColumn("spans", F.coalesce("spans", none))
 
 
+def equals(value: str):  # noqa: ANN201 - a predicate for higher-order functions
+    return lambda x: x == F.lit(value)
+
+
 def listed(spans: Column) -> Column:
     """``kind:start:end`` of each span, comma-joined."""
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
