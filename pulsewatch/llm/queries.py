@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import decontam, packing, secrets, setsketch, sql, suffix, toxicity
+from . import decontam, packing, secrets, setsketch, sql, suffix, toxicity, warc
 from .common import table
 from .ctph import compare_with_next
 
@@ -20,6 +20,12 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_warc(spark, sf_dir):
+    path = scratch_path(spark, "warc")
+    warc.archive_pages(table(spark, sf_dir, "pages"), path)
+    return warc.page_index(warc.read_warc(spark, path, verify=True))
+
+
 def op2_ctph(spark, sf_dir):
     return compare_with_next(table(spark, sf_dir, "documents"))
 
@@ -57,6 +63,7 @@ def op10_secret_ledger(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_warc": op1_warc,
     "op2_ctph": op2_ctph,
     "op4_toxicity": op4_toxicity,
     "op5_setsketch": op5_setsketch,
@@ -67,5 +74,6 @@ QUERIES = {
 }
 
 SQL: dict[str, str] = {
+    "op1_warc": sql.WARC,
     "op10_secret_ledger": sql.SECRETS,
 }

@@ -5,6 +5,20 @@ from __future__ import annotations
 from .secrets import RULES
 
 
+_BASE32 = " || ".join(
+    f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr(h, {i + 1}, 5))::BIGINT >> {shift}) & 31) + 1, 1)"
+    for i in range(0, 40, 5) for shift in (15, 10, 5, 0))
+
+WARC = f"""
+WITH p AS (SELECT page_id, url, encode(coalesce(html, '')) AS b, sha1(coalesce(html, '')) AS h FROM pages),
+k AS (SELECT h, max(page_id) AS kept FROM p GROUP BY h)
+SELECT page_id, octet_length(b)::BIGINT AS payload_bytes, {_BASE32} AS payload_digest,
+       CASE WHEN page_id = kept THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> kept THEN kept END AS refers_to, url
+FROM p JOIN k USING (h)
+"""
+
+
 def _secret_rule(rank: int, kind: str, pattern: str, group: int, least: int) -> str:
     quoted = "'" + pattern.replace("'", "''") + "'"
     return (f"SELECT doc_id, {rank} AS rank, '{kind}' AS kind, {least} AS least, "
