@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import decontam, packing, secrets, setsketch, sql, suffix, toxicity, warc
+from . import decontam, htmltext, packing, pii, secrets, setsketch, sql, suffix, toxicity, warc
 from .common import table
 from .ctph import compare_with_next
 
@@ -30,6 +30,14 @@ def op2_ctph(spark, sf_dir):
     return compare_with_next(table(spark, sf_dir, "documents"))
 
 
+def op3_personal_data(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    found = pii.find(docs, pii.fit(docs))
+    base = F.filter("spans", lambda s: s["base"])
+    return found.select("doc_id", *[pii.count_of(base, kind).alias(f"n_{kind}") for kind in pii.KINDS],
+                        F.sha2(pii.listed(base), 256).alias("base_sha256"), pii.listed(F.col("spans")).alias("spans"))
+
+
 def op4_toxicity(spark, sf_dir):
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     scored = toxicity.toxicity(docs.select("doc_id", "text"), docs, labels)
@@ -52,6 +60,11 @@ def op8_decontaminate(spark, sf_dir):
     return decontam.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op9_main_text(spark, sf_dir):
+    pages = htmltext.with_main_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return pages.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op10_secret_ledger(spark, sf_dir):
     ledger = secrets.Ledger(spark, scratch_path(spark, "secret-ledger"))
     found = secrets.scan(table(spark, sf_dir, "documents"), ledger, path="doc_id")
@@ -65,11 +78,13 @@ def op10_secret_ledger(spark, sf_dir):
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_ctph": op2_ctph,
+    "op3_personal_data": op3_personal_data,
     "op4_toxicity": op4_toxicity,
     "op5_setsketch": op5_setsketch,
     "op6_packing": op6_packing,
     "op7_suffix_dedup": op7_suffix_dedup,
     "op8_decontaminate": op8_decontaminate,
+    "op9_main_text": op9_main_text,
     "op10_secret_ledger": op10_secret_ledger,
 }
 
