@@ -222,7 +222,8 @@ def _finder(shared):  # noqa: ANN001, ANN202 - a broadcast block
             yield pa.array([[dict(zip(("item_id", "edits", "start", "end"), x, strict=True)) for x in sorted(
                 found, key=lambda x: (x[2], x[0] is None, x[0]))] for found in out], pa.list_(_LEAK))
 
-    return leaks
+    # Else the filter that a generator infers would run the function a second time.
+    return leaks.asNondeterministic()
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, settings: Settings = Settings()) -> DataFrame:

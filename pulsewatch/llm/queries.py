@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import decontam, htmltext, packing, pii, secrets, setsketch, sql, suffix, toxicity, warc
+from . import decontam, htmltext, packing, pii, secretscan, setsketch, sql, suffix, toxicity, warc
 from .common import table
 from .ctph import compare_with_next
 
@@ -66,13 +66,13 @@ def op9_main_text(spark, sf_dir):
 
 
 def op10_secret_ledger(spark, sf_dir):
-    ledger = secrets.Ledger(spark, scratch_path(spark, "secret-ledger"))
-    found = secrets.scan(table(spark, sf_dir, "documents"), ledger, path="doc_id")
-    base = F.filter("spans", lambda s: s["rank"] <= len(secrets.BASE_RULES))
-    counts = [F.size(F.filter(F.col("spans.kind"), secrets.equals(r.kind))).cast("long").alias(f"n_{r.kind}")
-              for r in secrets.BASE_RULES]
-    return found.select("doc_id", *counts, F.sha2(secrets.listed(base), 256).alias("base_sha256"),
-                        secrets.listed(F.col("spans")).alias("spans"))
+    ledger = secretscan.Ledger(spark, scratch_path(spark, "secret-ledger"))
+    found = secretscan.scan(table(spark, sf_dir, "documents"), ledger, path="doc_id")
+    base = F.filter("spans", lambda s: s["rank"] <= len(secretscan.BASE_RULES))
+    counts = [F.size(F.filter(F.col("spans.kind"), secretscan.equals(r.kind))).cast("long").alias(f"n_{r.kind}")
+              for r in secretscan.BASE_RULES]
+    return found.select("doc_id", *counts, F.sha2(secretscan.listed(base), 256).alias("base_sha256"),
+                        secretscan.listed(F.col("spans")).alias("spans"))
 
 
 QUERIES = {

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .secrets import RULES
+from .secretscan import RULES
 
 
 _BASE32 = " || ".join(
