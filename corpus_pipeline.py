@@ -24,7 +24,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsewatch.llm import decontam, packing, secrets, setsketch, toxicity
+from pulsewatch.llm import decontam, packing, secretscan, setsketch, toxicity
 from pulsewatch.llm.common import saved, table
 from pulsewatch.llm.queries import tokenizer_path
 from pulsewatch.session import scratch_path
@@ -50,8 +50,8 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, their secrets masked."""
-    ledger = secrets.Ledger(spark, scratch_path(spark, "secret-ledger"))
-    masked = secrets.redacted(docs, ledger)
+    ledger = secretscan.Ledger(spark, scratch_path(spark, "secret-ledger"))
+    masked = secretscan.redacted(docs, ledger)
     if "n_chars" not in docs.columns:
         return masked
     length = F.length("text").cast(docs.schema["n_chars"].dataType)
