@@ -89,6 +89,8 @@ QUERIES = {
 }
 
 SQL: dict[str, str] = {
+    "op5_setsketch": sql.NEAR_DUPLICATES,
+    "op7_suffix_dedup": sql.REPEATS,
     "op1_warc": sql.WARC,
     "op10_secret_ledger": sql.SECRETS,
 }

@@ -43,3 +43,41 @@ SELECT d.doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0
        coalesce(n_hex, 0)::BIGINT AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
 FROM d LEFT JOIN r USING (doc_id)
 """
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+NEAR_DUPLICATES = rf"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(ws) >= 4
+                          THEN list_distinct([array_to_string(ws[i:i + 3], ' ') for i in range(1, len(ws) - 2)])
+                          WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END AS g FROM w),
+n AS (SELECT doc_id, len(g) AS n FROM s),
+u AS (SELECT doc_id, unnest(g) AS g FROM s),
+c AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM u a JOIN u b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT x, y FROM c JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * c >= 80 * (a.n + b.n - c)),
+e AS (SELECT x, y FROM l UNION SELECT y, x FROM l),
+r(id, other) AS (SELECT x, y FROM e UNION SELECT r.id, e.y FROM r JOIN e ON r.other = e.x),
+m AS (SELECT id, least(id, min(other)) AS component FROM r GROUP BY id)
+SELECT n.doc_id, n.n::BIGINT AS n_shingles, coalesce(m.component, n.doc_id) AS component_id,
+       coalesce(m.component, n.doc_id) = n.doc_id AS kept
+FROM n LEFT JOIN m ON m.id = n.doc_id
+"""
+
+REPEATS = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+b AS (SELECT doc_id, x, length(x) // 2 AS n FROM d),
+i AS (SELECT doc_id, x, unnest(range(0, n - 399)) AS a FROM b WHERE n >= 400),
+w AS (SELECT doc_id, a, md5(substr(x, 2 * a + 1, 800)) AS h FROM i),
+k AS (SELECT h FROM w GROUP BY h HAVING count(*) > 1),
+t AS (SELECT doc_id, a, CASE WHEN a <= lag(a) OVER (PARTITION BY doc_id ORDER BY a) + 400 THEN 0 ELSE 1 END AS fresh
+      FROM w WHERE h IN (SELECT h FROM k)),
+g AS (SELECT doc_id, a, sum(fresh) OVER (PARTITION BY doc_id ORDER BY a) AS run FROM t),
+s AS (SELECT doc_id, min(a) AS a, max(a) + 400 AS z FROM g GROUP BY doc_id, run),
+q AS (SELECT s.doc_id, s.a, s.z, coalesce(lag(s.z) OVER (PARTITION BY s.doc_id ORDER BY s.a), 0) AS p FROM s),
+r AS (SELECT q.doc_id, sum(q.z - q.a)::BIGINT AS removed, count(*) AS spans,
+             string_agg(substr(x, 2 * p + 1, 2 * (q.a - p)), '' ORDER BY q.a) AS kept, max(q.z) AS last
+      FROM q JOIN b USING (doc_id) GROUP BY q.doc_id)
+SELECT b.doc_id, b.n::BIGINT AS n_bytes, coalesce(removed, 0)::BIGINT AS n_removed, coalesce(spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(CASE WHEN r.doc_id IS NULL THEN x ELSE kept || substr(x, 2 * last + 1) END)) AS kept_sha256
+FROM b LEFT JOIN r USING (doc_id)
+"""
