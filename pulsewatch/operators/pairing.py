@@ -1,15 +1,16 @@
-"""Positional pairing of two event streams per key (JOI1).
+"""Positional pairing of two event kinds per key (JOI1).
 
-The k-th row of the left side is paired with the k-th row of the right side
-of the same key (order: event time, then a tie-breaking id); surplus rows of
+The k-th row of the left kind is paired with the k-th row of the right kind
+of the same key (order: event time, then tie-breaking ids); surplus rows of
 the longer side are dropped (inner join).
 
-Row numbers per key are computed without putting a key in one task:
-event time is cut into buckets; a row's number is its number inside its
-(key, bucket) plus the row count of the key's earlier buckets. The counts per
-(key, bucket) come from a partial aggregation and are small; the window over
-them holds one row per bucket of a key. The big side is shuffled once, on
-(key, bucket), and the join with the offsets reuses that partitioning.
+Row numbers per key are computed without putting a key in one task: event
+time is cut into buckets; a row's number is its number inside its (key,
+bucket, kind) plus the kind's row count in the key's earlier buckets. The
+rows of both kinds are read and shuffled together, once, on (key, bucket).
+The bucket totals are a partial aggregate of key, time and kind alone; only they are
+windowed by key (one row per key and bucket). Both sides of a pair then meet
+in one aggregation on (key, number), not in a join.
 """
 
 from __future__ import annotations
@@ -21,68 +22,82 @@ from pyspark.sql import functions as F
 
 from ..functions.timefn import duration_micros, to_micros
 
+BUCKET = "1 hour"
+
 
 def rank_within(
     df: DataFrame,
     key: str,
     time_col: str,
     tie_cols: Sequence[str] = (),
-    bucket: str = "1 minute",
+    bucket: str = BUCKET,
     out_col: str = "rn",
+    kind_col: str | None = None,
+    kinds: Sequence = (),
 ) -> DataFrame:
-    """1-based row number per ``key`` ordered by (time, *ties).
+    """1-based row number per ``key`` (and each of ``kinds``) ordered by (time, *ties).
 
     Give ties that make the order total (e.g. a unique id) for a result that
-    is the same on every run and retry.
+    is the same on every run and retry. Rows with a null key or time are left out.
     """
     b_us = duration_micros(bucket)
-    d = df.withColumn("_t", to_micros(time_col)).withColumn(
-        "_b", F.expr(f"(_t - pmod(_t, {b_us})) div {b_us}")
-    )
-    offsets = (
-        d.groupBy(key, "_b")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn(
-            "_off",
-            F.coalesce(
-                F.sum("_n").over(
-                    Window.partitionBy(key).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-                ),
-                F.lit(0),
-            ),
-        )
-        .drop("_n")
-    )
-    local = d.withColumn(
-        "_lrn",
-        F.row_number().over(Window.partitionBy(key, "_b").orderBy("_t", *tie_cols)),
-    )
-    return (
-        local.join(offsets, [key, "_b"])
-        .withColumn(out_col, F.col("_off") + F.col("_lrn"))
-        .drop("_t", "_b", "_off", "_lrn")
-    )
+    d = (df.withColumn("_t", to_micros(time_col))
+         .withColumn("_b", F.expr(f"(_t - pmod(_t, {b_us})) div {b_us}")))
+    by = [kind_col] if kind_col else []
+    local = d.repartition(key, "_b").withColumn(
+        "_lrn", F.row_number().over(Window.partitionBy(key, "_b", *by).orderBy("_t", *tie_cols)))
+    # Per kind one count, so that the totals join on the rows' (key, bucket) partitioning.
+    tests = [F.col(kind_col) == F.lit(k) for k in kinds] if kind_col else [F.lit(True)]
+    earlier = Window.partitionBy(key).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    totals = d.groupBy(key, "_b").agg(*[F.count(F.when(t, 1)).alias(f"_n{i}") for i, t in enumerate(tests)])
+    offsets = totals.select(key, "_b", *[
+        F.coalesce(F.sum(f"_n{i}").over(earlier), F.lit(0)).alias(f"_o{i}") for i in range(len(tests))])
+    offset = F.coalesce(*[F.when(t, F.col(f"_o{i}")) for i, t in enumerate(tests)])
+    return (local.join(offsets, [key, "_b"])
+            .withColumn(out_col, offset + F.col("_lrn"))
+            .select(*df.columns, out_col))
 
 
-def positional_pair(
-    left: DataFrame,
-    right: DataFrame,
+def pair_kinds(
+    df: DataFrame,
+    kind_col: str,
+    left: object,
+    right: object,
     key: str,
     time_col: str,
     tie_cols: Sequence[str] = (),
     left_prefix: str = "left_",
     right_prefix: str = "right_",
-    bucket: str = "1 minute",
+    bucket: str = BUCKET,
 ) -> DataFrame:
-    """JOI1: inner join of the k-th left row with the k-th right row per key.
+    """JOI1: the k-th ``left`` row with the k-th ``right`` row of each key, in one scan.
 
     Output: ``key``, ``rn``, then every other column of each side with its
-    prefix.
+    prefix. Rows with a null key pair with nothing.
     """
-    def side(df: DataFrame, prefix: str) -> DataFrame:
-        ranked = rank_within(df, key, time_col, tie_cols, bucket)
-        return ranked.select(
-            key, "rn", *[F.col(c).alias(prefix + c) for c in df.columns if c != key]
-        )
+    payload = [c for c in df.columns if c not in (key, kind_col)]
+    rows = df.filter(F.col(key).isNotNull() & F.col(kind_col).isin([left, right]))
+    ranked = rank_within(rows, key, time_col, tie_cols, bucket, kind_col=kind_col, kinds=[left, right])
+    row = F.struct(*payload)
+    sides = ranked.groupBy(key, "rn").agg(*[
+        F.max(F.when(F.col(kind_col) == F.lit(kind), row)).alias(name)
+        for kind, name in ((left, "_left"), (right, "_right"))])
+    return sides.filter(F.col("_left").isNotNull() & F.col("_right").isNotNull()).select(
+        key, "rn",
+        *[F.col(f"_left.{c}").alias(left_prefix + c) for c in payload],
+        *[F.col(f"_right.{c}").alias(right_prefix + c) for c in payload])
+
 
-    return side(left, left_prefix).join(side(right, right_prefix), [key, "rn"])
+def positional_pair(
+    left: DataFrame,
+    right: DataFrame,
+    key: str,
+    time_col: str,
+    tie_cols: Sequence[str] = (),
+    left_prefix: str = "left_",
+    right_prefix: str = "right_",
+    bucket: str = BUCKET,
+) -> DataFrame:
+    """JOI1 for two frames with the same columns."""
+    both = left.withColumn("_side", F.lit("left")).unionByName(right.withColumn("_side", F.lit("right")))
+    return pair_kinds(both, "_side", "left", "right", key, time_col, tie_cols, left_prefix, right_prefix, bucket)

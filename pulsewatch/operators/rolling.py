@@ -6,23 +6,15 @@ Spark's RANGE frame counts tied timestamps as peers; the per-tie maximum,
 and so WIN2's user set, is the same.
 
 Skew: partitioning such a window by user alone would put a hot user (an
-attacker may send a third of all rows) in one task. Two exact methods split
-a user by event time instead:
-
-* ``halo`` (short frames): rows are partitioned by (user, bucket of width
-  B >= W). A row at t is also copied into the buckets that cover [t, t + W),
-  so every bucket holds the whole frame of its own rows; copies are counted
-  but not emitted. One shuffle, at most 1 + W/B copies per row; a task holds
-  one user's rows over B + W of event time.
-* ``prefix`` (long frames): count(t - W, t] = C(t) - C(t - W), with C(x) the
-  user's count of rows at or before x. Each (user, time) gets a probe row at
-  t - W; rows and probes are partitioned by (user, small bucket), a running
-  sum inside the bucket plus the sum of the user's earlier buckets (a small
-  aggregate) gives C at both points. A task holds one user's rows over one
-  bucket, whatever W is.
-
-``auto`` takes ``halo`` for frames up to one minute (the reference's 5 s
-frame) and ``prefix`` above.
+attacker may send a third of all rows) in one task. Instead a user is split
+by event time: rows are partitioned by (user, bucket of width B), and a row
+at t is also copied into the next bucket if that bucket's first rows still
+see it, i.e. if it covers part of [t, t + W). Every bucket then holds the
+whole frame of its own rows; copies are counted but not emitted. The cost is
+one scan, one shuffle and about 1 + W / B rows per row; a task holds one
+user's rows over B + W of event time. B is ``bucket``, by default
+:data:`FRAMES_PER_BUCKET` frames: a wider bucket copies fewer rows, a narrower
+one splits a hot user further (never below the frame itself).
 """
 
 from __future__ import annotations
@@ -32,16 +24,7 @@ from pyspark.sql import functions as F
 
 from ..functions.timefn import duration_micros, to_micros
 
-HALO_MAX_FRAME = "1 minute"
-PREFIX_BUCKET = "1 minute"
-
-
-def _method(method: str, frame_us: int) -> str:
-    if method == "auto":
-        return "halo" if frame_us <= duration_micros(HALO_MAX_FRAME) else "prefix"
-    if method not in ("halo", "prefix"):
-        raise ValueError(f"unknown rolling method {method!r}")
-    return method
+FRAMES_PER_BUCKET = 4
 
 
 def _usable(df: DataFrame, partition_col: str, time_col: str) -> DataFrame:
@@ -50,77 +33,12 @@ def _usable(df: DataFrame, partition_col: str, time_col: str) -> DataFrame:
     return df.filter(F.col(partition_col).isNotNull() & F.col(time_col).isNotNull())
 
 
-def _bucket_of(col: str, bucket_us: int) -> F.Column:
-    return F.expr(f"({col} - pmod({col}, {bucket_us})) div {bucket_us}")
-
-
-def _with_probes(df: DataFrame, key: str, frame_us: int, bucket_us: int,
-                 weight: F.Column, payload: list[str] | None = None) -> DataFrame:
-    """Each (``key``, ``_t``) row plus its probe at ``_t`` - W, in one pass.
-
-    Output: key, ``_origin`` (the row's time), ``_pos`` (time to count at),
-    ``_w`` (weight; 0 for probes), ``_probe`` (0/1), ``_b`` (bucket of
-    ``_pos``) and, with ``payload``, ``_row`` (the row's columns; null on probes).
-    """
-    row = [F.struct(*[F.col(c) for c in payload]).alias("_row")] if payload else []
-    none = [F.lit(None).cast(df.select(*row).schema[0].dataType).alias("_row")] if payload else []
-    w = weight.cast("long")
-    both = df.select(
-        key,
-        F.col("_t").alias("_origin"),
-        F.inline(F.array(
-            F.struct(F.col("_t").alias("_pos"), w.alias("_w"), F.lit(0).alias("_probe"), *row),
-            F.struct((F.col("_t") - F.lit(frame_us)).alias("_pos"), F.lit(0).cast("long").alias("_w"),
-                     F.lit(1).alias("_probe"), *none),
-        )),
-    )
-    return both.withColumn("_b", _bucket_of("_pos", bucket_us))
-
-
-def _counted(both: DataFrame, key: str) -> DataFrame:
-    """Add ``_c`` = sum of the key's weights at or before ``_pos``.
-
-    A running sum inside (key, bucket) plus the key's earlier buckets. The
-    bucket totals are a partial aggregate of the same rows (Catalyst reads the
-    needed columns a second time and shuffles only one total per bucket); a
-    window over them holds one row per bucket of a key. Every bucket holding
-    a row or a probe has a total (probes weigh 0), so each probe finds its
-    prefix.
-    """
-    local = both.withColumn(
-        "_c", F.sum("_w").over(Window.partitionBy(key, "_b").orderBy("_pos")
-                               .rangeBetween(Window.unboundedPreceding, 0)))
-    prefix = (
-        both.groupBy(key, "_b").agg(F.sum("_w").alias("_n"))
-        .withColumn("_before", F.coalesce(
-            F.sum("_n").over(Window.partitionBy(key).orderBy("_b")
-                             .rowsBetween(Window.unboundedPreceding, -1)),
-            F.lit(0)))
-        .drop("_n")
-    )
-    return local.join(prefix, [key, "_b"]).withColumn("_c", F.col("_c") + F.col("_before"))
-
-
-def rolling_by_time(
-    per_time: DataFrame,
-    key: str,
-    frame_us: int,
-    bucket_us: int,
-) -> DataFrame:
-    """Prefix method over (``key``, ``_t`` micros, ``_w`` weight) rows.
-
-    Returns (``key``, ``_t``, ``_rolling``): the sum of ``_w`` of the key's
-    rows with time in (_t - W, _t]. Peers (several rows per (key, _t)) share
-    one result.
-    """
-    counted = _counted(_with_probes(per_time, key, frame_us, bucket_us, F.col("_w")), key)
-    return counted.groupBy(key, F.col("_origin").alias("_t")).agg(
-        (F.max(F.when(F.col("_probe") == 0, F.col("_c")))
-         - F.max(F.when(F.col("_probe") == 1, F.col("_c")))).alias("_rolling"))
+def _bucket_width(frame_us: int, bucket: str | None) -> int:
+    return max(frame_us, duration_micros(bucket) if bucket else FRAMES_PER_BUCKET * frame_us)
 
 
 def _bucketed(df: DataFrame, time_col: str, frame_us: int, bucket_us: int) -> DataFrame:
-    """Add ``_t`` (micros), ``_home`` bucket and exploded ``_bucket`` copies."""
+    """Add ``_t`` (micros), ``_home`` bucket and the exploded ``_bucket`` copies."""
     home = F.expr(f"(_t - pmod(_t, {bucket_us})) div {bucket_us}")
     last = F.expr(f"(_t + {frame_us - 1} - pmod(_t + {frame_us - 1}, {bucket_us})) div {bucket_us}")
     return (
@@ -130,6 +48,11 @@ def _bucketed(df: DataFrame, time_col: str, frame_us: int, bucket_us: int) -> Da
     )
 
 
+def _frame(partition_col: str, frame_us: int):
+    return (Window.partitionBy(partition_col, "_bucket").orderBy("_t")
+            .rangeBetween(-(frame_us - 1), 0))
+
+
 def rolling_count(
     df: DataFrame,
     frame: str = "5 seconds",
@@ -138,40 +61,15 @@ def rolling_count(
     value_col: str = "value",
     out_col: str = "rolling_count",
     bucket: str | None = None,
-    method: str = "auto",
 ) -> DataFrame:
     """WIN1: per row, count of ``value_col`` over (t - frame, t] per partition.
 
-    Rows with a null key or event time are left out (both methods alike).
+    Rows with a null key or event time are left out.
     """
-    df = _usable(df, partition_col, time_col)
     w_us = duration_micros(frame)
-    if _method(method, w_us) == "prefix":
-        # Rows carry their columns on the event side; one scan, one path. The
-        # count at t - W comes from the probe of the same (key, t): a window
-        # over (key, t) holds one row time's peers and their probes only.
-        b_us = duration_micros(bucket or PREFIX_BUCKET)
-        payload = [c for c in df.columns if c != partition_col]
-        weight = F.when(F.col(value_col).isNotNull(), 1).otherwise(0)
-        both = _with_probes(df.withColumn("_t", to_micros(time_col)), partition_col,
-                            w_us, b_us, weight, payload)
-        at_probe = F.max(F.when(F.col("_probe") == 1, F.col("_c"))).over(
-            Window.partitionBy(partition_col, "_origin"))
-        joined = (_counted(both, partition_col).withColumn("_c0", at_probe)
-                  .filter(F.col("_probe") == 0))
-        return joined.select(
-            *[F.col(partition_col) if c == partition_col else F.col(f"_row.{c}").alias(c)
-              for c in df.columns],
-            (F.col("_c") - F.col("_c0")).alias(out_col))
-    b_us = max(w_us, duration_micros(bucket) if bucket else w_us)
-    exploded = _bucketed(df, time_col, w_us, b_us)
-    win = (
-        Window.partitionBy(partition_col, "_bucket")
-        .orderBy("_t")
-        .rangeBetween(-(w_us - 1), 0)
-    )
+    exploded = _bucketed(_usable(df, partition_col, time_col), time_col, w_us, _bucket_width(w_us, bucket))
     return (
-        exploded.withColumn(out_col, F.count(value_col).over(win))
+        exploded.withColumn(out_col, F.count(value_col).over(_frame(partition_col, w_us)))
         .filter(F.col("_bucket") == F.col("_home"))
         .drop("_t", "_home", "_bucket")
     )
@@ -184,35 +82,21 @@ def peak_rolling_count(
     time_col: str = "timestamp",
     value_col: str = "value",
     bucket: str | None = None,
-    method: str = "auto",
 ) -> DataFrame:
     """Largest rolling count per partition key: ``<partition_col>``, ``peak_count``.
 
     Rows are first pre-aggregated to one row per (key, event time) with
-    map-side partial aggregation; the rolling sum then runs over those
-    counts, which gives the same per-time value (RANGE frames see all peers).
-    Rows with a null key or event time are left out.
+    map-side partial aggregation, so a burst of equal times travels as one
+    row; the rolling sum then runs over those counts, which gives the same
+    per-time value (RANGE frames see all peers). Rows with a null key or
+    event time are left out.
     """
-    df = _usable(df, partition_col, time_col)
     w_us = duration_micros(frame)
-    if _method(method, w_us) == "prefix":
-        b_us = duration_micros(bucket or PREFIX_BUCKET)
-        per_time = (df.withColumn("_t", to_micros(time_col))
-                    .groupBy(partition_col, "_t").agg(F.count(value_col).alias("_w")))
-        return (rolling_by_time(per_time, partition_col, w_us, b_us)
-                .groupBy(partition_col).agg(F.max("_rolling").alias("peak_count")))
-    b_us = max(w_us, duration_micros(bucket) if bucket else w_us)
-    per_time = df.groupBy(partition_col, F.col(time_col).alias("_ts")).agg(
-        F.count(value_col).alias("_n")
-    )
-    exploded = _bucketed(per_time, "_ts", w_us, b_us)
-    win = (
-        Window.partitionBy(partition_col, "_bucket")
-        .orderBy("_t")
-        .rangeBetween(-(w_us - 1), 0)
-    )
+    per_time = (_usable(df, partition_col, time_col)
+                .groupBy(partition_col, F.col(time_col).alias("_ts")).agg(F.count(value_col).alias("_n")))
+    exploded = _bucketed(per_time, "_ts", w_us, _bucket_width(w_us, bucket))
     return (
-        exploded.withColumn("_rolling", F.sum("_n").over(win))
+        exploded.withColumn("_rolling", F.sum("_n").over(_frame(partition_col, w_us)))
         .filter(F.col("_bucket") == F.col("_home"))
         .groupBy(partition_col)
         .agg(F.max("_rolling").alias("peak_count"))
@@ -228,13 +112,12 @@ def attackers(
     value_col: str = "value",
     bucket: str | None = None,
     sort: bool = True,
-    method: str = "auto",
 ) -> DataFrame:
     """WIN2 (+ FLT4, AGG5): users whose rolling count ever exceeds ``threshold``.
 
     Output: ``<partition_col>``, ``peak_count``, sorted by the key unless
     ``sort`` is False (a consumer that joins or aggregates skips the sort).
     """
-    peaks = peak_rolling_count(df, frame, partition_col, time_col, value_col, bucket, method)
+    peaks = peak_rolling_count(df, frame, partition_col, time_col, value_col, bucket)
     flagged = peaks.filter(F.col("peak_count") > F.lit(threshold))
     return flagged.orderBy(partition_col) if sort else flagged

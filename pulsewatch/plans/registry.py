@@ -24,8 +24,7 @@ from ..functions.timefn import WIRE_TIMESTAMP_FORMAT, epoch_seconds_to_timestamp
 from ..operators import aggregates as agg
 from ..operators.evaluation import confusion, labels_from_flags, report_from_confusion
 from ..operators.ordering import newest_first, union_all
-from ..operators.pairing import positional_pair
-from ..operators.partitioning import spread
+from ..operators.pairing import pair_kinds
 from ..operators.rolling import attackers, rolling_count
 from ..schemas import EVENTS, EVENTS_WIRE, METRICS, TABLES, TableSpec, action_id, events_as_metrics
 from ..session import default_parallelism, scratch_path
@@ -132,21 +131,19 @@ def detector_report(spark, sf_dir):
 
 def paired_events(spark, sf_dir):
     ev = read_events(spark, sf_dir).select("user_id", "event_id", "ts", "event_type")
-    views = ev.filter(F.col("event_type") == "view").drop("event_type")
-    clicks = ev.filter(F.col("event_type") == "click").drop("event_type")
-    return positional_pair(views, clicks, "user_id", "ts", ["event_id"], "view_", "click_")
+    return pair_kinds(ev, "event_type", "view", "click", "user_id", "ts", ["event_id"], "view_", "click_")
 
 
 # --- decode / encode ------------------------------------------------------------
 
 def json_roundtrip(spark, sf_dir):
-    messages = encode_json(spread(read_events(spark, sf_dir)))
+    messages = encode_json(read_events(spark, sf_dir))
     return valid(split_decoded(messages, EVENTS, key=("event_id",), time_col="ts",
                                options=LOSSLESS_JSON))
 
 
 def rejected_rows(spark, sf_dir):
-    ev = spread(read_events(spark, sf_dir))
+    ev = read_events(spark, sf_dir)
     full = F.to_json(F.struct(*[F.col(c) for c in EVENT_COLS]))
     no_key = F.to_json(F.struct(*[F.col(c) for c in EVENT_COLS if c != "event_id"]))
     no_time = F.to_json(F.struct(*[F.col(c) for c in EVENT_COLS if c != "ts"]))
@@ -162,7 +159,7 @@ def rejected_rows(spark, sf_dir):
 
 
 def decode_metrics(spark, sf_dir):
-    ev = spread(read_events(spark, sf_dir))
+    ev = read_events(spark, sf_dir)
     wire = ev.select(
         F.col("event_id").cast("string").alias("id"),
         F.col("ts").alias("timestamp"),
@@ -303,7 +300,7 @@ def stream_minutes(spark, sf_dir):
     """SNK5 -> SRC1 (file forms) -> decode -> 1 min watermark -> AGG1 + AGG2
     -> keyed tables, as two queries over one typed stream, run to completion."""
     base = scratch_path(spark, "stream_minutes")
-    publish_text(spread(read_events(spark, sf_dir)), f"{base}/topic")
+    publish_text(read_events(spark, sf_dir), f"{base}/topic")
     decoded = split_decoded(text_stream(spark, f"{base}/topic"), EVENTS_WIRE,
                             key=("event_id",), time_col="ts", options=LOSSLESS_JSON)
     typed = events_as_metrics(valid(decoded)).withWatermark("timestamp", "1 minute")
@@ -331,7 +328,7 @@ def stream_bursts(spark, sf_dir):
     decode, 5 s watermark, 5 s windows per (user, action), written to the
     burst table under the reference's key (user_id, timestamp, count)."""
     base = scratch_path(spark, "stream_bursts")
-    ev = spread(read_events(spark, sf_dir))
+    ev = read_events(spark, sf_dir)
     wire = ev.select(
         F.col("event_id").cast("string").alias("id"),
         F.col("ts").alias("timestamp"),
@@ -359,7 +356,7 @@ def stream_logs(spark, sf_dir):
     from .applications import listener
 
     base = scratch_path(spark, "stream_logs")
-    ev = spread(read_events(spark, sf_dir))
+    ev = read_events(spark, sf_dir)
     wire = F.to_json(F.struct(
         F.col("event_id").cast("string").alias("id"),
         F.col("ts").alias("timestamp"),

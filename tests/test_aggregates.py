@@ -55,15 +55,6 @@ def test_distinct_sorted(spark):
     assert [r[0] for r in agg.distinct_sorted(df).collect()] == ["a", "b"]
 
 
-def test_spread_only_when_too_few_partitions(spark):
-    from pulsewatch.operators.partitioning import spread
-
-    one = spark.range(100).coalesce(1)
-    assert spread(one, 4).rdd.getNumPartitions() == 4
-    many = spark.range(100).repartition(6)
-    assert spread(many, 4) is many
-
-
 def test_filters(spark):
     from pulsewatch.operators import filters as flt
 

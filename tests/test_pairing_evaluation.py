@@ -36,6 +36,19 @@ def test_rank_within_equals_row_number(spark):
         assert got.count() == ev.count()
 
 
+def test_pairing_reads_rows_once_and_shuffles_them_once(spark):
+    from pulsewatch.operators.pairing import pair_kinds
+
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet").select("user_id", "event_id", "ts", "event_type")
+    out = pair_kinds(ev, "event_type", "view", "click", "user_id", "ts", ["event_id"])
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    final = plan.split("Initial Plan")[0]
+    # One scan of the rows, one of the totals' columns; rows, totals (twice), offsets, pairs.
+    assert final.count("FileScan") == 2
+    assert final.count(" Exchange ") <= 5
+
+
 def _report(spark, truth, pred, universe):
     mk = lambda xs: spark.createDataFrame([(x,) for x in xs], "user_id string")
     rows = classification_report(mk(truth), mk(pred), mk(universe)).collect()

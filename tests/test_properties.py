@@ -38,21 +38,18 @@ def _brute(rows, frame_us):
 @given(rows=rows_st,
        frame=st.sampled_from(["5 seconds", "1 minute", "5 minutes"]),
        bucket=st.sampled_from([None, "1 second", "7 seconds", "1 minute"]))
-def test_rolling_methods_equal_brute_force(spark, rows, frame, bucket):
+def test_rolling_equals_brute_force(spark, rows, frame, bucket):
     from pulsewatch.functions.timefn import duration_micros
 
     df = _frame(spark, rows)
     want = _brute(rows, duration_micros(frame))
-    for method in ["halo", "prefix"]:
-        got = {r["id"]: r["rolling_count"]
-               for r in rolling_count(df, frame, bucket=bucket, method=method).collect()}
-        assert got == want, (method, frame, bucket)
-        peaks = {r["user_id"]: r["peak_count"]
-                 for r in peak_rolling_count(df, frame, bucket=bucket, method=method).collect()}
-        want_peaks = {}
-        for i, (u, _, _) in enumerate(rows):
-            want_peaks[u] = max(want_peaks.get(u, 0), want[i])
-        assert peaks == want_peaks, (method, frame, bucket)
+    got = {r["id"]: r["rolling_count"] for r in rolling_count(df, frame, bucket=bucket).collect()}
+    assert got == want, (frame, bucket)
+    peaks = {r["user_id"]: r["peak_count"] for r in peak_rolling_count(df, frame, bucket=bucket).collect()}
+    want_peaks = {}
+    for i, (u, _, _) in enumerate(rows):
+        want_peaks[u] = max(want_peaks.get(u, 0), want[i])
+    assert peaks == want_peaks, (frame, bucket)
 
 
 @SETTINGS

@@ -51,33 +51,10 @@ def _pandas_rolling(pdf: pd.DataFrame, frame: str) -> dict:
 def test_rolling_matches_brute_force_for_any_bucket(spark):
     ev = spark.read.parquet(f"{SF_SMALL}/events.parquet").select("event_id", "user_id", "ts", "value")
     truth = _pandas_rolling(ev.toPandas(), "1 hour")
-    cases = [("halo", None), ("halo", "2 hours"), ("halo", "1 day"),
-             ("prefix", None), ("prefix", "1 second"), ("prefix", "7 hours")]
-    for method, bucket in cases:
+    for bucket in [None, "1 second", "1 hour", "2 hours", "1 day"]:
         got = {r["event_id"]: r["rolling_count"]
-               for r in rolling_count(ev, "1 hour", "user_id", "ts", bucket=bucket,
-                                      method=method).collect()}
-        assert got == truth, (method, bucket)
-
-
-def test_prefix_equals_halo_on_fixture_and_detector(spark):
-    df = _frame(spark, [("u", s, 0) for s in [0, 0, 1, 4, 5, 9]])
-    for method in ["halo", "prefix"]:
-        out = sorted((r["timestamp"], r["rolling_count"])
-                     for r in rolling_count(df, "5 seconds", method=method).collect())
-        assert [c for _, c in out] == [2, 2, 3, 4, 3, 2], method
-    det = _frame(spark, _detector_rows())
-    for method in ["halo", "prefix"]:
-        peaks = {r["user_id"]: r["peak_count"]
-                 for r in peak_rolling_count(det, "5 seconds", method=method).collect()}
-        assert peaks == {"A": 51, "B": 50, "C": 50, "D": 50}, method
-
-
-def test_prefix_tasks_hold_one_bucket(spark):
-    """The prefix method partitions rows and probes by (user, small bucket)."""
-    df = _frame(spark, [("u", 0, 0)])
-    plan = rolling_count(df, "1 day", method="prefix")._jdf.queryExecution().executedPlan().toString()
-    assert "hashpartitioning(user_id#" in plan and ", _b#" in plan
+               for r in rolling_count(ev, "1 hour", "user_id", "ts", bucket=bucket).collect()}
+        assert got == truth, bucket
 
 
 def test_widening_the_frame_never_lowers_a_count(spark):
@@ -102,12 +79,29 @@ def test_window_is_partitioned_by_user_and_bucket(spark):
     assert "hashpartitioning(user_id" in plan and "_bucket" in plan.split("hashpartitioning(")[1].split(")")[0]
 
 
-def test_null_key_or_time_is_left_out_by_both_methods(spark):
+def test_null_key_or_time_is_left_out(spark):
     rows = [("u", T0, 0), ("u", T0 + dt.timedelta(seconds=1), 0), (None, T0, 0), ("u", None, 0)]
     df = spark.createDataFrame(rows, "user_id string, timestamp timestamp, value int")
-    for method in ["halo", "prefix"]:
-        out = sorted(r["rolling_count"] for r in rolling_count(df, "5 seconds", method=method).collect())
-        assert out == [1, 2], method
-        peaks = {r["user_id"]: r["peak_count"]
-                 for r in peak_rolling_count(df, "5 seconds", method=method).collect()}
-        assert peaks == {"u": 2}, method
+    out = sorted(r["rolling_count"] for r in rolling_count(df, "5 seconds").collect())
+    assert out == [1, 2]
+    assert {r["user_id"]: r["peak_count"] for r in peak_rolling_count(df, "5 seconds").collect()} == {"u": 2}
+
+
+def test_one_user_with_a_third_of_the_rows_in_one_minute(spark):
+    import random
+
+    r = random.Random(5)
+    rows = [("hot", r.uniform(0, 60), 0) for _ in range(300)] + [(f"u{i % 40}", r.uniform(0, 86400), 0) for i in range(600)]
+    df = _frame(spark, rows)
+    want = {}
+    for u, t, _ in rows:
+        n = sum(1 for u2, t2, _ in rows if u2 == u and t - 5 < t2 <= t)
+        want[u] = max(want.get(u, 0), n)
+    got = {x["user_id"]: x["peak_count"] for x in peak_rolling_count(df, "5 seconds").collect()}
+    assert got == want
+
+
+def test_one_scan_and_one_shuffle(spark):
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet").select("event_id", "user_id", "ts", "value")
+    plan = rolling_count(ev, "1 day", "user_id", "ts")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("FileScan") == 1
