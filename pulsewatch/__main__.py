@@ -16,7 +16,7 @@ import argparse
 import datetime as dt
 
 from .plans.applications import archiver, burst_listener, listener, views_listener
-from .session import build_session, ensure_checkpoint_dir
+from .session import build_session, cluster_settings, ensure_checkpoint_dir
 from .sources.streams import subscribe, text_stream
 from .streaming.jobs import run_available, run_together
 
@@ -37,23 +37,33 @@ def _parser() -> argparse.ArgumentParser:
     ls.add_argument("--checkpoints", help="checkpoint root (default: under spark.checkpoint.dir)")
     ls.add_argument("--trigger", default="default", help="processing-time interval")
     ls.add_argument("--available-now", action="store_true")
+    ls.add_argument("--rate", type=int, help="most new files (or Kafka offsets) per micro-batch")
+    _sizing(ls)
     ar = sub.add_parser("archive", help="archive the day one month before --as-of")
     ar.add_argument("--as-of", required=True, type=dt.date.fromisoformat)
     ar.add_argument("--tables", required=True)
     ar.add_argument("--out", required=True)
     ar.add_argument("--format", default="csv")
+    _sizing(ar)
     return p
 
 
+def _sizing(p: argparse.ArgumentParser) -> None:
+    p.add_argument("--input-bytes", type=int, help="size of a run's input, to size splits and shuffles by")
+    p.add_argument("--cores", type=int, default=64, help="executor cores of the run")
+
+
 def main(argv: list[str] | None = None) -> None:
     args = _parser().parse_args(argv)
-    spark = build_session(app_name=f"pulsewatch-{args.command}")
+    extra = cluster_settings(args.input_bytes, args.cores) if args.input_bytes else None
+    spark = build_session(app_name=f"pulsewatch-{args.command}", extra=extra)
     if args.command == "archive":
         for name, path in archiver(spark, args.tables, args.as_of, args.out, args.format).items():
             print(f"{name}: {path}")
         return
-    messages = (subscribe(spark, args.topic, args.kafka, args.starting_offsets)
-                if args.kafka else text_stream(spark, args.files))
+    rate = {"maxOffsetsPerTrigger": str(args.rate)} if args.rate else {}
+    messages = (subscribe(spark, args.topic, args.kafka, args.starting_offsets, **rate)
+                if args.kafka else text_stream(spark, args.files, args.rate))
     ckpts = args.checkpoints or f"{ensure_checkpoint_dir(spark).rstrip('/')}/pulsewatch-jobs"
     trigger = None if args.trigger in ("", "none") else args.trigger
     if args.job == "views":

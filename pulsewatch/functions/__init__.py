@@ -1,9 +1,8 @@
 """Scalar building blocks: decoding, encoding, time and column helpers."""
 
-from .columns import as_double, window_start, with_series_id
+from .columns import as_double
 from .decode import (
     REJECT_STATUSES,
-    as_text,
     decode,
     encode_json,
     parse_json,
@@ -23,7 +22,6 @@ __all__ = [
     "REJECT_STATUSES",
     "TEXT_TIMESTAMP_FORMAT",
     "as_double",
-    "as_text",
     "decode",
     "duration_micros",
     "encode_json",
@@ -34,6 +32,4 @@ __all__ = [
     "rejected",
     "split_decoded",
     "valid",
-    "window_start",
-    "with_series_id",
 ]

@@ -1,21 +1,11 @@
-"""Column helpers: window fields, renames, series ids, casts (PRJ4-6, PRJ8, PRJ11)."""
+"""Column helpers (PRJ11)."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def window_start(window_col: str = "window", alias: str = "timestamp") -> Column:
-    """PRJ4 + PRJ5: the start of a window struct, renamed in the same select."""
-    return F.col(f"{window_col}.start").alias(alias)
-
-
-def with_series_id(df: DataFrame, name: str = "dummy_id", value: str = "1") -> DataFrame:
-    """PRJ6: a constant series id, so that a dashboard panel has an ID column."""
-    return df.withColumn(name, F.lit(value))
-
-
 def as_double(c: Column | str) -> Column:
     """PRJ11: numeric cast used by panel queries."""
     return (F.col(c) if isinstance(c, str) else c).cast("double")

@@ -30,11 +30,6 @@ LOSSLESS_JSON = {
 }
 
 
-def as_text(df: DataFrame, value_col: str = "value") -> DataFrame:
-    """PRJ1: message bytes -> string (a no-op for text sources)."""
-    return df.withColumn(value_col, F.col(value_col).cast("string"))
-
-
 def parse_json(value: Column | str, schema: StructType, options: dict | None = None) -> Column:
     """PRJ2: parse by a fixed schema; unknown fields ignored, missing fields null."""
     col = F.col(value) if isinstance(value, str) else value

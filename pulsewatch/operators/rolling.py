@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.timefn import duration_micros, to_micros
+from .filters import above
 
 FRAMES_PER_BUCKET = 4
 
@@ -119,5 +120,5 @@ def attackers(
     ``sort`` is False (a consumer that joins or aggregates skips the sort).
     """
     peaks = peak_rolling_count(df, frame, partition_col, time_col, value_col, bucket)
-    flagged = peaks.filter(F.col("peak_count") > F.lit(threshold))
+    flagged = above(peaks, "peak_count", threshold)
     return flagged.orderBy(partition_col) if sort else flagged

@@ -17,15 +17,17 @@ shared storage (by default under ``spark.checkpoint.dir``).
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..functions.decode import split_decoded
-from ..schemas import LOGS_WITH_MESSAGE, METRICS, RESOURCES, TABLES
+from ..functions.decode import rejected, split_decoded, valid
+from ..operators.windows import with_watermark
+from ..schemas import LOGS_WITH_MESSAGE, METRICS, RESOURCES, TABLES, TRANSACTION_KINDS
 from ..sinks.keyed import KeyedTable
 from ..streaming.jobs import TRIGGERS, StreamSpec
 from ..sinks.archive import month_ago_date
-from .telemetry import archive_job, burst_plan, typed_metrics, views_and_transactions
+from .telemetry import WIRE_OPTIONS, archive_job, burst_plan, counted, views_and_transactions
 
 _INGEST = {"metrics": METRICS, "logs": LOGS_WITH_MESSAGE, "resources": RESOURCES}
 
@@ -35,54 +37,79 @@ def _table(spark: SparkSession, name: str, table_root: str) -> KeyedTable:
 
 
 def listener(spark: SparkSession, name: str, messages: DataFrame, table_root: str,
-             checkpoint_root: str, trigger: str | None = "default") -> list[StreamSpec]:
+             checkpoint_root: str, trigger: str | None = "default",
+             options: dict[str, str] | None = None) -> list[StreamSpec]:
     """Ingest listener for ``metrics``, ``logs`` or ``resources``.
 
     One decode per message; valid rows upsert into the table, rejected rows
     (malformed, null message, null key, null event time) go to
-    ``{table_root}/_rejected/{name}``.
+    ``{table_root}/_rejected/{name}``. ``options`` default to the wire's time format.
     """
     spec = TABLES[name]
-    decoded = split_decoded(messages, _INGEST[name], key=spec.key)
-    table = _table(spark, name, table_root)
+    decoded = split_decoded(messages, _INGEST[name], key=spec.key,
+                            options=WIRE_OPTIONS if options is None else options)
     ckpt = f"{checkpoint_root.rstrip('/')}/{name}"
     qname = f"{name}_listener"
-    sink = table.foreach_batch(ckpt, query_name=qname,
-                               rejects_path=f"{table_root.rstrip('/')}/_rejected/{name}")
-    return [StreamSpec(qname, decoded, ckpt, sink,
-                       TRIGGERS[name] if trigger == "default" else trigger)]
+    sink = _table(spark, name, table_root).foreach_batch(ckpt, query_name=qname,
+                                                         rejects_path=_rejects(table_root, name))
+    return [StreamSpec(qname, decoded, ckpt, sink, _trigger(trigger, name))]
+
+
+def _rejects(table_root: str, name: str) -> str:
+    return f"{table_root.rstrip('/')}/_rejected/{name}"
+
+
+def _trigger(trigger: str | None, name: str) -> str | None:
+    return TRIGGERS[name] if trigger == "default" else trigger
+
+
+def _aside(decoded: DataFrame, name: str, table_root: str, checkpoint_root: str,
+           trigger: str | None) -> StreamSpec:
+    """A query that keeps the rejected messages of an aggregating job, with status and text."""
+    path = _rejects(table_root, name)
+    return StreamSpec(f"{name}_rejects", rejected(decoded), f"{checkpoint_root.rstrip('/')}/{name}_rejects",
+                      "parquet", trigger, options={"path": path})
 
 
 def views_listener(spark: SparkSession, messages: DataFrame, table_root: str,
-                   checkpoint_root: str, trigger: str | None = "default") -> list[StreamSpec]:
-    """AGG1 + AGG2 over one typed stream, two queries awaited together."""
-    plans = views_and_transactions(typed_metrics(messages, "1 minute"))
-    specs = []
+                   checkpoint_root: str, trigger: str | None = "default",
+                   kinds: Iterable[str] = TRANSACTION_KINDS, suffix: str = "") -> list[StreamSpec]:
+    """AGG1 + AGG2 over one typed stream and the rejects aside, awaited together.
+
+    ``suffix`` keeps query names apart where several run in one session.
+    """
+    decoded = counted(messages)
+    plans = views_and_transactions(with_watermark(valid(decoded), "1 minute"), kinds=kinds)
+    specs = [_aside(decoded, "views", table_root, checkpoint_root, _trigger(trigger, "aggregates"))]
     for name, df in plans.items():
-        ckpt = f"{checkpoint_root.rstrip('/')}/{name}"
-        sink = _table(spark, name, table_root).foreach_batch(ckpt, query_name=name)
-        specs.append(StreamSpec(name, df, ckpt, sink,
-                                TRIGGERS["aggregates"] if trigger == "default" else trigger))
+        ckpt, qname = f"{checkpoint_root.rstrip('/')}/{name}", f"{name}{suffix}"
+        sink = _table(spark, name, table_root).foreach_batch(ckpt, query_name=qname)
+        specs.append(StreamSpec(qname, df, ckpt, sink, _trigger(trigger, "aggregates"), rocksdb=True))
     return specs
 
 
 def burst_listener(spark: SparkSession, messages: DataFrame, table_root: str,
-                   checkpoint_root: str, trigger: str | None = "default") -> list[StreamSpec]:
-    """AGG4: bursts per (user, action, 5 s) into the burst table."""
-    ckpt = f"{checkpoint_root.rstrip('/')}/metrics_ddos"
-    sink = _table(spark, "metrics_ddos", table_root).foreach_batch(ckpt, query_name="bursts")
-    return [StreamSpec("bursts", burst_plan(messages), ckpt, sink,
-                       TRIGGERS["ddos"] if trigger == "default" else trigger)]
+                   checkpoint_root: str, trigger: str | None = "default", suffix: str = "") -> list[StreamSpec]:
+    """AGG4: bursts per (user, action, 5 s) into the burst table, rejects aside.
+
+    State is one counter per open (user, action, window), kept in RocksDB.
+    """
+    ckpt, qname = f"{checkpoint_root.rstrip('/')}/metrics_ddos", f"bursts{suffix}"
+    decoded = counted(messages)
+    sink = _table(spark, "metrics_ddos", table_root).foreach_batch(ckpt, query_name=qname)
+    return [_aside(decoded, "metrics_ddos", table_root, checkpoint_root, _trigger(trigger, "ddos")),
+            StreamSpec(qname, burst_plan(valid(decoded)), ckpt, sink, _trigger(trigger, "ddos"), rocksdb=True)]
 
 
 def archiver(spark: SparkSession, table_root: str, as_of: dt.date, out_base: str,
              fmt: str = "csv", tables: tuple[str, ...] = ("logs", "metrics")) -> dict[str, str]:
-    """SNK4: the day one month before ``as_of`` of each table, from its view.
+    """SNK4: the day one month before ``as_of`` of each table, from its live view.
 
-    The view reads only that day's ``event_date`` folders of the log.
+    Rows expired at the start of ``as_of`` are not archived, as the reference's readers no
+    longer see them. Compact the tables (``KeyedTable.compact``) to keep the read small.
     """
-    day = month_ago_date(as_of)
-    views = {name: _table(spark, name, table_root).view(days=(day, day)) for name in tables}
+    day, now = month_ago_date(as_of), dt.datetime.combine(as_of, dt.time())
+    views = {name: _table(spark, name, table_root).view(as_of=now, days=(day, day)) for name in tables}
     return archive_job(views, as_of, out_base, fmt)
 
 

@@ -9,6 +9,7 @@ spliced into SQL text.
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -50,16 +51,24 @@ def series(
     return rows.select(*cols)
 
 
+_MACRO = re.compile(r"('(?:[^']|'')*'|\"[^\"]*\"|`[^`]*`)|(" + "|".join(map(re.escape, MACROS)) + r")\b")
+
+
 def bind_macros(text: str) -> str:
-    """Replace each macro with a timestamp built from its bound parameter."""
-    for macro, name in MACROS.items():
-        text = text.replace(macro, f"timestamp_millis(:{name})")
-    return text
+    """Replace each macro with a timestamp built from its bound parameter.
+
+    Quoted text is left alone, and so are longer names that start like a macro.
+    """
+    return _MACRO.sub(lambda m: m[1] or f"timestamp_millis(:{MACROS[m[2]]})", text)
 
 
 def panel_sql(spark: SparkSession, text: str, time_from: dt.datetime, time_to: dt.datetime,
-              extra_args: dict | None = None) -> DataFrame:
-    """PNL2: run panel SQL with the time range bound as epoch milliseconds."""
+              extra_args: dict | None = None, **frames: DataFrame) -> DataFrame:
+    """PNL2: run panel SQL with the time range bound as epoch milliseconds.
+
+    ``frames`` name DataFrames that the text uses as ``{name}``; no view of the
+    session is created or replaced.
+    """
     args = {"time_from": epoch_millis(time_from), "time_to": epoch_millis(time_to)}
     args.update(extra_args or {})
-    return spark.sql(bind_macros(text), args=args)
+    return spark.sql(bind_macros(text), args=args, **frames)

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,44 +23,52 @@ from pyspark.sql import functions as F
 from ..functions.decode import LOSSLESS_JSON, encode_json, split_decoded, valid
 from ..functions.timefn import WIRE_TIMESTAMP_FORMAT, epoch_seconds_to_timestamp
 from ..operators import aggregates as agg
+from ..operators.filters import labelled
 from ..operators.evaluation import confusion, labels_from_flags, report_from_confusion
 from ..operators.ordering import newest_first, union_all
 from ..operators.pairing import pair_kinds
 from ..operators.rolling import attackers, rolling_count
-from ..schemas import EVENTS, EVENTS_WIRE, METRICS, TABLES, TableSpec, action_id, events_as_metrics
+from ..schemas import EVENTS, METRICS, TABLES, TableSpec, action_id, events_as_metrics
 from ..session import default_parallelism, scratch_path
 from ..sinks.archive import archive_day, archive_range, month_ago_date, write_extract
-from ..sinks.keyed import KeyedTable, latest_per_key, retained
+from ..sinks.keyed import KeyedTable, latest_per_key
 from ..sinks.publish import publish_text
 from ..sources.files import read_batches, read_csv_extract
 from ..sources.streams import text_stream
 from ..sources.tables import read_events
-from ..streaming.jobs import StreamSpec, run_available
+from ..streaming.jobs import run_available
 from . import panels
-from .telemetry import burst_plan, views_and_transactions
+from .applications import burst_listener, listener, views_listener
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 # Parameters of the driver queries.
 VIEW = "view"
 TRANSACTION_TYPES = ["view", "purchase", "click"]
+STREAM_KINDS = ["VIEW", "PURCHASE", "CLICK"]
 DAY_FRAME, DAY_THRESHOLD = "1 day", 7
 HOUR_FRAME, HOUR_THRESHOLD = "1 hour", 2
 ERROR_TRUTH_MIN = 16
 RETENTION_AS_OF = dt.datetime(2024, 2, 10)
 RETENTION_TTL = 2_640_000
+RETENTION_SPLIT = dt.datetime(2024, 1, 15)
+RETENTION_EARLY, RETENTION_LATE = dt.datetime(2024, 1, 10), dt.datetime(2024, 1, 20)
 ARCHIVE_AS_OF = dt.date(2024, 2, 15)
 ARCHIVE_FIRST, ARCHIVE_LAST = dt.date(2024, 1, 10), dt.date(2024, 1, 12)
 HISTORY_USER = 42
+# Four days of the data take a second: the native 5 s and > 50 then find users.
+NATIVE_SPEED = 345_600
+NATIVE_FRAME, NATIVE_THRESHOLD = "5 seconds", 50
 PANEL_USER = 149
 PANEL_FROM, PANEL_TO = dt.datetime(2024, 1, 5), dt.datetime(2024, 1, 20)
 PANEL_SQL = (
-    "SELECT user_id, count(*) AS n, max(value) AS peak FROM events "
+    "SELECT user_id, count(*) AS n, max(value) AS peak FROM {events} "
     "WHERE ts > $__timeFrom AND ts < $__timeTo GROUP BY user_id"
 )
 BATCH_CUTOFF = dt.datetime(2024, 1, 15)
 UPSERT_FIRST = dt.datetime(2024, 2, 1)
 UPSERT_SECOND = dt.datetime(2024, 2, 2)
+UPSERT_AS_OF = dt.datetime(2024, 2, 3)
 
 EVENT_COLS = [f.name for f in EVENTS.fields]
 
@@ -95,27 +104,42 @@ def burst_counts(spark, sf_dir):
     return agg.burst_counts(_metrics(spark, sf_dir), "1 hour")
 
 
-def burst_counts_5s(spark, sf_dir):
-    return agg.burst_counts(_metrics(spark, sf_dir), "5 seconds")
+# --- rolling counts and the detector ---------------------------------------
 
+def _native(spark, sf_dir: str) -> DataFrame:
+    """The events on a clock that runs NATIVE_SPEED times as fast, in whole
+    microseconds, so that 5 s frames hold dozens of a user's events."""
+    micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    fast = F.expr(f"(_us - pmod(_us, {NATIVE_SPEED})) div {NATIVE_SPEED}")
+    return (read_events(spark, sf_dir).withColumn("_us", micros)
+            .withColumn("ts", F.timestamp_micros(fast).cast("timestamp_ntz")).drop("_us"))
 
-# --- rolling counts and the detector ---------------------------------------
 
-def _rolling(frame: str) -> Query:
+def _rolling(source: Callable[[SparkSession, str], DataFrame], frame: str) -> Query:
     def q(spark, sf_dir):
-        ev = read_events(spark, sf_dir).select("event_id", "user_id", "ts", "value")
+        ev = source(spark, sf_dir).select("event_id", "user_id", "ts", "value")
         return rolling_count(ev, frame, "user_id", "ts", "value").select(
             "event_id", "user_id", "ts", "rolling_count")
     return q
 
 
-def _attackers(frame: str, threshold: int) -> Query:
+def _attackers(source: Callable[[SparkSession, str], DataFrame], frame: str, threshold: int) -> Query:
     def q(spark, sf_dir):
-        ev = read_events(spark, sf_dir).select("user_id", "ts", "value")
+        ev = source(spark, sf_dir).select("user_id", "ts", "value")
         return attackers(ev, frame, threshold, "user_id", "ts", "value")
     return q
 
 
+def burst_counts_native(spark, sf_dir):
+    return agg.burst_counts(events_as_metrics(_native(spark, sf_dir)), "5 seconds")
+
+
+def labelled_errors(spark, sf_dir):
+    """FLT5: rows that carry a given label (here: events labelled as errors)."""
+    ev = read_events(spark, sf_dir).withColumn("attack", (F.col("event_type") == "error").cast("int"))
+    return labelled(ev, "attack", 1)
+
+
 def detector_report(spark, sf_dir):
     ev = read_events(spark, sf_dir)
     # One per-user aggregate gives both the universe and the labelled truth
@@ -189,10 +213,13 @@ def latest_per_key_q(spark, sf_dir):
     return latest_per_key(read_events(spark, sf_dir), ["user_id", "event_type"], ["ts", "event_id"])
 
 
+def _events_by_id(ttl_seconds: int | None = None, name: str = "events_by_id") -> TableSpec:
+    return TableSpec(name, EVENTS, ("event_id",), ttl_seconds=ttl_seconds, time_column="ts")
+
+
 def keyed_upsert(spark, sf_dir):
     ev = read_events(spark, sf_dir)
-    spec = TableSpec("events_by_id", EVENTS, ("event_id",), time_column="ts")
-    table = KeyedTable(spark, spec, scratch_path(spark, "keyed_upsert"))
+    table = KeyedTable(spark, _events_by_id(), scratch_path(spark, "keyed_upsert"))
     table.write_batch(ev, 0, "q", UPSERT_FIRST)
     corrected = ev.filter(F.col("event_type") == "error").withColumn("value", F.col("value") * 2)
     table.write_batch(corrected, 1, "q", UPSERT_SECOND)
@@ -200,28 +227,67 @@ def keyed_upsert(spark, sf_dir):
     return table.view()
 
 
-def catalog_table(spark, sf_dir):
-    """SNK3 + SRC2: create the namespace and a keyed table over a fresh
-    location if absent, write the events as one batch, read them back
-    through the catalog."""
+def compacted_view(spark, sf_dir):
+    """SRT3: write, compact and purge, correct some rows with an earlier clock, read."""
+    ev = read_events(spark, sf_dir)
+    table = KeyedTable(spark, _events_by_id(), scratch_path(spark, "compacted"))
+    table.write_batch(ev, 0, "q", UPSERT_SECOND)
+    table.compact()
+    table.purge()
+    corrected = ev.filter(F.col("event_type") == "error").withColumn("value", F.col("value") * 2)
+    table.write_batch(corrected, 1, "q", UPSERT_FIRST)  # the batch number decides, not the clock
+    return table.view()
+
+
+def catalog_upsert(spark, sf_dir):
+    """SNK3 + SRC2: two writes of one key give one row through the catalog."""
     base = scratch_path(spark, "catalog")
-    spec = TableSpec(f"events_{base.rsplit('-', 1)[-1]}", EVENTS, ("event_id",), time_column="ts",
-                     key_fixes_time=True)
-    table = KeyedTable(spark, spec, f"{base}/table")
-    table.ensure()
-    table.write_batch(read_events(spark, sf_dir), 0, "q", UPSERT_FIRST)
-    return spark.table(table.refresh()).select(*EVENT_COLS)
+    namespace = f"pulsewatch_{base.rsplit('-', 1)[-1]}"
+    table = KeyedTable(spark, _events_by_id(name="events_by_id"), f"{base}/table", namespace)
+    ev = read_events(spark, sf_dir)
+    try:
+        table.ensure()
+        table.write_batch(ev, 0, "q", UPSERT_FIRST)
+        table.write_batch(ev.filter(F.col("event_type") == "error").withColumn("value", F.col("value") * 2),
+                          1, "q", UPSERT_SECOND)
+        spark.table(table.refresh()).write.parquet(f"{base}/read")
+    finally:
+        table.drop()
+        spark.sql(f"DROP DATABASE IF EXISTS {namespace}")
+    return spark.read.schema(EVENTS).parquet(f"{base}/read")
+
+
+def _ddos(key: tuple[str, ...]) -> Query:
+    def q(spark, sf_dir):
+        bursts = agg.burst_counts(_metrics(spark, sf_dir), "1 hour")
+        spec = replace(TABLES["metrics_ddos"], schema=bursts.schema, key=key)
+        table = KeyedTable(spark, spec, scratch_path(spark, "metrics_ddos"))
+        table.write_batch(bursts, 0, "q", UPSERT_FIRST)
+        return table.view(as_of=UPSERT_AS_OF)
+    return q
 
 
-def ddos_table(spark, sf_dir):
-    bursts = agg.burst_counts(_metrics(spark, sf_dir), "1 hour")
-    table = KeyedTable(spark, TABLES["metrics_ddos"], scratch_path(spark, "metrics_ddos"))
-    table.write_batch(bursts, 0, "q", UPSERT_FIRST)
-    return table.view()
+def keyed_retention(spark, sf_dir):
+    """SNK2: each day's events written on that day; a reader sees those younger than the TTL."""
+    ev = read_events(spark, sf_dir)
+    table = KeyedTable(spark, _events_by_id(RETENTION_TTL), scratch_path(spark, "retention"))
+    early = F.coalesce(F.col("ts") < F.lit(RETENTION_SPLIT), F.lit(False))
+    table.write_batch(ev.filter(early), 0, "q", RETENTION_EARLY)
+    table.write_batch(ev.filter(~early), 1, "q", RETENTION_LATE)
+    return table.view(as_of=RETENTION_AS_OF)
 
 
-def retention(spark, sf_dir):
-    return retained(read_events(spark, sf_dir), RETENTION_AS_OF, RETENTION_TTL, "ts")
+def archive_moved_key(spark, sf_dir):
+    """SNK1 -> SNK4: a key re-sent on another day is not in its first day's archive."""
+    ev = read_events(spark, sf_dir)
+    base = scratch_path(spark, "archive_moved")
+    table = KeyedTable(spark, _events_by_id(), f"{base}/table")
+    table.write_batch(ev, 0, "q", UPSERT_FIRST)
+    moved = ev.filter(F.col("event_type") == "error").withColumn("ts", F.col("ts") + F.expr("INTERVAL 1 DAY"))
+    table.write_batch(moved, 1, "q", UPSERT_SECOND)
+    day = month_ago_date(ARCHIVE_AS_OF)
+    path = archive_day(table.view(days=(day, day)), "events", ARCHIVE_AS_OF, f"{base}/archive", "csv", time_col="ts")
+    return read_csv_extract(spark, path, EVENTS, header=False)
 
 
 def archive_day_q(spark, sf_dir):
@@ -231,10 +297,9 @@ def archive_day_q(spark, sf_dir):
 
 
 def archive_table_day(spark, sf_dir):
-    """SNK1 -> SNK4: events stored in a keyed table, then the day one month
-    before ``as_of`` archived from the table's view. The view prunes the log
-    to that day's ``event_date`` folders before de-duplicating."""
-    spec = TableSpec("events_by_id", EVENTS, ("event_id",), time_column="ts", key_fixes_time=True)
+    """SNK1 -> SNK4: the day one month before ``as_of`` archived from a table keyed by
+    (event, time): the key holds the time, so only that day's folders are read."""
+    spec = replace(_events_by_id(), key=("event_id", "ts"))
     base = scratch_path(spark, "archive_table")
     table = KeyedTable(spark, spec, f"{base}/table")
     table.write_batch(read_events(spark, sf_dir), 0, "q", UPSERT_FIRST)
@@ -282,6 +347,24 @@ def csv_extract(spark, sf_dir):
     return read_csv_extract(spark, path, EVENTS)
 
 
+def _noted(spark, sf_dir: str) -> DataFrame:
+    """Events with a free text: line breaks, quotes, backslashes, an empty and a null one."""
+    note = (F.when(F.col("event_type") == "error", F.concat(F.lit('line 1\nline "2", '), F.col("props"), F.lit("\r\n\\n")))
+            .when(F.col("event_type") == "signup", F.lit(""))
+            .when(F.col("event_type") == "view", F.lit("\\N"))
+            .when(F.col("event_type") == "click", F.lit("a\\\nb")))
+    return read_events(spark, sf_dir).select("event_id", "ts", note.alias("note"))
+
+
+def csv_line_breaks(spark, sf_dir):
+    """SNK6 + SNK4 -> SRC3: texts with line breaks, through an extract and an archive."""
+    rows, base = _noted(spark, sf_dir), scratch_path(spark, "breaks")
+    extract = read_csv_extract(spark, write_extract(rows, f"{base}/extract"), rows.schema)
+    path = archive_day(rows, "notes", ARCHIVE_AS_OF, base, "csv", time_col="ts")
+    archived = read_csv_extract(spark, path, rows.schema, header=False)
+    return union_all([extract.withColumn("source", F.lit("extract")), archived.withColumn("source", F.lit("archive"))])
+
+
 # --- panels ---------------------------------------------------------------------
 
 def panel_series(spark, sf_dir):
@@ -290,62 +373,96 @@ def panel_series(spark, sf_dir):
 
 
 def panel_sql(spark, sf_dir):
-    read_events(spark, sf_dir).createOrReplaceTempView("events")
-    return panels.panel_sql(spark, PANEL_SQL, PANEL_FROM, PANEL_TO)
+    return panels.panel_sql(spark, PANEL_SQL, PANEL_FROM, PANEL_TO, events=read_events(spark, sf_dir))
 
 
 # --- streaming ------------------------------------------------------------------
 
+def _wire(ev: DataFrame) -> DataFrame:
+    """Events as metrics messages; those of some types with a bad value or no id."""
+    value = F.when(F.col("event_type") == "click", F.lit("2.7")).otherwise(F.floor("value").cast("string"))
+    return ev.select(
+        F.when(F.col("event_type") != "signup", F.col("event_id").cast("string")).alias("id"),
+        F.col("ts").alias("timestamp"),
+        F.upper("event_type").alias("operation_type"),
+        action_id("props").alias("action_id"),
+        F.col("user_id").cast("string").alias("user_id"),
+        value.alias("value"),
+    )
+
+
+def _publish(ev: DataFrame, path: str) -> None:
+    """A topic of the events' messages, and one unparsable message per error event."""
+    publish_text(_wire(ev), path, timestamp_format=WIRE_TIMESTAMP_FORMAT)
+    broken = ev.filter(F.col("event_type") == "error").select(F.concat(F.lit("#"), F.col("event_id")).alias("value"))
+    broken.write.mode("append").text(path)
+
+
 def stream_minutes(spark, sf_dir):
-    """SNK5 -> SRC1 (file forms) -> decode -> 1 min watermark -> AGG1 + AGG2
-    -> keyed tables, as two queries over one typed stream, run to completion."""
+    """The views listener end to end: messages of which some carry a bad value or no
+    id (all counted) and some cannot be parsed (kept aside), 1 minute
+    watermark, AGG1 + AGG2 into keyed tables; approximate against exact users."""
     base = scratch_path(spark, "stream_minutes")
-    publish_text(read_events(spark, sf_dir), f"{base}/topic")
-    decoded = split_decoded(text_stream(spark, f"{base}/topic"), EVENTS_WIRE,
-                            key=("event_id",), time_col="ts", options=LOSSLESS_JSON)
-    typed = events_as_metrics(valid(decoded)).withWatermark("timestamp", "1 minute")
-    plans = views_and_transactions(typed, "1 minute", TRANSACTION_TYPES, view_kind=VIEW)
-    specs, tables = [], {}
-    for name, df in plans.items():
-        table = KeyedTable(spark, TABLES[name], f"{base}/{name}")
-        ckpt = f"{base}/checkpoints/{name}"
-        qname = f"{name}_{base.rsplit('-', 1)[-1]}"
-        specs.append(StreamSpec(name=qname, df=df, checkpoint=ckpt,
-                                sink=table.foreach_batch(ckpt, query_name=qname),
-                                state_partitions=default_parallelism(spark)))
-        tables[name] = table
-    run_available(specs)
-    return union_all(
-        tables[name].view().select(F.lit(name).alias("metric"), _ntz("timestamp"),
-                                   F.col(name).alias("n"))
-        for name in ("views", "transactions")
-    )
+    ev = read_events(spark, sf_dir)
+    _publish(ev, f"{base}/topic")
+    run_available([replace(spec, state_partitions=default_parallelism(spark)) for spec in views_listener(
+        spark, text_stream(spark, f"{base}/topic"), f"{base}/tables", f"{base}/checkpoints", None,
+        STREAM_KINDS, f"_{base.rsplit('-', 1)[-1]}")])
+    frames = []
+    for name, kinds in (("views", [VIEW]), ("transactions", TRANSACTION_TYPES)):
+        exact = (ev.filter(F.col("event_type").isin(kinds)).groupBy(F.date_trunc("minute", "ts").alias("m"))
+                 .agg(F.count_distinct("user_id").alias("exact")))
+        stored = KeyedTable(spark, TABLES[name], f"{base}/tables/{name}").view(as_of=dt.datetime(2020, 1, 1))
+        near = F.abs(F.col("distinct_users") - F.col("exact")) <= F.greatest(F.lit(1.0), 0.15 * F.col("exact"))
+        frames.append(stored.withColumn("m", F.col("timestamp").cast("timestamp_ntz"))
+                      .join(exact.withColumn("m", F.col("m").cast("timestamp_ntz")), "m")
+                      .select(F.lit(name).alias("metric"), F.col("m").alias("timestamp"), F.col(name).alias("n"),
+                              near.alias("users_within_bound"), "dummy_id"))
+    return union_all(frames)
+
+
+def stream_rejects(spark, sf_dir):
+    """The messages that the views listener set aside, by status."""
+    base = scratch_path(spark, "stream_rejects")
+    _publish(read_events(spark, sf_dir), f"{base}/topic")
+    run_available(views_listener(spark, text_stream(spark, f"{base}/topic"), f"{base}/tables",
+                                 f"{base}/checkpoints", None, STREAM_KINDS, f"_{base.rsplit('-', 1)[-1]}")[:1])
+    aside = spark.read.parquet(f"{base}/tables/_rejected/views")
+    return aside.groupBy("status").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _run_bursts(spark, base: str, max_files: int | None = None) -> KeyedTable:
+    run_available([replace(spec, state_partitions=default_parallelism(spark)) for spec in burst_listener(
+        spark, text_stream(spark, f"{base}/topic", max_files), f"{base}/tables", f"{base}/checkpoints", None,
+        f"_{base.rsplit('-', 1)[-1]}")])
+    return KeyedTable(spark, TABLES["metrics_ddos"], f"{base}/tables/metrics_ddos")
+
+
+def _bursts(table: KeyedTable) -> DataFrame:
+    rows = table.view(as_of=dt.datetime(2020, 1, 1))
+    return rows.select(_ntz("timestamp"), "action_id", "user_id", "count", "dummy_id")
 
 
 def stream_bursts(spark, sf_dir):
-    """The reference's burst job end to end: events published as metrics
-    messages in the wire format (whole seconds), read as a stream, narrow
-    decode, 5 s watermark, 5 s windows per (user, action), written to the
-    burst table under the reference's key (user_id, timestamp, count)."""
+    """The burst listener end to end: wire messages (whole seconds), 5 s watermark,
+    5 s windows per (user, action), into the burst table under the
+    reference's key (user_id, timestamp, count)."""
     base = scratch_path(spark, "stream_bursts")
+    _publish(read_events(spark, sf_dir), f"{base}/topic")
+    return _bursts(_run_bursts(spark, base))
+
+
+def stream_restart(spark, sf_dir):
+    """EVT3-5: the burst listener over two micro-batches, then a restart on the
+    same checkpoint with a late file, whose rows are all behind the watermark."""
+    base = scratch_path(spark, "stream_restart")
     ev = read_events(spark, sf_dir)
-    wire = ev.select(
-        F.col("event_id").cast("string").alias("id"),
-        F.col("ts").alias("timestamp"),
-        F.upper("event_type").alias("operation_type"),
-        action_id("props").alias("action_id"),
-        F.col("user_id").cast("string").alias("user_id"),
-        F.floor("value").cast("int").alias("value"),
-    )
-    publish_text(wire, f"{base}/topic", timestamp_format=WIRE_TIMESTAMP_FORMAT)
-    plan = burst_plan(text_stream(spark, f"{base}/topic"), "5 seconds", "5 seconds",
-                      options={"timestampFormat": WIRE_TIMESTAMP_FORMAT})
-    table = KeyedTable(spark, TABLES["metrics_ddos"], f"{base}/metrics_ddos")
-    ckpt = f"{base}/checkpoint"
-    name = f"bursts_{base.rsplit('-', 1)[-1]}"
-    run_available([StreamSpec(name, plan, ckpt, table.foreach_batch(ckpt, query_name=name),
-                              state_partitions=default_parallelism(spark))])
-    return table.view().select(_ntz("timestamp"), "action_id", "user_id", "count", "dummy_id")
+    publish_text(_wire(ev.filter(_early())).coalesce(1), f"{base}/topic", timestamp_format=WIRE_TIMESTAMP_FORMAT)
+    publish_text(_wire(ev.filter(~_early())).coalesce(1), f"{base}/topic", timestamp_format=WIRE_TIMESTAMP_FORMAT)
+    _run_bursts(spark, base, 1)
+    late = ev.filter(_early())
+    publish_text(_wire(late).coalesce(1), f"{base}/topic", timestamp_format=WIRE_TIMESTAMP_FORMAT)
+    return _bursts(_run_bursts(spark, base, 1))
 
 
 def stream_logs(spark, sf_dir):
@@ -353,8 +470,6 @@ def stream_logs(spark, sf_dir):
     messages (wire format, whole seconds), the error events' messages made
     unparsable, the listener stream decodes each message once, upserts valid
     rows into the logs table (key action_id, id) and sets rejects aside."""
-    from .applications import listener
-
     base = scratch_path(spark, "stream_logs")
     ev = read_events(spark, sf_dir)
     wire = F.to_json(F.struct(
@@ -369,7 +484,7 @@ def stream_logs(spark, sf_dir):
     specs = listener(spark, "logs", text_stream(spark, f"{base}/topic"), f"{base}/tables",
                      f"{base}/checkpoints", trigger=None)
     run_available(specs)
-    view = KeyedTable(spark, TABLES["logs"], f"{base}/tables/logs").view()
+    view = KeyedTable(spark, TABLES["logs"], f"{base}/tables/logs").view(as_of=dt.datetime(2020, 1, 1))
     return view.select(*[_ntz(c) if c == "timestamp" else F.col(c) for c in view.columns])
 
 
@@ -379,11 +494,13 @@ QUERIES: dict[str, Query] = {
     "distinct_users_exact": distinct_users_exact,
     "distinct_users_bounded": distinct_users_bounded,
     "burst_counts": burst_counts,
-    "burst_counts_5s": burst_counts_5s,
-    "rolling_counts": _rolling(DAY_FRAME),
-    "rolling_counts_5s": _rolling("5 seconds"),
-    "attackers_day": _attackers(DAY_FRAME, DAY_THRESHOLD),
-    "attackers_hour": _attackers(HOUR_FRAME, HOUR_THRESHOLD),
+    "burst_counts_native": burst_counts_native,
+    "rolling_counts": _rolling(read_events, DAY_FRAME),
+    "rolling_counts_native": _rolling(_native, NATIVE_FRAME),
+    "attackers_day": _attackers(read_events, DAY_FRAME, DAY_THRESHOLD),
+    "attackers_hour": _attackers(read_events, HOUR_FRAME, HOUR_THRESHOLD),
+    "attackers_native": _attackers(_native, NATIVE_FRAME, NATIVE_THRESHOLD),
+    "labelled_errors": labelled_errors,
     "detector_report": detector_report,
     "paired_events": paired_events,
     "json_roundtrip": json_roundtrip,
@@ -392,20 +509,26 @@ QUERIES: dict[str, Query] = {
     "epoch_time": epoch_time,
     "latest_per_key": latest_per_key_q,
     "keyed_upsert": keyed_upsert,
-    "ddos_table": ddos_table,
-    "catalog_table": catalog_table,
-    "retention": retention,
+    "compacted_view": compacted_view,
+    "ddos_table": _ddos(("user_id", "timestamp", "count")),
+    "ddos_table_by_action": _ddos(("user_id", "timestamp", "count", "action_id")),
+    "catalog_upsert": catalog_upsert,
+    "keyed_retention": keyed_retention,
     "archive_day": archive_day_q,
     "archive_range": archive_range_q,
     "archive_table_day": archive_table_day,
+    "archive_moved_key": archive_moved_key,
     "user_history": user_history,
     "union_batches": union_batches,
     "saved_batches": saved_batches,
     "csv_extract": csv_extract,
+    "csv_line_breaks": csv_line_breaks,
     "panel_series": panel_series,
     "panel_sql": panel_sql,
     "stream_minutes": stream_minutes,
+    "stream_rejects": stream_rejects,
     "stream_bursts": stream_bursts,
+    "stream_restart": stream_restart,
     "stream_logs": stream_logs,
 }
 
@@ -417,25 +540,29 @@ _HOUR_RANGE = "RANGE BETWEEN INTERVAL '3599999999 microseconds' PRECEDING AND CU
 _5S_RANGE = "RANGE BETWEEN INTERVAL '4999999 microseconds' PRECEDING AND CURRENT ROW"
 
 
-def _rolling_sql(frame: str) -> str:
+_NATIVE = ("(SELECT event_id, make_timestamp(CAST(floor(epoch_us(ts) / "
+           f"{NATIVE_SPEED}.0) AS BIGINT)) AS ts, user_id, event_type, value, props FROM events) AS events")
+
+
+def _rolling_sql(frame: str, source: str = "events") -> str:
     return (
         "SELECT event_id, user_id, ts, count(value) OVER "
-        f"(PARTITION BY user_id ORDER BY ts {frame}) AS rolling_count FROM events"
+        f"(PARTITION BY user_id ORDER BY ts {frame}) AS rolling_count FROM {source}"
     )
 
 
-def _attackers_sql(frame: str, threshold: int) -> str:
+def _attackers_sql(frame: str, threshold: int, source: str = "events") -> str:
     return (
-        f"WITH r AS ({_rolling_sql(frame)}) "
+        f"WITH r AS ({_rolling_sql(frame, source)}) "
         "SELECT user_id, max(rolling_count) AS peak_count FROM r GROUP BY user_id "
         f"HAVING max(rolling_count) > {threshold}"
     )
 
 
-def _burst_sql(bucket: str) -> str:
+def _burst_sql(bucket: str, source: str = "events") -> str:
     return (
         f"SELECT {bucket} AS \"timestamp\", json_extract_string(props, '$.k') AS action_id, "
-        "user_id, count(*) AS count, '1' AS dummy_id FROM events GROUP BY ALL"
+        f"user_id, count(*) AS count, '1' AS dummy_id FROM {source} GROUP BY ALL"
     )
 
 
@@ -492,15 +619,22 @@ FROM v JOIN c ON v.user_id = c.user_id AND v.rn = c.rn
 # A filter that does not touch event time is pushed below the watermark, so
 # each query's watermark follows the max event time of its own rows.
 _STREAM_SQL = f"""
-WITH v AS (SELECT date_trunc('minute', ts) AS m, count(*) AS n FROM events
-           WHERE event_type = 'view' GROUP BY 1),
-t AS (SELECT date_trunc('minute', ts) AS m, count(*) AS n FROM events
-      WHERE event_type IN {_TX} GROUP BY 1)
-SELECT 'views' AS metric, m AS "timestamp", n FROM v
-WHERE m + INTERVAL 1 MINUTE <= (SELECT max(ts) FROM events WHERE event_type = 'view') - INTERVAL 1 MINUTE
+WITH e AS (SELECT date_trunc('second', ts) AS t, event_type FROM events),
+v AS (SELECT date_trunc('minute', t) AS m, count(*) AS n FROM e WHERE event_type = 'view' GROUP BY 1),
+t AS (SELECT date_trunc('minute', t) AS m, count(*) AS n FROM e WHERE event_type IN {_TX} GROUP BY 1)
+SELECT 'views' AS metric, m AS "timestamp", n, true AS users_within_bound, '1' AS dummy_id FROM v
+WHERE m + INTERVAL 1 MINUTE <= (SELECT max(t) FROM e WHERE event_type = 'view') - INTERVAL 1 MINUTE
 UNION ALL
-SELECT 'transactions', m, n FROM t
-WHERE m + INTERVAL 1 MINUTE <= (SELECT max(ts) FROM events WHERE event_type IN {_TX}) - INTERVAL 1 MINUTE
+SELECT 'transactions', m, n, true, '1' FROM t
+WHERE m + INTERVAL 1 MINUTE <= (SELECT max(t) FROM e WHERE event_type IN {_TX}) - INTERVAL 1 MINUTE
+"""
+
+_NOTES_SQL = r"""
+WITH n AS (SELECT event_id, ts, CASE event_type
+  WHEN 'error' THEN 'line 1' || chr(10) || 'line "2", ' || props || chr(13) || chr(10) || '\n'
+  WHEN 'signup' THEN '' WHEN 'view' THEN '\N' WHEN 'click' THEN 'a\' || chr(10) || 'b' END AS note FROM events)
+SELECT *, 'extract' AS source FROM n
+UNION ALL SELECT *, 'archive' FROM n WHERE CAST(ts AS DATE) = DATE '2024-01-15'
 """
 
 _STREAM_BURSTS_SQL = """
@@ -532,9 +666,11 @@ SQL: dict[str, str] = {
         "SELECT DISTINCT CAST(ts AS DATE) AS event_date, true AS within_bound FROM events"
     ),
     "burst_counts": _burst_sql("date_trunc('hour', ts)"),
-    "burst_counts_5s": _burst_sql("time_bucket(INTERVAL '5 seconds', ts)"),
+    "burst_counts_native": _burst_sql("time_bucket(INTERVAL '5 seconds', ts)", _NATIVE),
     "rolling_counts": _rolling_sql(_DAY_RANGE),
-    "rolling_counts_5s": _rolling_sql(_5S_RANGE),
+    "rolling_counts_native": _rolling_sql(_5S_RANGE, _NATIVE),
+    "attackers_native": _attackers_sql(_5S_RANGE, NATIVE_THRESHOLD, _NATIVE),
+    "labelled_errors": "SELECT *, 1::INTEGER AS attack FROM events WHERE event_type = 'error'",
     "attackers_day": _attackers_sql(_DAY_RANGE, DAY_THRESHOLD),
     "attackers_hour": _attackers_sql(_HOUR_RANGE, HOUR_THRESHOLD),
     "detector_report": _REPORT_SQL,
@@ -566,9 +702,22 @@ SQL: dict[str, str] = {
         f"WITH b AS ({_HOUR_BURST_SQL}) SELECT * FROM b QUALIFY "
         "row_number() OVER (PARTITION BY user_id, \"timestamp\", count ORDER BY action_id DESC) = 1"
     ),
-    "retention": (
-        "SELECT * FROM events WHERE ts > TIMESTAMP '2024-02-10 00:00:00' - INTERVAL 2640000 SECOND"
+    "ddos_table_by_action": _HOUR_BURST_SQL,
+    "compacted_view": (
+        "SELECT event_id, ts, user_id, event_type, "
+        "CASE WHEN event_type = 'error' THEN value * 2 ELSE value END AS value, props FROM events"
+    ),
+    "keyed_retention": (
+        "SELECT * FROM events WHERE CASE WHEN ts < TIMESTAMP '2024-01-15 00:00:00' "
+        "THEN TIMESTAMP '2024-01-10 00:00:00' ELSE TIMESTAMP '2024-01-20 00:00:00' END "
+        "> TIMESTAMP '2024-02-10 00:00:00' - INTERVAL 2640000 SECOND"
+    ),
+    "archive_moved_key": (
+        "SELECT event_id, t AS ts, user_id, event_type, value, props FROM (SELECT *, "
+        "CASE WHEN event_type = 'error' THEN ts + INTERVAL 1 DAY ELSE ts END AS t FROM events) "
+        "WHERE CAST(t AS DATE) = DATE '2024-01-15'"
     ),
+    "csv_line_breaks": _NOTES_SQL,
     "archive_day": "SELECT * FROM events WHERE CAST(ts AS DATE) = DATE '2024-01-15'",
     "archive_table_day": "SELECT * FROM events WHERE CAST(ts AS DATE) = DATE '2024-01-15'",
     "archive_range": (
@@ -580,7 +729,10 @@ SQL: dict[str, str] = {
         "ORDER BY ts DESC, event_id DESC LIMIT 10"
     ),
     "union_batches": "SELECT * FROM events",
-    "catalog_table": "SELECT * FROM events",
+    "catalog_upsert": (
+        "SELECT event_id, ts, user_id, event_type, "
+        "CASE WHEN event_type = 'error' THEN value * 2 ELSE value END AS value, props FROM events"
+    ),
     "saved_batches": "SELECT * FROM events",
     "csv_extract": "SELECT * FROM events",
     "panel_series": (
@@ -594,7 +746,9 @@ SQL: dict[str, str] = {
         "GROUP BY user_id"
     ),
     "stream_minutes": _STREAM_SQL,
+    "stream_rejects": "SELECT 'malformed' AS status, count(*) AS n FROM events WHERE event_type = 'error' HAVING count(*) > 0",
     "stream_bursts": _STREAM_BURSTS_SQL,
+    "stream_restart": _STREAM_BURSTS_SQL,
     "stream_logs": (
         "SELECT CAST(event_id AS VARCHAR) AS id, date_trunc('second', ts) AS \"timestamp\", "
         "CAST(NULL AS VARCHAR) AS level, CAST(NULL AS VARCHAR) AS microservice_id, "

@@ -1,10 +1,8 @@
 """The reference's jobs as plans over message streams or stored tables.
 
-* :func:`typed_metrics` - SRC1 -> PRJ1-3 (+ reject split) -> EVT1
-* :func:`views_and_transactions` - AGG1 + AGG2 over one typed stream
-* :func:`burst_plan` - the narrow decode + 5 s burst counts (AGG4)
-* :func:`ingest` - decode into a stored table (metrics / logs / resources)
-* :func:`detector` - WIN2 + AGG6 against labelled truth
+* :func:`counted` - SRC1 -> PRJ1-3 (+ reject split) over the counted fields
+* :func:`views_and_transactions` - EVT1 -> AGG1 + AGG2 over one typed stream
+* :func:`burst_plan` - EVT1 -> 5 s burst counts (AGG4)
 * :func:`archive_job` - SNK4 for several tables, one as-of date
 """
 
@@ -14,21 +12,25 @@ import datetime as dt
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from ..functions.decode import split_decoded, valid
+from ..functions.decode import split_decoded
+from ..functions.timefn import WIRE_TIMESTAMP_FORMAT
 from ..operators.aggregates import burst_counts, transactions_per_window, views_per_window
-from ..operators.evaluation import classification_report
-from ..operators.rolling import attackers
 from ..operators.windows import with_watermark
-from ..schemas import METRICS, METRICS_NARROW, TRANSACTION_KINDS
+from ..schemas import COUNTED, TRANSACTION_KINDS
 from ..sinks.archive import archive_day
 
+# The producer's time format, pinned: no fallback parser per row.
+WIRE_OPTIONS = {"timestampFormat": WIRE_TIMESTAMP_FORMAT}
 
-def typed_metrics(messages: DataFrame, delay: str = "1 minute") -> DataFrame:
-    """Valid metrics rows of a message stream, with a watermark."""
-    rows = valid(split_decoded(messages, METRICS))
-    return with_watermark(rows, delay)
+
+def counted(messages: DataFrame, options: dict[str, str] | None = None) -> DataFrame:
+    """Decoded messages with a status, over the fields that the counts use.
+
+    Only a null or unparsable message and a null event time are rejected;
+    no other field can keep a message from being counted.
+    """
+    return split_decoded(messages, COUNTED, key=(), options=WIRE_OPTIONS if options is None else options)
 
 
 def views_and_transactions(typed: DataFrame, width: str = "1 minute",
@@ -42,28 +44,9 @@ def views_and_transactions(typed: DataFrame, width: str = "1 minute",
     }
 
 
-def burst_plan(messages: DataFrame, width: str = "5 seconds", delay: str = "5 seconds",
-               options: dict[str, str] | None = None) -> DataFrame:
-    """AGG4 as the reference's burst job: narrow schema, 5 s watermark and window."""
-    rows = valid(split_decoded(messages, METRICS_NARROW, options=options))
-    return burst_counts(with_watermark(rows.select("timestamp", "action_id", "user_id"), delay), width)
-
-
-def ingest(messages: DataFrame, schema, key=("id",)) -> tuple[DataFrame, DataFrame]:
-    """Decode messages for a stored table: (valid rows, rejected rows)."""
-    decoded = split_decoded(messages, schema, key=key)
-    return valid(decoded), decoded.filter(F.col("status") != "ok")
-
-
-def detector(metrics: DataFrame, truth: DataFrame, frame: str = "5 seconds",
-             threshold: int = 50, key: str = "user_id", bucket: str | None = None) -> dict[str, DataFrame]:
-    """WIN2 then AGG6: flagged users and the report against ``truth`` users."""
-    flagged = attackers(metrics, frame, threshold, key, bucket=bucket, sort=False)
-    universe = metrics.select(key)
-    return {
-        "attackers": flagged,
-        "report": classification_report(truth.select(key), flagged.select(key), universe, key),
-    }
+def burst_plan(typed: DataFrame, width: str = "5 seconds", delay: str = "5 seconds") -> DataFrame:
+    """AGG4 as the reference's burst job: 5 s watermark and window."""
+    return burst_counts(with_watermark(typed.select("timestamp", "action_id", "user_id"), delay), width)
 
 
 def archive_job(tables: dict[str, DataFrame], as_of: dt.date, base: str,

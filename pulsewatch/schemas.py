@@ -60,19 +60,16 @@ RESOURCES = StructType([
     _s("ram", IntegerType()),
 ])
 
-# The burst job reads only these five fields of a metrics message.
-METRICS_NARROW = StructType([
-    _s("id"),
+# What the windowed counts read of a metrics message: a bad value or a missing
+# id does not keep a message from being counted.
+COUNTED = StructType([
     _s("timestamp", TimestampType()),
+    _s("operation_type"),
     _s("action_id"),
     _s("user_id"),
-    _s("value", IntegerType()),
 ])
 
 # Event kinds of the reference's streams.
-LEVELS = ["TRACE", "DEBUG", "ERROR"]
-METRIC_OPERATIONS = ["VIEW", "TRANSACTION", "BUY", "CANCEL", "REFUND"]
-LOG_OPERATIONS = ["VIEW", "BUY", "CANCEL", "REFUND"]
 # "Transactions" count these kinds (TRANSACTION itself is not among them).
 TRANSACTION_KINDS = ["VIEW", "BUY", "CANCEL", "REFUND"]
 
@@ -86,33 +83,15 @@ class TableSpec:
 
     ``key`` columns identify a row: a later write with the same key replaces
     the earlier one. ``order`` is the clustering order inside one key prefix
-    (first key column), as (column, descending) pairs. ``time_bounded`` marks
-    tables whose rows per write are bounded by elapsed time, not by data
-    volume (one row per window of a pre-aggregate); such writes go through
-    one task, giving one file per day. ``key_fixes_time`` says a key's event
-    time never changes between writes (the key holds a unique event id or the
-    time itself), so a view of some days may prune the log by ``event_date``
-    before picking the latest row per key.
+    (first key column), as (column, descending) pairs.
     """
 
     name: str
     schema: StructType
     key: tuple[str, ...]
     order: tuple[tuple[str, bool], ...] = ()
-    partition_by: tuple[str, ...] = ("event_date",)
     ttl_seconds: int | None = TTL_SECONDS
     time_column: str = "timestamp"
-    time_bounded: bool = False
-    key_fixes_time: bool = False
-
-    def ddl_columns(self) -> str:
-        cols = [f"`{f.name}` {f.dataType.simpleString()}" for f in self.schema.fields]
-        extra = {"write_time": "timestamp", "batch_id": "bigint", "query_id": "string"}
-        for name, dtype in extra.items():
-            cols.append(f"`{name}` {dtype}")
-        if "event_date" in self.partition_by:
-            cols.append("`event_date` date")
-        return ", ".join(cols)
 
 
 def _counts(name: str) -> StructType:
@@ -134,19 +113,13 @@ BURSTS = StructType([
 
 # The reference's tables and keys.
 TABLES: dict[str, TableSpec] = {
-    # Every key holds a unique event id or the event time itself.
-    "metrics": TableSpec("metrics", METRICS, ("microservice_id", "operation_type", "id"),
-                         key_fixes_time=True),
-    "logs": TableSpec("logs", LOGS_WITH_MESSAGE, ("action_id", "id"), key_fixes_time=True),
-    "resources": TableSpec("resources", RESOURCES, ("microservice_id", "id"), key_fixes_time=True),
-    "metrics_ddos": TableSpec(
-        "metrics_ddos", BURSTS, ("user_id", "timestamp", "count"),
-        order=(("timestamp", True), ("count", True)), key_fixes_time=True,
-    ),
-    "views": TableSpec("views", _counts("views"), ("timestamp",), time_bounded=True,
-                       key_fixes_time=True),
-    "transactions": TableSpec("transactions", _counts("transactions"), ("timestamp",),
-                              time_bounded=True, key_fixes_time=True),
+    "metrics": TableSpec("metrics", METRICS, ("microservice_id", "operation_type", "id")),
+    "logs": TableSpec("logs", LOGS_WITH_MESSAGE, ("action_id", "id")),
+    "resources": TableSpec("resources", RESOURCES, ("microservice_id", "id")),
+    "metrics_ddos": TableSpec("metrics_ddos", BURSTS, ("user_id", "timestamp", "count"),
+                              order=(("timestamp", True), ("count", True))),
+    "views": TableSpec("views", _counts("views"), ("timestamp",)),
+    "transactions": TableSpec("transactions", _counts("transactions"), ("timestamp",)),
 }
 
 

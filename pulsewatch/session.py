@@ -10,15 +10,17 @@ side only after its shuffle stage has run and its measured size is under the
 threshold.
 
 Scratch output (archives written and read back, keyed tables of a test run,
-stream checkpoints) lives under the shared folder the cluster names in
-``spark.checkpoint.dir``; a default is set only when the session has none,
-as in local tests.
+stream checkpoints, stage results) lives under the shared folder the cluster
+names in ``spark.checkpoint.dir``. Only a local master, whose tasks share the
+driver's disk, gets a default; elsewhere the setting is required. Each application writes below its own
+folder, which :func:`drop_scratch` deletes once its results are consumed.
 """
 
 from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
 
@@ -32,25 +34,22 @@ BROADCAST_POLICY = {
 
 
 def cluster_settings(input_bytes: int, total_cores: int,
-                     partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+                     split_bytes: int = 512 << 20, shuffle_bytes: int = 2 << 30) -> dict[str, str]:
     """Sizes for a job reading ``input_bytes`` on ``total_cores`` cores.
 
-    Input splits and shuffle partitions aim at ``partition_bytes`` each, so a
-    task's data fits executor memory and spills rarely. The shuffle starts
-    with at least one partition per target size of input (the largest
-    shuffle here is at most about twice the input: rows plus probes or halo
-    copies) and at least three waves of tasks; AQE then coalesces small
-    partitions to the advisory size and splits skewed ones. Example: 100 TB
-    on 1000 executors x 8 cores gives about 800,000 shuffle partitions
-    before coalescing, each about 256 MB.
+    The driver tracks one entry per map task and shuffle partition, so both
+    numbers are kept down: scans split at ``split_bytes`` and a shuffle
+    starts with one partition per ``shuffle_bytes`` of input, at least three waves of tasks. Sorts and
+    aggregates of such a partition spill to local disk; AQE coalesces what
+    turns out small and splits skewed partitions. Example: 100 TB on 1000
+    executors x 8 cores reads in about 200,000 tasks and shuffles into about 50,000
+    partitions.
     """
-    waves = 3 * total_cores
-    by_size = -(-2 * input_bytes // partition_bytes)
     return {
-        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
-        "spark.sql.shuffle.partitions": str(max(waves, by_size)),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(split_bytes),
+        "spark.sql.shuffle.partitions": str(max(3 * total_cores, -(-input_bytes // shuffle_bytes))),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(split_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * shuffle_bytes),
     }
 
 
@@ -81,7 +80,6 @@ def build_session(
     for key, value in conf.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
-    # getOrCreate may hand back a running session; runtime confs still apply.
     apply_runtime_policy(spark)
     expose_package(spark)
     ensure_checkpoint_dir(spark)
@@ -89,10 +87,11 @@ def build_session(
 
 
 def apply_runtime_policy(spark: SparkSession) -> None:
-    """Runtime SQL settings every plan here relies on (safe on any session)."""
+    """The one setting every plan here relies on: event time is compared in UTC.
+
+    Broadcast settings of a session made elsewhere stay as they are.
+    """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    for key, value in BROADCAST_POLICY.items():
-        spark.conf.set(key, value)
 
 
 def expose_package(spark: SparkSession) -> None:
@@ -122,21 +121,46 @@ def default_parallelism(spark: SparkSession) -> int:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, setting a local one only if unset."""
+    """Return the shared checkpoint folder; only a local master gets a default."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     try:
-        current = spark.sparkContext.getCheckpointDir()
+        context = spark.sparkContext
+        current = context.getCheckpointDir()
     except Exception:  # noqa: BLE001 - remote session: the server owns the setting
-        return configured or DEFAULT_LOCAL_CHECKPOINT_DIR
+        if not configured:
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share") from None
+        return configured
     if current:
         # getCheckpointDir adds a per-application child folder.
         return configured or os.path.dirname(current.rstrip("/"))
+    if not configured and not context.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     base = configured or DEFAULT_LOCAL_CHECKPOINT_DIR
-    spark.sparkContext.setCheckpointDir(base)
+    context.setCheckpointDir(base)
     return base
 
 
+def _scratch_root(spark: SparkSession) -> str:
+    try:
+        app = spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001 - remote session
+        app = "remote"
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/pulsewatch/{app}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint dir."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/pulsewatch/{name}-{uuid.uuid4().hex}"
+    return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete this application's scratch folders; call it after the last result is consumed."""
+    delete_folders(spark, [_scratch_root(spark)])
+
+
+def delete_folders(spark: SparkSession, paths: Sequence[str]) -> None:
+    """Remove folders through the file system that Spark uses."""
+    jvm, conf = spark._jvm, spark._jsparkSession.sessionState().newHadoopConf()
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(conf).delete(path, True)

@@ -12,10 +12,10 @@ import calendar
 import datetime as dt
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ..functions.timefn import event_date, month_ago
-from .text import csv_options
+from ..operators.filters import in_days, on_day
+from .text import csv_options, escape_breaks
 
 
 def month_ago_date(as_of: dt.date) -> dt.date:
@@ -26,18 +26,14 @@ def month_ago_date(as_of: dt.date) -> dt.date:
 
 def archive_frame(df: DataFrame, as_of: dt.date | str, time_col: str = "timestamp") -> DataFrame:
     """PRJ7 -> FLT3 -> PRJ8: the rows of the day one month before ``as_of``."""
-    return (
-        df.withColumn("event_date", event_date(time_col))
-        .filter(F.col("event_date") == month_ago(as_of))
-        .drop("event_date")
-    )
+    return on_day(df, month_ago(as_of), time_col)
 
 
 def _writer(df: DataFrame, fmt: str, header: bool):
-    w = df.write.mode("overwrite").format(fmt)
     if fmt == "csv":
-        w = w.options(**csv_options(header=header))
-    elif fmt == "json":
+        return escape_breaks(df).write.mode("overwrite").format(fmt).options(**csv_options(header=header))
+    w = df.write.mode("overwrite").format(fmt)
+    if fmt == "json":
         w = w.options(timestampFormat=csv_options()["timestampFormat"],
                       timestampNTZFormat=csv_options()["timestampNTZFormat"])
     return w
@@ -79,9 +75,7 @@ def archive_range(
     overwrite), so a re-run for a gap does not touch other days.
     """
     path = f"{base.rstrip('/')}/{table}"
-    day = event_date(time_col)
-    rows = df.filter(day.between(F.lit(first).cast("date"), F.lit(last).cast("date"))) \
-        .withColumn("event_date", day)
+    rows = in_days(df, first, last, time_col).withColumn("event_date", event_date(time_col))
     (_writer(rows, fmt, header)
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy("event_date")
@@ -90,6 +84,6 @@ def archive_range(
 
 
 def write_extract(df: DataFrame, path: str, mode: str = "overwrite") -> str:
-    """SNK6: a CSV extract with a header, lossless for timestamps and nulls."""
-    df.write.mode(mode).options(**csv_options(header=True)).csv(path)
+    """SNK6: a CSV extract with a header, lossless for timestamps, nulls and line breaks."""
+    escape_breaks(df).write.mode(mode).options(**csv_options(header=True)).csv(path)
     return path

@@ -2,22 +2,32 @@
 
 The reference writes into a wide-column store whose primary key turns every
 write into an upsert, with a TTL counted from write time. Here the same
-semantics sit on append-only Parquet:
-
-* **Log.** Each micro-batch is written, with its ``write_time``, into its own
-  folder ``query_id=Q/batch_id=N`` in overwrite mode. A replayed batch
-  replaces itself, so the sink is idempotent. ``query_id`` is the stream id
-  kept in the checkpoint: a fresh checkpoint restarts at batch 0 and must
-  not overwrite earlier output.
-* **View.** The latest row per key: one ``max_by`` aggregation whose ordering
-  struct is (write_time, query_id, batch_id, then every other column), so the
-  result is deterministic. As in the store, conflicts resolve by write time
-  (the driver's clock at the write); Spark replays only the last uncommitted
-  micro-batch, so a replay never lands after a later batch. It is a declarative aggregate, so a hot key is
-  combined map-side before the shuffle.
-* **Retention.** Rows whose ``write_time`` is older than the TTL are filtered
-  out of the view; :meth:`KeyedTable.compact` drops them physically by
-  writing the live rows to a new folder, clustered for newest-first reads.
+semantics sit on Parquet folders under one path:
+
+* ``log/event_date=D/query_id=Q/batch_id=N``: each micro-batch, with its
+  ``write_time``. A replayed batch replaces its own folders, so the sink is
+  idempotent. ``query_id`` is the stream id kept in the checkpoint: a fresh
+  checkpoint restarts at batch 0 and must not overwrite earlier output.
+* ``base/generation=G/event_date=D``: the latest row per key as of a
+  compaction, with its bookkeeping columns.
+* ``state``: one small row per compaction: the generation, the last batch of
+  each query that it contains, and its ``as_of``. Written last, so readers
+  see a generation only once it is whole.
+* ``rejected``: rows that cannot be stored because a key column or the event
+  time is null, by query and batch.
+
+**View.** The latest live row per key over the base and the batches it does
+not contain. Within a query the batch number decides, whatever the clock
+says; between queries the write time does; then every other column, so the
+result is deterministic. It is a declarative aggregate (combined map-side).
+
+**Retention.** ``as_of`` is always an argument, and rows written a TTL or
+more before it are invisible to every reader.
+
+**Compaction and purge.** :meth:`KeyedTable.compact` writes the next
+generation; :meth:`KeyedTable.purge` deletes what no reader needs any more and refuses
+to drop expired rows of days that were not archived. Compaction also bounds
+the folders that a read lists.
 """
 
 from __future__ import annotations
@@ -25,15 +35,26 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import (
+    DateType, LongType, MapType, StringType, StructField, StructType, TimestampType,
+)
 
 from ..functions.timefn import event_date
 from ..operators.ordering import clustered
 from ..schemas import TableSpec
-from ..sources.tables import read_table
+from ..session import delete_folders
 
-BOOKKEEPING = ("write_time", "query_id", "batch_id")
+BOOKKEEPING = StructType([
+    StructField("write_time", TimestampType()), StructField("query_id", StringType()),
+    StructField("batch_id", LongType()),
+])
+STATE = StructType([
+    StructField("generation", LongType()), StructField("contains", MapType(StringType(), LongType())),
+    StructField("as_of", TimestampType()),
+])
 
 
 def retained(df: DataFrame, as_of: dt.datetime | Column, ttl_seconds: int,
@@ -46,87 +67,73 @@ def retained(df: DataFrame, as_of: dt.datetime | Column, ttl_seconds: int,
 def latest_per_key(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Latest row per key by the ``order`` columns; remaining columns break ties.
 
-    Output columns keep the input order.
+    One aggregate over one struct, so each column is shuffled once. Output
+    columns keep the input order.
     """
-    rest = [c for c in df.columns if c not in key]
-    tie = [c for c in rest if c not in order]
-    ordering = F.struct(*[F.col(c) for c in [*order, *tie]])
-    picked = df.groupBy(*key).agg(F.max_by(F.struct(*[F.col(c) for c in rest]), ordering).alias("_r"))
+    rest = [*order, *(c for c in df.columns if c not in key and c not in order)]
+    picked = df.groupBy(*key).agg(F.max(F.struct(*rest)).alias("_r"))
     return picked.select(*[F.col(c) if c in key else F.col(f"_r.{c}").alias(c) for c in df.columns])
 
 
+def scan(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The Parquet files under ``path``, or no rows if nothing was ever written."""
+    try:
+        return spark.read.schema(schema).option("basePath", path).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 class KeyedTable:
     """A stored table of :class:`schemas.TableSpec` at ``path`` (a shared folder)."""
 
-    def __init__(self, spark: SparkSession, spec: TableSpec, path: str, namespace: str = "pulsewatch",
-                 rows_per_file: int = 1_000_000):
+    def __init__(self, spark: SparkSession, spec: TableSpec, path: str, namespace: str = "pulsewatch"):
         self.spark = spark
         self.spec = spec
         self.path = path.rstrip("/")
         self.namespace = namespace
-        self.rows_per_file = rows_per_file
+        self.columns = [f.name for f in spec.schema.fields]
+        self.stored = StructType([*[StructField(f.name, f.dataType) for f in spec.schema.fields],
+                                  *BOOKKEEPING.fields])
 
-    # -- SNK3 -------------------------------------------------------------
-    def ensure(self) -> str:
-        """Create the namespace and the table over ``path`` if absent."""
-        name = f"{self.namespace}.{self.spec.name}"
-        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.namespace}")
-        self.spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {name} ({self.spec.ddl_columns()}) "
-            f"USING parquet PARTITIONED BY (query_id, batch_id, event_date) "
-            f"LOCATION '{self.path}'"
-        )
-        return name
-
-    def refresh(self) -> str:
-        """Register batch folders written since :meth:`ensure` with the catalog
-        (``RECOVER PARTITIONS`` lists the folders as a distributed job)."""
-        name = f"{self.namespace}.{self.spec.name}"
-        self.spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
-        self.spark.catalog.refreshTable(name)
-        return name
-
-    # -- SNK1: log --------------------------------------------------------
-    def _prepared(self, df: DataFrame, write_time: dt.datetime | None) -> DataFrame:
-        wt = F.lit(write_time).cast("timestamp") if write_time else F.current_timestamp()
-        key_ok = F.lit(True)
+    # -- SNK1: writes ------------------------------------------------------
+    def storable(self) -> Column:
+        """True for rows whose key columns and event time are all known."""
+        known = F.col(self.spec.time_column).isNotNull()
         for k in self.spec.key:
-            key_ok = key_ok & F.col(k).isNotNull()
-        cols = [F.col(f.name) for f in self.spec.schema.fields if f.name in df.columns]
-        return df.filter(key_ok).select(
-            *cols, wt.alias("write_time"), event_date(self.spec.time_column).alias("event_date")
-        )
+            known = known & F.col(k).isNotNull()
+        return known
 
     def write_batch(self, df: DataFrame, batch_id: int, query_id: str = "batch",
-                    write_time: dt.datetime | None = None,
-                    partitions: int | None = None) -> None:
+                    write_time: dt.datetime | None = None, partitions: int | None = None) -> None:
         """Write one batch; re-writing the same (query_id, batch_id) replaces it.
 
-        Rows with a null key column are not written (reject them upstream).
-        ``partitions`` (from a row count) range-partitions the rows on
-        (event_date, key) into that many tasks, about one file per task and
-        day; a streaming micro-batch uses it since AQE does not run there.
+        Batches of a query have ascending numbers. Rows that cannot be stored
+        go to ``rejected``. A replay of a batch that a compaction already
+        contains is left out by readers. ``partitions`` is the number of
+        tasks to write with (by day and key ranges); without it AQE sizes the
+        files of a batch job, and a stream's micro-batch is written as it is dealt.
         """
-        target = f"{self.path}/query_id={query_id}/batch_id={int(batch_id)}"
-        rows = self._prepared(df, write_time)
-        if partitions is not None and not self.spec.time_bounded:
-            rows = rows.repartitionByRange(partitions, "event_date", *self.spec.key)
-        elif self.spec.time_bounded:
-            # At most one row per window: one task, one file per day.
-            rows = rows.repartition(1)
-        else:
-            # REBALANCE: AQE sizes files per day (small days coalesced, large
-            # ones split) instead of one file per task and day. A streaming
-            # micro-batch runs without AQE, which drops the hint; the
-            # foreachBatch sink passes ``partitions`` instead.
-            rows = rows.hint("rebalance", "event_date")
-        (rows
-         .write.mode("overwrite")
-         .partitionBy("event_date")
-         .parquet(target))
+        wt = F.lit(write_time).cast("timestamp") if write_time else F.current_timestamp()
+        typed = [F.col(f.name).cast(f.dataType).alias(f.name) for f in self.spec.schema.fields]
+        rows = df.select(*typed, wt.alias("write_time"), F.lit(query_id).alias("query_id"),
+                         F.lit(int(batch_id)).cast("long").alias("batch_id"))
+        good = rows.filter(self.storable()).withColumn("event_date", event_date(self.spec.time_column))
+        laid = good.repartitionByRange(partitions, "event_date", *self.spec.key) if partitions \
+            else good.hint("rebalance", "event_date")
+        (laid.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("event_date", "query_id", "batch_id").parquet(f"{self.path}/log"))
+        (rows.filter(~self.storable()).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("query_id", "batch_id").parquet(f"{self.path}/rejected"))
+
+    def rejected(self) -> DataFrame:
+        """Rows that could not be stored, with their bookkeeping columns."""
+        return scan(self.spark, f"{self.path}/rejected", self.stored)
 
     def foreach_batch(self, checkpoint: str, write_time: dt.datetime | None = None,
-                      query_name: str | None = None, rejects_path: str | None = None):
+                      query_name: str | None = None, rejects_path: str | None = None,
+                      partitions: int | None = None):
         """A ``foreachBatch`` function writing each micro-batch into this table.
 
         The query id is the one kept in the checkpoint: stable across restarts
@@ -135,9 +142,9 @@ class KeyedTable:
         the checkpoint's metadata file.
 
         With ``rejects_path`` the batch is the output of
-        ``functions.decode.split_decoded``: it is persisted once, rows with
-        status 'ok' go to the table and the others (with status and raw text)
-        to ``rejects_path/query_id=Q/batch_id=N``, replay-safe like the table.
+        ``functions.decode.split_decoded``: rows with status 'ok' go to the
+        table and the others (with status and raw text) to
+        ``rejects_path/query_id=Q/batch_id=N``, replay-safe like the table.
         """
         state: dict[str, str] = {}
 
@@ -153,68 +160,159 @@ class KeyedTable:
             if "query_id" not in state:
                 state["query_id"] = query_id(batch.sparkSession)
             qid = state["query_id"]
-            if rejects_path is None and self.spec.time_bounded:
-                # One task, one file per day: no sizing needed.
-                self.write_batch(batch, batch_id, qid, write_time)
-                return
-            # Persist once: the row count (which sizes the write), the table
-            # write and the rejects all read the same computed batch. An empty
-            # batch writes nothing; its replay is empty as well.
-            batch.persist()
+            batch.persist()  # read by the table write and by both reject writes
             try:
-                n = batch.count()
-                if n == 0:
-                    return
-                parts = max(1, -(-n // self.rows_per_file))
-                if rejects_path is None:
-                    self.write_batch(batch, batch_id, qid, write_time, parts)
-                    return
-                self.write_batch(batch.filter(F.col("status") == "ok"), batch_id, qid,
-                                 write_time, parts)
-                (batch.filter(F.col("status") != "ok")
-                 .write.mode("overwrite")
-                 .parquet(f"{rejects_path.rstrip('/')}/query_id={qid}/batch_id={int(batch_id)}"))
+                ok = batch if rejects_path is None else batch.filter(F.col("status") == "ok")
+                self.write_batch(ok, batch_id, qid, write_time, partitions)
+                if rejects_path is not None:
+                    (batch.filter(F.col("status") != "ok").write.mode("overwrite")
+                     .parquet(f"{rejects_path.rstrip('/')}/query_id={qid}/batch_id={int(batch_id)}"))
             finally:
                 batch.unpersist()
 
         return sink
 
     # -- reads --------------------------------------------------------------
+    def _state(self) -> tuple[int, dict[str, int], dt.datetime | None]:
+        """Current generation (0: none), the batches it contains, its ``as_of``."""
+        row = (scan(self.spark, f"{self.path}/state", STATE)
+               .orderBy(F.col("generation").desc()).limit(1).collect())
+        return (row[0]["generation"], row[0]["contains"], row[0]["as_of"]) if row else (0, {}, None)
+
+    def _base(self, generation: int) -> str:
+        return f"{self.path}/base/generation={generation}"
+
     def log(self) -> DataFrame:
-        """Every written row, with bookkeeping columns."""
-        return read_table(self.spark, self.path, "parquet", {"basePath": self.path})
+        """Every written row still on file, with bookkeeping columns and its day."""
+        return scan(self.spark, f"{self.path}/log",
+                    StructType([*self.stored.fields, StructField("event_date", DateType())]))
+
+    def stored_rows(self) -> DataFrame:
+        """Rows of the current base and of the batches it does not contain."""
+        generation, contains, _ = self._state()
+        newer = F.lit(True)
+        for query, last in contains.items():
+            newer = newer & ((F.col("query_id") != query) | (F.col("batch_id") > last))
+        rows = self.log().filter(newer)
+        if generation:
+            base = scan(self.spark, self._base(generation),
+                        StructType([*self.stored.fields, StructField("event_date", DateType())]))
+            rows = rows.unionByName(base)
+        return rows
+
+    def _latest(self, rows: DataFrame) -> DataFrame:
+        per_query = latest_per_key(rows, [*self.spec.key, "query_id"], ["batch_id"])
+        return latest_per_key(per_query, list(self.spec.key), ["write_time", "query_id"])
 
-    def view(self, as_of: dt.datetime | None = None, ttl: bool = True,
+    def _live(self, as_of: dt.datetime | None) -> DataFrame:
+        rows = self.stored_rows()
+        if not self.spec.ttl_seconds:
+            return rows
+        if as_of is None:
+            raise ValueError(f"{self.spec.name} has a retention: pass as_of")
+        return retained(rows, as_of, self.spec.ttl_seconds)
+
+    def view(self, as_of: dt.datetime | None = None,
              days: tuple[dt.date, dt.date] | None = None) -> DataFrame:
-        """Latest live row per key, in the spec's column order.
+        """Latest row per key alive at ``as_of``, in the spec's column order.
 
         ``days`` (first, last) limits the view to rows whose event date is in
-        that range. When the spec's key fixes the event time, the range prunes
-        the log's ``event_date`` folders before the aggregation (a daily
-        archive reads one day, not the table); otherwise the range is applied
-        after it.
+        that range. Where the key holds the event time, the range prunes the
+        ``event_date`` folders before the aggregation; elsewhere a key may have moved to
+        another day, so the range is applied after it.
         """
-        rows = self.log()
-        if ttl and as_of is not None and self.spec.ttl_seconds:
-            rows = retained(rows, as_of, self.spec.ttl_seconds)
-        in_days = None
+        rows = self._live(as_of)
+        inside = F.lit(True)
         if days is not None:
             first, last = (F.lit(d).cast("date") for d in days)
-            if self.spec.key_fixes_time:
+            inside = event_date(self.spec.time_column).between(first, last)
+            if self.spec.time_column in self.spec.key:
                 rows = rows.filter(F.col("event_date").between(first, last))
-            else:
-                in_days = event_date(self.spec.time_column).between(first, last)
-        cols = [f.name for f in self.spec.schema.fields]
-        latest = latest_per_key(
-            rows.select(*cols, *BOOKKEEPING), list(self.spec.key), list(BOOKKEEPING)
-        ).select(*cols)
-        return latest.filter(in_days) if in_days is not None else latest
-
-    # -- SRT3 + SNK2: compaction --------------------------------------------
-    def compact(self, out_path: str, as_of: dt.datetime | None = None) -> str:
-        """Write the live view to ``out_path``, partitioned by day and clustered
-        by the first key column in the spec's order (newest first)."""
-        live = self.view(as_of).withColumn("event_date", event_date(self.spec.time_column))
-        laid = clustered(live, self.spec.key[0], self.spec.order) if self.spec.order else live
-        laid.write.mode("overwrite").partitionBy("event_date").parquet(out_path)
-        return out_path
+        latest = self._latest(rows.select(*self.stored.names)).select(*self.columns)
+        return latest.filter(inside)
+
+    # -- SRT3 + SNK2: compaction and purge -----------------------------------
+    def compact(self, as_of: dt.datetime | None = None) -> int:
+        """Write the next generation: the live rows at ``as_of``, by day, in the
+        spec's clustering order. Readers switch to it when its state row appears."""
+        generation, contains, _ = self._state()
+        held = {r["query_id"]: r["n"] for r in
+                self.log().groupBy("query_id").agg(F.max("batch_id").alias("n")).collect()}  # one row a query
+        latest = (self._latest(self._live(as_of).select(*self.stored.names))
+                  .withColumn("event_date", event_date(self.spec.time_column)))
+        laid = clustered(latest, self.spec.key[0], self.spec.order) if self.spec.order \
+            else latest.hint("rebalance", "event_date")
+        laid.write.mode("overwrite").partitionBy("event_date").parquet(self._base(generation + 1))
+        merged = {q: max(held.get(q, -1), contains.get(q, -1)) for q in {*held, *contains}}
+        (self.spark.createDataFrame([(generation + 1, merged, as_of)], STATE).coalesce(1)
+         .write.mode("append").parquet(f"{self.path}/state"))
+        return generation + 1
+
+    def purge(self, archived: Sequence[dt.date] = ()) -> list[dt.date]:
+        """Delete earlier generations and the log batches that the base contains.
+
+        Expired rows are dropped for good here, so their days must be in
+        ``archived``; raises ValueError otherwise. Returns the days of the
+        dropped expired rows.
+        """
+        generation, contains, as_of = self._state()
+        if not generation:
+            return []
+        folders = self.log().select("event_date", "query_id", "batch_id", "write_time")
+        inside = F.lit(False)
+        for query, last in contains.items():
+            inside = inside | ((F.col("query_id") == query) & (F.col("batch_id") <= last))
+        old = folders.filter(inside)
+        expired: list[dt.date] = []
+        if self.spec.ttl_seconds:
+            gone = old.filter(F.col("write_time") <= F.lit(as_of) - F.expr(f"INTERVAL {self.spec.ttl_seconds} SECONDS"))
+            expired = sorted(r[0] for r in gone.select("event_date").distinct().collect())  # days
+            missing = [d for d in expired if d not in set(archived)]
+            if missing:
+                raise ValueError(f"{self.spec.name}: not archived: {', '.join(map(str, missing))}")
+        dropped = old.select("event_date", "query_id", "batch_id").distinct()
+        delete_folders(self.spark, [
+            f"{self.path}/log/event_date={r[0]}/query_id={r[1]}/batch_id={r[2]}"
+            for r in dropped.toLocalIterator()] + [self._base(g) for g in range(1, generation)])
+        return expired
+
+    # -- SNK3 -----------------------------------------------------------------
+    def ensure(self) -> str:
+        """Register the table: ``<name>_log`` over the log's files and, under the
+        table's name, a view that gives the latest live row per key now."""
+        name, log = f"{self.namespace}.{self.spec.name}", f"{self.namespace}.{self.spec.name}_log"
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.namespace}")
+        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.stored.fields)
+        self.spark.sql(f"CREATE TABLE IF NOT EXISTS {log} ({cols}, event_date date) USING parquet "
+                       f"PARTITIONED BY (event_date, query_id, batch_id) LOCATION '{self.path}/log'")
+        generation, contains, _ = self._state()
+        stored, key = ", ".join(f"`{c}`" for c in self.stored.names), [f"`{k}`" for k in self.spec.key]
+        newer = " AND ".join(["true", *(f"(query_id <> '{q}' OR batch_id > {n})" for q, n in contains.items())])
+        rows = f"SELECT {stored} FROM {log} WHERE {newer}"
+        if generation:
+            rows += f" UNION ALL SELECT {stored} FROM parquet.`{self._base(generation)}`"
+        live = f"write_time > current_timestamp() - INTERVAL {self.spec.ttl_seconds} SECONDS" \
+            if self.spec.ttl_seconds else "true"
+
+        def latest(source: str, by: list[str], order: list[str]) -> str:
+            rest = [*order, *(f"`{c}`" for c in self.stored.names if f"`{c}`" not in by and c not in order)]
+            return f"SELECT {', '.join(by)}, r.* FROM (SELECT {', '.join(by)}, max(struct({', '.join(rest)})) AS r " \
+                   f"FROM ({source}) GROUP BY {', '.join(by)})"
+
+        per_query = latest(f"SELECT * FROM ({rows}) WHERE {live}", [*key, "`query_id`"], ["batch_id"])
+        final = latest(per_query, key, ["write_time", "query_id"])
+        self.spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {', '.join(f'`{c}`' for c in self.columns)} FROM ({final})")
+        return name
+
+    def refresh(self) -> str:
+        """Make batches and generations written since :meth:`ensure` visible in the catalog."""
+        name = self.ensure()
+        self.spark.sql(f"MSCK REPAIR TABLE {name}_log SYNC PARTITIONS")
+        self.spark.catalog.refreshTable(f"{name}_log")
+        return name
+
+    def drop(self) -> None:
+        """Take the table out of the catalog (its files stay)."""
+        name = f"{self.namespace}.{self.spec.name}"
+        self.spark.sql(f"DROP VIEW IF EXISTS {name}")
+        self.spark.sql(f"DROP TABLE IF EXISTS {name}_log")

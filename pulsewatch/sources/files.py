@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from ..functions.timefn import TEXT_TIMESTAMP_FORMAT
-from ..sinks.text import csv_options
+from ..sinks.text import csv_options, unescape_breaks
 
 
 def read_csv_extract(
@@ -17,8 +17,8 @@ def read_csv_extract(
     schema: StructType,
     drop: Sequence[str] = ("Unnamed: 0",),
     header: bool = True,
-    multiline: bool = False,
     timestamp_format: str | None = TEXT_TIMESTAMP_FORMAT,
+    escaped: bool | None = None,
 ) -> DataFrame:
     """SRC3: read a CSV extract with a declared schema, drop its index column.
 
@@ -26,8 +26,8 @@ def read_csv_extract(
     ``timestamp_format`` defaults to the format this package writes; pass
     None for extracts written elsewhere (e.g. ``yyyy-MM-dd HH:mm:ss`` from
     pandas), which selects Spark's lenient parser (microseconds kept).
-    ``multiline`` is needed only when text fields may hold line breaks; it
-    reads each file in one task, so leave it off for large single files.
+    ``escaped`` says that text fields hold escaped line breaks, as this
+    package writes them; by default it is so unless ``timestamp_format`` is None.
     """
     opts = csv_options(header=header)
     if timestamp_format is None:
@@ -35,10 +35,10 @@ def read_csv_extract(
         opts.pop("timestampNTZFormat")
     else:
         opts["timestampFormat"] = opts["timestampNTZFormat"] = timestamp_format
-    if multiline:
-        opts["multiLine"] = "true"
     present = [c for c in drop if c in schema.fieldNames()]
-    return spark.read.schema(schema).options(**opts).csv(path).drop(*present)
+    rows = spark.read.schema(schema).options(**opts).csv(path).drop(*present)
+    own = timestamp_format is not None if escaped is None else escaped
+    return unescape_breaks(rows) if own else rows
 
 
 def read_batches(

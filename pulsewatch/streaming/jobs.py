@@ -41,7 +41,8 @@ class StreamSpec:
     ``trigger`` is a processing-time interval, ``"availableNow"`` or None.
     ``state_partitions`` sets the number of state-store partitions of a new
     query (kept in its checkpoint from then on); None keeps the session's
-    ``spark.sql.shuffle.partitions``.
+    ``spark.sql.shuffle.partitions``. ``rocksdb`` keeps a new query's state
+    in RocksDB, off the heap, instead of the session's store.
     """
 
     name: str
@@ -52,21 +53,24 @@ class StreamSpec:
     output_mode: str = "append"
     options: dict[str, str] = field(default_factory=dict)
     state_partitions: int | None = None
+    rocksdb: bool = False
 
 
 def start(spec: StreamSpec) -> StreamingQuery:
     """Start one query. The query copies the session's settings when it
-    starts, so ``state_partitions`` is set only around ``start()``."""
-    if spec.state_partitions is None:
-        return _start(spec)
+    starts, so its own are set only around ``start()``."""
     conf = spec.df.sparkSession.conf
-    key = "spark.sql.shuffle.partitions"
-    before = conf.get(key)
-    conf.set(key, str(spec.state_partitions))
+    own = {"spark.sql.shuffle.partitions": str(spec.state_partitions)} if spec.state_partitions else {}
+    if spec.rocksdb:
+        own["spark.sql.streaming.stateStore.providerClass"] = ROCKSDB
+    before = {key: conf.get(key) for key in own}
+    for key, value in own.items():
+        conf.set(key, value)
     try:
         return _start(spec)
     finally:
-        conf.set(key, before)
+        for key, value in before.items():
+            conf.set(key, value)
 
 
 def _start(spec: StreamSpec) -> StreamingQuery:
@@ -85,14 +89,6 @@ def _start(spec: StreamSpec) -> StreamingQuery:
     return w.start()
 
 
-def use_rocksdb(spark: SparkSession) -> None:
-    """Keep streaming state in RocksDB (many users -> large state).
-
-    Must be set before a query first starts on a checkpoint.
-    """
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-
-
 def run_together(spark: SparkSession, specs: Sequence[StreamSpec],
                  timeout: float | None = None) -> list[StreamingQuery]:
     """EVT6: start all, wait for the first to end (or fail), stop the rest."""
