@@ -132,8 +132,3 @@ def distinct_within_bound(
     )
     bound = F.greatest(F.lit(1.0), F.lit(rel) * F.col("exact"))
     return g.select("event_date", (F.abs(F.col("approx") - F.col("exact")) <= bound).alias("within_bound"))
-
-
-def distinct_sorted(df: DataFrame, column: str = "user_id") -> DataFrame:
-    """AGG5: distinct values, sorted (a range-partitioned global sort)."""
-    return df.select(column).distinct().orderBy(column)

@@ -5,7 +5,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from pulsewatch.session import build_session  # noqa: E402
+from pulsewatch.session import build_session, drop_scratch  # noqa: E402
 
 SF_SMALL = "/root/testdata/sf0.001"
 SF_ORACLE = "/root/testdata/sf0.01"
@@ -21,6 +21,7 @@ def spark():
     )
     s.sparkContext.setLogLevel("ERROR")
     yield s
+    drop_scratch(s)
     s.stop()
 
 

@@ -50,11 +50,6 @@ def test_approx_distinct_within_bound(spark):
     assert all(r["within_bound"] for r in agg.distinct_within_bound(ev).collect())
 
 
-def test_distinct_sorted(spark):
-    df = spark.createDataFrame([("b",), ("a",), ("b",)], "user_id string")
-    assert [r[0] for r in agg.distinct_sorted(df).collect()] == ["a", "b"]
-
-
 def test_filters(spark):
     from pulsewatch.operators import filters as flt
 
@@ -70,3 +65,13 @@ def test_filters(spark):
     lo, hi = T0, T0 + dt.timedelta(days=2)
     assert flt.panel_range(df, "n", None, "timestamp", lo, hi).count() == 1
     assert flt.panel_range(df, "n", [1, 51], "timestamp", lo, hi).count() == 0
+
+
+def test_sort_by_time_breaks_ties(spark):
+    from pulsewatch.operators.ordering import sort_by_time
+
+    t = dt.datetime(2024, 1, 1)
+    rows = [(2, t), (1, t + dt.timedelta(seconds=1)), (1, t)]
+    df = spark.createDataFrame(rows, "id long, timestamp timestamp").repartition(3)
+    assert [(r["id"], r["timestamp"]) for r in sort_by_time(df, "timestamp", "id").collect()] == [
+        (1, t), (2, t), (1, t + dt.timedelta(seconds=1))]

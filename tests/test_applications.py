@@ -7,7 +7,7 @@ from pulsewatch.sinks.publish import publish_text
 from pulsewatch.sources.files import read_csv_extract
 from pulsewatch.sources.streams import text_stream
 from pulsewatch.streaming.jobs import run_available
-from pulsewatch.schemas import LOGS
+from pulsewatch.schemas import LOGS_WITH_MESSAGE
 from tests.conftest import SF_SMALL
 
 
@@ -37,12 +37,12 @@ def test_listeners_and_archiver_end_to_end(spark, scratch):
              + burst_listener(spark, messages, tables, ckpts))
     run_available(specs)
     n = wire.count()
-    assert spark.read.parquet(f"{tables}/metrics").count() == n
+    assert spark.read.parquet(f"{tables}/metrics/log").count() == n
     assert spark.read.parquet(f"{tables}/_rejected/logs").select("raw").first()[0] == "not json"
-    assert spark.read.parquet(f"{tables}/metrics_ddos").agg(F.sum("count")).first()[0] > 0
-    assert spark.read.parquet(f"{tables}/views").count() > 0
+    assert spark.read.parquet(f"{tables}/metrics_ddos/log").agg(F.sum("count")).first()[0] > 0
+    assert spark.read.parquet(f"{tables}/views/log").count() > 0
     out = archiver(spark, tables, dt.date(2024, 2, 15), f"{scratch}/archive")
-    logs = read_csv_extract(spark, out["logs"], LOGS, header=False)
+    logs = read_csv_extract(spark, out["logs"], LOGS_WITH_MESSAGE, header=False)
     want = wire.filter(F.to_date("timestamp") == F.lit("2024-01-15").cast("date"))
     assert logs.count() == want.count() > 0
 
@@ -57,7 +57,7 @@ def test_command_line_backfill_and_archive(spark, scratch):
     main(["listen", "logs", *common])
     main(["listen", "metrics", *common])
     main(["listen", "views", *common])
-    assert spark.read.parquet(f"{scratch}/tables/logs").count() == wire.count()
+    assert spark.read.parquet(f"{scratch}/tables/logs/log").count() == wire.count()
     main(["archive", "--as-of", "2024-02-15", "--tables", f"{scratch}/tables", "--out",
           f"{scratch}/archive"])
 
@@ -78,7 +78,7 @@ def test_resources_listener_with_rejects(spark, scratch):
     from pulsewatch.sinks.keyed import KeyedTable
 
     view = {r["id"]: (r["cpu"], r["ram"]) for r in
-            KeyedTable(spark, TABLES["resources"], f"{scratch}/tables/resources").view().collect()}
+            KeyedTable(spark, TABLES["resources"], f"{scratch}/tables/resources").view(as_of=dt.datetime(2024, 1, 2)).collect()}
     assert view == {"r1": (51, 501), "r2": (99, 7999)}   # same key twice: one row, larger tie wins
     rejects = sorted(r["status"] for r in spark.read.parquet(f"{scratch}/tables/_rejected/resources").collect())
     assert rejects == ["malformed", "missing_key"]

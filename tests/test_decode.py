@@ -3,7 +3,7 @@ import datetime as dt
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType, TimestampType
 
 from pulsewatch.functions.decode import decode, encode_json, rejected, split_decoded, valid
-from pulsewatch.schemas import EVENTS, METRICS, METRICS_NARROW
+from pulsewatch.schemas import COUNTED, EVENTS, METRICS
 
 SCHEMA = StructType([
     StructField("id", StringType()),
@@ -59,9 +59,9 @@ def test_narrow_schema_is_a_projection(spark):
            '"operation_type":"VIEW","action_id":"a1","user_id":"u1","value":0}')
     df = spark.createDataFrame([(msg,)], "value string")
     full = decode(df, METRICS).first()
-    narrow = decode(df, METRICS_NARROW).first()
+    narrow = decode(df, COUNTED).first()
     assert full["operation_type"] == "VIEW"
-    assert narrow.asDict() == {k: full[k] for k in METRICS_NARROW.fieldNames()}
+    assert narrow.asDict() == {k: full[k] for k in COUNTED.fieldNames()}
 
 
 def test_json_roundtrip_keeps_microseconds(spark):

@@ -1,7 +1,7 @@
 import datetime as dt
 
-from pulsewatch.functions.decode import decode
-from pulsewatch.plans.telemetry import ingest, typed_metrics, views_and_transactions
+from pulsewatch.functions.decode import decode, rejected, split_decoded, valid
+from pulsewatch.plans.telemetry import counted, views_and_transactions
 from pulsewatch.schemas import LOGS, LOGS_WITH_MESSAGE, RESOURCES
 
 LOG = ('{"id":"l1","timestamp":"2024-01-01 00:00:01","level":"ERROR","microservice_id":"s1",'
@@ -25,9 +25,9 @@ def test_resources_decode(spark):
 
 def test_ingest_splits_valid_and_rejected(spark):
     df = spark.createDataFrame([(RES,), ("junk",), ('{"timestamp":"2024-01-01 00:00:00"}',)], "value string")
-    good, bad = ingest(df, RESOURCES)
-    assert good.count() == 1
-    assert sorted(r["status"] for r in bad.collect()) == ["malformed", "missing_key"]
+    decoded = split_decoded(df, RESOURCES)
+    assert valid(decoded).count() == 1
+    assert sorted(r["status"] for r in rejected(decoded).collect()) == ["malformed", "missing_key"]
 
 
 def test_views_and_transactions_plan_over_messages(spark):
@@ -35,7 +35,7 @@ def test_views_and_transactions_plan_over_messages(spark):
         f'{{"id":"m{i}","timestamp":"2024-01-01 00:00:{i:02d}","operation_type":"{k}","user_id":"u{i % 2}"}}'
         for i, k in enumerate(["VIEW", "VIEW", "BUY", "TRANSACTION", "REFUND"])
     ]
-    typed = typed_metrics(spark.createDataFrame([(r,) for r in rows], "value string"))
+    typed = valid(counted(spark.createDataFrame([(r,) for r in rows], "value string")))
     plans = views_and_transactions(typed, distinct="exact")
     assert plans["views"].first()["views"] == 2
     assert plans["transactions"].first()["transactions"] == 4

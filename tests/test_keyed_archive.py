@@ -1,5 +1,7 @@
 import datetime as dt
+from dataclasses import replace
 
+import pytest
 from pyspark.sql import functions as F
 
 from pulsewatch.functions.timefn import month_ago
@@ -14,8 +16,10 @@ SPEC = TableSpec(
     StructType([StructField("k", StringType()), StructField("timestamp", TimestampType()),
                 StructField("v", LongType())]),
     ("k",),
-    key_fixes_time=True,
+    ttl_seconds=None,
 )
+KEPT = replace(SPEC, ttl_seconds=2_640_000)
+DATED = replace(SPEC, key=("k", "timestamp"))
 T0 = dt.datetime(2024, 1, 1)
 W1, W2 = dt.datetime(2024, 1, 2), dt.datetime(2024, 1, 3)
 
@@ -44,10 +48,32 @@ def test_same_key_twice_in_one_batch_is_deterministic(spark, scratch):
     assert _view(t) == {"a": 7}  # ties broken by the remaining columns
 
 
-def test_null_key_is_not_written(spark, scratch):
+def test_null_key_is_kept_aside(spark, scratch):
     t = KeyedTable(spark, SPEC, scratch)
     t.write_batch(_kv(spark, [(None, 1), ("a", 2)]), 0, "q", W1)
     assert _view(t) == {"a": 2}
+    assert [r["v"] for r in t.rejected().collect()] == [1]
+
+
+def test_batch_number_decides_within_a_query(spark, scratch):
+    t = KeyedTable(spark, SPEC, scratch)
+    t.write_batch(_kv(spark, [("a", 1)]), 5, "q", W2)
+    t.write_batch(_kv(spark, [("a", 2)]), 6, "q", W1)  # the clock stepped back
+    assert _view(t) == {"a": 2}
+
+
+def test_write_time_decides_between_queries(spark, scratch):
+    t = KeyedTable(spark, SPEC, scratch)
+    t.write_batch(_kv(spark, [("a", 1)]), 9, "old", W1)
+    t.write_batch(_kv(spark, [("a", 2)]), 0, "new", W2)
+    assert _view(t) == {"a": 2}
+
+
+def test_empty_table_has_no_rows(spark, scratch):
+    t = KeyedTable(spark, SPEC, scratch)
+    assert t.view().count() == 0 and t.rejected().count() == 0 and t.purge() == []
+    t.write_batch(_kv(spark, [(None, 1)]), 0, "q", W1)  # all rejected
+    assert t.view().count() == 0
 
 
 def test_fresh_checkpoint_does_not_overwrite(spark, scratch):
@@ -62,11 +88,11 @@ def test_burst_key_collapses_equal_counts(spark, scratch):
     df = spark.createDataFrame(rows, BURSTS)
     ref = KeyedTable(spark, TABLES["metrics_ddos"], scratch + "/ref")
     ref.write_batch(df, 0, "q", W1)
-    assert ref.view().count() == 1
+    assert ref.view(as_of=W2).count() == 1
     wide_spec = TableSpec("bursts", BURSTS, ("user_id", "timestamp", "count", "action_id"))
     wide = KeyedTable(spark, wide_spec, scratch + "/wide")
     wide.write_batch(df, 0, "q", W1)
-    assert wide.view().count() == 2
+    assert wide.view(as_of=W2).count() == 2
 
 
 def test_retention_bounds(spark):
@@ -79,20 +105,51 @@ def test_retention_bounds(spark):
     assert sorted(r["k"] for r in retained(df, as_of, ttl).collect()) == ["inside"]
 
 
-def test_view_applies_ttl_and_compaction_drops_expired(spark, scratch):
-    t = KeyedTable(spark, SPEC, scratch + "/t")
+def test_view_applies_ttl_and_needs_as_of(spark, scratch):
+    t = KeyedTable(spark, KEPT, scratch + "/t")
     t.write_batch(_kv(spark, [("old", 1)]), 0, "q", dt.datetime(2023, 1, 1))
     t.write_batch(_kv(spark, [("new", 1)]), 1, "q", W2)
     assert _view(t, as_of=dt.datetime(2024, 1, 10)) == {"new": 1}
-    out = t.compact(scratch + "/compacted", as_of=dt.datetime(2024, 1, 10))
-    assert [r["k"] for r in spark.read.parquet(out).collect()] == ["new"]
+    with pytest.raises(ValueError):
+        t.view()
 
 
-def test_ensure_creates_table_once(spark, scratch):
+def test_compaction_feeds_back_and_purge_needs_archived_days(spark, scratch):
+    t = KeyedTable(spark, KEPT, scratch + "/t")
+    now = dt.datetime(2024, 1, 10)
+    t.write_batch(_kv(spark, [("old", 1)]), 0, "q", dt.datetime(2023, 1, 1))
+    t.write_batch(_kv(spark, [("a", 1), ("b", 1)]), 1, "q", W1)
+    assert t.compact(now) == 1
+    assert _view(t, as_of=now) == {"a": 1, "b": 1}
+    with pytest.raises(ValueError, match="not archived"):
+        t.purge()
+    assert t.purge([T0.date()]) == [T0.date()]
+    assert t.log().count() == 0 and _view(t, as_of=now) == {"a": 1, "b": 1}
+    t.write_batch(_kv(spark, [("a", 2)]), 2, "q", W1)
+    t.write_batch(_kv(spark, [("b", 9)]), 1, "q", W1)  # a replay of a compacted batch changes nothing
+    assert _view(t, as_of=now) == {"a": 2, "b": 1}
+    assert t.compact(now) == 2
+    t.purge([T0.date()])
+    assert _view(t, as_of=now) == {"a": 2, "b": 1}
+    # expiry still works on compacted rows: they keep their write time
+    assert _view(t, as_of=W1 + dt.timedelta(seconds=KEPT.ttl_seconds)) == {}
+
+
+def test_catalog_shows_one_row_per_key(spark, scratch):
     t = KeyedTable(spark, SPEC, scratch, namespace="pw_test")
     name = t.ensure()
     assert t.ensure() == name
-    assert "kv" in [x.name for x in spark.catalog.listTables("pw_test")]
+    try:
+        t.write_batch(_kv(spark, [("a", 1), ("b", 1)]), 0, "q", W1)
+        t.write_batch(_kv(spark, [("a", 2)]), 1, "q", W2)
+        assert {r["k"]: r["v"] for r in spark.table(t.refresh()).collect()} == {"a": 2, "b": 1}
+        assert spark.table(f"{name}_log").count() == 3
+        t.compact()
+        t.write_batch(_kv(spark, [("b", 5)]), 2, "q", W2)
+        assert {r["k"]: r["v"] for r in spark.table(t.refresh()).collect()} == {"a": 2, "b": 5}
+    finally:
+        t.drop()
+        spark.sql("DROP DATABASE pw_test")
 
 
 def test_month_clamp(spark):
@@ -132,10 +189,11 @@ def test_text_round_trip_is_lossless(spark, scratch):
     schema = "id long, ts timestamp, message string"
     rows = [(1, dt.datetime(2024, 1, 1, 0, 0, 0, 123456), ""),
             (2, dt.datetime(2024, 1, 1, 0, 0, 1, 1), None),
-            (3, dt.datetime(2024, 1, 1), 'a "quoted", comma\nand newline')]
+            (3, dt.datetime(2024, 1, 1), 'a "quoted", comma\nand newline'),
+            (4, dt.datetime(2024, 1, 1), "\\n \\\n \r\n \\\\r"), (5, dt.datetime(2024, 1, 1), "\\N")]
     df = spark.createDataFrame(rows, schema)
     path = write_extract(df, scratch + "/x")
-    back = read_csv_extract(spark, path, df.schema, multiline=True)
+    back = read_csv_extract(spark, path, df.schema)
     assert sorted(tuple(r) for r in back.collect()) == rows
 
 
@@ -156,7 +214,7 @@ def test_query_id_from_checkpoint_metadata(spark, scratch):
 
 
 def test_view_of_days_prunes_partitions(spark, scratch):
-    t = KeyedTable(spark, SPEC, scratch + "/t")
+    t = KeyedTable(spark, DATED, scratch + "/t")
     rows = [(f"k{d}", dt.datetime(2024, 1, d, 12), d) for d in (1, 2, 3)]
     t.write_batch(spark.createDataFrame(rows, "k string, timestamp timestamp, v long"), 0, "q", W1)
     v = t.view(days=(dt.date(2024, 1, 2), dt.date(2024, 1, 2)))
@@ -165,11 +223,8 @@ def test_view_of_days_prunes_partitions(spark, scratch):
     assert "PartitionFilters: [isnotnull(event_date" in plan, plan
 
 
-def test_view_of_days_without_fixed_time_filters_after_latest(spark, scratch):
-    from dataclasses import replace
-
-    spec = replace(SPEC, key_fixes_time=False)
-    t = KeyedTable(spark, spec, scratch + "/t")
+def test_view_of_days_without_time_in_the_key_filters_after_latest(spark, scratch):
+    t = KeyedTable(spark, SPEC, scratch + "/t")
     first = spark.createDataFrame([("a", dt.datetime(2024, 1, 2), 1)], "k string, timestamp timestamp, v long")
     moved = spark.createDataFrame([("a", dt.datetime(2024, 1, 3), 2)], "k string, timestamp timestamp, v long")
     t.write_batch(first, 0, "q", W1)

@@ -4,7 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
-from pulsewatch.plans import panels
+from pulsewatch.plans import panels, registry
 from tests.conftest import SF_ORACLE, SF_SMALL
 
 
@@ -21,6 +21,7 @@ def test_macros_become_parameters():
     text = panels.bind_macros("SELECT 1 WHERE t > $__timeFrom AND t < $__timeTo")
     assert text == "SELECT 1 WHERE t > timestamp_millis(:time_from) AND t < timestamp_millis(:time_to)"
     assert panels.epoch_millis(dt.datetime(1970, 1, 1, 0, 0, 1)) == 1000
+    assert panels.bind_macros("SELECT '$__timeFrom', $__timeFromX") == "SELECT '$__timeFrom', $__timeFromX"
 
 
 def test_entry_runs(spark):
@@ -30,7 +31,8 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(registry.QUERIES) == set(registry.SQL)
+    assert set(E.oracle_sql()) <= set(E.queries())
 
 
 def _duck(sf_dir):
@@ -53,7 +55,7 @@ def _canon(rows):
     return sorted((tuple(norm(v) for v in r) for r in rows), key=repr)
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(registry.QUERIES))
 def test_query_matches_oracle(spark, name):
     sf_dir = SF_SMALL
     df = E.queries()[name](spark, sf_dir)
@@ -76,5 +78,5 @@ def test_cluster_settings_scale_with_input():
     small = cluster_settings(10 * 1024**3, 64)
     big = cluster_settings(100 * 1024**4, 8000)
     assert int(small["spark.sql.shuffle.partitions"]) == 192          # waves of tasks win
-    assert int(big["spark.sql.shuffle.partitions"]) == 800 * 1024     # size wins: 2 x 100 TB / 256 MB
-    assert big["spark.sql.files.maxPartitionBytes"] == str(256 * 1024 * 1024)
+    assert int(big["spark.sql.shuffle.partitions"]) == 50 * 1024      # size wins: 100 TB / 2 GB
+    assert big["spark.sql.files.maxPartitionBytes"] == str(512 * 1024 * 1024)

@@ -78,7 +78,7 @@ def test_keyed_view_equals_last_write_per_key(spark, batches, replay):
     from pulsewatch.sinks.keyed import KeyedTable
 
     spec = TableSpec("kv", spark.createDataFrame([], "k string, timestamp timestamp, v long").schema,
-                     ("k",), key_fixes_time=True)
+                     ("k",), ttl_seconds=None)
     table = KeyedTable(spark, spec, scratch_path(spark, "prop-keyed"))
     want = {}
     for b, rows in enumerate(batches):
