@@ -13,8 +13,9 @@ semantics sit on Parquet folders under one path:
 * ``state``: one small row per compaction: the generation, the last batch of
   each query that it contains, and its ``as_of``. Written last, so readers
   see a generation only once it is whole.
-* ``rejected``: rows that cannot be stored because a key column or the event
-  time is null, by query and batch.
+Rows that cannot be stored because a key column or the event time is null
+are written with their batch, under the log's null day, and are read with
+:meth:`KeyedTable.rejected` only.
 
 **View.** The latest live row per key over the base and the batches it does
 not contain. Within a query the batch number decides, whatever the clock
@@ -109,8 +110,8 @@ class KeyedTable:
                     write_time: dt.datetime | None = None, partitions: int | None = None) -> None:
         """Write one batch; re-writing the same (query_id, batch_id) replaces it.
 
-        Batches of a query have ascending numbers. Rows that cannot be stored
-        go to ``rejected``. A replay of a batch that a compaction already
+        Batches of a query have ascending numbers. One pass writes the rows and
+        those that cannot be stored (see :meth:`rejected`). A replay of a batch that a compaction already
         contains is left out by readers. ``partitions`` is the number of
         tasks to write with (by day and key ranges); without it AQE sizes the
         files of a batch job, and a stream's micro-batch is written as it is dealt.
@@ -119,17 +120,19 @@ class KeyedTable:
         typed = [F.col(f.name).cast(f.dataType).alias(f.name) for f in self.spec.schema.fields]
         rows = df.select(*typed, wt.alias("write_time"), F.lit(query_id).alias("query_id"),
                          F.lit(int(batch_id)).cast("long").alias("batch_id"))
-        good = rows.filter(self.storable()).withColumn("event_date", event_date(self.spec.time_column))
-        laid = good.repartitionByRange(partitions, "event_date", *self.spec.key) if partitions \
-            else good.hint("rebalance", "event_date")
+        dated = rows.withColumn("event_date", F.when(self.storable(), event_date(self.spec.time_column)))
+        laid = dated.repartitionByRange(partitions, "event_date", *self.spec.key) if partitions \
+            else dated.hint("rebalance", "event_date")
         (laid.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("event_date", "query_id", "batch_id").parquet(f"{self.path}/log"))
-        (rows.filter(~self.storable()).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("query_id", "batch_id").parquet(f"{self.path}/rejected"))
+
+    def _files(self) -> DataFrame:
+        return scan(self.spark, f"{self.path}/log",
+                    StructType([*self.stored.fields, StructField("event_date", DateType())]))
 
     def rejected(self) -> DataFrame:
         """Rows that could not be stored, with their bookkeeping columns."""
-        return scan(self.spark, f"{self.path}/rejected", self.stored)
+        return self._files().filter(F.col("event_date").isNull()).select(*self.stored.names)
 
     def foreach_batch(self, checkpoint: str, write_time: dt.datetime | None = None,
                       query_name: str | None = None, rejects_path: str | None = None,
@@ -160,13 +163,14 @@ class KeyedTable:
             if "query_id" not in state:
                 state["query_id"] = query_id(batch.sparkSession)
             qid = state["query_id"]
-            batch.persist()  # read by the table write and by both reject writes
+            if rejects_path is None:
+                self.write_batch(batch, batch_id, qid, write_time, partitions)
+                return
+            batch.persist()  # decoded once for the table and the rejects
             try:
-                ok = batch if rejects_path is None else batch.filter(F.col("status") == "ok")
-                self.write_batch(ok, batch_id, qid, write_time, partitions)
-                if rejects_path is not None:
-                    (batch.filter(F.col("status") != "ok").write.mode("overwrite")
-                     .parquet(f"{rejects_path.rstrip('/')}/query_id={qid}/batch_id={int(batch_id)}"))
+                self.write_batch(batch.filter(F.col("status") == "ok"), batch_id, qid, write_time, partitions)
+                (batch.filter(F.col("status") != "ok").write.mode("overwrite")
+                 .parquet(f"{rejects_path.rstrip('/')}/query_id={qid}/batch_id={int(batch_id)}"))
             finally:
                 batch.unpersist()
 
@@ -184,8 +188,7 @@ class KeyedTable:
 
     def log(self) -> DataFrame:
         """Every written row still on file, with bookkeeping columns and its day."""
-        return scan(self.spark, f"{self.path}/log",
-                    StructType([*self.stored.fields, StructField("event_date", DateType())]))
+        return self._files().filter(F.col("event_date").isNotNull())
 
     def stored_rows(self) -> DataFrame:
         """Rows of the current base and of the batches it does not contain."""
@@ -287,7 +290,7 @@ class KeyedTable:
                        f"PARTITIONED BY (event_date, query_id, batch_id) LOCATION '{self.path}/log'")
         generation, contains, _ = self._state()
         stored, key = ", ".join(f"`{c}`" for c in self.stored.names), [f"`{k}`" for k in self.spec.key]
-        newer = " AND ".join(["true", *(f"(query_id <> '{q}' OR batch_id > {n})" for q, n in contains.items())])
+        newer = " AND ".join(["event_date IS NOT NULL", *(f"(query_id <> '{q}' OR batch_id > {n})" for q, n in contains.items())])
         rows = f"SELECT {stored} FROM {log} WHERE {newer}"
         if generation:
             rows += f" UNION ALL SELECT {stored} FROM parquet.`{self._base(generation)}`"
