@@ -13,9 +13,10 @@ never cross texts and are judged on the input.
    common stretch of three quarters of ``length``, and contexts are grouped by
    it. In a group, contexts that occur more than once are removed whole; only
    the distinct contexts of a group with several need sorting.
-3. *Suffix arrays.* Distinct contexts are dealt into shards of bounded size.
-   Per shard, a suffix array is built by Larsson-Sadakane refinement in numpy and
-   Kasai's common prefixes tell which windows repeat.
+3. *Suffix arrays.* Distinct contexts are dealt into shards of bounded size
+   and cut to what may repeat (:func:`shard_windows`). Per shard, a suffix array is
+   built by Larsson-Sadakane refinement in numpy and Kasai's common prefixes
+   tell which windows repeat.
 4. *Merging.* A group with more contexts than a shard takes is spread over several.
    Their windows, one for each that repeats inside its shard, are dealt by
    hash into ranges, and binary search in the merged order of a range finds
@@ -90,38 +91,52 @@ def anchors(hashes: np.ndarray, width: int) -> np.ndarray:
 
 # --- suffix arrays ---------------------------------------------------------------------
 
-def larsson_sadakane(data: np.ndarray, depth: int) -> np.ndarray:
-    """Suffix array sorted by at least the first ``depth`` bytes.
+def larsson_sadakane(data: np.ndarray, depth: int, starts: np.ndarray) -> np.ndarray:
+    """The suffixes at ``starts`` (a mask) sorted by their first ``depth`` bytes (8 or more).
 
-    Suffixes start sorted by eight bytes; each pass doubles the sorted length
-    and touches only suffixes whose place is not settled yet.
+    Suffixes begin sorted by eight bytes. A pass orders each unsettled group
+    by the rank of what follows and so doubles the sorted length (the last
+    one stops at ``depth``). It takes in only suffixes whose place is not settled and whose
+    rank a later pass still asks for.
     """
     n = len(data)
+    steps = []  # (sorted length before the pass, offset of what follows)
+    length = 8
+    while length < depth:
+        steps.append((length, min(length, depth - length)))
+        length += steps[-1][1]
+    asked = [starts]
+    for _, offset in reversed(steps):
+        wider = asked[0].copy()
+        wider[offset:] |= asked[0][:n - offset] if offset < n else False
+        asked.insert(0, wider)
     key = grams(np.concatenate([data, np.zeros(7, np.uint8)]), 8)
-    order = np.argsort(key, kind="stable")
-    ordered = key[order]
-    first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])) if n else np.zeros(0, np.int64)
-    size = np.diff(np.append(first, n))
+    order = np.flatnonzero(asked[0])
+    order = order[np.argsort(key[order])]
+    ordered, m = key[order], len(order)
+    first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])) if m else np.zeros(0, np.int64)
+    size = np.diff(np.append(first, m))
     group = np.repeat(first, size)
     rank = np.zeros(n + 1, np.int64)
     rank[order] = group + 1
     unsettled = np.flatnonzero(np.repeat(size, size) > 1)
-    sorted_by = 8
-    while sorted_by < depth and len(unsettled):
+    for (_, offset), wanted in zip(steps, asked[1:], strict=True):
+        unsettled = unsettled[wanted[order[unsettled]]]
+        if not len(unsettled):
+            break
         place = order[unsettled]
-        own, following = group[unsettled], rank[np.minimum(place + sorted_by, n)]
-        by = np.lexsort((following, own))
-        place, following = place[by], following[by]
+        pair = group[unsettled] * (m + 2) + rank[np.minimum(place + offset, n)]
+        by = np.argsort(pair)
+        place, pair = place[by], pair[by]
         order[unsettled] = place
         fresh = np.ones(len(place), bool)
-        fresh[1:] = (own[1:] != own[:-1]) | (following[1:] != following[:-1])
+        fresh[1:] = pair[1:] != pair[:-1]
         group[unsettled] = np.maximum.accumulate(np.where(fresh, unsettled, 0))
         rank[place] = group[unsettled] + 1
-        starts = np.flatnonzero(fresh)
-        size = np.diff(np.append(starts, len(place)))
+        heads = np.flatnonzero(fresh)
+        size = np.diff(np.append(heads, len(place)))
         unsettled = unsettled[np.repeat(size, size) > 1]
-        sorted_by *= 2
-    return order
+    return order[starts[order]]
 
 
 def kasai(data: bytes, place: np.ndarray, before: np.ndarray, limit: np.ndarray) -> np.ndarray:
@@ -148,18 +163,18 @@ def kasai(data: bytes, place: np.ndarray, before: np.ndarray, limit: np.ndarray)
 
 
 def repeated_windows(data: np.ndarray, start: np.ndarray, end: np.ndarray, identity: np.ndarray,
-                     length: int) -> np.ndarray:
+                     length: int, several: np.ndarray | None = None) -> np.ndarray:
     """Mask of the places at which a window repeats among segments [start, end) of ``data``.
 
-    ``identity``: a number per segment, so that ``identity + place`` is the
-    window's place in the corpus; a window that two overlapping segments show twice is one.
+    ``identity``: a number per segment, so that ``identity + offset`` is the
+    window's place in the corpus; a window that two overlapping segments show
+    twice is one. ``several``: segments that stand for more than one place.
     """
     n = len(data)
     repeats = np.zeros(n, bool)
     segment = np.repeat(np.arange(len(start)), end - start)
     left = end[segment] - np.arange(n)
-    order = larsson_sadakane(data, length)
-    order = order[left[order] >= length]
+    order = larsson_sadakane(data, length, left >= length)
     if len(order) < 2:
         return repeats
     before, after = order[:-1], order[1:]
@@ -176,17 +191,65 @@ def repeated_windows(data: np.ndarray, start: np.ndarray, end: np.ndarray, ident
     # Runs of suffixes that share a whole window, with the least and greatest corpus place.
     runs = np.flatnonzero(~joined)
     corpus_place = identity[segment[order]] + (order - start[segment[order]]).astype(U64)
-    several = np.minimum.reduceat(corpus_place, runs) != np.maximum.reduceat(corpus_place, runs)
-    repeats[order[np.repeat(several, np.diff(np.append(runs, len(order))))]] = True
+    again = np.minimum.reduceat(corpus_place, runs) != np.maximum.reduceat(corpus_place, runs)
+    if several is not None:
+        again |= np.logical_or.reduceat(several[segment[order]], runs)
+    repeats[order[np.repeat(again, np.diff(np.append(runs, len(order))))]] = True
     return repeats
 
 
-def covered(starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Maximal stretches covered by windows of ``length`` at ascending ``starts``."""
-    if not len(starts):
-        return starts, starts
-    gap = np.flatnonzero(np.diff(starts) > length)
-    return starts[np.concatenate([[0], gap + 1])], starts[np.append(gap, len(starts) - 1)] + length
+def shard_windows(data: np.ndarray, start: np.ndarray, end: np.ndarray, identity: np.ndarray,
+                  length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(segment, offset, hash, repeats) of every window of the segments of a shard.
+
+    Of the windows with one hash, two at different places go on: they are cut
+    out of their segments with what lies between, equal stretches are kept
+    once, and the suffix array of the stretches tells whether the windows do
+    repeat. The others with that hash follow them; a hash with one place repeats nothing.
+    """
+    count = np.maximum(end - start - length + 1, 0)
+    segment = np.repeat(np.arange(len(start)), count)
+    offset = np.arange(len(segment)) - np.repeat(np.cumsum(count) - count, count)
+    sums = prefix_hash(BYTE_CODES[data])
+    at = start[segment] + offset
+    hashes = span_hash(sums, at, at + length)
+    place = identity[segment] + offset.astype(U64)
+    repeats = np.zeros(len(segment), bool)
+    if not len(segment):
+        return segment, offset, hashes, repeats
+    order = np.argsort(hashes, kind="stable")
+    runs = np.flatnonzero(np.concatenate([[True], hashes[order][1:] != hashes[order][:-1]]))
+    size = np.diff(np.append(runs, len(order)))
+    other = place[order] != np.repeat(place[order[runs]], size)
+    second = np.minimum.reduceat(np.where(other, np.arange(len(order)), len(order)), runs)
+    more = second < len(order)
+    leaders = order[runs[more]]
+    picked = np.unique(np.concatenate([leaders, order[second[more]]]))
+    if not len(picked):
+        return segment, offset, hashes, repeats
+    held, first = np.unique(segment[picked], return_index=True)
+    last = np.append(first[1:], len(picked)) - 1
+    low, high = offset[picked[first]], offset[picked[last]] + length
+    raw = data.tobytes()
+    known: dict[bytes, int] = {}
+    owner, spot, several = np.empty(len(held), np.int64), [], []
+    for i, (g, a, b) in enumerate(zip(start[held].tolist(), low.tolist(), high.tolist(), strict=True)):
+        own = int(identity[held[i]]) + a
+        owner[i] = j = known.setdefault(raw[g + a:g + b], len(known))
+        if j == len(spot):
+            spot.append(own)
+            several.append(False)
+        elif spot[j] != own:
+            several[j] = True
+    stretch = np.array([len(x) for x in known], np.int64)
+    ends = np.cumsum(stretch)
+    found = repeated_windows(np.frombuffer(b"".join(known), np.uint8), ends - stretch, ends,
+                             np.array([x & (2**64 - 1) for x in spot], U64), length, np.array(several))
+    index = np.searchsorted(held, segment[leaders])
+    again = np.zeros(len(runs), bool)
+    again[more] = found[(ends - stretch)[owner[index]] + offset[leaders] - low[index]]
+    repeats[order] = np.repeat(again, size)
+    return segment, offset, hashes, repeats
 
 
 # --- Spark ---------------------------------------------------------------------------------
@@ -292,44 +355,38 @@ def _sort_shard(length: int):  # noqa: ANN202
     def sort(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
         raw = [x.as_py() for x in table.column("bytes")]
-        size = np.array([len(x) for x in raw], np.int64)
-        end = np.cumsum(size)
-        start = end - size
-        data = np.frombuffer(b"".join(raw), np.uint8)
-        g, ctx, key = (table.column(c).to_numpy() for c in ("g", "ctx", "text_key"))
-        hot = table.column("hot").to_pylist()
-        identity = mix(key.view(np.uint64)) + table.column("at").to_numpy().astype(U64)
-        repeats = repeated_windows(data, start, end, identity, length)
-        sums = prefix_hash(BYTE_CODES[data]) if any(hot) else None
-        rows: list[tuple] = []
-        opened: dict[str, list] = {"g": [], "ctx": [], "w": [], "place": [], "begin": [], "known": []}
-        for i in range(len(raw)):
-            begin, finish = covered(np.flatnonzero(repeats[start[i]:end[i]]), length)
-            if len(begin):
-                rows.append((g[i], ctx[i], False, 0, 0, begin.tolist(), finish.tolist()))
-            if hot[i]:
-                at = np.arange(size[i] - length + 1)
-                opened["known"].append(repeats[start[i] + at])
-                opened["g"].append(np.full(len(at), g[i]))
-                opened["ctx"].append(np.full(len(at), ctx[i]))
-                opened["w"].append(span_hash(sums, start[i] + at, start[i] + at + length).view(np.int64))
-                opened["place"].append((identity[i] + at.astype(U64)).view(np.int64))
-                opened["begin"].append(at)
-        parts = [pa.Table.from_pylist([dict(zip(_RESULT_ARROW.names, r, strict=True)) for r in rows], _RESULT_ARROW)]
-        if opened["g"]:
-            values = {k: np.concatenate(v) for k, v in opened.items()}
+        end = np.cumsum([len(x) for x in raw])
+        start = end - np.array([len(x) for x in raw])
+        g, ctx, key, at = (table.column(c).to_numpy() for c in ("g", "ctx", "text_key", "at"))
+        hot = np.array(table.column("hot").to_pylist(), bool)
+        identity = mix(key.view(np.uint64)) + at.astype(U64)
+        segment, offset, hashes, repeats = shard_windows(
+            np.frombuffer(b"".join(raw), np.uint8), start, end, identity, length)
+        again = np.flatnonzero(repeats)
+        of, spot = segment[again], offset[again]
+        opens = np.ones(len(again), bool)
+        opens[1:] = (of[1:] != of[:-1]) | (np.diff(spot) > length)
+        head = np.flatnonzero(opens)
+        tail = np.append(head[1:], len(again)) - 1 if len(head) else head
+        each = np.arange(len(head) + 1, dtype=np.int32)
+        none = np.zeros(len(head), np.int64)
+        parts = [pa.Table.from_arrays([
+            pa.array(g[of[head]]), pa.array(ctx[of[head]]), pa.array(np.zeros(len(head), bool)), pa.array(none), pa.array(none),
+            *(pa.ListArray.from_arrays(each, pa.array(x.astype(np.int32))) for x in (spot[head], spot[tail] + length))],
+            schema=_RESULT_ARROW)]
+        if hot.any():
             # Windows not repeated here, and one of each that is: another shard may hold a single one.
-            known = np.flatnonzero(values.pop("known"))
-            _, once = np.unique(values["w"][known], return_index=True)
-            keep = np.setdiff1d(np.arange(len(values["w"])), np.delete(known, once))
-            values = {k: v[keep] for k, v in values.items()}
-            n = len(keep)
-            each = np.arange(n + 1, dtype=np.int32)
+            own = np.flatnonzero(hot[segment])
+            known = own[repeats[own]]
+            _, once = np.unique(hashes[known], return_index=True)
+            keep = np.sort(np.concatenate([own[~repeats[own]], known[once]]))
+            each = np.arange(len(keep) + 1, dtype=np.int32)
             lists = [pa.ListArray.from_arrays(each, pa.array(x.astype(np.int32)))
-                     for x in (values["begin"], values["begin"] + length)]
+                     for x in (offset[keep], offset[keep] + length)]
+            place = identity[segment[keep]] + offset[keep].astype(U64)
             parts.append(pa.Table.from_arrays([
-                pa.array(values["g"]), pa.array(values["ctx"]), pa.array(np.ones(n, bool)), pa.array(values["w"]),
-                pa.array(values["place"]), *lists], schema=_RESULT_ARROW))
+                pa.array(g[segment[keep]]), pa.array(ctx[segment[keep]]), pa.array(np.ones(len(keep), bool)),
+                pa.array(hashes[keep].view(np.int64)), pa.array(place.view(np.int64)), *lists], schema=_RESULT_ARROW))
         return pa.concat_tables(parts)
 
     return sort
@@ -344,10 +401,28 @@ def _merge_range(table: pa.Table) -> pa.Table:
     return table.select(_RESULT_ARROW.names).filter(pa.array(places[low] != places[high - 1]))
 
 
+def _join(stretches: pa.Array) -> pa.Array:
+    """Sorted stretches with those that touch made one; a finish below 0 is the context's end."""
+    out = []
+    for row in stretches.to_pylist():
+        merged: list[dict] = []
+        for s in row:
+            if merged and merged[-1]["finish"] < 0:
+                break
+            if s["finish"] < 0 and s["begin"] == 0:
+                merged = [s]
+            elif merged and s["begin"] <= merged[-1]["finish"]:
+                merged[-1]["finish"] = max(merged[-1]["finish"], s["finish"])
+            else:
+                merged.append(s)
+        out.append(merged)
+    return pa.array(out, pa.list_(pa.struct([("begin", pa.int32()), ("finish", pa.int32())])))
+
+
 def repeated_stretches(docs: DataFrame, settings: Settings) -> DataFrame:
     """(text_key, text, marks) of the texts with bytes to remove; ``docs`` has doc_id, text_key, text."""
     long_docs = docs.filter(F.octet_length("text") >= settings.length)
-    found = anchor_table(long_docs, settings)
+    found = saved(anchor_table(long_docs, settings), "repeat-anchors")
     place = F.xxhash64("text_key", "pos")
     repeating = (found.groupBy("h").agg(F.min(place).alias("low"), F.max(place).alias("high"))
                  .filter("low <> high").select("h"))
@@ -386,8 +461,10 @@ def repeated_stretches(docs: DataFrame, settings: Settings) -> DataFrame:
     inside = sorted_.filter("NOT open").unionByName(merged).select("g", "ctx", F.explode(
         F.arrays_zip("begin", "finish")).alias("s")).select("g", "ctx", "s.begin", "s.finish")
     whole = held.filter("several").select("g", "ctx", F.lit(0).alias("begin"), F.lit(-1).alias("finish"))
+    joined = F.arrow_udf(_join, "array<struct<begin:int,finish:int>>")
     removed = (whole.unionByName(inside).groupBy("g", "ctx")
-               .agg(F.array_sort(F.collect_set(F.struct("begin", "finish"))).alias("stretches")))
+               .agg(F.array_sort(F.collect_set(F.struct("begin", "finish"))).alias("found"))
+               .select("g", "ctx", joined("found").alias("stretches")))
     # Back to every occurrence; a whole context ends where its half does in that text.
     spread = contexts.join(removed, ["g", "ctx"]).select(
         "text_key", F.struct("pos", "side", "lead", "stretches").alias("mark"))
