@@ -16,8 +16,8 @@ maximum and agree in a register with about the sets' Jaccard similarity.
    all of them in a bucket of at most ``small`` classes; a larger one is first
    split by ``variants`` different runs of ``extra`` further registers (a pair
    at 0.8 meets in one of its split buckets but for 1 in 1000 or less; more similar
-   pairs sooner), where small parts propose their cross pairs and larger
-   ones ``heads`` stars over classes drawn from each of their components.
+   pairs sooner), where small parts propose their cross pairs and in larger
+   ones a class drawn from each component is compared with one drawn from all.
 5. Confirmed links of both rounds give the final components.
 
 No bucket is capped or dropped, no task gathers a bucket of unbounded size,
@@ -58,7 +58,6 @@ class Settings:
     small: int = 32
     extra: int = 12
     variants: int = 8
-    heads: int = 6
     slack: float = 0.2  # a pair is dropped only if estimated this far under the threshold
 
     @property
@@ -245,8 +244,8 @@ def _across(rows: DataFrame, settings: Settings) -> tuple[DataFrame, DataFrame]:
     return _pairs_within(small), mixed.filter(F.col("size") > settings.small)
 
 
-def links(docs: DataFrame, classes: DataFrame, settings: Settings) -> DataFrame:
-    """Confirmed links (a, b) between classes, enough to connect every linked class."""
+def grouped_classes(docs: DataFrame, classes: DataFrame, settings: Settings) -> DataFrame:
+    """(id, component) of every class that has a link."""
     two = 2 * settings.band
     keys = F.transform(F.sequence(F.lit(0), F.lit(settings.bands - 1)), lambda i: F.struct(
         i.alias("band"), F.xxhash64(i, F.substring(F.col("sketch"), i * two + 1, F.lit(two))).alias("key")))
@@ -259,7 +258,7 @@ def links(docs: DataFrame, classes: DataFrame, settings: Settings) -> DataFrame:
     stars = shared.filter("id > hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
     first = saved(confirmed(stars, classes, sets, settings), "links")
 
-    grouped = components(first)
+    grouped = saved(components(first), "groups")
     labelled = (shared.select("key", "band", "id").join(grouped, "id", "left")
                 .withColumn("component", F.coalesce("component", "id")))
     pairs, large = _across(labelled, settings)
@@ -272,15 +271,22 @@ def links(docs: DataFrame, classes: DataFrame, settings: Settings) -> DataFrame:
     split = saved(large.select("key", "band", "id", "component").join(ring, "id")
                   .select(F.explode(runs).alias("key"), "id", "component"), "split")
     split_pairs, rest = _across(split, settings)
-    # Parts that are still large: several heads of each component, each set of heads on its own hub.
-    order = F.xxhash64("id", "turn")
-    heads = (rest.select("key", "id", "component", F.explode(F.sequence(F.lit(1), F.lit(settings.heads))).alias("turn"))
-             .groupBy("key", "turn", "component").agg(F.min_by("id", order).alias("id")))
-    hubs = heads.groupBy("key", "turn").agg(F.min_by("id", order).alias("hub"))
-    head_pairs = (heads.join(hubs, ["key", "turn"]).filter("id <> hub")
+    # Parts that are still large: one head of each component on a hub. Both are drawn by a hash of
+    # id and part, so a class meets other heads in each of the many parts that hold it.
+    order = F.xxhash64("id", "key")
+    heads = rest.groupBy("key", "component").agg(F.min_by("id", order).alias("id"))
+    hubs = heads.groupBy("key").agg(F.min_by("id", order).alias("hub"))
+    head_pairs = (heads.join(hubs, "key").filter("id <> hub")
                   .select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")))
     second = confirmed(pairs.unionByName(split_pairs).unionByName(head_pairs).distinct(), classes, sets, settings)
-    return first.unionByName(second)
+    # The second round's links, between components of the first.
+    one, two = (grouped.select(F.col("id").alias(c), F.col("component").alias(f"of_{c}")) for c in ("a", "b"))
+    between = (second.join(one, "a", "left").join(two, "b", "left")
+               .select(F.coalesce("of_a", "a").alias("a"), F.coalesce("of_b", "b").alias("b")))
+    merged = components(between)
+    inner = merged.select(F.col("id").alias("component"), F.col("component").alias("wider"))
+    return (grouped.join(inner, "component", "left").select("id", F.coalesce("wider", "component").alias("component"))
+            .unionByName(merged.join(grouped, "id", "left_anti")))
 
 
 def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -290,7 +296,7 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     known = sketched.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = saved(known.groupBy(*identity).agg(F.min("doc_id").alias("id"), F.first("sketch").alias("sketch"))
                     .select(F.col("n_shingles").alias("n"), "set_a", "set_b", "id", "sketch"), "classes")
-    grouped = components(links(docs, classes, settings))
+    grouped = grouped_classes(docs, classes, settings)
     named = (classes.select(F.col("n").alias("n_shingles"), "set_a", "set_b", "id").join(grouped, "id", "left")
              .select(*identity, F.coalesce("component", "id").alias("component_id")))
     rows = sketched.drop("sketch").join(named, identity, "left")
