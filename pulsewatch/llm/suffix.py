@@ -255,12 +255,18 @@ def shard_windows(data: np.ndarray, start: np.ndarray, end: np.ndarray, identity
 # --- Spark ---------------------------------------------------------------------------------
 
 def anchor_table(docs: DataFrame, settings: Settings) -> DataFrame:
-    """(h, text_key, pos): the anchors of each text of at least ``length`` bytes."""
+    """(h, text_key, pos): the anchors of each text of at least ``length`` bytes.
+
+    A task scans each text once, however many copies of it it reads.
+    """
     gram, width = settings.gram, settings.length - settings.gram + 1
     schema = pa.schema([("h", pa.int64()), ("text_key", pa.int64()), ("pos", pa.int32())])
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in batches:
+            fresh = [k not in seen and not seen.add(k) for k in batch.column("text_key").to_pylist()]
+            batch = batch.filter(pa.array(fresh, pa.bool_()))
             keys = batch.column("text_key").to_numpy()
             for first, end, data, offsets in byte_slices(batch.column("text")):
                 sums = prefix_hash(BYTE_CODES[data])
