@@ -12,17 +12,17 @@ maximum and agree in a register with about the sets' Jaccard similarity.
    bucket, whatever its size. Likelihood over the registers and the exact set
    sizes estimates each proposed pair; those that could reach the threshold
    are confirmed on the full sets. Links give components.
-4. Buckets that still hold several components propose pairs across them:
-   all of them in a bucket of at most ``small`` classes; a larger one is first
-   split by ``variants`` different runs of ``extra`` further registers (a pair
-   at 0.8 meets in one of its split buckets but for 1 in 1000 or less; more similar
-   pairs sooner), where small parts propose their cross pairs and in larger
-   ones a class drawn from each component is compared with one drawn from all.
-5. Confirmed links of both rounds give the final components.
+4. Buckets that still hold several components propose all pairs across them.
+   Those of at most ``small`` classes do so at once; larger ones are compared
+   whole, block against block of about ``block`` classes at most: a pair is
+   proposed by the number of registers it agrees in, the most alike first, in
+   ``levels`` steps, so that links of one step leave fewer pairs to the next.
+5. Confirmed links of all rounds give the final components.
 
 No bucket is capped or dropped, no task gathers a bucket of unbounded size,
-and copies are never expanded into pairs. Stage results are tables in the
-shared scratch folder.
+and copies are never expanded into pairs. The register comparison of step 4 grows with
+the pairs of classes of a bucket that are in different components. Stage results are tables
+in the shared scratch folder.
 
 Cases: null text is empty; a text without words has an empty set and is
 linked with nothing; fewer words than a shingle are one shingle. Rows that
@@ -44,6 +44,7 @@ from .common import U64, batch_of, byte_slices, mix, ordered_hash, saved, text_o
 from .components import components
 
 SKETCH_SLICE = 2 << 20
+TILE, ACROSS = 256, 2048  # pairs that are compared in one go
 
 
 @dataclass(frozen=True)
@@ -56,14 +57,20 @@ class Settings:
     limit: int = 65534
     band: int = 4
     small: int = 32
-    extra: int = 12
-    variants: int = 8
+    block: int = 8192  # classes of a large bucket that a task compares with as many others
+    levels: int = 4  # two at least
     slack: float = 0.2  # a pair is dropped only if estimated this far under the threshold
 
     @property
     def bands(self) -> int:
         return self.registers // self.band
 
+    def agreements(self) -> list[tuple[int, int]]:
+        """(from, below) equal registers of each step, from the threshold down to ``slack`` under it."""
+        share = np.linspace(self.percent / 100, self.percent / 100 - self.slack, self.levels)
+        cuts = np.ceil(share * self.registers).astype(int).tolist()
+        return list(zip(cuts, [self.registers + 1, *cuts[:-1]], strict=True))
+
 
 # --- sets and sketches -----------------------------------------------------------
 
@@ -234,7 +241,7 @@ def _pairs_within(grouped: DataFrame) -> DataFrame:
 
 
 def _across(rows: DataFrame, settings: Settings) -> tuple[DataFrame, DataFrame]:
-    """Split rows (key, id, component, ...) of mixed buckets: pairs of the small ones, rows of the large ones."""
+    """Rows (key, id, component, ...) of mixed buckets: pairs of the small ones, rows of the large ones."""
     state = (rows.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("component").alias("low"),
                                      F.max("component").alias("high"))
              .filter("low < high").select("key", "size"))
@@ -244,12 +251,92 @@ def _across(rows: DataFrame, settings: Settings) -> tuple[DataFrame, DataFrame]:
     return _pairs_within(small), mixed.filter(F.col("size") > settings.small)
 
 
+def agreeing(x: dict[str, np.ndarray], y: dict[str, np.ndarray], low: int, high: int,
+             percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of x and y across components that agree in ``low`` to under ``high`` registers and may reach the threshold by size.
+
+    x and y hold id, component and n of the classes, and their sketches a
+    register a row. If y is x, each pair is looked at once.
+    """
+    found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+    for i in range(0, len(x["id"]), TILE):
+        rows = slice(i, i + TILE)
+        for j in range(i if y is x else 0, len(y["id"]), ACROSS):
+            columns = slice(j, j + ACROSS)
+            n, m = x["n"][rows, None], y["n"][None, columns]
+            near = x["component"][rows, None] != y["component"][None, columns]
+            near &= np.minimum(n, m) * 100 >= np.maximum(n, m) * percent
+            if not near.any():
+                continue
+            equal = np.zeros(near.shape, np.uint16)
+            for one, two in zip(x["sketch"][:, rows], y["sketch"][:, columns], strict=True):
+                equal += one[:, None] == two[None, :]
+            a, b = np.nonzero(near & (equal >= low) & (equal < high))
+            if y is x:
+                once = a + i < b + j
+                a, b = a[once], b[once]
+            found.append((x["id"][a + i], y["id"][b + j]))
+    a, b = (np.concatenate(side) for side in zip(*found, strict=True))
+    return np.minimum(a, b), np.maximum(a, b)
+
+
+def _pairs_of_large(large: DataFrame, grouped: DataFrame, classes: DataFrame, low: int, high: int,
+                    settings: Settings) -> DataFrame:
+    """Pairs across components within each key of ``large`` (key, id) that agree in ``low`` to under ``high`` registers.
+
+    The classes of a key are dealt into blocks, and every two blocks meet in
+    one group.
+    """
+    width, percent = settings.registers, settings.percent
+
+    def compared(group: pa.Table) -> pa.Table:
+        group = group.combine_chunks()
+        component = group["component"].to_numpy()
+        order = np.argsort(component, kind="stable")  # tiles of one component are passed over
+        part = group["part"].to_numpy()[order]
+        sketch = _rows_of(group["sketch"], np.uint16, width)[order]
+        whole = {"id": group["id"].to_numpy()[order], "component": component[order], "n": group["n"].to_numpy()[order]}
+
+        def side(at: np.ndarray) -> dict[str, np.ndarray]:
+            return {k: v[at] for k, v in whole.items()} | {"sketch": np.ascontiguousarray(sketch[at].T)}
+
+        i, j = group["i"][0].as_py(), group["j"][0].as_py()
+        x = side(part == i)
+        a, b = agreeing(x, x if i == j else side(part == j), low, high, percent)
+        return pa.table({"a": a, "b": b})
+
+    labelled = (large.join(grouped, "id", "left")
+                .select("key", "id", F.coalesce("component", "id").alias("component")))
+    state = (labelled.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("component").alias("least"),
+                                         F.max("component").alias("most"))
+             .filter("least < most")
+             .select("key", F.ceil(F.col("size") / settings.block).cast("int").alias("parts")))
+    mixed = (labelled.join(state, "key")
+             .withColumn("part", F.pmod(F.xxhash64("id", "key"), F.col("parts")).cast("int"))
+             .join(classes.select("id", "n", "sketch"), "id"))
+    met = (mixed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+           .select("key", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"),
+                   "part", "id", "component", "n", "sketch"))
+    return met.groupBy("key", "i", "j").applyInArrow(compared, "a long, b long").distinct()
+
+
+def _widened(grouped: DataFrame, links: DataFrame) -> DataFrame:
+    """(id, component) of ``grouped`` and of what further links (a, b) add to it."""
+    one, two = (grouped.select(F.col("id").alias(c), F.col("component").alias(f"of_{c}")) for c in ("a", "b"))
+    between = (links.join(one, "a", "left").join(two, "b", "left")
+               .select(F.coalesce("of_a", "a").alias("a"), F.coalesce("of_b", "b").alias("b")))
+    merged = components(between)
+    inner = merged.select(F.col("id").alias("component"), F.col("component").alias("wider"))
+    return (grouped.join(inner, "component", "left").select("id", F.coalesce("wider", "component").alias("component"))
+            .unionByName(merged.join(grouped, "id", "left_anti")))
+
+
 def grouped_classes(docs: DataFrame, classes: DataFrame, settings: Settings) -> DataFrame:
     """(id, component) of every class that has a link."""
     two = 2 * settings.band
-    keys = F.transform(F.sequence(F.lit(0), F.lit(settings.bands - 1)), lambda i: F.struct(
-        i.alias("band"), F.xxhash64(i, F.substring(F.col("sketch"), i * two + 1, F.lit(two))).alias("key")))
-    members = classes.select("id", F.inline(keys))
+    keys = F.transform(F.sequence(F.lit(0), F.lit(settings.bands - 1)), lambda i: F.xxhash64(
+        i, F.substring(F.col("sketch"), i * two + 1, F.lit(two))))
+    members = classes.select("id", F.explode(keys).alias("key"))
     buckets = (members.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("id").alias("hub"))
                .filter("size > 1"))
     shared = saved(members.join(buckets.select("key", "hub"), "key"), "buckets")
@@ -259,34 +346,18 @@ def grouped_classes(docs: DataFrame, classes: DataFrame, settings: Settings) ->
     first = saved(confirmed(stars, classes, sets, settings), "links")
 
     grouped = saved(components(first), "groups")
-    labelled = (shared.select("key", "band", "id").join(grouped, "id", "left")
+    labelled = (shared.select("key", "id").join(grouped, "id", "left")
                 .withColumn("component", F.coalesce("component", "id")))
     pairs, large = _across(labelled, settings)
-    # Large mixed buckets: runs of further registers, read round the sketch.
-    ring = classes.select("id", F.concat("sketch", "sketch").alias("ring"))
-    step = (settings.registers - settings.band - settings.extra) // max(1, settings.variants - 1)
-    runs = F.transform(F.sequence(F.lit(0), F.lit(settings.variants - 1)), lambda v: F.xxhash64(
-        F.col("key"), v, F.substring(F.col("ring"), 2 * ((F.col("band") + 1) * settings.band + v * step) % (2 * settings.registers) + 1,
-                                     F.lit(2 * settings.extra))))
-    split = saved(large.select("key", "band", "id", "component").join(ring, "id")
-                  .select(F.explode(runs).alias("key"), "id", "component"), "split")
-    split_pairs, rest = _across(split, settings)
-    # Parts that are still large: one head of each component on a hub. Both are drawn by a hash of
-    # id and part, so a class meets other heads in each of the many parts that hold it.
-    order = F.xxhash64("id", "key")
-    heads = rest.groupBy("key", "component").agg(F.min_by("id", order).alias("id"))
-    hubs = heads.groupBy("key").agg(F.min_by("id", order).alias("hub"))
-    head_pairs = (heads.join(hubs, "key").filter("id <> hub")
-                  .select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")))
-    second = confirmed(pairs.unionByName(split_pairs).unionByName(head_pairs).distinct(), classes, sets, settings)
-    # The second round's links, between components of the first.
-    one, two = (grouped.select(F.col("id").alias(c), F.col("component").alias(f"of_{c}")) for c in ("a", "b"))
-    between = (second.join(one, "a", "left").join(two, "b", "left")
-               .select(F.coalesce("of_a", "a").alias("a"), F.coalesce("of_b", "b").alias("b")))
-    merged = components(between)
-    inner = merged.select(F.col("id").alias("component"), F.col("component").alias("wider"))
-    return (grouped.join(inner, "component", "left").select("id", F.coalesce("wider", "component").alias("component"))
-            .unionByName(merged.join(grouped, "id", "left_anti")))
+    large = saved(large.select("key", "id"), "large")
+    grouped = saved(_widened(grouped, confirmed(pairs.distinct(), classes, sets, settings)), "groups")
+    if large.isEmpty():
+        return grouped
+    for low, high in settings.agreements():
+        pairs = saved(_pairs_of_large(large, grouped, classes, low, high, settings), "pairs")
+        if not pairs.isEmpty():
+            grouped = saved(_widened(grouped, confirmed(pairs, classes, sets, settings)), "groups")
+    return grouped
 
 
 def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:

@@ -118,6 +118,49 @@ def test_large_mixed_buckets_are_split(spark):
     assert got == brute_force(rows, 4)
 
 
+def edited(words, places, tag):
+    """The text with a word of its own at each place."""
+    out = list(words)
+    for k in places:
+        out[k] = f"{tag}x{k}"
+    return out
+
+
+def shared_words(x, y, size=4):
+    a, b = ({tuple(t[i:i + size]) for i in range(len(t) - size + 1)} for t in (x, y))
+    return len(a & b) / len(a | b)
+
+
+def test_star_around_a_middle_id(spark):
+    """2,000 copies, each alike to the original only, whose id is in their middle; a straggler alike to one copy only."""
+    r = random.Random(17)
+    original = [f"w{r.randrange(5000)}" for _ in range(120)]
+    texts = [edited(original, sorted(r.sample(range(8, 112, 8), 3)), f"c{i}") for i in range(2000)]
+    texts[1000] = original
+    straggler = edited(texts[500], [2, 5, 118], "s")
+    assert min(shared_words(original, t) for t in texts) >= 0.8
+    assert shared_words(straggler, original) < 0.8 <= shared_words(straggler, texts[500])
+    rows = list(enumerate(" ".join(t) for t in [*texts, straggler]))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for block in (8192, 300):
+        out = setsketch.near_duplicates(df, setsketch.Settings(shingle=4, block=block)).collect()
+        assert {r["component_id"] for r in out} == {0} and [r["doc_id"] for r in out if r["kept"]] == [0]
+
+
+def test_blocks_of_pairs_equal_all_pairs():
+    r = np.random.default_rng(5)
+    n = 700
+    x = {"id": r.permutation(n).astype(np.int64), "component": np.sort(r.integers(0, 300, n)),
+         "n": r.integers(80, 120, n), "sketch": r.integers(0, 2, (16, n)).astype(np.uint16)}
+    y = {k: v[..., 400:] for k, v in x.items()}
+    z = {k: v[..., :400] for k, v in x.items()}
+    want = {(int(min(x["id"][i], x["id"][j])), int(max(x["id"][i], x["id"][j]))) for i in range(n) for j in range(i)
+            if x["component"][i] != x["component"][j] and 9 <= (x["sketch"][:, i] == x["sketch"][:, j]).sum() < 12
+            and 100 * min(x["n"][i], x["n"][j]) >= 80 * max(x["n"][i], x["n"][j])}
+    got = [p for one, two in ((y, y), (z, z), (z, y)) for p in zip(*map(np.ndarray.tolist, setsketch.agreeing(one, two, 9, 12, 80)), strict=True)]
+    assert len(got) == len(want) and set(got) == want
+
+
 def test_cases(spark):
     docs = documents(spark, [*TEXTS, LONG], [*range(len(TEXTS) - 1), 3, None])
     out = setsketch.near_duplicates(docs).collect()
