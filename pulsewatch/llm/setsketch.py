@@ -252,11 +252,13 @@ def _across(rows: DataFrame, settings: Settings) -> tuple[DataFrame, DataFrame]:
 
 
 def agreeing(x: dict[str, np.ndarray], y: dict[str, np.ndarray], low: int, high: int,
-             percent: int) -> tuple[np.ndarray, np.ndarray]:
+             percent: int, bands: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of x and y across components that agree in ``low`` to under ``high`` registers and may reach the threshold by size.
 
     x and y hold id, component and n of the classes, and their sketches a
-    register a row. If y is x, each pair is looked at once.
+    register a row. If y is x, each pair is looked at once. ``bands`` is the band
+    of the bucket and its width: pairs that an earlier band holds too are left
+    to that band's bucket, which is as mixed as this one.
     """
     found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
     for i in range(0, len(x["id"]), TILE):
@@ -275,14 +277,21 @@ def agreeing(x: dict[str, np.ndarray], y: dict[str, np.ndarray], low: int, high:
             if y is x:
                 once = a + i < b + j
                 a, b = a[once], b[once]
-            found.append((x["id"][a + i], y["id"][b + j]))
+            first = first_shared(x["sketch"][:, a + i].T, y["sketch"][:, b + j].T, *bands)
+            found.append((x["id"][a + i][first], y["id"][b + j][first]))
     a, b = (np.concatenate(side) for side in zip(*found, strict=True))
     return np.minimum(a, b), np.maximum(a, b)
 
 
+def first_shared(one: np.ndarray, two: np.ndarray, band: int, width: int) -> np.ndarray:
+    """Whether no band of ``width`` registers before ``band`` agrees in the pairs of sketches (a pair a row)."""
+    end = band * width
+    return ~(one[:, :end] == two[:, :end]).reshape(len(one), band, width).all(axis=2).any(axis=1)
+
+
 def _pairs_of_large(large: DataFrame, grouped: DataFrame, classes: DataFrame, low: int, high: int,
                     settings: Settings) -> DataFrame:
-    """Pairs across components within each key of ``large`` (key, id) that agree in ``low`` to under ``high`` registers.
+    """Pairs across components within each key of ``large`` (key, band, id) that agree in ``low`` to under ``high`` registers.
 
     The classes of a key are dealt into blocks, and every two blocks meet in
     one group.
@@ -302,11 +311,12 @@ def _pairs_of_large(large: DataFrame, grouped: DataFrame, classes: DataFrame, lo
 
         i, j = group["i"][0].as_py(), group["j"][0].as_py()
         x = side(part == i)
-        a, b = agreeing(x, x if i == j else side(part == j), low, high, percent)
+        a, b = agreeing(x, x if i == j else side(part == j), low, high, percent,
+                        (group["band"][0].as_py(), settings.band))
         return pa.table({"a": a, "b": b})
 
     labelled = (large.join(grouped, "id", "left")
-                .select("key", "id", F.coalesce("component", "id").alias("component")))
+                .select("key", "band", "id", F.coalesce("component", "id").alias("component")))
     state = (labelled.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("component").alias("least"),
                                          F.max("component").alias("most"))
              .filter("least < most")
@@ -316,8 +326,8 @@ def _pairs_of_large(large: DataFrame, grouped: DataFrame, classes: DataFrame, lo
              .join(classes.select("id", "n", "sketch"), "id"))
     met = (mixed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
            .select("key", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"),
-                   "part", "id", "component", "n", "sketch"))
-    return met.groupBy("key", "i", "j").applyInArrow(compared, "a long, b long").distinct()
+                   "part", "band", "id", "component", "n", "sketch"))
+    return met.groupBy("key", "i", "j").applyInArrow(compared, "a long, b long")
 
 
 def _widened(grouped: DataFrame, links: DataFrame) -> DataFrame:
@@ -334,9 +344,9 @@ def _widened(grouped: DataFrame, links: DataFrame) -> DataFrame:
 def grouped_classes(docs: DataFrame, classes: DataFrame, settings: Settings) -> DataFrame:
     """(id, component) of every class that has a link."""
     two = 2 * settings.band
-    keys = F.transform(F.sequence(F.lit(0), F.lit(settings.bands - 1)), lambda i: F.xxhash64(
-        i, F.substring(F.col("sketch"), i * two + 1, F.lit(two))))
-    members = classes.select("id", F.explode(keys).alias("key"))
+    keys = F.transform(F.sequence(F.lit(0), F.lit(settings.bands - 1)), lambda i: F.struct(
+        i.alias("band"), F.xxhash64(i, F.substring(F.col("sketch"), i * two + 1, F.lit(two))).alias("key")))
+    members = classes.select("id", F.inline(keys))
     buckets = (members.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("id").alias("hub"))
                .filter("size > 1"))
     shared = saved(members.join(buckets.select("key", "hub"), "key"), "buckets")
@@ -346,10 +356,10 @@ def grouped_classes(docs: DataFrame, classes: DataFrame, settings: Settings) ->
     first = saved(confirmed(stars, classes, sets, settings), "links")
 
     grouped = saved(components(first), "groups")
-    labelled = (shared.select("key", "id").join(grouped, "id", "left")
+    labelled = (shared.select("key", "band", "id").join(grouped, "id", "left")
                 .withColumn("component", F.coalesce("component", "id")))
     pairs, large = _across(labelled, settings)
-    large = saved(large.select("key", "id"), "large")
+    large = saved(large.select("key", "band", "id"), "large")
     grouped = saved(_widened(grouped, confirmed(pairs.distinct(), classes, sets, settings)), "groups")
     if large.isEmpty():
         return grouped

@@ -1,3 +1,4 @@
+import math
 import random
 import re
 from collections import Counter
@@ -150,15 +151,29 @@ def test_star_around_a_middle_id(spark):
 def test_blocks_of_pairs_equal_all_pairs():
     r = np.random.default_rng(5)
     n = 700
+    sketch = r.integers(0, 2, (16, n)).astype(np.uint16)
+    sketch[:4] = 1  # the first band is shared by all
     x = {"id": r.permutation(n).astype(np.int64), "component": np.sort(r.integers(0, 300, n)),
-         "n": r.integers(80, 120, n), "sketch": r.integers(0, 2, (16, n)).astype(np.uint16)}
-    y = {k: v[..., 400:] for k, v in x.items()}
-    z = {k: v[..., :400] for k, v in x.items()}
+         "n": r.integers(80, 120, n), "sketch": sketch}
+    z, y = ({k: v[..., at] for k, v in x.items()} for at in (slice(0, 400), slice(400, n)))
     want = {(int(min(x["id"][i], x["id"][j])), int(max(x["id"][i], x["id"][j]))) for i in range(n) for j in range(i)
-            if x["component"][i] != x["component"][j] and 9 <= (x["sketch"][:, i] == x["sketch"][:, j]).sum() < 12
+            if x["component"][i] != x["component"][j] and 9 <= (sketch[:, i] == sketch[:, j]).sum() < 12
             and 100 * min(x["n"][i], x["n"][j]) >= 80 * max(x["n"][i], x["n"][j])}
-    got = [p for one, two in ((y, y), (z, z), (z, y)) for p in zip(*map(np.ndarray.tolist, setsketch.agreeing(one, two, 9, 12, 80)), strict=True)]
+    got = [p for one, two in ((y, y), (z, z), (z, y))
+           for p in zip(*map(np.ndarray.tolist, setsketch.agreeing(one, two, 9, 12, 80, (0, 4))), strict=True)]
     assert len(got) == len(want) and set(got) == want
+    assert not len(setsketch.agreeing(x, x, 9, 12, 80, (1, 4))[0])  # found in the first band's bucket already
+
+
+def test_chance_of_a_missed_pair():
+    """At the threshold: no shared band, or fewer equal registers than the last step goes down to."""
+    s = setsketch.Settings()
+    steps = s.agreements()
+    assert steps[0][1] > s.registers and all(a == d for (a, _), (_, d) in zip(steps, steps[1:], strict=False))
+    j, m, least = s.percent / 100, s.registers, steps[-1][0]
+    unshared = (1 - j ** s.band) ** s.bands
+    unlike = sum(math.comb(m, k) * j**k * (1 - j) ** (m - k) for k in range(least))
+    assert unshared < 5e-8 and unlike < 5e-7
 
 
 def test_cases(spark):
