@@ -1,4 +1,4 @@
-"""Driver queries of the ten operators, and their SQL twins where SQL can express them.
+"""Driver queries of the operators, and their SQL twins where SQL can express them.
 
 Each query applies its operator, with production parameters, to its whole table.
 """
@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import decontam, htmltext, packing, pii, secretscan, setsketch, sql, suffix, toxicity, warc
+from . import codebooks, decontam, htmltext, packing, pii, secretscan, setsketch, sql, suffix, toxicity, warc, whitening
 from .common import table
 from .ctph import compare_with_next
 
@@ -75,6 +75,14 @@ def op10_secret_ledger(spark, sf_dir):
                         secretscan.listed(F.col("spans")).alias("spans"))
 
 
+def op12_whitening(spark, sf_dir):
+    return whitening.whitening(table(spark, sf_dir, "embeddings"))
+
+
+def op13_codebooks(spark, sf_dir):
+    return codebooks.compress(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_ctph": op2_ctph,
@@ -86,6 +94,8 @@ QUERIES = {
     "op8_decontaminate": op8_decontaminate,
     "op9_main_text": op9_main_text,
     "op10_secret_ledger": op10_secret_ledger,
+    "op12_whitening": op12_whitening,
+    "op13_codebooks": op13_codebooks,
 }
 
 SQL: dict[str, str] = {
@@ -93,4 +103,5 @@ SQL: dict[str, str] = {
     "op7_suffix_dedup": sql.REPEATS,
     "op1_warc": sql.WARC,
     "op10_secret_ledger": sql.SECRETS,
+    "op13_codebooks": sql.CODEBOOKS,
 }

@@ -81,3 +81,40 @@ SELECT b.doc_id, b.n::BIGINT AS n_bytes, coalesce(removed, 0)::BIGINT AS n_remov
        sha256(unhex(CASE WHEN r.doc_id IS NULL THEN x ELSE kept || substr(x, 2 * last + 1) END)) AS kept_sha256
 FROM b LEFT JOIN r USING (doc_id)
 """
+
+
+def _nearest(name: str, books: str) -> str:
+    """Each part with its nearest entry of ``books``: the least distance, then the least entry number."""
+    distance = " + ".join(f"(p.{x} - c.{x}) * (p.{x} - c.{x})" for x in "abcd")
+    return f"""{name} AS (SELECT p.vec_id, p.i, p.label, p.a, p.b, p.c, p.d, min(({distance}) * 64 + c.e) AS m
+  FROM p JOIN {books} c ON c.i = p.i GROUP BY ALL)"""
+
+
+def _updated(name: str, assigned: str, books: str) -> str:
+    """``books`` with each used entry replaced by the floored mean of its parts."""
+    mean = ", ".join(f"(s{x} - (s{x} % n + n) % n) // n AS {x}" for x in "abcd")
+    sums = ", ".join(f"sum({x})::BIGINT AS s{x}" for x in "abcd")
+    pick = ", ".join(f"coalesce(u.{x}, o.{x})::BIGINT AS {x}" for x in "abcd")
+    return f"""{name} AS (SELECT o.i, o.e, {pick} FROM {books} o LEFT JOIN (
+  SELECT i, e, {mean} FROM (SELECT i, m % 64 AS e, count(*) AS n, {sums} FROM {assigned} GROUP BY ALL)) u
+  ON u.i = o.i AND u.e = o.e)"""
+
+
+CODEBOOKS = f"""
+WITH v AS (SELECT vec_id, label, list_transform(embedding, x -> floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NOT NULL AND isfinite(x))) = len(embedding)),
+p AS (SELECT vec_id, label, i, v[4 * i + 1] AS a, v[4 * i + 2] AS b, v[4 * i + 3] AS c, v[4 * i + 4] AS d
+  FROM v, range(16) t(i)),
+f AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM v ORDER BY vec_id LIMIT 64),
+c0 AS (SELECT i, e, a, b, c, d FROM p JOIN f USING (vec_id)),
+{_nearest("a0", "c0")},
+{_updated("c1", "a0", "c0")},
+{_nearest("a1", "c1")},
+{_updated("c2", "a1", "c1")},
+{_nearest("a2", "c2")},
+r AS (SELECT vec_id, label, string_agg(format('{{:02x}}', m % 64), '' ORDER BY i) AS code, sum(m // 64)::BIGINT AS error
+  FROM a2 GROUP BY ALL),
+h AS (SELECT sha256(string_agg(concat_ws(',', a, b, c, d), ',' ORDER BY i, e)) AS codebooks_sha256 FROM c2)
+SELECT vec_id, label, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+FROM r, h
+"""

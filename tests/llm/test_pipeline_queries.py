@@ -21,7 +21,7 @@ def test_every_query_is_registered():
 @pytest.mark.parametrize("name", sorted(queries.SQL))
 def test_query_matches_its_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SMALL}/{t}.parquet')")
     cur = con.execute(queries.SQL[name])
     columns = [d[0] for d in cur.description]
