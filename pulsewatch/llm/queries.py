@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import codebooks, decontam, htmltext, packing, pii, secretscan, setsketch, sql, suffix, toxicity, warc, whitening
+from . import codebooks, decontam, htmltext, lines, packing, pii, secretscan, setsketch, sql, suffix, toxicity, warc, whitening
 from .common import table
 from .ctph import compare_with_next
 
@@ -75,6 +75,11 @@ def op10_secret_ledger(spark, sf_dir):
                         secretscan.listed(F.col("spans")).alias("spans"))
 
 
+def op11_line_quality(spark, sf_dir):
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return lines.quality(docs.select("doc_id", "text"), docs, labels).select("doc_id", "held_out", "score", "predicted")
+
+
 def op12_whitening(spark, sf_dir):
     return whitening.whitening(table(spark, sf_dir, "embeddings"))
 
@@ -94,6 +99,7 @@ QUERIES = {
     "op8_decontaminate": op8_decontaminate,
     "op9_main_text": op9_main_text,
     "op10_secret_ledger": op10_secret_ledger,
+    "op11_line_quality": op11_line_quality,
     "op12_whitening": op12_whitening,
     "op13_codebooks": op13_codebooks,
 }

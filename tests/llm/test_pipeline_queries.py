@@ -15,7 +15,7 @@ SMALL, ORACLE = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 def test_every_query_is_registered():
     names = set(E.queries())
     assert set(queries.QUERIES) <= names and "pipeline" in names
-    assert [n.split("_")[0] for n in queries.QUERIES] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in queries.QUERIES] == [f"op{i}" for i in range(1, 14)]
 
 
 @pytest.mark.parametrize("name", sorted(queries.SQL))
@@ -34,7 +34,8 @@ def test_query_matches_its_sql(spark, name):
 def test_query_covers_its_table(spark, name):
     df = E.queries()[name](spark, SMALL)
     ids = {r[0] for r in df.select(df.columns[0]).collect()}
-    source, key = ("pages", "page_id") if "page_id" in df.columns else ("documents", "doc_id")
+    source, key = next((t, k) for t, k in (("pages", "page_id"), ("embeddings", "vec_id"), ("documents", "doc_id"))
+                       if k in df.columns)
     every = {r[0] for r in table(spark, SMALL, source).select(key).collect()}
     assert ids == every or name.startswith("op8") and ids <= every
 
