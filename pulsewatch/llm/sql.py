@@ -101,8 +101,8 @@ def _updated(name: str, assigned: str, books: str) -> str:
 
 
 CODEBOOKS = f"""
-WITH v AS (SELECT vec_id, label, list_transform(embedding, x -> floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NOT NULL AND isfinite(x))) = len(embedding)),
+WITH v AS (SELECT vec_id, label, [floor(256 * x::DOUBLE)::BIGINT for x in embedding] AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len([x for x in embedding if x IS NOT NULL AND isfinite(x)]) = len(embedding)),
 p AS (SELECT vec_id, label, i, v[4 * i + 1] AS a, v[4 * i + 2] AS b, v[4 * i + 3] AS c, v[4 * i + 4] AS d
   FROM v, range(16) t(i)),
 f AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM v ORDER BY vec_id LIMIT 64),
