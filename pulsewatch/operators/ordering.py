@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -30,6 +30,18 @@ def newest_first(df: DataFrame, n: int | None = None, time_col: str = "timestamp
     return top_n(df, n, order) if n is not None else df.orderBy(*order)
 
 
+def top_n_per_key(df: DataFrame, n: int, key: str, order: Sequence[Column | str], out_col: str = "place") -> DataFrame:
+    """SRT2/SRT3 for every key: the first ``n`` rows of each in a total order, with their place from 1.
+
+    Spark plans the limit on the row number as a group limit on both sides of the
+    shuffle: every map task passes on at most ``n`` rows of a key, so a key that holds a
+    third of all rows reaches its task as ``n`` rows per map task, not whole. Rows with
+    a null key form a group of their own.
+    """
+    numbered = df.withColumn(out_col, F.row_number().over(Window.partitionBy(key).orderBy(*order)).cast("long"))
+    return numbered.filter(F.col(out_col) <= n)
+
+
 def clustered(df: DataFrame, partition_col: str, order: Sequence[tuple[str, bool]],
               partitions: int | None = None) -> DataFrame:
     """SRT3 on write: rows of one partition key together, in clustering order.

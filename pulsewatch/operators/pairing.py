@@ -1,4 +1,4 @@
-"""Positional pairing of two event kinds per key (JOI1).
+"""Positional pairing of two event kinds, per key and over whole tables (JOI1).
 
 The k-th row of the left kind is paired with the k-th row of the right kind
 of the same key (order: event time, then tie-breaking ids); surplus rows of
@@ -11,16 +11,21 @@ rows of both kinds are read and shuffled together, once, on (key, bucket).
 The bucket totals are a partial aggregate of key, time and kind alone; only they are
 windowed by key (one row per key and bucket). Both sides of a pair then meet
 in one aggregation on (key, number), not in a join.
+
+:func:`pair_tables` pairs whole tables: both get a global index
+(:mod:`.indexing`), on which they are joined. An index holds each number
+once, so the join has no hot key.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.timefn import duration_micros, to_micros
+from .indexing import row_index
 
 BUCKET = "1 hour"
 
@@ -101,3 +106,31 @@ def positional_pair(
     """JOI1 for two frames with the same columns."""
     both = left.withColumn("_side", F.lit("left")).unionByName(right.withColumn("_side", F.lit("right")))
     return pair_kinds(both, "_side", "left", "right", key, time_col, tie_cols, left_prefix, right_prefix, bucket)
+
+
+def pair_tables(
+    left: DataFrame,
+    right: DataFrame,
+    left_order: Sequence[Column | str],
+    right_order: Sequence[Column | str],
+    left_prefix: str = "left_",
+    right_prefix: str = "right_",
+    strict: bool = False,
+    partitions: int | None = None,
+) -> DataFrame:
+    """JOI1 over whole tables: the i-th row of ``left`` with the i-th row of ``right``.
+
+    Output: ``rn`` (from 1), then every column of each side with its prefix; the two sides may have
+    different columns. Rows of the longer side beyond the shorter one's
+    length are dropped; with ``strict`` unequal lengths raise ValueError instead.
+    """
+    def numbered(df: DataFrame, order: Sequence[Column | str], prefix: str) -> DataFrame:
+        indexed = row_index(df, order, "rn", 1, partitions)
+        return indexed.select("rn", *[F.col(f"`{c}`").alias(prefix + c) for c in indexed.columns if c != "rn"])
+
+    one, two = numbered(left, left_order, left_prefix), numbered(right, right_order, right_prefix)
+    if strict:
+        n, m = one.count(), two.count()
+        if n != m:
+            raise ValueError(f"cannot pair {n} rows with {m} rows by position")
+    return one.join(two, "rn")

@@ -10,6 +10,7 @@ shared storage (by default under ``spark.checkpoint.dir``).
 | --- | --- | --- |
 | metrics / logs / resources listener | decode -> keyed table (+ rejects) | TABLES[...] |
 | views listener | views + transactions per minute, 1 min watermark | timestamp |
+| sketch listener | views + transactions per minute with user sketches, for roll-ups | timestamp |
 | burst listener | bursts per (user, action, 5 s), 5 s watermark | (user_id, timestamp, count) |
 | archiver | day one month ago of logs and metrics -> files | - |
 """
@@ -22,8 +23,9 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.decode import rejected, split_decoded, valid
+from ..operators.sketches import sketched_transactions, sketched_views
 from ..operators.windows import with_watermark
-from ..schemas import LOGS_WITH_MESSAGE, METRICS, RESOURCES, TABLES, TRANSACTION_KINDS
+from ..schemas import LOGS_WITH_MESSAGE, METRICS, RESOURCES, SKETCH_TABLES, TABLES, TRANSACTION_KINDS
 from ..sinks.keyed import KeyedTable
 from ..streaming.jobs import TRIGGERS, StreamSpec
 from ..sinks.archive import month_ago_date
@@ -88,6 +90,27 @@ def views_listener(spark: SparkSession, messages: DataFrame, table_root: str,
     return specs
 
 
+def sketch_listener(spark: SparkSession, messages: DataFrame, table_root: str,
+                    checkpoint_root: str, trigger: str | None = "default",
+                    kinds: Iterable[str] = TRANSACTION_KINDS, suffix: str = "") -> list[StreamSpec]:
+    """AGG1 + AGG2 with mergeable user sketches (AGG3), and the rejects aside.
+
+    The tables ``views_sketch`` and ``transactions_sketch`` can be rolled up to any multiple of a minute
+    (``operators.sketches.roll_up``).
+    """
+    decoded = counted(messages)
+    typed = with_watermark(valid(decoded), "1 minute")
+    plans = {"views": sketched_views(typed), "transactions": sketched_transactions(typed, kinds=kinds)}
+    specs = [_aside(decoded, "views_sketch", table_root, checkpoint_root, _trigger(trigger, "aggregates"))]
+    for name, df in plans.items():
+        spec = SKETCH_TABLES[name]
+        ckpt, qname = f"{checkpoint_root.rstrip('/')}/{spec.name}", f"{spec.name}{suffix}"
+        table = KeyedTable(spark, spec, f"{table_root.rstrip('/')}/{spec.name}")
+        specs.append(StreamSpec(qname, df, ckpt, table.foreach_batch(ckpt, query_name=qname),
+                                _trigger(trigger, "aggregates"), rocksdb=True))
+    return specs
+
+
 def burst_listener(spark: SparkSession, messages: DataFrame, table_root: str,
                    checkpoint_root: str, trigger: str | None = "default", suffix: str = "") -> list[StreamSpec]:
     """AGG4: bursts per (user, action, 5 s) into the burst table, rejects aside.
@@ -113,4 +136,4 @@ def archiver(spark: SparkSession, table_root: str, as_of: dt.date, out_base: str
     return archive_job(views, as_of, out_base, fmt)
 
 
-__all__ = ["archiver", "burst_listener", "listener", "views_listener"]
+__all__ = ["archiver", "burst_listener", "listener", "sketch_listener", "views_listener"]

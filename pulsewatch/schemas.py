@@ -13,6 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
+    BinaryType,
     DoubleType,
     IntegerType,
     LongType,
@@ -123,6 +124,20 @@ TABLES: dict[str, TableSpec] = {
 }
 
 
+def _sketched(name: str) -> StructType:
+    return StructType([
+        _s("timestamp", TimestampType()),
+        StructField(name, LongType(), False),
+        _s("users_sketch", BinaryType()),
+        _s("dummy_id"),
+    ])
+
+
+# The minute tables with a mergeable sketch of the users in place of their number.
+SKETCH_TABLES: dict[str, TableSpec] = {
+    name: TableSpec(f"{name}_sketch", _sketched(name), ("timestamp",)) for name in ("views", "transactions")
+}
+
 # ---------------------------------------------------------------------------
 # Adapter from the driver's ``events`` table to the metrics vocabulary.
 # operation_type := event_type, timestamp := ts, action_id := props.k

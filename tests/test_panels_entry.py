@@ -4,7 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
-from pulsewatch.plans import panels, registry
+from pulsewatch.plans import catalog, panels
 from tests.conftest import SF_ORACLE, SF_SMALL
 
 
@@ -31,7 +31,7 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(registry.QUERIES) == set(registry.SQL)
+    assert set(catalog.QUERIES) == set(catalog.SQL)
     assert set(E.oracle_sql()) <= set(E.queries())
 
 
@@ -55,7 +55,7 @@ def _canon(rows):
     return sorted((tuple(norm(v) for v in r) for r in rows), key=repr)
 
 
-@pytest.mark.parametrize("name", sorted(registry.QUERIES))
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_query_matches_oracle(spark, name):
     sf_dir = SF_SMALL
     df = E.queries()[name](spark, sf_dir)
