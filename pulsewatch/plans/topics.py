@@ -10,20 +10,27 @@ from pyspark.sql import functions as F
 
 from ..functions.decode import LOSSLESS_JSON, split_decoded, valid
 from ..functions.timefn import WIRE_TIMESTAMP_FORMAT
-from ..schemas import EVENTS
+from ..schemas import EVENTS, EVENTS_WIRE
 from ..session import default_parallelism, scratch_path
 from ..sinks.publish import publish_segments, publish_text, segment_stream
 from ..sources.segments import Topic, lost_segments, read_segments, subscribe_segments
 from ..sources.streams import text_stream
 from ..sources.tables import read_events
+from ..streaming.attackers import OUTPUT, attackers_stream
 from ..streaming.jobs import StreamSpec, run_available
 from ..streaming.late import LateRows
 from .applications import burst_listener, views_listener
-from .registry import STREAM_KINDS, _TX, _early, _wire
+from .registry import (
+    _5S_RANGE, _NATIVE, _TX, BATCH_CUTOFF, NATIVE_FRAME, NATIVE_SPEED, NATIVE_THRESHOLD, STREAM_KINDS, _early, _native,
+    _rolling_sql, _wire,
+)
 
 # Borders of the segments that the offset query publishes.
 SEGMENT_BORDERS = (dt.datetime(2024, 1, 8), dt.datetime(2024, 1, 15), dt.datetime(2024, 1, 22))
 LOST = 2
+# The native clock runs through the data in seven seconds: the delay leaves most of them closed.
+ATTACKERS_DELAY = "1 second"
+NATIVE_CUTOFF = dt.datetime(1970, 1, 1) + (BATCH_CUTOFF - dt.datetime(1970, 1, 1)) / NATIVE_SPEED
 
 
 def stream_late(spark, sf_dir):
@@ -94,10 +101,39 @@ def stream_published(spark, sf_dir):
     return _decoded(read_segments(spark, f"{base}/second", fail_on_data_loss=True).select("value"))
 
 
-QUERIES = {"stream_late": stream_late, "stream_offsets": stream_offsets, "stream_published": stream_published}
+def stream_attackers(spark, sf_dir):
+    """WIN2 on a stream: the native detector over two runs with a restart in between; the peak of the closed
+    frames of every user above the threshold."""
+    base, ev = scratch_path(spark, "stream_attackers"), _native(spark, sf_dir)
+
+    def run() -> None:
+        typed = valid(split_decoded(text_stream(spark, f"{base}/topic"), EVENTS_WIRE, key=("event_id",), time_col="ts",
+                                    options=LOSSLESS_JSON))
+        found = attackers_stream(typed, NATIVE_FRAME, NATIVE_THRESHOLD, ATTACKERS_DELAY, "user_id", "ts", "value")
+        run_available([StreamSpec(f"attackers_{base.rsplit('-', 1)[-1]}", found, f"{base}/checkpoint", "parquet",
+                                  options={"path": f"{base}/found"}, rocksdb=True,
+                                  state_partitions=default_parallelism(spark))])
+
+    # On the native clock the cutoff between the batches lies NATIVE_SPEED times nearer to the epoch.
+    first = F.coalesce(F.col("ts") < F.lit(NATIVE_CUTOFF), F.lit(False))
+    for part in (ev.filter(first), ev.filter(~first)):
+        publish_text(part, f"{base}/topic")
+        run()
+    found = spark.read.schema(OUTPUT).parquet(f"{base}/found")
+    return (found.groupBy(F.col("user_id").cast("long").alias("user_id"))
+            .agg(F.max("rolling_count").alias("peak_count")))
+
+
+QUERIES = {"stream_attackers": stream_attackers, "stream_late": stream_late, "stream_offsets": stream_offsets, "stream_published": stream_published}
 
 _LATE = "SELECT date_trunc('second', ts) AS t, * FROM events WHERE ts < TIMESTAMP '2024-01-15 00:00:00'"
 SQL = {
+    # Watermarks are whole milliseconds; a frame is closed once the watermark has reached its end.
+    "stream_attackers": (
+        f"WITH r AS ({_rolling_sql(_5S_RANGE, _NATIVE)}) SELECT user_id, max(rolling_count) AS peak_count FROM r "
+        f"WHERE ts <= (SELECT make_timestamp((epoch_us(max(ts)) // 1000 - 1000) * 1000) FROM {_NATIVE}) "
+        f"GROUP BY user_id HAVING max(rolling_count) > {NATIVE_THRESHOLD}"
+    ),
     # A late (group, window) counts once; all windows of the earlier half ended before the watermark.
     "stream_late": f"""
 WITH e AS ({_LATE})
