@@ -1,4 +1,4 @@
-"""Driver queries on table upkeep: compaction by day, purge by manifest, proven archives."""
+"""Driver queries on table upkeep: compaction by day, purge by manifest, proven archives, panel layout."""
 
 from __future__ import annotations
 
@@ -8,18 +8,21 @@ from dataclasses import replace
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StructField, StructType
 
+from ..functions.columns import as_double
 from ..schemas import EVENTS
 from ..session import scratch_path
 from ..sinks.archive import ArchiveBook, archive_range
 from ..sinks.keyed import KeyedTable
+from ..sinks.series import read_series, write_series
 from ..sinks.text import csv_options
 from ..sources.tables import read_events
 from .registry import (
-    RETENTION_AS_OF, RETENTION_EARLY, RETENTION_LATE, RETENTION_SPLIT, RETENTION_TTL, UPSERT_FIRST, UPSERT_SECOND,
+    PANEL_FROM, PANEL_TO, RETENTION_AS_OF, RETENTION_EARLY, RETENTION_LATE, RETENTION_SPLIT, RETENTION_TTL, UPSERT_FIRST, UPSERT_SECOND,
     _events_by_id,
 )
 
-# The days that the second batch of the compaction query corrects.
+# The users of the panel query, and the days that the second batch of the compaction query corrects.
+PANEL_IDS = (3, 7, 11)
 CORRECTED = (dt.date(2024, 1, 10), dt.date(2024, 1, 12))
 
 
@@ -61,9 +64,20 @@ def archive_verified(spark, sf_dir):
             .select("event_date", "archived", "proven", F.coalesce("left", F.lit(0)).cast("long").alias("left_rows")))
 
 
-QUERIES = {"compacted_days": compacted_days, "archive_verified": archive_verified}
+def panel_ids(spark, sf_dir):
+    """FLT6 + PNL1: a panel of some users over some days, from a table laid out by day, user and time."""
+    path = write_series(read_events(spark, sf_dir), scratch_path(spark, "panel_ids"), "user_id", "ts")
+    rows = read_series(spark, path, EVENTS, "user_id", "ts", PANEL_IDS, PANEL_FROM, PANEL_TO)
+    return rows.select(F.col("user_id").alias("id"), as_double("value").alias("value"), F.col("ts").alias("time"))
+
+
+QUERIES = {"panel_ids": panel_ids, "compacted_days": compacted_days, "archive_verified": archive_verified}
 
 SQL = {
+    "panel_ids": (
+        f"SELECT user_id AS id, CAST(value AS DOUBLE) AS value, ts AS \"time\" FROM events WHERE user_id IN {PANEL_IDS} "
+        f"AND ts > TIMESTAMP '{PANEL_FROM}' AND ts < TIMESTAMP '{PANEL_TO}'"
+    ),
     "compacted_days": (
         "SELECT event_id, ts, user_id, event_type, "
         f"CASE WHEN CAST(ts AS DATE) BETWEEN DATE '{CORRECTED[0]}' AND DATE '{CORRECTED[1]}' THEN value * 2 ELSE value END "
