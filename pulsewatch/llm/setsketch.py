@@ -12,16 +12,18 @@ maximum and agree in a register with about the sets' Jaccard similarity.
    bucket, whatever its size. Likelihood over the registers and the exact set
    sizes estimates each proposed pair; those that could reach the threshold
    are confirmed on the full sets. Links give components.
-4. Buckets that still hold several components propose all pairs across them.
-   Those of at most ``small`` classes do so at once; larger ones are compared
-   whole, block against block of about ``block`` classes at most: a pair is
-   proposed by the number of registers it agrees in, the most alike first, in
-   ``levels`` steps, so that links of one step leave fewer pairs to the next.
+4. Buckets that still hold several components look at all pairs across them.
+   Those of at most ``small`` classes propose them at once. Larger ones are
+   compared inside the tasks, block against block of at most about ``block`` classes or
+   ``block_bytes`` bytes of sets: registers rule most pairs out, the full sets decide the
+   others there and then, and a pair whose components have met meanwhile is passed over. Only links that
+   join two components leave the task, so its output is linear in the classes.
 5. Confirmed links of all rounds give the final components.
 
 No bucket is capped or dropped, no task gathers a bucket of unbounded size,
-and copies are never expanded into pairs. The register comparison of step 4 grows with
-the pairs of classes of a bucket that are in different components. Stage results are tables
+and copies are never expanded into pairs. The register comparisons of step 4 grow with
+the pairs of classes of a bucket that are in different components; rows and bytes do
+not: a class of a large bucket travels once per block it meets. Stage results are tables
 in the shared scratch folder.
 
 Cases: null text is empty; a text without words has an empty set and is
@@ -32,7 +34,7 @@ their component is null and they are kept. Output rows match input rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -58,7 +60,7 @@ class Settings:
     band: int = 4
     small: int = 32
     block: int = 8192  # classes of a large bucket that a task compares with as many others
-    levels: int = 4  # two at least
+    block_bytes: int = 16 << 20  # bytes of their sets, about
     slack: float = 0.2  # a pair is dropped only if estimated this far under the threshold
 
     @property
@@ -66,10 +68,9 @@ class Settings:
         return self.registers // self.band
 
     def agreements(self) -> list[tuple[int, int]]:
-        """(from, below) equal registers of each step, from the threshold down to ``slack`` under it."""
-        share = np.linspace(self.percent / 100, self.percent / 100 - self.slack, self.levels)
-        cuts = np.ceil(share * self.registers).astype(int).tolist()
-        return list(zip(cuts, [self.registers + 1, *cuts[:-1]], strict=True))
+        """(from, below) equal registers of the pairs of large buckets that are compared in full."""
+        least = int(np.ceil((self.percent / 100 - self.slack) * self.registers))
+        return [(least, self.registers + 1)]
 
 
 # --- sets and sketches -----------------------------------------------------------
@@ -251,22 +252,24 @@ def _across(rows: DataFrame, settings: Settings) -> tuple[DataFrame, DataFrame]:
     return _pairs_within(small), mixed.filter(F.col("size") > settings.small)
 
 
-def agreeing(x: dict[str, np.ndarray], y: dict[str, np.ndarray], low: int, high: int,
-             percent: int, bands: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of x and y across components that agree in ``low`` to under ``high`` registers and may reach the threshold by size.
+def tiles(x: dict[str, np.ndarray], y: dict[str, np.ndarray], low: int, high: int, percent: int,
+          bands: tuple[int, int], component_of: Callable[[np.ndarray], np.ndarray]
+          ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Positions in x and in y of the pairs across components that agree in ``low`` to under ``high``
+    registers and may reach the threshold by size, a tile at a time.
 
-    x and y hold id, component and n of the classes, and their sketches a
-    register a row. If y is x, each pair is looked at once. ``bands`` is the band
-    of the bucket and its width: pairs that an earlier band holds too are left
-    to that band's bucket, which is as mixed as this one.
+    x and y hold component and n of the classes, and their sketches a
+    register a row. If y is x, each pair is looked at once. ``component_of`` gives the components as
+    they are when a tile is begun. ``bands`` is the band of the bucket and its width: pairs that an
+    earlier band holds too are left to that band's bucket, which is as mixed as this one.
     """
-    found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
-    for i in range(0, len(x["id"]), TILE):
+    size = len(x["n"])
+    for i in range(0, size, TILE):
         rows = slice(i, i + TILE)
-        for j in range(i if y is x else 0, len(y["id"]), ACROSS):
+        for j in range(i if y is x else 0, len(y["n"]), ACROSS):
             columns = slice(j, j + ACROSS)
             n, m = x["n"][rows, None], y["n"][None, columns]
-            near = x["component"][rows, None] != y["component"][None, columns]
+            near = component_of(x["component"][rows])[:, None] != component_of(y["component"][columns])[None, :]
             near &= np.minimum(n, m) * 100 >= np.maximum(n, m) * percent
             if not near.any():
                 continue
@@ -278,55 +281,127 @@ def agreeing(x: dict[str, np.ndarray], y: dict[str, np.ndarray], low: int, high:
                 once = a + i < b + j
                 a, b = a[once], b[once]
             first = first_shared(x["sketch"][:, a + i].T, y["sketch"][:, b + j].T, *bands)
-            found.append((x["id"][a + i][first], y["id"][b + j][first]))
+            yield a[first] + i, b[first] + j
+
+
+def agreeing(x: dict[str, np.ndarray], y: dict[str, np.ndarray], low: int, high: int,
+             percent: int, bands: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
+    """The ids (lesser, greater) of all pairs that :func:`tiles` finds, whatever their sets."""
+    found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+    found += [(x["id"][a], y["id"][b]) for a, b in tiles(x, y, low, high, percent, bands, lambda c: c)]
     a, b = (np.concatenate(side) for side in zip(*found, strict=True))
     return np.minimum(a, b), np.maximum(a, b)
 
 
+class Sets:
+    """Full sets of a block's classes, as numbers into the block's own vocabulary."""
+
+    def __init__(self, binary: pa.Array):
+        raw = binary.to_pylist()
+        self.at = np.cumsum([0, *(len(r) // 8 for r in raw)])
+        _, self.terms = np.unique(np.frombuffer(b"".join(raw), U64), return_inverse=True)
+        self.marked = np.zeros(int(self.terms.max(initial=-1)) + 1, bool)
+
+    def shared(self, one: int, others: np.ndarray) -> np.ndarray:
+        """Size of the intersection of one set with each of the others (none of them empty)."""
+        own = self.terms[self.at[one]:self.at[one + 1]]
+        self.marked[own] = True
+        starts, lengths = self.at[others], self.at[others + 1] - self.at[others]
+        first = np.cumsum(lengths) - lengths
+        places = np.arange(int(lengths.sum())) + np.repeat(starts - first, lengths)
+        counts = np.add.reduceat(self.marked[self.terms[places]].astype(np.int64), first)
+        self.marked[own] = False
+        return counts
+
+
+class Joined:
+    """Components of a block (0, 1, ...) and which of them its links have joined."""
+
+    def __init__(self, n: int):
+        self.of = np.arange(n)
+
+    def __call__(self, component: np.ndarray) -> np.ndarray:
+        return self.of[component]
+
+    def join(self, one: int, two: int) -> bool:
+        """Join two components; False if they were one already."""
+        a, b = self.of[one], self.of[two]
+        if a == b:
+            return False
+        self.of[self.of == max(a, b)] = min(a, b)
+        return True
+
+
+def links_within(x: dict[str, np.ndarray], y: dict[str, np.ndarray], sets: Sets, components_: int,
+                 bands: tuple[int, int], settings: Settings) -> list[tuple[int, int]]:
+    """Links (lesser id, greater id) that join components of a block or of two blocks; x and y as in :func:`tiles`.
+
+    ``component`` holds numbers under ``components_``, ``row`` the places of the classes in ``sets``. Pairs
+    are decided on their full sets; every link left out joins what the links given have joined.
+    """
+    (low, high), percent = settings.agreements()[0], settings.percent
+    joined, links = Joined(components_), []
+    for a, b in tiles(x, y, low, high, percent, bands, joined):
+        bounds = np.append(np.flatnonzero(np.diff(a, prepend=-1)), len(a))
+        for start, end in zip(bounds[:-1], bounds[1:], strict=True):
+            one, others = a[start], b[start:end]
+            others = others[joined(y["component"][others]) != joined(x["component"][one:one + 1])]
+            if not len(others):
+                continue
+            shared = sets.shared(x["row"][one], y["row"][others])
+            alike = others[100 * shared >= percent * (x["n"][one] + y["n"][others] - shared)]
+            for other in alike:
+                if joined.join(x["component"][one], y["component"][other]):
+                    p, q = int(x["id"][one]), int(y["id"][other])
+                    links.append((min(p, q), max(p, q)))
+    return links
+
+
 def first_shared(one: np.ndarray, two: np.ndarray, band: int, width: int) -> np.ndarray:
     """Whether no band of ``width`` registers before ``band`` agrees in the pairs of sketches (a pair a row)."""
     end = band * width
     return ~(one[:, :end] == two[:, :end]).reshape(len(one), band, width).all(axis=2).any(axis=1)
 
 
-def _pairs_of_large(large: DataFrame, grouped: DataFrame, classes: DataFrame, low: int, high: int,
+def _links_of_large(large: DataFrame, grouped: DataFrame, classes: DataFrame, sets: DataFrame,
                     settings: Settings) -> DataFrame:
-    """Pairs across components within each key of ``large`` (key, band, id) that agree in ``low`` to under ``high`` registers.
+    """Links across components within each key of ``large`` (key, band, id), enough to join all they join.
 
-    The classes of a key are dealt into blocks, and every two blocks meet in
-    one group.
+    The classes of a key are dealt into blocks, and every two blocks meet in one group.
     """
-    width, percent = settings.registers, settings.percent
+    width = settings.registers
 
     def compared(group: pa.Table) -> pa.Table:
         group = group.combine_chunks()
-        component = group["component"].to_numpy()
+        names, component = np.unique(group["component"].to_numpy(), return_inverse=True)
         order = np.argsort(component, kind="stable")  # tiles of one component are passed over
         part = group["part"].to_numpy()[order]
         sketch = _rows_of(group["sketch"], np.uint16, width)[order]
-        whole = {"id": group["id"].to_numpy()[order], "component": component[order], "n": group["n"].to_numpy()[order]}
+        whole = {"id": group["id"].to_numpy()[order], "component": component[order], "n": group["n"].to_numpy()[order],
+                 "row": order}
 
         def side(at: np.ndarray) -> dict[str, np.ndarray]:
             return {k: v[at] for k, v in whole.items()} | {"sketch": np.ascontiguousarray(sketch[at].T)}
 
         i, j = group["i"][0].as_py(), group["j"][0].as_py()
         x = side(part == i)
-        a, b = agreeing(x, x if i == j else side(part == j), low, high, percent,
-                        (group["band"][0].as_py(), settings.band))
-        return pa.table({"a": a, "b": b})
+        found = links_within(x, x if i == j else side(part == j), Sets(group["set"].combine_chunks()), len(names),
+                             (group["band"][0].as_py(), settings.band), settings)
+        return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
 
     labelled = (large.join(grouped, "id", "left")
-                .select("key", "band", "id", F.coalesce("component", "id").alias("component")))
-    state = (labelled.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("component").alias("least"),
+                .select("key", "band", "id", F.coalesce("component", "id").alias("component"))
+                .join(classes.select("id", "n"), "id"))
+    blocks = F.greatest(F.ceil(F.count(F.lit(1)) / settings.block), F.ceil(F.sum("n") * 8 / settings.block_bytes))
+    state = (labelled.groupBy("key").agg(blocks.cast("int").alias("parts"), F.min("component").alias("least"),
                                          F.max("component").alias("most"))
-             .filter("least < most")
-             .select("key", F.ceil(F.col("size") / settings.block).cast("int").alias("parts")))
+             .filter("least < most").select("key", "parts"))
     mixed = (labelled.join(state, "key")
              .withColumn("part", F.pmod(F.xxhash64("id", "key"), F.col("parts")).cast("int"))
-             .join(classes.select("id", "n", "sketch"), "id"))
+             .join(classes.select("id", "sketch").join(sets, "id"), "id"))
     met = (mixed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
            .select("key", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"),
-                   "part", "band", "id", "component", "n", "sketch"))
+                   "part", "band", "id", "component", "n", "sketch", "set"))
     return met.groupBy("key", "i", "j").applyInArrow(compared, "a long, b long")
 
 
@@ -363,11 +438,8 @@ def grouped_classes(docs: DataFrame, classes: DataFrame, settings: Settings) ->
     grouped = saved(_widened(grouped, confirmed(pairs.distinct(), classes, sets, settings)), "groups")
     if large.isEmpty():
         return grouped
-    for low, high in settings.agreements():
-        pairs = saved(_pairs_of_large(large, grouped, classes, low, high, settings), "pairs")
-        if not pairs.isEmpty():
-            grouped = saved(_widened(grouped, confirmed(pairs, classes, sets, settings)), "groups")
-    return grouped
+    links = saved(_links_of_large(large, grouped, classes, sets, settings).distinct(), "links")
+    return saved(_widened(grouped, links), "groups")
 
 
 def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:

@@ -143,8 +143,8 @@ def test_star_around_a_middle_id(spark):
     assert shared_words(straggler, original) < 0.8 <= shared_words(straggler, texts[500])
     rows = list(enumerate(" ".join(t) for t in [*texts, straggler]))
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    for block in (8192, 300):
-        out = setsketch.near_duplicates(df, setsketch.Settings(shingle=4, block=block)).collect()
+    for sizes in ({}, {"block": 300}, {"block_bytes": 400_000}):
+        out = setsketch.near_duplicates(df, setsketch.Settings(shingle=4, **sizes)).collect()
         assert {r["component_id"] for r in out} == {0} and [r["doc_id"] for r in out if r["kept"]] == [0]
 
 
@@ -165,6 +165,52 @@ def test_blocks_of_pairs_equal_all_pairs():
     assert not len(setsketch.agreeing(x, x, 9, 12, 80, (1, 4))[0])  # found in the first band's bucket already
 
 
+def _sets(spark_free_sets):
+    return setsketch.Sets(pa.array([np.array(sorted(x), np.uint64).tobytes() for x in spark_free_sets], pa.binary()))
+
+
+def test_shared_counts_equal_set_intersections():
+    r = random.Random(2)
+    sets = [{r.randrange(40) for _ in range(r.randint(1, 30))} for _ in range(60)]
+    block = _sets(sets)
+    for one in range(60):
+        others = np.array(r.sample(range(60), 20))
+        assert block.shared(one, others).tolist() == [len(sets[one] & sets[o]) for o in others]
+
+
+def test_links_of_a_block_join_what_all_pairs_join():
+    """Links given: true ones only, no more than needed, and joining all that true pairs join."""
+    r = random.Random(11)
+    settings = setsketch.Settings(slack=0.8)     # registers rule nothing out here
+    for _ in range(15):
+        bases = [{r.randrange(10_000) for _ in range(60)} for _ in range(4)]
+        sets = [{e if r.random() > 0.06 else r.randrange(10_000) for e in r.choice(bases)} for _ in range(80)]
+        n = len(sets)
+        component = np.array([r.randrange(n) if r.random() < 0.2 else i for i in range(n)])
+        _, component = np.unique(component, return_inverse=True)
+        order = np.argsort(component, kind="stable")
+        whole = {"id": np.array(r.sample(range(1000), n)), "component": component[order], "row": order,
+                 "n": np.array([len(sets[i]) for i in order]), "sketch": np.zeros((128, n), np.uint16)}
+        part = np.array([r.random() < 0.5 for _ in range(n)])
+        x, y = ({k: v[..., at] for k, v in whole.items()} for at in (part, ~part))
+        links = []
+        for one, two in ((x, x), (y, y), (x, y)):
+            links += setsketch.links_within(one, two, _sets(sets), int(component.max()) + 1, (0, 4), settings)
+
+        def merged(edges):
+            of = {int(i): int(c) for i, c in zip(whole["id"], whole["component"], strict=True)}
+            for a, b in edges:
+                low, high = sorted((of[a], of[b]))
+                of = {i: low if c == high else c for i, c in of.items()}
+            return of
+
+        true = {(int(min(whole["id"][i], whole["id"][j])), int(max(whole["id"][i], whole["id"][j])))
+                for i in range(n) for j in range(i)
+                if 100 * len(sets[order[i]] & sets[order[j]]) >= 80 * len(sets[order[i]] | sets[order[j]])}
+        assert set(links) <= true and len(links) < 3 * n
+        assert merged(links) == merged(true)
+
+
 def test_chance_of_a_missed_pair():
     """At the threshold: no shared band, or fewer equal registers than the last step goes down to."""
     s = setsketch.Settings()
