@@ -142,3 +142,92 @@ def test_scores_do_not_depend_on_slices():
     for i, raw in enumerate(data):
         _, own = toxicity.slots_of(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]), 20)
         assert sorted(own) == sorted(slot[row == i])
+
+
+# --- the field's marginals and the classifier against plain ones ------------------------
+
+def _all_labellings(model, graph):
+    """Marginals by summing over every labelling."""
+    import itertools
+
+    node = model.potentials(graph)
+    n = len(graph.places)
+    out = np.zeros((n, pii.LABELS))
+    for labels in itertools.product(range(pii.LABELS), repeat=n):
+        if any(h >= 0 and labels[i] != h for i, h in enumerate(graph.held)):
+            continue
+        score = sum(node[i, y] for i, y in enumerate(labels))
+        score += sum(model.chain[labels[a], labels[b]] for a, b in graph.chain)
+        score += sum(model.skip[labels[a], labels[b]] for a, b in graph.skip)
+        for i, y in enumerate(labels):
+            out[i, y] += np.exp(score)
+    return out / out.sum(axis=1, keepdims=True)
+
+
+def _random_graph(r, n, loops):
+    """A tree of chain and skip edges, and a loop more if asked for."""
+    edges = [(r.randrange(i), i) for i in range(1, n)]
+    chain = [e for e in edges if e[1] - e[0] == 1]
+    skip = [e for e in edges if e[1] - e[0] > 1]
+    if loops:
+        free = [(a, b) for b in range(n) for a in range(b) if (a, b) not in edges]
+        skip.append(r.choice(free))
+    held = np.array([r.randrange(pii.LABELS) if r.random() < 0.3 else -1 for _ in range(n)])
+    return pii.Graph([(i, i + 1) for i in range(n)], [[f"f{r.randrange(4)}"] for _ in range(n)], held, chain, skip)
+
+
+def test_marginals_equal_enumeration_on_trees_and_are_near_on_loops():
+    r, rng = random.Random(4), np.random.default_rng(4)
+    settings = pii.Settings(passes=60)
+    for loops in (False, True):
+        worst = 0.0
+        for _ in range(25):
+            model = pii.Model({f"f{i}": i for i in range(4)}, rng.normal(0, 1, (4, pii.LABELS)),
+                              rng.normal(0, 0.7, (pii.LABELS,) * 2), np.eye(pii.LABELS) * 1.5)
+            graph = _random_graph(r, r.randint(3, 5), loops)
+            worst = max(worst, np.abs(pii.marginals(model, graph, settings) - _all_labellings(model, graph)).max())
+        assert worst < (0.2 if loops else 1e-9), (loops, worst)
+
+
+def test_the_default_number_of_passes_suffices_on_trees():
+    r, rng = random.Random(5), np.random.default_rng(5)
+    for _ in range(25):
+        model = pii.Model({f"f{i}": i for i in range(4)}, rng.normal(0, 1, (4, pii.LABELS)),
+                          rng.normal(0, 0.7, (pii.LABELS,) * 2), np.eye(pii.LABELS) * 1.5)
+        graph = _random_graph(r, r.randint(3, 5), False)
+        assert np.abs(pii.marginals(model, graph, pii.Settings()) - _all_labellings(model, graph)).max() < 0.02
+
+
+def test_training_equals_a_plain_ftrl_proximal():
+    """Coordinate by coordinate, from the definition: z and n per slot, w by the closed form of the proximal step."""
+    import math
+
+    rng = np.random.default_rng(8)
+    settings = toxicity.Settings(bits=6, alpha=0.5, beta=1.0, l1=0.3, l2=0.2, epochs=3)
+    examples = [(np.unique(rng.integers(0, 64, 8)), int(rng.random() < 0.4)) for _ in range(60)]
+    z, n = dict.fromkeys(range(64), 0.0), dict.fromkeys(range(64), 0.0)
+    share = (sum(y for _, y in examples) + 0.5) / (len(examples) + 1)
+    bias, bias_n = math.log(share / (1 - share)), 0.0
+
+    def weight(i):
+        if abs(z[i]) <= settings.l1:
+            return 0.0
+        sign = 1.0 if z[i] > 0 else -1.0
+        return -(z[i] - sign * settings.l1) / ((settings.beta + math.sqrt(n[i])) / settings.alpha + settings.l2)
+
+    order = np.random.Generator(np.random.PCG64(7))
+    for _ in range(settings.epochs):
+        for k in order.permutation(len(examples)):
+            slots, label = examples[k]
+            w = {int(i): weight(int(i)) for i in slots}
+            g = 1 / (1 + math.exp(-(bias + sum(w.values())))) - label
+            for i in w:
+                sigma = (math.sqrt(n[i] + g * g) - math.sqrt(n[i])) / settings.alpha
+                z[i] += g - sigma * w[i]
+                n[i] += g * g
+            bias_n += g * g
+            bias -= settings.alpha * 0.1 / (settings.beta + math.sqrt(bias_n)) * g
+    model = toxicity.train(examples, settings)
+    want = {i: weight(i) for i in range(64) if weight(i)}
+    assert 0 < len(want) < 64 and model.slots.tolist() == sorted(want)
+    assert np.allclose(model.values, [want[i] for i in sorted(want)], rtol=1e-5) and abs(model.bias - bias) < 1e-9
