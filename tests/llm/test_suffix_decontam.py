@@ -145,17 +145,58 @@ def test_leaks_equal_brute_force():
 
 def test_the_bound_is_positive_for_every_length():
     settings = decontam.Settings()
-    for m in range(settings.min_bytes, 500):
+    for m in range(settings.q, 500):
         assert m + 1 - settings.q * (settings.edits(m) + 1) >= 1
 
 
+def test_short_items_occur_exactly_between_word_borders():
+    import re
+
+    r, letters = random.Random(6), "ab c"
+    items = sorted({"".join(r.choice(letters) for _ in range(r.randint(1, 23))) for _ in range(40)})
+    index = decontam.Index([([i], t.encode()) for i, t in enumerate(items)], decontam.Settings())
+    texts = ["".join(r.choice([*letters, r.choice(items), f" {r.choice(items)} "]) for _ in range(r.randint(0, 12)))
+             for _ in range(150)]
+    found = 0
+    for first, end, data, offsets in byte_slices(pa.array(texts), 500):
+        leaks = index.leaks(data, offsets)
+        for k in range(end - first):
+            text = texts[first + k]
+            for j, item in enumerate(items):
+                places = [m.start() for m in re.finditer(f"(?={re.escape(item)})", text)]
+                places = [a for a in places if not (a and text[a - 1].isalnum() and item[0].isalnum())
+                          and not (a + len(item) < len(text) and text[a + len(item)].isalnum() and item[-1].isalnum())]
+                want = (0, places[0], places[0] + len(item)) if places else None
+                assert leaks.get((k, j)) == want, (text, item)
+                found += want is not None
+    assert found > 100
+
+
+def test_regions_aligned_together_equal_one_by_one():
+    r, letters, settings = random.Random(8), "abcd ", decontam.Settings()
+    items = ["".join(r.choice(letters) for _ in range(r.randint(24, 160))) for _ in range(8)]
+    index = decontam.Index([([i], t.encode()) for i, t in enumerate(items)], settings)
+    texts = ["".join(r.choice(letters) for _ in range(r.randint(0, 60))) + _mutated(r, r.choice(items), r.randint(0, 18), letters)
+             + "".join(r.choice(letters) for _ in range(r.randint(0, 60))) for _ in range(80)]
+    for _, _, data, offsets in byte_slices(pa.array(texts), 3000):
+        folded = decontam.fold(data)
+        row, item, low, high = index.regions(folded, offsets)
+        begin, end = offsets[row], offsets[row + 1]
+        got = dict(index.aligned(folded, begin, end, item, low - begin, high - begin))
+        for k, i in enumerate(item.tolist()):
+            e = int(index.budget[i])
+            want = decontam.banded(index.texts[i], folded[begin[k]:end[k]], int(low[k] - begin[k]) - e,
+                                   int(high[k] - begin[k]) + e, e)
+            assert got.get(k) == want
+
+
 def test_matches_blocks_and_cases(spark):
     docs = documents(spark, [None, "", "é The Quick brown fox\njumps over the lazy dog! tail", "clean words only", "x"],
                      [0, 1, 2, 3, None])
     items = [(7, "the quick brown fox jumps over the lazy dog!"), (8, None), (9, "short"),
              (7, "the quick brown fox jumps over the lazy dog!"), (5, "another benchmark passage of some length")]
     benchmark = spark.createDataFrame([(*i, 1) for i in items], "item_id long, text string, leaks int")
-    for settings in (decontam.Settings(), decontam.Settings(block_bytes=10)):
+    for settings in (decontam.Settings(), decontam.Settings(block_bytes=10), decontam.Settings(block_bytes=10, scan_blocks=1)):
         got = decontam.matches(docs, benchmark, settings).collect()
         assert {(r["doc_id"], r["item_id"], r["edits"], r["start"], r["end"]) for r in got} == {(2, 7, 0, 2, 46)}
         clean = decontam.without_leaks(docs, benchmark, settings)
