@@ -16,8 +16,14 @@ plain ``.warc``) it is unpacked and dropped, or skipped by its length.
 Paths go through ``pyarrow.fs``, so a folder is local, or any store that
 pyarrow opens, and must be one that all executors reach.
 
+Damaged archives: a record that is cut off, starts with no WARC line or gzip member, or has a malformed
+Content-Length is never returned. With ``damaged=error`` (the default) it ends the read with the
+file's name and the record's place; with ``damaged=stop`` the file is read up to that record and the next file
+follows.
+
 Cases: null payload is empty; null header values are left out and read as
-null; control characters in header values are percent-encoded; an empty folder
+null; a header that occurs several times is one entry of ``fields`` with the values on lines of their own, and
+is written that way; other control characters in header values are percent-encoded; an empty folder
 or table gives no records; payloads of any length are one record each.
 """
 
@@ -53,6 +59,10 @@ BATCH_ROWS, BATCH_BYTES = 1000, 16 << 20
 UNKNOWN = 0xFFFFFFFF
 
 
+class DamagedArchive(ValueError):
+    """A record that cannot be read whole."""
+
+
 def base32_sha1(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
@@ -87,26 +97,36 @@ def record_bytes(row: dict) -> bytes:
             "WARC-Record-ID": row.get("record_id") or f"<urn:uuid:{uuid.uuid4()}>",
             "WARC-Target-URI": row.get("target_uri"), "WARC-Date": row.get("warc_date") or "1970-01-01T00:00:00Z",
             "WARC-Refers-To": row.get("refers_to"), "WARC-Payload-Digest": row.get("payload_digest"),
-            "Content-Type": row.get("content_type") or HTTP, **dict(row.get("fields") or {}),
-            "Content-Length": str(len(block))}
-    lines = "".join(f"{k}: {_clean(v)}\r\n" for k, v in head.items() if v is not None)
+            "Content-Type": row.get("content_type") or HTTP}
+    pairs = [(k, v) for k, v in head.items() if v is not None]
+    pairs += [(k, line) for k, v in dict(row.get("fields") or {}).items() if v is not None for line in v.split("\n")]
+    lines = "".join(f"{k}: {_clean(v)}\r\n" for k, v in [*pairs, ("Content-Length", str(len(block)))])
     return f"WARC/1.1\r\n{lines}\r\n".encode() + block + b"\r\n\r\n"
 
 
 def parse_head(head: bytes) -> dict:
     """Header columns of a record's leading lines."""
-    found: dict[str, str] = {}
+    pairs: list[list[str]] = []
     for line in head.decode("utf-8", "replace").split("\r\n")[1:]:
-        if line[:1] in (" ", "\t") and found:  # a folded line
-            last = next(reversed(found))
-            found[last] += " " + line.strip()
+        if line[:1] in (" ", "\t") and pairs:  # a folded line
+            pairs[-1][1] += " " + line.strip()
         elif ":" in line:
             name, value = line.split(":", 1)
-            found[name.strip()] = value.strip()
-    lower = {k.lower(): k for k in found}
-    row: dict = {c: found.pop(lower[n.lower()], None) if n.lower() in lower else None for c, n in NAMES.items()}
-    row["content_length"] = int(row["content_length"] or 0)
-    row["fields"] = list(found.items())
+            pairs.append([name.strip(), value.strip()])
+    row: dict = dict.fromkeys(NAMES)
+    columns = {n.lower(): c for c, n in NAMES.items()}
+    fields: dict[str, tuple[str, list[str]]] = {}
+    for name, value in pairs:
+        column = columns.get(name.lower())
+        if column and row[column] is None:
+            row[column] = value
+        else:
+            fields.setdefault(name.lower(), (name, []))[1].append(value)
+    length = row["content_length"] or "0"
+    if not (length.isascii() and length.isdigit() and len(length) < 19):
+        raise DamagedArchive(f"Content-Length {length[:40]!r}")
+    row["content_length"] = int(length)
+    row["fields"] = [(name, "\n".join(values)) for name, values in fields.values()]
     return row
 
 
@@ -158,7 +178,7 @@ class Window:
 def _gzip_head(window: Window) -> tuple[int, int | None]:
     """(length of the gzip header, whole member's length if it tells)."""
     if window.fill(12) < 10 or window.buffer[window.at:window.at + 3] != b"\x1f\x8b\x08":
-        raise ValueError(f"no gzip member at {window.offset}")
+        raise DamagedArchive(f"no gzip member at {window.offset}")
     flags, at, total = window.buffer[window.at + 3], 10, None
     if flags & 4:
         extra = struct.unpack_from("<H", window.buffer, window.at + 10)[0]
@@ -181,6 +201,15 @@ def _gzip_head(window: Window) -> tuple[int, int | None]:
     return at + (2 if flags & 2 else 0), total
 
 
+def _head_at(head: bytes, offset: int) -> dict:
+    if not head.startswith(b"WARC/"):
+        raise DamagedArchive(f"no WARC record at {offset}")
+    try:
+        return parse_head(head)
+    except DamagedArchive as e:
+        raise DamagedArchive(f"record at {offset}: {e}") from None
+
+
 def records(window: Window, wanted, payload: bool) -> Iterator[tuple[int, dict, bytes | None]]:  # noqa: ANN001
     """(offset, header columns, block or None) of the records that ``wanted`` accepts by header."""
     while window.fill(4):
@@ -199,26 +228,35 @@ def records(window: Window, wanted, payload: bool) -> Iterator[tuple[int, dict,
                     window.fill(start + fed + step)
                     rest = window.buffer[window.at + start + fed:window.at + start + fed + step]
                     if not rest:
-                        raise ValueError(f"record at {offset} is cut off")
+                        raise DamagedArchive(f"record at {offset} is cut off")
                     fed += len(rest)
-                got = unpack.decompress(rest, limit)
+                try:
+                    got = unpack.decompress(rest, limit)
+                except zlib.error as e:
+                    raise DamagedArchive(f"record at {offset}: {e}") from None
                 rest = unpack.unconsumed_tail
                 return got
 
             while b"\r\n\r\n" not in out and not unpack.eof:
                 out += feed(1 << 13)
-            head, _, block = out.partition(b"\r\n\r\n")
-            row = parse_head(head)
+            head, whole, block = out.partition(b"\r\n\r\n")
+            if not whole:
+                raise DamagedArchive(f"record at {offset} is cut off")
+            row = _head_at(head, offset)
             keep = wanted(row)
             if keep and payload:
                 parts = [block]
                 while not unpack.eof:
                     parts.append(feed(1 << 20))
                 block = b"".join(parts)[:row["content_length"]]
+                if len(block) < row["content_length"]:
+                    raise DamagedArchive(f"record at {offset} is cut off")
             if total is None:
                 while not unpack.eof:
                     feed(1 << 20)
                 total = start + fed - len(unpack.unused_data) + 8
+            if offset + total > window.size:
+                raise DamagedArchive(f"record at {offset} is cut off")
             window.skip(total)
             if keep:
                 yield offset, row, block if payload else None
@@ -232,9 +270,11 @@ def records(window: Window, wanted, payload: bool) -> Iterator[tuple[int, dict,
                 return
             end = lead.find(b"\r\n\r\n", blank)
             if end < 0:
-                raise ValueError(f"record at {offset} is cut off")
-            row = parse_head(lead[blank:end])
+                raise DamagedArchive(f"record at {offset} is cut off")
+            row = _head_at(lead[blank:end], offset + blank)
             window.skip(end + 4)
+            if window.offset + row["content_length"] > window.size:
+                raise DamagedArchive(f"record at {offset + blank} is cut off")
             keep = wanted(row)
             block = window.take(row["content_length"]) if keep and payload else window.skip(row["content_length"])
             window.skip(min(4, window.fill(4)))
@@ -284,6 +324,9 @@ class WarcReader(DataSourceReader):
         self.payload = options.get("payload", "true").lower() == "true"
         self.verify = options.get("verify", "false").lower() == "true"
         self.split_bytes = int(options.get("split_bytes", 64 << 20))
+        self.damaged = options.get("damaged", "error").lower()
+        if self.damaged not in ("error", "stop"):
+            raise ValueError(f"damaged must be error or stop, not {self.damaged!r}")
         self.conditions: list[Filter] = []
 
     def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:  # noqa: N802 - Spark's name
@@ -320,8 +363,7 @@ class WarcReader(DataSourceReader):
         rows, size = [], 0
         for name in partition.names:
             with store.open_input_file(name) as file:
-                for offset, row, block in records(Window(file), lambda r: all(_accepts(c, r) for c in self.conditions),
-                                                  self.payload):
+                for offset, row, block in self._whole(name, file):
                     body = None if block is None else payload_of(block, row["content_type"])
                     digest = row["payload_digest"]
                     if self.verify and body is not None and row["warc_type"] != "revisit" and digest \
@@ -336,6 +378,15 @@ class WarcReader(DataSourceReader):
             yield pa.RecordBatch.from_pylist(rows, schema)
 
 
+    def _whole(self, name: str, file) -> Iterator[tuple[int, dict, bytes | None]]:  # noqa: ANN001
+        """The wanted records of a file, up to a damaged one."""
+        try:
+            yield from records(Window(file), lambda r: all(_accepts(c, r) for c in self.conditions), self.payload)
+        except DamagedArchive as e:
+            if self.damaged == "error":
+                raise DamagedArchive(f"{name}: {e}") from None
+
+
 class WarcWriter(DataSourceArrowWriter):
     def __init__(self, options: dict):
         self.path = options["path"]
@@ -434,11 +485,12 @@ def archive_pages(pages: DataFrame, path: str) -> None:
     page_records(pages).write.format("warc").mode("append").save(path)
 
 
-def read_warc(spark: SparkSession, path: str, payload: bool = True, verify: bool = False) -> DataFrame:
+def read_warc(spark: SparkSession, path: str, payload: bool = True, verify: bool = False,
+              damaged: str = "error") -> DataFrame:
     """Records under ``path``; filter it on header columns to have them pushed down."""
     register(spark)
     return (spark.read.format("warc").option("payload", str(payload).lower())
-            .option("verify", str(verify).lower()).load(path))
+            .option("verify", str(verify).lower()).option("damaged", damaged).load(path))
 
 
 def page_index(records_: DataFrame) -> DataFrame:

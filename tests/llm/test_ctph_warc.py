@@ -150,3 +150,53 @@ def test_damaged_payload_is_noticed(spark, scratch):
 def test_empty_table_and_folder(spark, scratch):
     warc.archive_pages(_pages(spark).limit(0), scratch)
     assert warc.read_warc(spark, scratch).count() == 0
+
+
+def _foreign(scratch, name, data):
+    import os
+
+    os.makedirs(scratch, exist_ok=True)
+    with open(f"{scratch}/{name}", "wb") as out:
+        out.write(data)
+
+
+def test_repeated_headers_are_kept(spark, scratch):
+    head = (b"WARC/1.1\r\nWARC-Type: metadata\r\nWARC-Concurrent-To: <a>\r\nContent-Length: 2\r\n"
+            b"WARC-Concurrent-To: <b>\r\nwarc-concurrent-to: <c>\r\n  folded\r\nX: y\r\n\r\nhi\r\n\r\n")
+    _foreign(scratch, "a.warc", head)
+    rows = warc.read_warc(spark, scratch).collect()
+    assert rows[0]["fields"] == {"WARC-Concurrent-To": "<a>\n<b>\n<c> folded", "X": "y"} and bytes(rows[0]["payload"]) == b"hi"
+    again = warc.record_bytes({"warc_type": "metadata", "content_type": "text/plain", "fields": rows[0]["fields"], "payload": b"hi"})
+    assert again.count(b"WARC-Concurrent-To: ") == 3 and dict(warc.parse_head(again.split(b"\r\n\r\n")[0])["fields"]) == rows[0]["fields"]
+
+
+@pytest.mark.parametrize("damage", [
+    lambda good, last: last[:-30],                                              # the last record is cut off in its block
+    lambda good, last: last[:25],                                               # and in its header
+    lambda good, last: last.replace(b"Content-Length: ", b"Content-Length: x"),
+    lambda good, last: last.replace(b"Content-Length: ", b"Content-Length: -"),
+    lambda good, last: b"GARBAGE/1\r\n\r\n" + last,
+])
+@pytest.mark.parametrize("packed", [False, True])
+def test_damaged_archives(spark, scratch, damage, packed):
+    record = warc.record_bytes({"warc_type": "response", "record_id": "<1>", "payload": b"p" * 200})
+    broken = damage(record, record)
+    pack = warc.member if packed else bytes
+    _foreign(scratch, "a.warc.gz" if packed else "a.warc", pack(record) * 2 + pack(broken))
+    _foreign(scratch, "b.warc", record)
+    for payload in (True, False):
+        got = warc.read_warc(spark, scratch, payload=payload, damaged="stop").collect()
+        cut_only = packed and not payload and broken == record[:-30]      # a whole member that says it is longer than it is
+        assert len(got) == 3 + cut_only
+        if not cut_only:
+            with pytest.raises(Exception, match="a.warc"):
+                warc.read_warc(spark, scratch, payload=payload).collect()
+
+
+def test_members_cut_in_the_file(spark, scratch):
+    record = warc.record_bytes({"warc_type": "response", "payload": bytes(range(256)) * 40})
+    for name, whole in (("a.warc.gz", warc.member(record)), ("b.warc.gz", gzip.compress(record))):
+        for cut in (5, 40, len(whole) - 3):
+            _foreign(f"{scratch}/{name}-{cut}", name, whole + whole[:cut])
+            for payload in (True, False):
+                assert warc.read_warc(spark, f"{scratch}/{name}-{cut}", payload=payload, damaged="stop").count() == 1
