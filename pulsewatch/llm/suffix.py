@@ -17,6 +17,8 @@ never cross texts and are judged on the input.
    and cut to what may repeat (:func:`shard_windows`). Per shard, a suffix array is
    built by Larsson-Sadakane refinement in numpy and Kasai's common prefixes
    tell which windows repeat.
+Contexts, and windows compared across shards, are identified by two independent 64-bit
+hashes of their bytes; within a shard bytes are compared.
 4. *Merging.* A group with more contexts than a shard takes is spread over several.
    Their windows, one for each that repeats inside its shard, are dealt by
    hash into ranges, and binary search in the merged order of a range finds
@@ -45,6 +47,8 @@ from .common import BYTE_CODES, U64, batch_of, byte_slices, mix, prefix_hash, sa
 from .decontam import grams
 
 LEFT, RIGHT = 0, 1
+# Codes of a second hash, independent of the first (fixed seed: equal in all tasks).
+SECOND_CODES = np.random.Generator(np.random.PCG64(20240301)).integers(1, 1 << 63, 256, dtype=U64) * U64(2) + U64(1)
 
 
 @dataclass(frozen=True)
@@ -298,7 +302,13 @@ def _half(side: int, pos: int, n: int, settings: Settings) -> tuple[int, int, in
     return bounds if fits else None
 
 
-_CONTEXT = pa.schema([("g", pa.int64()), ("ctx", pa.int64()), ("text_key", pa.int64()), ("pos", pa.int32()),
+def _joint(one: np.ndarray, two: np.ndarray) -> pa.Array:
+    """Two 64-bit hashes as one 16-byte identity."""
+    both = np.ascontiguousarray(np.stack([one, two], axis=1))
+    return pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), len(both), [None, pa.py_buffer(both.tobytes())]).cast(pa.binary())
+
+
+_CONTEXT = pa.schema([("g", pa.int64()), ("ctx", pa.binary()), ("text_key", pa.int64()), ("pos", pa.int32()),
                       ("side", pa.int32()), ("lead", pa.int32())])
 
 
@@ -308,7 +318,7 @@ def context_table(candidates: DataFrame, settings: Settings) -> DataFrame:
         for batch in batches:
             keys, places = batch.column("text_key").to_pylist(), batch.column("places")
             for first, end, data, offsets in byte_slices(batch.column("text")):
-                sums = prefix_hash(BYTE_CODES[data])
+                sums, again = prefix_hash(BYTE_CODES[data]), prefix_hash(SECOND_CODES[data])
                 rows = []
                 for i in range(first, end):
                     base, n = int(offsets[i - first]), int(offsets[i - first + 1] - offsets[i - first])
@@ -321,16 +331,16 @@ def context_table(candidates: DataFrame, settings: Settings) -> DataFrame:
                     text_key, pos, side, a, b, c, d, lead = (np.array(x, np.int64) for x in zip(*rows, strict=True))
                     yield batch_of({
                         "g": mix(span_hash(sums, c, d) + (side + 1).astype(U64)).view(np.int64),
-                        "ctx": mix(span_hash(sums, a, b) + (lead * 2 + side + 1).astype(U64)).view(np.int64),
+                        "ctx": _joint(*(mix(span_hash(x, a, b) + (lead * 2 + side + 1).astype(U64)) for x in (sums, again))),
                         "text_key": text_key, "pos": pos.astype(np.int32), "side": side.astype(np.int32),
                         "lead": lead.astype(np.int32)}, _CONTEXT)
 
-    return candidates.mapInArrow(found, "g long, ctx long, text_key long, pos int, side int, lead int")
+    return candidates.mapInArrow(found, "g long, ctx binary, text_key long, pos int, side int, lead int")
 
 
 def _context_bytes(wanted: DataFrame, settings: Settings) -> DataFrame:
     """Bytes of the wanted contexts (``wants``: array of g, ctx, pos, side, shard per text)."""
-    schema = pa.schema([("shard", pa.int64()), ("hot", pa.bool_()), ("g", pa.int64()), ("ctx", pa.int64()),
+    schema = pa.schema([("shard", pa.int64()), ("hot", pa.bool_()), ("g", pa.int64()), ("ctx", pa.binary()),
                         ("text_key", pa.int64()), ("at", pa.int64()), ("bytes", pa.binary())])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -348,11 +358,11 @@ def _context_bytes(wanted: DataFrame, settings: Settings) -> DataFrame:
                         values.append(value)
                 yield batch_of(out, schema)
 
-    return wanted.mapInArrow(cut, "shard long, hot boolean, g long, ctx long, text_key long, at long, bytes binary")
+    return wanted.mapInArrow(cut, "shard long, hot boolean, g long, ctx binary, text_key long, at long, bytes binary")
 
 
-_RESULT = "g long, ctx long, open boolean, w long, place long, begin array<int>, finish array<int>"
-_RESULT_ARROW = pa.schema([("g", pa.int64()), ("ctx", pa.int64()), ("open", pa.bool_()), ("w", pa.int64()),
+_RESULT = "g long, ctx binary, open boolean, w long, w2 long, place long, begin array<int>, finish array<int>"
+_RESULT_ARROW = pa.schema([("g", pa.int64()), ("ctx", pa.binary()), ("open", pa.bool_()), ("w", pa.int64()), ("w2", pa.int64()),
                            ("place", pa.int64()), ("begin", pa.list_(pa.int32())), ("finish", pa.list_(pa.int32()))])
 
 
@@ -363,11 +373,12 @@ def _sort_shard(length: int):  # noqa: ANN202
         raw = [x.as_py() for x in table.column("bytes")]
         end = np.cumsum([len(x) for x in raw])
         start = end - np.array([len(x) for x in raw])
-        g, ctx, key, at = (table.column(c).to_numpy() for c in ("g", "ctx", "text_key", "at"))
+        g, key, at = (table.column(c).to_numpy() for c in ("g", "text_key", "at"))
+        ctx = table.column("ctx").combine_chunks()
         hot = np.array(table.column("hot").to_pylist(), bool)
         identity = mix(key.view(np.uint64)) + at.astype(U64)
-        segment, offset, hashes, repeats = shard_windows(
-            np.frombuffer(b"".join(raw), np.uint8), start, end, identity, length)
+        data = np.frombuffer(b"".join(raw), np.uint8)
+        segment, offset, hashes, repeats = shard_windows(data, start, end, identity, length)
         again = np.flatnonzero(repeats)
         of, spot = segment[again], offset[again]
         opens = np.ones(len(again), bool)
@@ -377,33 +388,45 @@ def _sort_shard(length: int):  # noqa: ANN202
         each = np.arange(len(head) + 1, dtype=np.int32)
         none = np.zeros(len(head), np.int64)
         parts = [pa.Table.from_arrays([
-            pa.array(g[of[head]]), pa.array(ctx[of[head]]), pa.array(np.zeros(len(head), bool)), pa.array(none), pa.array(none),
+            pa.array(g[of[head]]), ctx.take(pa.array(of[head])), pa.array(np.zeros(len(head), bool)),
+            pa.array(none), pa.array(none), pa.array(none),
             *(pa.ListArray.from_arrays(each, pa.array(x.astype(np.int32))) for x in (spot[head], spot[tail] + length))],
             schema=_RESULT_ARROW)]
         if hot.any():
             # Windows not repeated here, and one of each that is: another shard may hold a single one.
             own = np.flatnonzero(hot[segment])
             known = own[repeats[own]]
-            _, once = np.unique(hashes[known], return_index=True)
-            keep = np.sort(np.concatenate([own[~repeats[own]], known[once]]))
+            sums = prefix_hash(SECOND_CODES[data])
+            windows = start[segment] + offset
+            two = span_hash(sums, windows[known], windows[known] + length)
+            by = np.lexsort((two, hashes[known]))
+            fresh = np.ones(len(by), bool)
+            fresh[1:] = (hashes[known][by][1:] != hashes[known][by][:-1]) | (two[by][1:] != two[by][:-1])
+            keep = np.sort(np.concatenate([own[~repeats[own]], known[by[fresh]]]))
             each = np.arange(len(keep) + 1, dtype=np.int32)
             lists = [pa.ListArray.from_arrays(each, pa.array(x.astype(np.int32)))
                      for x in (offset[keep], offset[keep] + length)]
             place = identity[segment[keep]] + offset[keep].astype(U64)
             parts.append(pa.Table.from_arrays([
-                pa.array(g[segment[keep]]), pa.array(ctx[segment[keep]]), pa.array(np.ones(len(keep), bool)),
-                pa.array(hashes[keep].view(np.int64)), pa.array(place.view(np.int64)), *lists], schema=_RESULT_ARROW))
+                pa.array(g[segment[keep]]), ctx.take(pa.array(segment[keep])), pa.array(np.ones(len(keep), bool)),
+                pa.array(hashes[keep].view(np.int64)),
+                pa.array(span_hash(sums, windows[keep], windows[keep] + length).view(np.int64)),
+                pa.array(place.view(np.int64)), *lists], schema=_RESULT_ARROW))
         return pa.concat_tables(parts)
 
     return sort
 
 
 def _merge_range(table: pa.Table) -> pa.Table:
-    """Windows of a hash range that several shards (or places) hold, by binary search."""
-    w, place = table.column("w").to_numpy(), table.column("place").to_numpy()
-    order = np.lexsort((place, w))
-    merged, places = w[order], place[order]
-    low, high = np.searchsorted(merged, w, "left"), np.searchsorted(merged, w, "right")
+    """Windows of a hash range that several shards (or places) hold, by binary search in the merged order."""
+    w, w2, place = (table.column(c).to_numpy() for c in ("w", "w2", "place"))
+    order = np.lexsort((place, w2, w))
+    fresh = np.ones(len(order), bool)
+    fresh[1:] = (w[order][1:] != w[order][:-1]) | (w2[order][1:] != w2[order][:-1])
+    merged, places = np.cumsum(fresh), place[order]
+    rank = np.empty(len(order), np.int64)
+    rank[order] = merged
+    low, high = np.searchsorted(merged, rank, "left"), np.searchsorted(merged, rank, "right")
     return table.select(_RESULT_ARROW.names).filter(pa.array(places[low] != places[high - 1]))
 
 

@@ -203,3 +203,32 @@ def test_matches_blocks_and_cases(spark):
         assert clean.columns == docs.columns and {r["doc_id"] for r in clean.collect()} == {0, 1, 3, None}
     assert decontam.matches(docs, benchmark.limit(0)).collect() == []
     assert decontam.matches(docs.limit(0), benchmark).collect() == []
+
+
+# --- identities --------------------------------------------------------------------------
+
+def test_two_hashes_tell_windows_apart_where_one_collides():
+    """Rows whose first hash is forced to collide repeat only if the second agrees too."""
+    empty = [[0]] * 6
+    rows = pa.table({
+        "g": pa.array([1] * 6), "ctx": pa.array([b"c"] * 6, pa.binary()), "open": [True] * 6,
+        "w": pa.array([7, 7, 7, 7, 9, 9]), "w2": pa.array([1, 2, 2, 3, 4, 4]), "place": pa.array([10, 20, 30, 40, 50, 50]),
+        "begin": pa.array(empty, pa.list_(pa.int32())), "finish": pa.array(empty, pa.list_(pa.int32()))})
+    # 7/1 and 7/3 occur once, 9/4 at one place only.
+    assert suffix._merge_range(rows).column("place").to_pylist() == [20, 30]
+
+
+def test_context_identities_are_independent():
+    import numpy as np
+
+    from pulsewatch.llm.common import BYTE_CODES, prefix_hash, span_hash
+
+    r = np.random.default_rng(3)
+    data = r.integers(97, 100, 5000, dtype=np.uint8)
+    start = np.arange(0, 4990)
+    one, two = (span_hash(prefix_hash(codes[data]), start, start + 8) for codes in (BYTE_CODES, suffix.SECOND_CODES))
+    joint = suffix._joint(one, two)
+    assert joint.type == pa.binary() and len(joint[0].as_py()) == 16
+    texts = [data[a:a + 8].tobytes() for a in start]
+    assert len(set(joint.to_pylist())) == len(set(texts)) == len(set(zip(one.tolist(), two.tolist(), strict=True)))
+    assert not (one == two).any()
