@@ -138,6 +138,88 @@ def test_main_text(page, want):
     assert htmltext.main_text(page) == want
 
 
+ONE = "First paragraph of the text, it has some words in it. " * 3
+TWO = "Second paragraph goes on here, with more words to read. " * 3
+
+
+@pytest.mark.parametrize(("page", "want"), [
+    # Names that merely hold a noise word are none.
+    (f'<div class="content no-sidebar"><p>{ONE}</p><p>{TWO}</p></div>', [ONE, TWO]),
+    (f'<article class="article-with-ads"><p>{ONE}</p><p>{TWO}</p></article>', [ONE, TWO]),
+    (f'<article><p>{ONE}</p><div class="related-work"><p>{TWO}</p></div></article>', [ONE, TWO]),
+    (f'<div class="post-comments"><p>{ONE}</p></div><p>{TWO}</p><div id=site-footer><p>{ONE}</p></div>', [TWO]),
+    # Text after a menu, and links between paragraphs.
+    (f"<p>{ONE}</p><p>{TWO}</p><nav><ul><li><a>a</a><li><a>b</a><li><a>c</a><li><a>d</a></ul></nav><p>A short end.</p>",
+     [ONE, TWO, "A short end."]),
+    (f"<p>{ONE}</p><p>See <a href=x>the long title of another page that is linked</a> too.</p><p>{TWO}</p>",
+     [ONE, "See the long title of another page that is linked too.", TWO]),
+    (f"<p>{ONE}</p><ul><li><a>one link</a><li><a>two link</a><li><a>three link</a></ul><p>{TWO}</p>", [ONE, TWO]),
+    # Formulas and objects are text; every article stays.
+    (f"<article><p>Let <math><mi>x</mi><mo>=</mo><mn>1</mn></math> be.</p><object><p>{TWO}</p></object></article>",
+     ["Let x=1 be.", TWO]),
+    (f"<article><p>{ONE}</p></article><article><p>tiny</p></article>", [ONE, "tiny"]),
+    # The element weights lines; a body that it leaves out is found by its length, a stray line is not.
+    (f"<main><h1>Title</h1></main><div><p>{ONE * 10}</p><p>{TWO * 10}</p></div>", ["Title", ONE * 10, TWO * 10]),
+    (f"<article><p>{ONE}</p></article><div>stray words outside of it</div>", [ONE]),
+])
+def test_the_distribution_decides(page, want):
+    assert htmltext.main_text(page) == "\n".join(x.strip() for x in want)
+
+
+def _plain_distribution(lines):
+    """Window by window: a line stays if it lies between weighted lines of a stretch, without three lines of
+    no weight in a row or a border of the marked elements, that holds a window of enough weight."""
+    marked = any(x.main >= 0 and not x.noisy for x in lines)
+
+    def weight(x):
+        inside = marked and x.main >= 0
+        if x.noisy or not inside and 2 * x.links > len(x.text):
+            return 0
+        if marked and not inside:
+            return len(x.text) / 16
+        size = len(x.text)
+        if x.paragraph and " " in x.text and x.text[-1] in ".!?:;":
+            size = max(size, htmltext.SURGE)
+        return size * (htmltext.INSIDE if inside else 1)
+
+    w = [weight(x) for x in lines]
+    side = [x.main >= 0 for x in lines]
+
+    def window(i):
+        return sum(w[j] for j in range(i, min(i + 3, len(w))) if side[i:j + 1].count(side[i]) == j + 1 - i)
+
+    best = max((window(i) for i in range(len(w))), default=0)
+    kept, stretch, gap = [], [], 0
+
+    def close():
+        while stretch and not w[stretch[-1]]:
+            stretch.pop()
+        if stretch and best and max(window(i) for i in stretch) >= min(htmltext.SURGE, best):
+            kept.extend(lines[i].text for i in stretch if not lines[i].noisy)
+        stretch.clear()
+
+    for i in range(len(w)):
+        if i and side[i] != side[i - 1] or gap >= 3:
+            close()
+            gap = 0
+        if w[i] or stretch:
+            stretch.append(i)
+        gap = 0 if w[i] else gap + 1
+    close()
+    return kept
+
+
+def test_kept_lines_equal_a_plain_distribution():
+    r = random.Random(12)
+    for _ in range(3000):
+        lines = []
+        for _ in range(r.randint(0, 25)):
+            text = "x" * r.choice([1, 5, 20, 70, 90, 400]) + r.choice(["", " end.", " end"])
+            lines.append(htmltext.Line(text, r.choice([0, 0, 0, len(text)]), r.random() < 0.25,
+                                       r.choice([-1, -1, 1]) if r.random() < 0.4 else -1, r.random() < 0.5))
+        assert htmltext.kept_lines(lines) == _plain_distribution(lines)
+
+
 def test_long_and_odd_pages_end():
     for page in ("<" * 50_000, "<a href=\"" * 5_000, "<p>" * 50_000, "&amp" * 50_000, "<!--" * 20_000,
                  "<div class='ad'>" * 3_000 + "x"):
