@@ -24,6 +24,7 @@ texts and digit runs are searched in linear time.
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -109,26 +110,26 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 # --- the field's graph ----------------------------------------------------------------
 
 def _shape(token: str) -> str:
+    """The token's runs of letters and digits and its signs; a long one in full, as a digest behind its beginning."""
     out = []
-    for c in token[:40]:
+    for c in token:
         kind = "9" if "0" <= c <= "9" else "a" if c.isalpha() else c
         if not out or out[-1] != kind:
             out.append(kind)
-    return "".join(out[:16])
+    shape = "".join(out)
+    return shape if len(out) <= 16 else f"{shape[:16]}~{zlib.crc32(shape.encode('utf-8', 'surrogatepass')):08x}"
 
 
-def _features(text: str, start: int, end: int) -> list[str]:
+def _features(text: str, start: int, end: int, before: str, after: str) -> list[str]:
+    """``before`` and ``after``: shapes of the words next to the token, if they are tokens too."""
     token = text[start:end]
     core = token.strip(_EDGE)
     digits = sum(map(len, _DIGITS.findall(core)))
     parts = core.split(".")
-    before = text[max(0, start - 48):start].split()
-    after = text[end:end + 48].split()
     out = ["bias", f"shape={_shape(core)}", f"digits={min(digits, 20)}", f"length={min(len(core), 24) // 2}",
+           f"kinds={''.join(sorted({'9' if '0' <= c <= '9' else 'a' if c.isalpha() else c for c in core}))}",
            f"lead={token[:1] if not token[:1].isalnum() else ''}", f"at={'@' in core}", f"dots={min(core.count('.'), 5)}",
-           f"mixed={any(c.isalpha() for c in core[:64]) and digits > 0}",
-           f"before={_shape(before[-1]) if before and _MAYBE.search(before[-1]) else ''}",
-           f"after={_shape(after[0]) if after and _MAYBE.search(after[0]) else ''}"]
+           f"mixed={digits > 0 and any(c.isalpha() for c in core)}", f"before={before}", f"after={after}"]
     if len(parts) == 4 and all(p.isascii() and p.isdigit() and len(p) < 4 for p in parts):
         out.append(f"octets={all(int(p) <= 255 for p in parts)}")
     if 12 < digits < 20:
@@ -166,7 +167,13 @@ def graph_of(text: str, base: list[tuple[int, int, int]]) -> Graph:
             if key in last_of and (last_of[key], i) not in skip[-2:]:
                 skip.append((last_of[key], i))
             last_of[key] = i
-    return Graph(places, [_features(text, a, b) for a, b in places], held, chain, skip)
+    # Words with neither digit nor "@" say nothing here, so only a token next to a token has a neighbour.
+    shapes = [_shape(text[a:b]) for a, b in places]
+    near = [text[one[1]:two[0]].isspace() for one, two in zip(places, places[1:], strict=False)]
+    before = ["", *(s if n else "" for s, n in zip(shapes, near, strict=False))]
+    after = [*(s if n else "" for s, n in zip(shapes[1:], near, strict=True)), ""]
+    return Graph(places, [_features(text, a, b, x, y) for (a, b), x, y in zip(places, before, after, strict=False)],
+                 held, chain, skip)
 
 
 @dataclass(frozen=True)
