@@ -12,6 +12,7 @@ shared storage (by default under ``spark.checkpoint.dir``).
 | views listener | views + transactions per minute, 1 min watermark | timestamp |
 | sketch listener | views + transactions per minute with user sketches, for roll-ups | timestamp |
 | burst listener | bursts per (user, action, 5 s), 5 s watermark | (user_id, timestamp, count) |
+| attackers listener | closed 5 s frames of a user above 50, 5 s watermark | (user_id, timestamp) |
 | archiver | day one month ago of logs and metrics -> files | - |
 """
 
@@ -25,10 +26,12 @@ from pyspark.sql import DataFrame, SparkSession
 from ..functions.decode import rejected, split_decoded, valid
 from ..operators.sketches import sketched_transactions, sketched_views
 from ..operators.windows import with_watermark
-from ..schemas import LOGS_WITH_MESSAGE, METRICS, RESOURCES, SKETCH_TABLES, TABLES, TRANSACTION_KINDS
+from ..schemas import ATTACKERS, DETECTED, LOGS_WITH_MESSAGE, METRICS, RESOURCES, SKETCH_TABLES, TABLES, TRANSACTION_KINDS
+from ..sinks.archive import ArchiveBook, month_ago_date
 from ..sinks.keyed import KeyedTable
+from ..storage import Files
+from ..streaming.attackers import attackers_stream
 from ..streaming.jobs import TRIGGERS, StreamSpec
-from ..sinks.archive import month_ago_date
 from .telemetry import WIRE_OPTIONS, archive_job, burst_plan, counted, views_and_transactions
 
 _INGEST = {"metrics": METRICS, "logs": LOGS_WITH_MESSAGE, "resources": RESOURCES}
@@ -124,6 +127,47 @@ def burst_listener(spark: SparkSession, messages: DataFrame, table_root: str,
             StreamSpec(qname, burst_plan(valid(decoded)), ckpt, sink, _trigger(trigger, "ddos"), rocksdb=True)]
 
 
+def attackers_listener(spark: SparkSession, messages: DataFrame, table_root: str, checkpoint_root: str,
+                       trigger: str | None = "default", frame: str = "5 seconds", threshold: int = 50,
+                       delay: str = "5 seconds", suffix: str = "",
+                       options: dict[str, str] | None = None) -> list[StreamSpec]:
+    """WIN2 on the metrics stream: closed frames above the threshold into the attackers table, rejects aside.
+
+    State is one time buffer per user over the frame and the delay, kept in RocksDB. A message without a
+    value is not counted, as in the batch form.
+    """
+    ckpt, qname = f"{checkpoint_root.rstrip('/')}/attackers", f"attackers{suffix}"
+    decoded = split_decoded(messages, DETECTED, key=("user_id",), options=WIRE_OPTIONS if options is None else options)
+    table = KeyedTable(spark, ATTACKERS, f"{table_root.rstrip('/')}/attackers")
+    found = attackers_stream(valid(decoded), frame, threshold, delay)
+    return [_aside(decoded, "attackers", table_root, checkpoint_root, _trigger(trigger, "ddos")),
+            StreamSpec(qname, found, ckpt, table.foreach_batch(ckpt, query_name=qname), _trigger(trigger, "ddos"), rocksdb=True)]
+
+
+def all_tables(spark: SparkSession, table_root: str) -> dict[str, KeyedTable]:
+    """Every table of the applications that has been written to under ``table_root``."""
+    specs = {**TABLES, **{s.name: s for s in SKETCH_TABLES.values()}, ATTACKERS.name: ATTACKERS}
+    present = set(Files(spark).names(table_root))
+    return {name: KeyedTable(spark, spec, f"{table_root.rstrip('/')}/{name}") for name, spec in specs.items() if name in present}
+
+
+def maintain(spark: SparkSession, table_root: str, as_of: dt.datetime, archive_base: str | None = None
+             ) -> dict[str, tuple[int, list[dt.date] | str]]:
+    """SRT3 + SNK2: compact every table, then purge it where its expired days are proven to be archived.
+
+    Returns each table's generation and the days that left it, or why its purge was refused (its rows stay).
+    """
+    book = ArchiveBook(spark, archive_base) if archive_base else None
+    done: dict[str, tuple[int, list[dt.date] | str]] = {}
+    for name, table in all_tables(spark, table_root).items():
+        generation = table.compact(as_of)
+        try:
+            done[name] = generation, table.purge(book=book)
+        except ValueError as refused:
+            done[name] = generation, str(refused)
+    return done
+
+
 def archiver(spark: SparkSession, table_root: str, as_of: dt.date, out_base: str,
              fmt: str = "csv", tables: tuple[str, ...] = ("logs", "metrics")) -> dict[str, str]:
     """SNK4: the day one month before ``as_of`` of each table, from its live view.
@@ -136,4 +180,5 @@ def archiver(spark: SparkSession, table_root: str, as_of: dt.date, out_base: str
     return archive_job(views, as_of, out_base, fmt)
 
 
-__all__ = ["archiver", "burst_listener", "listener", "sketch_listener", "views_listener"]
+__all__ = ["all_tables", "archiver", "attackers_listener", "burst_listener", "listener", "maintain", "sketch_listener",
+           "views_listener"]

@@ -10,16 +10,17 @@ from pyspark.sql import functions as F
 
 from ..functions.decode import LOSSLESS_JSON, split_decoded, valid
 from ..functions.timefn import WIRE_TIMESTAMP_FORMAT
-from ..schemas import EVENTS, EVENTS_WIRE
+from ..schemas import EVENTS, EVENTS_WIRE, TABLES
 from ..session import default_parallelism, scratch_path
+from ..sinks.keyed import KeyedTable
 from ..sinks.publish import publish_segments, publish_text, segment_stream
 from ..sources.segments import Topic, lost_segments, read_segments, subscribe_segments
 from ..sources.streams import text_stream
 from ..sources.tables import read_events
 from ..streaming.attackers import OUTPUT, attackers_stream
-from ..streaming.jobs import StreamSpec, run_available
+from ..streaming.jobs import StreamSpec, caught_up, run_available, running
 from ..streaming.late import LateRows
-from .applications import burst_listener, views_listener
+from .applications import burst_listener, listener, views_listener
 from .registry import (
     _5S_RANGE, _NATIVE, _TX, BATCH_CUTOFF, NATIVE_FRAME, NATIVE_SPEED, NATIVE_THRESHOLD, STREAM_KINDS, _early, _native,
     _rolling_sql, _wire,
@@ -101,6 +102,26 @@ def stream_published(spark, sf_dir):
     return _decoded(read_segments(spark, f"{base}/second", fail_on_data_loss=True).select("value"))
 
 
+def stream_resources(spark, sf_dir):
+    """EVT4: the resources listener at its own cadence (every two seconds), fed twice while it runs; a sample that
+    is sent again replaces the first."""
+    base, ev = scratch_path(spark, "stream_resources"), read_events(spark, sf_dir)
+    wire = ev.select(F.col("event_id").cast("string").alias("id"), F.col("ts").alias("timestamp"),
+                     F.col("event_type").alias("microservice_id"), F.floor("value").cast("int").alias("cpu"),
+                     F.col("user_id").cast("int").alias("ram"))
+    again = wire.filter(F.col("microservice_id") == "error").withColumn("cpu", F.col("cpu") + 1000)
+    publish_text(wire.filter(F.pmod("ram", F.lit(2)) == 0), f"{base}/topic", timestamp_format=WIRE_TIMESTAMP_FORMAT)
+    specs = listener(spark, "resources", text_stream(spark, f"{base}/topic"), f"{base}/tables", f"{base}/checkpoints")
+    with running([replace(s, name=f"{s.name}_{base.rsplit('-', 1)[-1]}") for s in specs]) as queries:
+        caught_up(queries)
+        publish_text(wire.filter(F.pmod("ram", F.lit(2)) == 1), f"{base}/topic", timestamp_format=WIRE_TIMESTAMP_FORMAT)
+        caught_up(queries)
+        publish_text(again, f"{base}/topic", timestamp_format=WIRE_TIMESTAMP_FORMAT)
+        caught_up(queries)
+    view = KeyedTable(spark, TABLES["resources"], f"{base}/tables/resources").view(as_of=dt.datetime(2020, 1, 1))
+    return view.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+
+
 def stream_attackers(spark, sf_dir):
     """WIN2 on a stream: the native detector over two runs with a restart in between; the peak of the closed
     frames of every user above the threshold."""
@@ -124,7 +145,7 @@ def stream_attackers(spark, sf_dir):
             .agg(F.max("rolling_count").alias("peak_count")))
 
 
-QUERIES = {"stream_attackers": stream_attackers, "stream_late": stream_late, "stream_offsets": stream_offsets, "stream_published": stream_published}
+QUERIES = {"stream_attackers": stream_attackers, "stream_resources": stream_resources, "stream_late": stream_late, "stream_offsets": stream_offsets, "stream_published": stream_published}
 
 _LATE = "SELECT date_trunc('second', ts) AS t, * FROM events WHERE ts < TIMESTAMP '2024-01-15 00:00:00'"
 SQL = {
@@ -134,6 +155,11 @@ SQL = {
         f"WHERE ts <= (SELECT make_timestamp((epoch_us(max(ts)) // 1000 - 1000) * 1000) FROM {_NATIVE}) "
         f"GROUP BY user_id HAVING max(rolling_count) > {NATIVE_THRESHOLD}"
     ),
+    "stream_resources": (
+        "SELECT CAST(event_id AS VARCHAR) AS id, date_trunc('second', ts) AS \"timestamp\", event_type AS microservice_id, "
+        "CAST(floor(value) AS INTEGER) + CASE event_type WHEN 'error' THEN 1000 ELSE 0 END AS cpu, "
+        "CAST(user_id AS INTEGER) AS ram FROM events"
+    ),
     # A late (group, window) counts once; all windows of the earlier half ended before the watermark.
     "stream_late": f"""
 WITH e AS ({_LATE})

@@ -70,6 +70,13 @@ COUNTED = StructType([
     _s("user_id"),
 ])
 
+# What the rolling detector reads of a metrics message.
+DETECTED = StructType([
+    _s("timestamp", TimestampType()),
+    _s("user_id"),
+    _s("value", IntegerType()),
+])
+
 # Event kinds of the reference's streams.
 # "Transactions" count these kinds (TRANSACTION itself is not among them).
 TRANSACTION_KINDS = ["VIEW", "BUY", "CANCEL", "REFUND"]
@@ -138,6 +145,11 @@ SKETCH_TABLES: dict[str, TableSpec] = {
     name: TableSpec(f"{name}_sketch", _sketched(name), ("timestamp",)) for name in ("views", "transactions")
 }
 
+# Closed rolling frames of a user above the detector's threshold (``streaming.attackers``).
+ATTACKERS = TableSpec("attackers", StructType([
+    _s("user_id"), _s("timestamp", TimestampType()), StructField("rolling_count", LongType(), False),
+]), ("user_id", "timestamp"), order=(("timestamp", True),))
+
 # ---------------------------------------------------------------------------
 # Adapter from the driver's ``events`` table to the metrics vocabulary.
 # operation_type := event_type, timestamp := ts, action_id := props.k

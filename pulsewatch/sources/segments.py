@@ -21,6 +21,8 @@ message of each carries its file name and row count, and the driver publishes th
 segment carries its ``producer`` and epoch; an epoch that is replayed after a failure finds its manifest and is
 not published twice.
 
+Spark has no available-now trigger for sources in Python; use ``streaming.jobs.run_caught_up`` for a run that ends.
+
 The folder must be one that driver and executors mount under the same path (as the
 shared folder of ``spark.checkpoint.dir``); it needs exclusive file creation, which object stores do not
 offer through a file path. No message is ever held on the driver: it sees names and counts.

@@ -15,7 +15,8 @@ reference's jobs as well).
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -106,6 +107,30 @@ def run_together(spark: SparkSession, specs: Sequence[StreamSpec],
     return queries
 
 
+@contextmanager
+def running(specs: Sequence[StreamSpec]) -> Iterator[list[StreamingQuery]]:
+    """EVT4: the queries at their own cadence for as long as the block lasts; then they are stopped.
+
+    Use :func:`caught_up` inside to wait until all input that is there by then has been written.
+    """
+    queries = [start(s) for s in specs]
+    try:
+        yield queries
+    finally:
+        for q in queries:
+            if q.isActive:
+                q.stop()
+        for q in queries:
+            if q.exception() is not None:
+                raise RuntimeError(f"stream {q.name} failed: {q.exception()}")
+
+
+def caught_up(queries: Sequence[StreamingQuery]) -> None:
+    """Wait until every query has processed the input that was there when this was called."""
+    for q in queries:
+        q.processAllAvailable()
+
+
 def run_available(specs: Sequence[StreamSpec]) -> list[StreamingQuery]:
     """Run each query over the input available now, to completion (tests, backfills).
 
@@ -117,3 +142,14 @@ def run_available(specs: Sequence[StreamSpec]) -> list[StreamingQuery]:
         if q.exception() is not None:
             raise RuntimeError(f"stream {q.name} failed: {q.exception()}")
     return queries
+
+
+def run_caught_up(specs: Sequence[StreamSpec]) -> list[StreamingQuery]:
+    """As :func:`run_available`, for sources without available-now support of their own (``sources.segments``).
+
+    Spark reads such a source in a single batch under that trigger and leaves the windows and timers which the
+    batch's watermark closes to a later one. Here the queries run as fast as they can until nothing is left to do.
+    """
+    with running([StreamSpec(**{**s.__dict__, "trigger": None}) for s in specs]) as queries:
+        caught_up(queries)
+        return list(queries)

@@ -62,6 +62,39 @@ def test_command_line_backfill_and_archive(spark, scratch):
           f"{scratch}/archive"])
 
 
+def test_command_line_over_segments(spark, scratch, capsys):
+    """Sketches and attackers from a topic of segments; compaction, and a purge that waits for proven archives."""
+    from pulsewatch.__main__ import main
+    from pulsewatch.operators.sketches import roll_up
+    from pulsewatch.plans.applications import all_tables
+    from pulsewatch.sinks.publish import publish_segments
+
+    rows = _wire(spark).select("id", "microservice_id", "timestamp", "operation_type", "action_id", "user_id", "value")
+    burst = spark.range(120).select(
+        F.concat(F.lit("b"), "id").alias("id"), F.lit("svc").alias("microservice_id"),
+        F.timestamp_seconds(F.lit(int(dt.datetime(2024, 1, 20).timestamp())) + F.col("id") / 40).alias("timestamp"),
+        F.lit("VIEW").alias("operation_type"), F.lit("a").alias("action_id"), F.lit("bot").alias("user_id"),
+        F.lit(0).alias("value"))
+    publish_segments(rows.unionByName(burst), f"{scratch}/topic", timestamp_format="yyyy-MM-dd HH:mm:ss")
+    common = ["--segments", f"{scratch}/topic", "--starting-offsets", "earliest", "--tables", f"{scratch}/tables",
+              "--checkpoints", f"{scratch}/ckpt", "--available-now"]
+    for job in ("sketches", "attackers", "metrics"):
+        main(["listen", job, *common])
+    tables = all_tables(spark, f"{scratch}/tables")
+    assert sorted(tables) == ["attackers", "metrics", "transactions_sketch", "views_sketch"]
+    now = dt.datetime(2024, 2, 15)
+    found = tables["attackers"].view(as_of=now).collect()
+    assert {r["user_id"] for r in found} == {"bot"} and max(r["rolling_count"] for r in found) == 120
+    hours = roll_up(tables["views_sketch"].view(as_of=now), "1 hour", "views")
+    assert hours.agg(F.max("views")).first()[0] >= 120
+    # Rows were written just now, so at a later date all of them have expired; nothing of it is archived.
+    later = ["--as-of", "2100-01-01T00:00:00", "--tables", f"{scratch}/tables", "--archives", f"{scratch}/archive"]
+    main(["maintain", *later])
+    said = capsys.readouterr().out
+    assert said.count("generation 1") == 4 and said.count("not archived") == 4
+    assert tables["metrics"].stored_rows().count() == rows.count() + 120
+
+
 def test_resources_listener_with_rejects(spark, scratch):
     msgs = [
         '{"id":"r1","timestamp":"2024-01-01 00:00:01","microservice_id":"s1","cpu":50,"ram":500}',
