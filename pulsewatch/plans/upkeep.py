@@ -17,8 +17,8 @@ from ..sinks.series import read_series, write_series
 from ..sinks.text import csv_options
 from ..sources.tables import read_events
 from .registry import (
-    PANEL_FROM, PANEL_TO, RETENTION_AS_OF, RETENTION_EARLY, RETENTION_LATE, RETENTION_SPLIT, RETENTION_TTL, UPSERT_FIRST, UPSERT_SECOND,
-    _events_by_id,
+    PANEL_FROM, PANEL_TO, RETENTION_AS_OF, RETENTION_EARLY, RETENTION_LATE, RETENTION_SPLIT, RETENTION_TTL, UPSERT_FIRST,
+    UPSERT_SECOND, _events_by_id,
 )
 
 # The users of the panel query, and the days that the second batch of the compaction query corrects.
