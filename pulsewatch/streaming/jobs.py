@@ -93,6 +93,7 @@ def _start(spec: StreamSpec) -> StreamingQuery:
 def run_together(spark: SparkSession, specs: Sequence[StreamSpec],
                  timeout: float | None = None) -> list[StreamingQuery]:
     """EVT6: start all, wait for the first to end (or fail), stop the rest."""
+    spark.streams.resetTerminated()  # queries that ended or failed earlier in the session are not ours
     queries = [start(s) for s in specs]
     try:
         if timeout is None:
