@@ -30,7 +30,7 @@ from ..schemas import ATTACKERS, DETECTED, LOGS_WITH_MESSAGE, METRICS, RESOURCES
 from ..sinks.archive import ArchiveBook, month_ago_date
 from ..sinks.keyed import KeyedTable
 from ..storage import Files
-from ..streaming.attackers import attackers_stream
+from ..streaming.attackers import GROUPS, attackers_stream
 from ..streaming.jobs import TRIGGERS, StreamSpec
 from .telemetry import WIRE_OPTIONS, archive_job, burst_plan, counted, views_and_transactions
 
@@ -130,16 +130,16 @@ def burst_listener(spark: SparkSession, messages: DataFrame, table_root: str,
 def attackers_listener(spark: SparkSession, messages: DataFrame, table_root: str, checkpoint_root: str,
                        trigger: str | None = "default", frame: str = "5 seconds", threshold: int = 50,
                        delay: str = "5 seconds", suffix: str = "",
-                       options: dict[str, str] | None = None) -> list[StreamSpec]:
+                       options: dict[str, str] | None = None, groups: int = GROUPS) -> list[StreamSpec]:
     """WIN2 on the metrics stream: closed frames above the threshold into the attackers table, rejects aside.
 
-    State is one time buffer per user over the frame and the delay, kept in RocksDB. A message without a
-    value is not counted, as in the batch form.
+    State is one time buffer per user over the frame and the delay, kept in RocksDB by ``groups`` of users
+    (see :func:`attackers_stream`). A message without a value is not counted, as in the batch form.
     """
     ckpt, qname = f"{checkpoint_root.rstrip('/')}/attackers", f"attackers{suffix}"
     decoded = split_decoded(messages, DETECTED, key=("user_id",), options=WIRE_OPTIONS if options is None else options)
     table = KeyedTable(spark, ATTACKERS, f"{table_root.rstrip('/')}/attackers")
-    found = attackers_stream(valid(decoded), frame, threshold, delay)
+    found = attackers_stream(valid(decoded), frame, threshold, delay, groups=groups)
     return [_aside(decoded, "attackers", table_root, checkpoint_root, _trigger(trigger, "ddos")),
             StreamSpec(qname, found, ckpt, table.foreach_batch(ckpt, query_name=qname), _trigger(trigger, "ddos"), rocksdb=True)]
 

@@ -1,15 +1,18 @@
 """Attackers on a stream (WIN2): rolling counts over arbitrary state.
 
 A rolling frame has no window to group by, so the batch form (``operators.rolling``) cannot run on
-a stream. Here each user keeps a bounded buffer: counts by event time, of the rows whose
+a stream. Here each user has a bounded buffer: counts by event time, of the rows whose
 frame is still open and of those that open frames reach back to. When the watermark passes an
 event time t, every row of the frame (t - W, t] has arrived (later ones are dropped as late), so the
 frame is counted, and a user above the threshold is reported. Times behind the watermark by more
-than W are then forgotten. A user's state thus covers W plus the watermark's delay, whatever the
+than W are then forgotten. A user's buffer thus covers W plus the watermark's delay, whatever the
 stream's length, one entry per distinct event time.
 
-One timer per user, at its earliest open time, wakes the user up; arriving rows are only added to the
-state. Rows of a micro-batch reach the user in Arrow chunks and are combined by time before they are stored.
+A call into a stateful processor costs milliseconds, whatever it does. So the state's key is not a user but
+a group of users, by a hash: the number of calls follows the groups, and their work is done on arrays over
+all users of a group. One timer per group, at its earliest open time, wakes the group up; arriving rows are only
+added to the state. Rows of a micro-batch reach the group in Arrow chunks and are combined by user and time before
+they are stored, a chunk as one entry. A task holds one group's buffers at a time; more groups make them smaller.
 Spark offers arbitrary state in Python as a stateful processor only: this is the one part of the
 telemetry library that runs in Python workers.
 """
@@ -20,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
@@ -27,7 +31,10 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 from ..functions.timefn import duration_micros
 
 OUTPUT = "user_id string, timestamp timestamp, rolling_count bigint"
-_BUFFER = "t bigint, n bigint, done boolean"
+# Groups of users a stream starts with: several for every state partition, of some ten thousand entries in a busy frame.
+GROUPS = 1024
+_BUFFER = "entries binary"
+_ENTRIES = pa.schema([("user_id", pa.string()), ("t", pa.int64()), ("n", pa.int64()), ("done", pa.bool_())])
 
 
 def closed_frames(times: np.ndarray, counts: np.ndarray, frame_us: int, until: int, done: np.ndarray
@@ -50,8 +57,54 @@ def merged(times: np.ndarray, counts: np.ndarray, done: np.ndarray) -> tuple[np.
     return distinct, total, ~waiting
 
 
+def one_line(users: np.ndarray, times: np.ndarray, frame_us: int) -> tuple[np.ndarray, np.ndarray]:
+    """(order by user and time, places in that order): the times of all users on one line.
+
+    Entries of one user that are nearer than a frame keep their distance, all other neighbours are a frame
+    apart. So no frame on the line reaches another user, and only entries of one user and time share a place.
+    """
+    order = np.lexsort((times, users))
+    users, times = users[order], times[order]
+    steps = np.where(np.diff(users) == 0, np.minimum(np.diff(times), frame_us), frame_us)
+    return order, np.concatenate([[0], np.cumsum(steps)])
+
+
+class Entries:
+    """Counts by user and event time of a group, one entry each, by user and time."""
+
+    def __init__(self, users: pa.Array, times: np.ndarray, counts: np.ndarray, done: np.ndarray, frame_us: int):
+        coded = users.dictionary_encode()
+        codes = coded.indices.to_numpy(zero_copy_only=False)
+        order, places = one_line(codes, times, frame_us)
+        self.places, self.counts, self.done = merged(places, counts[order], done[order])
+        first = order[np.searchsorted(places, self.places)]
+        self.names, self.codes, self.times, self.frame_us = coded.dictionary, codes[first], times[first], frame_us
+
+    @classmethod
+    def unpacked(cls, held: list[bytes], frame_us: int) -> Entries:
+        table = pa.concat_tables(pa.ipc.open_stream(b).read_all() for b in held)
+        t, n, done = (table[c].to_numpy() for c in ("t", "n", "done"))
+        return cls(pa.concat_arrays(table["user_id"].chunks), t, n, done, frame_us)
+
+    def packed(self, which: np.ndarray | None = None) -> bytes:
+        at = np.arange(len(self.times)) if which is None else np.flatnonzero(which)
+        batch = pa.record_batch([self.names.take(pa.array(self.codes[at])), pa.array(self.times[at]),
+                                 pa.array(self.counts[at]), pa.array(self.done[at])], schema=_ENTRIES)
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, _ENTRIES) as out:
+            out.write_batch(batch)
+        return sink.getvalue().to_pybytes()
+
+    def close(self, until: int) -> tuple[np.ndarray, np.ndarray]:
+        """(entries, rolling counts) of the open frames that end at or before ``until``; they are done then."""
+        settled = self.done | (self.times > until)
+        _, totals = closed_frames(self.places, self.counts, self.frame_us, int(self.places[-1]), settled)
+        self.done |= self.times <= until
+        return np.flatnonzero(~settled), totals
+
+
 class RollingCounter(StatefulProcessor):
-    """Reports the closed frames of a user whose count exceeds the threshold."""
+    """Reports the closed frames of a group's users whose count exceeds the threshold."""
 
     def __init__(self, frame_us: int, threshold: int):
         self.frame_us, self.threshold = frame_us, threshold
@@ -72,54 +125,57 @@ class RollingCounter(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: ANN001, N802, N803
         least = None
         for chunk in rows:
-            times = chunk["t"].to_numpy(np.int64)
-            counts = chunk["counted"].to_numpy(np.int64)
-            if not len(times):
+            if not len(chunk):
                 continue
-            times, counts, done = merged(times, counts, np.zeros(len(times), bool))
-            self.buffer.appendList(list(zip(times.tolist(), counts.tolist(), done.tolist(), strict=True)))
-            least = int(times[0]) if least is None else min(least, int(times[0]))
+            times = chunk["t"].to_numpy(np.int64)
+            new = Entries(pa.array(chunk["user_id"], pa.string()), times, chunk["counted"].to_numpy(np.int64),
+                          np.zeros(len(times), bool), self.frame_us)
+            self.buffer.appendValue((new.packed(),))
+            least = int(times.min()) if least is None else min(least, int(times.min()))
         if least is not None:
             self._wake_at(least)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: ANN001, N802, N803
         until = timerValues.getCurrentWatermarkInMs() * 1000
-        held = list(self.buffer.get())
+        held = [bytes(entries) for (entries,) in self.buffer.get()]
         if not held:
             return
-        times, counts, done = merged(*(np.array(c) for c in zip(*held, strict=True)))
-        ends, totals = closed_frames(times, counts, self.frame_us, until, done)
-        over = totals > self.threshold
-        done |= times <= until
-        kept = times > until - self.frame_us
+        now = Entries.unpacked(held, self.frame_us)
+        at, totals = now.close(until)
+        kept = now.times > until - self.frame_us
         if kept.any():
-            self.buffer.put(list(zip(times[kept].tolist(), counts[kept].tolist(), done[kept].tolist(), strict=True)))
-            waiting = times[kept & ~done]
-            # A user whose frames are all counted is woken once more, to forget it.
-            self._wake_at(int(waiting[0]) if len(waiting) else int(times[-1]) + self.frame_us)
+            self.buffer.put([(now.packed(kept),)])
+            waiting = now.times[kept & ~now.done]
+            # A group whose frames are all counted is woken once more, to forget them.
+            self._wake_at(int(waiting.min()) if len(waiting) else int(now.times.max()) + self.frame_us)
         else:
             self.buffer.clear()
+        over = totals > self.threshold
         if over.any():
-            yield pd.DataFrame({"user_id": [key[0]] * int(over.sum()),
-                                "timestamp": pd.to_datetime(ends[over], unit="us"),
-                                "rolling_count": totals[over]})
+            at, totals = at[over], totals[over]
+            yield pd.DataFrame({"user_id": now.names.take(pa.array(now.codes[at])).to_pandas(),
+                                "timestamp": pd.to_datetime(now.times[at], unit="us"),
+                                "rolling_count": totals})
 
     def close(self) -> None:
         pass
 
 
 def attackers_stream(events: DataFrame, frame: str = "5 seconds", threshold: int = 50, delay: str = "5 seconds",
-                     user_col: str = "user_id", time_col: str = "timestamp", value_col: str = "value") -> DataFrame:
+                     user_col: str = "user_id", time_col: str = "timestamp", value_col: str = "value",
+                     groups: int = GROUPS) -> DataFrame:
     """WIN2 on a stream: user (as text), time and count of every closed frame above ``threshold``.
 
     As in the batch form rows with a null ``value_col`` do not count, and rows without a user or a time belong to no
-    frame. ``max(rolling_count)`` per user is the batch form's peak count over closed frames.
+    frame. ``max(rolling_count)`` per user is the batch form's peak count over closed frames. ``groups`` is
+    fixed for the life of a checkpoint; raise it for a busier stream or more state partitions.
     """
     rows = (events.filter(F.col(user_col).isNotNull() & F.col(time_col).isNotNull())
             .withWatermark(time_col, delay)
             .select(F.col(user_col).cast("string").alias("user_id"), F.col(time_col),
-                    F.unix_micros(time_col).alias("t"), F.col(value_col).isNotNull().cast("long").alias("counted")))
-    return rows.groupBy("user_id").transformWithStateInPandas(
+                    F.unix_micros(time_col).alias("t"), F.col(value_col).isNotNull().cast("long").alias("counted"))
+            .withColumn("users", F.pmod(F.xxhash64("user_id"), F.lit(groups)).cast("int")))
+    return rows.groupBy("users").transformWithStateInPandas(
         statefulProcessor=RollingCounter(duration_micros(frame), threshold), outputStructType=OUTPUT,
         outputMode="append", timeMode="eventTime")
