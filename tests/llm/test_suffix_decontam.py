@@ -1,5 +1,6 @@
 import hashlib
 import random
+import tracemalloc
 from collections import defaultdict
 
 import numpy as np
@@ -7,7 +8,7 @@ import pyarrow as pa
 import pytest
 
 from pulsewatch.llm import decontam, suffix
-from pulsewatch.llm.common import byte_slices
+from pulsewatch.llm.common import byte_slices, saved
 from tests.llm.cases import documents
 
 
@@ -95,6 +96,52 @@ def test_suffix_cases(spark):
     assert suffix.remove_repeats(docs.limit(0)).collect() == []
 
 
+def test_steps_on_texts_take_small_batches(spark, monkeypatch):
+    key, limit = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
+    before, seen, held = spark.conf.get(key), [], []
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"n": [b.nbytes]})
+
+    r = random.Random(7)
+    text = "".join(r.choice("abcdefgh ") for _ in range(20_000))
+    rows = spark.createDataFrame([(i, text[i:]) for i in range(500)], "doc_id long, text string").coalesce(1)
+
+    def noted(df, name):
+        seen.append((name, spark.conf.get(key)))
+        if name == "repeat-candidates":
+            held.append(rows.mapInArrow(sizes, "n long").agg({"n": "max"}).first()[0])
+        return saved(df, name)
+
+    monkeypatch.setattr(suffix, "saved", noted)
+    got = sorted(suffix.remove_repeats(rows.filter("doc_id < 20")).collect())
+    assert [x.n_bytes - x.n_removed for x in got] == [1] + [0] * 19
+    assert len(seen) == 5 and all(value == str(limit) for _, value in seen), seen
+    assert held[0] < 1.5 * limit
+    assert spark.conf.get(key) == before
+
+
+def test_anchor_scan_holds_a_slice_of_hashes():
+    class Plan:
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, found, _):  # noqa: N802
+            return found
+
+    r = np.random.default_rng(5)
+    texts = ["".join(map(chr, r.integers(97, 123, 4_000))) for _ in range(700)]
+    batch = pa.RecordBatch.from_pydict({"text_key": pa.array(range(700), pa.int64()), "text": texts})
+    found = suffix.anchor_table(Plan(), suffix.Settings())
+    rows = sum(b.num_rows for b in found(iter([batch])))  # tables of powers are kept
+    tracemalloc.start()
+    assert sum(b.num_rows for b in found(iter([batch]))) == rows > 10_000
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 30e6
+
+
 # --- decontamination ----------------------------------------------------------------
 
 def _sellers(pattern, text):
